@@ -17,6 +17,10 @@ word hashes.  In each task the trees of the groups at hand grow from the top,
 a level of words at a time; a branch with a single suffix is a leaf and is
 dropped.  Nodes at depth ``width`` are the repeats.
 
+The repeated anchors go to the tasks as an array if there are at most
+``set_rows`` of them, and otherwise in a join that brings each text its own;
+so do the texts that are there more than once.
+
 Size.  A group with more than ``group_rows`` slices is split further: its
 prefixes are lengthened to the whole window, and such groups need no tree but a
 count, with partial sums.  Nothing is capped or left out.
@@ -37,6 +41,8 @@ from fundalake.llm.simhash import sorted_groups
 WIDTH = 35
 ANCHOR = 8
 GROUP_ROWS = 4096
+#: Most anchors, or repeated texts, that are sent to the tasks (8 and 16 bytes each).
+SET_ROWS = 1 << 22
 _LEVEL = 5
 
 
@@ -66,8 +72,25 @@ def _runs(starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], len(starts))
 
 
-def _count_anchors(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for part, raw, cuts in chunks(batches, "text"):
+def _stand_in(batches: Iterator[pa.RecordBatch], copied) -> Iterator[pa.RecordBatch]:
+    """The rows without the copies that another row stands for; ``copied``: sorted keys of texts with copies, and the doc_id that stays."""
+    if copied is None:
+        yield from batches
+        return
+    keys, stays = copied.value
+    for batch in batches:
+        key = batch.column(1).to_numpy(zero_copy_only=False)
+        doc = batch.column(0).fill_null(_NO_DOC).to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
+        gone = (keys[at] == key) & (stays[at] != doc) if len(keys) else np.zeros(len(key), bool)
+        yield batch.filter(pa.array(~gone)) if gone.any() else batch
+
+
+_NO_DOC = -(1 << 63)
+
+
+def _count_anchors(batches: Iterator[pa.RecordBatch], width: int, copied) -> Iterator[pa.RecordBatch]:
+    for part, raw, cuts in chunks(_stand_in(batches, copied), "text"):
         w = Words(raw, cuts)
         doc = w.doc()
         grams, starts, at = _anchors(w.hashes, doc, width)
@@ -83,21 +106,34 @@ def _count_anchors(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(g[lead].view(np.int64)), pa.array(many)], names=["doc_id", "_key", "anchor", "many"])
 
 
-def _slices(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """A row for each run of windows with a repeated anchor (hot: for each window)."""
-    for part, raw, cuts in chunks(batches, "text"):
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _slices(batches: Iterator[pa.RecordBatch], width: int, copied, repeated) -> Iterator[pa.RecordBatch]:
+    """A row for each run of windows with a repeated anchor (hot: for each window).
+
+    ``repeated``: sorted arrays of the cold and the hot anchors; None: each text has its own list.
+    """
+    for part, raw, cuts in chunks(_stand_in(batches, copied), "text"):
         w = Words(raw, cuts)
         doc = w.doc()
         grams, starts, at = _anchors(w.hashes, doc, width)
         first, after = _runs(starts, at)
-        lists = part.column(part.schema.get_field_index("anchors"))
-        flat = lists.flatten()
-        owner = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-        salt = lambda d: mix(d.astype(np.uint64) + np.uint64(1))
-        wanted = flat.field("anchor").to_numpy(zero_copy_only=False).view(np.uint64) ^ salt(owner)
-        hot = flat.field("hot").to_numpy(zero_copy_only=False).astype(bool)
-        have = grams[at[first]] ^ salt(doc[at[first]])
-        is_hot, is_cold = np.isin(have, wanted[hot]), np.isin(have, wanted[~hot])
+        if repeated is not None:
+            is_cold, is_hot = (_among(grams[at[first]], x) for x in repeated.value)
+        else:
+            lists = part.column(part.schema.get_field_index("anchors"))
+            flat = lists.flatten()
+            owner = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            salt = lambda d: mix(d.astype(np.uint64) + np.uint64(1))
+            wanted = flat.field("anchor").to_numpy(zero_copy_only=False).view(np.uint64) ^ salt(owner)
+            hot = flat.field("hot").to_numpy(zero_copy_only=False).astype(bool)
+            have = grams[at[first]] ^ salt(doc[at[first]])
+            is_hot, is_cold = np.isin(have, wanted[hot]), np.isin(have, wanted[~hot])
         base = w.first[doc[starts]] if len(starts) else starts
         ids, keys = part.column(0), part.column(1)
 
@@ -201,7 +237,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch], names: list[str], width: int) ->
         yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], names=[*names, "kept_text", "n_words", "n_removed"])
 
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_ROWS) -> DataFrame:
+def repeated_spans(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_ROWS, set_rows: int = SET_ROWS) -> DataFrame:
     """(doc_id, _key, _whole, _spans): what is repeated in each text that has repeats; _key is a hash of the text.
 
     _whole: the text as a whole is there more than once; then _spans is null.
@@ -211,15 +247,27 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_
     base = docs.select("doc_id", F.xxhash64(F.lit(1), text).alias("_key"), text.alias("text"))
     copies = cut(base.groupBy("_key", F.xxhash64("text").alias("_key2")).agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")))
 
-    anchors = base.mapInArrow(lambda it: _count_anchors(it, width), "doc_id long, _key long, anchor long, many boolean")
-    anchors = cut(anchors)
+    many = copies.filter("n > 1")
+    copied = None
+    if many.count() <= set_rows:
+        t = many.select("_key", F.coalesce("doc_id", F.lit(_NO_DOC)).alias("doc_id")).orderBy("_key").toArrow()
+        copied = spark.sparkContext.broadcast((t["_key"].to_numpy(), t["doc_id"].to_numpy()))
+
+    anchors = base.mapInArrow(lambda it: _count_anchors(it, width, copied), "doc_id long, _key long, anchor long, many boolean")
     counted = anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.min("_key").alias("lo"), F.max("_key").alias("hi"), F.max("many").alias("many"))
-    twice = counted.filter("many or lo <> hi").select("anchor", (F.col("n") > group_rows).alias("hot"))
-    stands = copies.select("doc_id", "_key")
-    lists = anchors.select("doc_id", "_key", "anchor").join(twice, "anchor").groupBy("doc_id", "_key").agg(F.collect_set(F.struct("anchor", "hot")).alias("anchors"))
-    lists = lists.join(stands, (lists.doc_id.eqNullSafe(stands.doc_id)) & (lists._key == stands._key), "left_semi")
-    texts = base.alias("b").join(lists.alias("l"), F.col("b.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("b._key") == F.col("l._key"))).select("b.doc_id", "b._key", "b.text", "l.anchors")
-    slices = cut(texts.mapInArrow(lambda it: _slices(it, width), _SLICE_TYPE))
+    twice = cut(counted.filter("many or lo <> hi").select("anchor", (F.col("n") > group_rows).alias("hot")))
+    if twice.count() <= set_rows:
+        t = twice.toArrow()
+        anchor, is_hot = t["anchor"].to_numpy().view(np.uint64), t["hot"].to_numpy().astype(bool)
+        repeated = spark.sparkContext.broadcast((np.sort(anchor[~is_hot]), np.sort(anchor[is_hot])))
+        texts = base
+    else:
+        repeated = None
+        stands = copies.select("doc_id", "_key")
+        lists = anchors.select("doc_id", "_key", "anchor").join(twice, "anchor").groupBy("doc_id", "_key").agg(F.collect_set(F.struct("anchor", "hot")).alias("anchors"))
+        lists = lists.join(stands, (lists.doc_id.eqNullSafe(stands.doc_id)) & (lists._key == stands._key), "left_semi")
+        texts = base.alias("b").join(lists.alias("l"), F.col("b.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("b._key") == F.col("l._key"))).select("b.doc_id", "b._key", "b.text", "l.anchors")
+    slices = cut(texts.mapInArrow(lambda it: _slices(it, width, copied, repeated), _SLICE_TYPE))
 
     cold = slices.filter("anchor is not null").repartition(partitions(spark), "anchor").sortWithinPartitions("anchor")
     spans = cold.mapInArrow(lambda it: _repeats(it, width), "doc_id long, _key long, `from` long, `to` long")
@@ -228,14 +276,14 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_
     spans = spans.unionByName(hot.join(again, ["w1", "w2"]).select("doc_id", "_key", F.col("start").alias("from"), (F.col("start") + width).alias("to")))
     found = spans.groupBy("doc_id", "_key").agg(F.collect_list(F.struct("from", "to")).alias("_spans"))
 
-    many = copies.filter("n > 1").select("_key", F.lit(True).alias("_whole")).distinct()
-    whole = base.select("doc_id", "_key").join(many, "_key").distinct()
+    copied_keys = many.select("_key", F.lit(True).alias("_whole")).distinct()
+    whole = base.select("doc_id", "_key").join(copied_keys, "_key").distinct()
     single = found.join(whole.select("doc_id", "_key"), found.doc_id.eqNullSafe(whole.doc_id) & (found._key == whole._key), "left_anti")
     none = F.lit(None).cast("array<struct<from:long,to:long>>")
     return whole.select("doc_id", "_key", "_whole", none.alias("_spans")).unionByName(single.select("doc_id", "_key", F.lit(False).alias("_whole"), "_spans"))
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_ROWS) -> DataFrame:
+def without_repeats(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_ROWS, set_rows: int = SET_ROWS) -> DataFrame:
     """``docs`` with kept_text (the kept words, one space between), n_words and n_removed.
 
     Null and empty texts have no word.  Repeated rows are copies of each other,
@@ -244,7 +292,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP
     are replaced); an empty table gives an empty result.
     """
     names = [c for c in docs.columns if c not in ("kept_text", "n_words", "n_removed", "_key", "_whole", "_spans")]
-    spans = repeated_spans(docs, width, group_rows)
+    spans = repeated_spans(docs, width, group_rows, set_rows)
     key = F.xxhash64(F.lit(1), F.coalesce("text", F.lit("")))
     left = docs.select(*names).withColumn("_key", key).alias("d")
     joined = left.join(spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d._key") == F.col("s._key")), "left")

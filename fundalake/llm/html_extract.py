@@ -258,6 +258,6 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     far as it goes (unclosed elements end with their parent); other columns are
     ignored; an empty table gives an empty result.
     """
-    known = templates(pages, min_pages, min_share)
+    known = cut(templates(pages, min_pages, min_share))  # a plain side of the join, so that AQE may split the other at a hot host
     rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host")).join(known, "host", "left").select("page_id", "url", "html", "host", "hashes")
     return rows.mapInArrow(_texts, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

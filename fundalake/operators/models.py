@@ -32,9 +32,9 @@ def boosted_trees(columns: list[str], rounds: int = 300, depth: int = 6) -> Pipe
     return _pipeline(columns, GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=5, weightCol="weight", labelCol=LABEL, seed=SEED))
 
 
-def logistic(columns: list[str], n_rows: int, c: float = 1.0) -> Pipeline:
+def logistic(columns: list[str], n_rows: int, c: float = 1.0, rounds: int = 1000) -> Pipeline:
     """The inverse strength c is for a sum of losses; Spark's strength is for their mean."""
-    return _pipeline(columns, LogisticRegression(regParam=1 / (c * max(1, n_rows)), elasticNetParam=0.0, maxIter=1000, weightCol="weight", labelCol=LABEL), scale=True)
+    return _pipeline(columns, LogisticRegression(regParam=1 / (c * max(1, n_rows)), elasticNetParam=0.0, maxIter=rounds, weightCol="weight", labelCol=LABEL), scale=True)
 
 
 def _pipeline(columns: list[str], classifier, scale: bool = False) -> Pipeline:

@@ -366,13 +366,13 @@ def _scored(d: Data, build: Callable[[list[str]], object]) -> DataFrame:
     return models.score(models.train(build(columns), train), test).select("ticker", "date", "target_bankruptcy", "score")
 
 
-query("rf")(lambda d: _scored(d, lambda c: models.random_forest(c, 20, 6)))
-query("gbt")(lambda d: _scored(d, lambda c: models.boosted_trees(c, 5, 4)))
-query("logistic")(lambda d: _scored(d, lambda c: models.logistic(c, 1000)))
-query("calibrate")(lambda d: (lambda t: models.calibrate(models.random_forest(t[2], 10, 5), t[0]).select("ticker", "date", "target_bankruptcy", "score", "calibrated"))(_sides(d)))
-query("importance")(lambda d: (lambda t: models.importance(d.spark, models.train(models.random_forest(t[2], 20, 6), t[0]), t[2]))(_sides(d)))
-query("compare_models")(lambda d: (lambda t: models.compare({"rf": models.random_forest(t[2], 10, 5), "logistic": models.logistic(t[2], 1000)}, t[0], t[1]))(_sides(d)))
-query("cross_validate")(lambda d: (lambda t: models.cross_validate(models.random_forest(t[2], 10, 5), t[0]))(_sides(d)))
+query("rf")(lambda d: _scored(d, lambda c: models.random_forest(c, 10, 5)))
+query("gbt")(lambda d: _scored(d, lambda c: models.boosted_trees(c, 3, 3)))
+query("logistic")(lambda d: _scored(d, lambda c: models.logistic(c, 1000, rounds=25)))
+query("calibrate")(lambda d: (lambda t: models.calibrate(models.random_forest(t[2], 5, 4), t[0]).select("ticker", "date", "target_bankruptcy", "score", "calibrated"))(_sides(d)))
+query("importance")(lambda d: (lambda t: models.importance(d.spark, models.train(models.random_forest(t[2], 10, 5), t[0]), t[2]))(_sides(d)))
+query("compare_models")(lambda d: (lambda t: models.compare({"rf": models.random_forest(t[2], 10, 5), "logistic": models.logistic(t[2], 1000, rounds=25)}, t[0], t[1]))(_sides(d)))
+query("cross_validate")(lambda d: (lambda t: models.cross_validate(models.random_forest(t[2], 5, 4), t[0]))(_sides(d)))
 query("threshold_search")(lambda d: models.best_threshold(_scored(d, lambda c: models.random_forest(c, 10, 5))))
 
 # ---- statistics

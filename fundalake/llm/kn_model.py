@@ -32,6 +32,8 @@ QUANTILE = 0.99
 SLACK = 1.05
 #: A language with fewer trusted texts is held against those of all languages.
 MIN_TRUSTED = 50
+#: Most ids of trusted texts that are sent to the tasks (8 bytes each); beyond it the texts are joined with them.
+TRUSTED_ROWS = 1 << 22
 _COUNT_BYTES = 16 << 20
 
 
@@ -57,8 +59,17 @@ def _padded(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return k, np.cumsum(inside[:-1]) > 0, np.stack([begin, end])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, raw, at in chunks(batches, "text", _COUNT_BYTES):
+def _only(batches: Iterator[pa.RecordBatch], ids) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if ids is not None:
+            known = np.isin(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), ids.value) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(known))
+        if batch.num_rows:
+            yield batch
+
+
+def _count(batches: Iterator[pa.RecordBatch], ids) -> Iterator[pa.RecordBatch]:
+    for _, raw, at in chunks(_only(batches, ids), "text", _COUNT_BYTES):
         k, inside, _ = _padded(raw, at)
         key, n = np.unique(k[inside], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["k", "c"])
@@ -68,9 +79,13 @@ def _mask(n: int) -> int:
     return (1 << (8 * n)) - 1
 
 
-def train(trusted: DataFrame) -> DataFrame:
-    """The model as (kind, k, v): kind n is an n-gram's log-probability, kind -n the log-weight that a context of n - 1 bytes gives to lower orders."""
-    grams = {ORDER: cut(trusted.select("text").filter("text is not null").mapInArrow(_count, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")))}
+def train(trusted: DataFrame, ids=None) -> DataFrame:
+    """The model as (kind, k, v): kind n is an n-gram's log-probability, kind -n the log-weight that a context of n - 1 bytes gives to lower orders.
+
+    ``ids``: a broadcast array of the doc_ids that count; None: all do.
+    """
+    texts = trusted.select("doc_id", "text").filter("text is not null")
+    grams = {ORDER: cut(texts.mapInArrow(lambda it: _count(it, ids), "k long, c long").groupBy("k").agg(F.sum("c").alias("c")))}
     for n in range(ORDER - 1, 0, -1):
         grams[n] = cut(grams[n + 1].groupBy(F.col("k").bitwiseAND(_mask(n)).alias("k")).agg(F.count("*").alias("c")))
     lower, parts = None, []
@@ -215,8 +230,11 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sha
     ignored.  Without any trusted text each byte has probability 1/256, there is
     no threshold, and everything is kept.
     """
-    good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_good")).distinct()
-    model = train(trusted_rows(docs, labels))
+    good = cut(labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_good")).distinct())
+    if good.count() <= TRUSTED_ROWS:
+        model = train(docs, docs.sparkSession.sparkContext.broadcast(np.sort(good.toArrow()["_good"].to_numpy())))
+    else:
+        model = train(trusted_rows(docs, labels))
     scored = cut(scores(docs, model, shard_entries))
     trusted = scored.join(good, scored.doc_id == good["_good"], "left_semi")
     at = lambda: F.percentile_approx("perplexity", quantile, 10000) * SLACK

@@ -75,14 +75,14 @@ def quality_summary(df: DataFrame) -> DataFrame:
     return g.withColumn("completeness_pct", F.round(100 - 100 * F.try_divide(F.col("missing_cells"), F.col("total_cells")), 2))
 
 
-def outliers(df: DataFrame, columns: Sequence[str] = COLUMNS, method: str = "iqr", threshold: float = 1.5) -> DataFrame:
+def outliers(df: DataFrame, columns: Sequence[str] = COLUMNS, method: str = "iqr", threshold: float = 1.5, digits: int = 4) -> DataFrame:
     """Values outside the fences, or more than ``threshold`` population standard deviations from the mean; a row per column with values."""
     cells = long(df, [c for c in columns if c in df.columns]).filter("value is not null")
     if method == "iqr":
         q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.75)))
         span = cells.groupBy("column").agg(q.alias("q")).select("column", (F.col("q")[0] - threshold * (F.col("q")[1] - F.col("q")[0])).alias("low"), (F.col("q")[1] + threshold * (F.col("q")[1] - F.col("q")[0])).alias("high"))
         out = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
-        bounds = [F.round(F.first("low"), 4).alias("lower_bound"), F.round(F.first("high"), 4).alias("upper_bound")]
+        bounds = [F.round(F.first("low"), digits).alias("lower_bound"), F.round(F.first("high"), digits).alias("upper_bound")]
     elif method == "zscore":
         span = cells.groupBy("column").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s"))
         out = F.coalesce(F.abs(F.try_divide(F.col("value") - F.col("m"), F.col("s"))) > threshold, F.lit(False))

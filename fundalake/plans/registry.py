@@ -12,14 +12,11 @@ from pyspark.sql import functions as F
 from fundalake.operators import asof, cleaning, features, labels, landing, master, models, screener, stats
 from fundalake.plans import constants as K
 from fundalake.plans.oracle import FILINGS_AS_OF, MASTER_COLUMNS, RATIOS, TTM, statement
-from fundalake.sources import files, proxies, store
+from fundalake.sources import files, proxies, staging, store
 
 AS_OF = datetime.date(2001, 12, 31)
 FILINGS_DAY = datetime.date(2024, 2, 1)
 
-#: Tables that many queries begin with, per session and data folder, persisted at first use.
-_staged: dict[tuple[str, str, str], DataFrame] = {}
-
 
 class Data:
     """The domain tables of a data folder, and what is built on them."""
@@ -34,12 +31,7 @@ class Data:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _stage(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _staged:
-            _staged[key] = make()
-        if not _staged[key].is_cached:
-            _staged[key].persist()
-        return _staged[key]
+        return staging.staged(self.spark, self.sf_dir, name, make)
 
     @cached_property
     def classified(self) -> DataFrame:
@@ -379,16 +371,16 @@ query("threshold_search")(lambda d: models.best_threshold(_scored(d, lambda c: m
 _LONG_ALL = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM master" for c in stats.COLUMNS)
 _PCT = {f"p{round(100 * p)}": p for p in stats.PERCENTILES}
 _DESC = ["mean", "std", "min", "max", "missing_pct", "skewness", "kurtosis", "iqr", *_PCT]
-query("describe", f"""SELECT "column", count(value) AS count, {_r(3, 'mean', 'std', 'min', 'max', 'missing_pct', 'skewness', 'kurtosis', 'iqr', *_PCT).replace('round(', 'round(any_value(').replace(', 3)', '), 3)')}, any_value(missing) AS missing, any_value(zeros) AS zeros, any_value(negatives) AS negatives FROM cells JOIN (
+query("describe", f"""SELECT "column", count(value) AS count, {_r(5, 'mean', 'std', 'min', 'max', 'missing_pct', 'skewness', 'kurtosis', 'iqr', *_PCT).replace('round(', 'round(any_value(').replace(', 5)', '), 5)')}, any_value(missing) AS missing, any_value(zeros) AS zeros, any_value(negatives) AS negatives FROM cells JOIN (
   SELECT "column" AS c2, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, max(value) AS max, count(*) FILTER (value IS NULL) AS missing, 100.0 * count(*) FILTER (value IS NULL) / count(*) AS missing_pct, count(*) FILTER (value = 0) AS zeros, count(*) FILTER (value < 0) AS negatives,
-  skewness(value) AS skewness, CASE WHEN count(value) >= 4 THEN kurtosis(value) END AS kurtosis, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr, {', '.join(f'quantile_cont(value, {p}) AS {n}' for n, p in _PCT.items())} FROM cells GROUP BY 1) ON "column" = c2 GROUP BY 1""", cells=_LONG_ALL)(lambda d: rounded(stats.describe(d.master), 3, *_DESC))
+  skewness(value) AS skewness, CASE WHEN count(value) >= 4 THEN kurtosis(value) END AS kurtosis, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr, {', '.join(f'quantile_cont(value, {p}) AS {n}' for n, p in _PCT.items())} FROM cells GROUP BY 1) ON "column" = c2 GROUP BY 1""", cells=_LONG_ALL)(lambda d: rounded(stats.describe(d.master), 5, *_DESC))
 query("describe_by_group", "SELECT sector, count(roa) AS count, round(avg(roa), 4) AS mean, round(stddev_samp(roa), 4) AS std, round(min(roa), 4) AS min, round(quantile_cont(roa, 0.25), 4) AS q25, round(median(roa), 4) AS median, round(quantile_cont(roa, 0.75), 4) AS q75, round(max(roa), 4) AS max, round(skewness(roa), 4) AS skewness FROM master GROUP BY sector")(lambda d: stats.describe_by_group(d.master, "sector", "roa"))
 _MISSING = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing_count, round(100.0 * (count(*) - count({c})) / count(*), 2) AS missing_pct, count({c}) AS present_count FROM master" for c in master.columns())
 query("missing_report", f"SELECT * FROM ({_MISSING}) WHERE missing_pct >= 10")(lambda d: stats.missing_report(d.master, 10))
 _GONE = " + ".join(f"(count(*) - count({c}))" for c in master.columns())
 query("quality_summary", f"SELECT *, total_rows * 88 AS total_cells, round(100.0 * missing_cells / (total_rows * 88), 2) AS missing_pct, round(100 - 100.0 * missing_cells / (total_rows * 88), 2) AS completeness_pct FROM (SELECT count(*) AS total_rows, 88 AS total_columns, {_GONE} AS missing_cells, count(DISTINCT ticker) AS unique_tickers, count(DISTINCT sector) AS unique_sectors, min(date) AS first_date, max(date) AS last_date FROM master)")(lambda d: stats.quality_summary(d.master))
 _OUT = {"cells": _LONG_ALL, "full": "SELECT * FROM cells WHERE value IS NOT NULL"}
-query("outliers_iqr", 'SELECT f."column", count(*) AS total_values, count(*) FILTER (value < lo OR value > hi) AS outliers_count, round(any_value(lo), 4) AS lower_bound, round(any_value(hi), 4) AS upper_bound, round(100.0 * count(*) FILTER (value < lo OR value > hi) / count(*), 2) AS outliers_pct FROM full f JOIN (SELECT "column", q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (SELECT "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM full GROUP BY 1)) b ON f."column" = b."column" GROUP BY 1'.replace("full", "filled_cells"), cells=_LONG_ALL, filled_cells=_OUT["full"])(lambda d: stats.outliers(d.master))
+query("outliers_iqr", 'SELECT f."column", count(*) AS total_values, count(*) FILTER (value < lo OR value > hi) AS outliers_count, round(any_value(lo), 6) AS lower_bound, round(any_value(hi), 6) AS upper_bound, round(100.0 * count(*) FILTER (value < lo OR value > hi) / count(*), 2) AS outliers_pct FROM full f JOIN (SELECT "column", q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (SELECT "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM full GROUP BY 1)) b ON f."column" = b."column" GROUP BY 1'.replace("full", "filled_cells"), cells=_LONG_ALL, filled_cells=_OUT["full"])(lambda d: stats.outliers(d.master, digits=6))
 query("outliers_z", 'SELECT f."column", count(*) AS total_values, count(*) FILTER (abs((value - m) / nullif(s, 0)) > 3) AS outliers_count, CAST(NULL AS DOUBLE) AS lower_bound, CAST(NULL AS DOUBLE) AS upper_bound, round(100.0 * count(*) FILTER (abs((value - m) / nullif(s, 0)) > 3) / count(*), 2) AS outliers_pct FROM filled_cells f JOIN (SELECT "column", avg(value) AS m, stddev_pop(value) AS s FROM filled_cells GROUP BY 1) b ON f."column" = b."column" GROUP BY 1', cells=_LONG_ALL, filled_cells=_OUT["full"])(lambda d: stats.outliers(d.master, method="zscore", threshold=3))
 _CORR = ["roa", "ros", "debt_ratio", "asset_turnover", "close"]
 _PAIR = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {a} AS x, {b} AS y FROM master WHERE {a} IS NOT NULL AND {b} IS NOT NULL" for i, a in enumerate(_CORR) for b in _CORR[i + 1 :])
@@ -405,7 +397,7 @@ _CLIP = "SELECT sector, CAST(close AS DOUBLE) AS value FROM master WHERE close I
 query("histogram", "SELECT CAST(least(floor((value - lo) * 20 / (hi - lo)), 19) AS BIGINT) AS bin, count(*) AS n FROM clip, (SELECT min(value) AS lo, max(value) AS hi FROM clip) GROUP BY 1", clip=_CLIP)(lambda d: stats.histogram(d.master, "close", 20))
 _TOP = "SELECT sector FROM master WHERE sector IS NOT NULL GROUP BY sector ORDER BY count(*) DESC, sector LIMIT 3"
 _CLIP3 = "SELECT sector, close AS value FROM master WHERE sector IN (SELECT sector FROM top3) AND close IS NOT NULL AND close >= (SELECT quantile_cont(close, 0.01) FROM master WHERE sector IN (SELECT sector FROM top3)) AND close <= (SELECT quantile_cont(close, 0.99) FROM master WHERE sector IN (SELECT sector FROM top3))"
-query("box_by_sector", "SELECT c.sector, any_value(n) AS n, round(any_value(mean), 4) AS mean, round(any_value(q25), 4) AS q25, round(any_value(med), 4) AS median, round(any_value(q75), 4) AS q75, min(value) FILTER (value >= q25 - 1.5 * (q75 - q25) AND value <= q75 + 1.5 * (q75 - q25)) AS whisker_low, max(value) FILTER (value >= q25 - 1.5 * (q75 - q25) AND value <= q75 + 1.5 * (q75 - q25)) AS whisker_high FROM clip c JOIN (SELECT sector, count(*) AS n, avg(value) AS mean, quantile_cont(value, 0.25) AS q25, median(value) AS med, quantile_cont(value, 0.75) AS q75 FROM clip GROUP BY 1) q ON c.sector = q.sector GROUP BY 1", clip=_CLIP3, top3=_TOP)(lambda d: rounded(stats.box_by_sector(d.master, "close", 3), 4, "mean", "q25", "median", "q75"))
+query("box_by_sector", "SELECT c.sector, any_value(n) AS n, round(any_value(mean), 4) AS mean, round(any_value(q25), 4) AS q25, round(any_value(med), 4) AS median, round(any_value(q75), 4) AS q75, min(value) FILTER (value >= q25 - 1.5 * (q75 - q25) AND value <= q75 + 1.5 * (q75 - q25)) AS whisker_low, max(value) FILTER (value >= q25 - 1.5 * (q75 - q25) AND value <= q75 + 1.5 * (q75 - q25)) AS whisker_high FROM clip c JOIN (SELECT sector, count(*) AS n, avg(value) AS mean, quantile_cont(value, 0.25) AS q25, median(value) AS med, quantile_cont(value, 0.75) AS q75 FROM clip GROUP BY 1) q ON c.sector = q.sector GROUP BY 1", top3=_TOP, clip=_CLIP3)(lambda d: rounded(stats.box_by_sector(d.master, "close", 3), 4, "mean", "q25", "median", "q75"))
 query("scaled_series", "SELECT ticker, date, (close - min(close) OVER w) / nullif(max(close) OVER w - min(close) OVER w, 0) AS value FROM master WHERE ticker IN ('T1', 'T2', 'T3') AND close IS NOT NULL WINDOW w AS (PARTITION BY ticker)")(lambda d: stats.scaled_series(d.master, ["T1", "T2", "T3"], "close"))
 query("sector_composition", "SELECT sector, count(DISTINCT ticker) AS n_tickers FROM master WHERE sector IS NOT NULL GROUP BY sector ORDER BY n_tickers DESC, sector LIMIT 15")(lambda d: stats.sector_composition(d.master))
 query("missing_bands", f"SELECT \"column\", missing_pct, CASE WHEN missing_pct > 50 THEN 'high' WHEN missing_pct > 20 THEN 'medium' ELSE 'low' END AS band FROM ({_MISSING}) ORDER BY missing_pct DESC, \"column\" LIMIT 30")(lambda d: stats.missing_bands(d.master))

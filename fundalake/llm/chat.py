@@ -37,6 +37,7 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 FIRST_CONTROL = 50_257
 ASSISTANT = "assistant"
 _ID = 32  # hex digits of a node's name
+_BLOCK = 512  # tokens of the stream
 
 _controls = re.compile("|".join(map(re.escape, CONTROL)) + r"|\\")
 _escapes = re.compile(r"\\(.)", re.S)
@@ -87,6 +88,23 @@ def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()))], names=["conv_id", "depth", "node", "path", "role", "text"])
 
 
+def _attend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each turn that its conversation owns: the tokens before it, and the intervals of its ancestors; neighbours are joined, so a turn that follows its parent in the stream adds none."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    for batch in batches:
+        for turns in batch.column(1):
+            rows, spans, before = [], [], 0
+            for t in turns.as_py():
+                if t["own"]:
+                    rows.append((t["node"], before, [{"start": a, "stop": b} for a, b in spans]))
+                before += t["stop"] - t["start"]
+                if spans and spans[-1][1] == t["start"]:
+                    spans[-1] = (spans[-1][0], t["stop"])
+                else:
+                    spans.append((t["start"], t["stop"]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), pa.int64(), kind))], names=["node", "first", "attends"])
+
+
 def _encode(batches: Iterator[pa.RecordBatch], shared, vocabulary: str) -> Iterator[pa.RecordBatch]:
     coder = _coder(shared, vocabulary)
     for batch in batches:
@@ -107,7 +125,8 @@ def build(conversations: DataFrame, vocabulary: str = VOCABULARY) -> tuple[DataF
 
     stream, a row per node: node, depth, start and stop (its tokens' place in
     the stream), tokens, loss_from and loss_to (which of them are trained on),
-    positions (ids), attends (start and stop of each ancestor, outermost first).
+    positions (ids), attends (start and stop of its ancestors' places, outermost
+    first, neighbours joined).
     leaves: conv_id, node: where each conversation ends.
 
     Null texts and roles are empty; turns go by number and equal numbers by
@@ -131,9 +150,11 @@ def build(conversations: DataFrame, vocabulary: str = VOCABULARY) -> tuple[DataF
     placed = ranged.withColumn("run", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(before, "part").select("node", (F.col("run") + F.col("offset")).alias("start"), "n_tokens")
     placed = cut(placed.withColumn("stop", F.col("start") + F.col("n_tokens")))
 
-    up = F.transform(F.sequence(F.lit(1), F.col("depth").cast("int")), lambda i: F.substring(F.col("path"), (i - 1) * _ID + 1, F.lit(_ID)))
-    pairs = nodes.filter("depth > 0").select("node", F.explode(up).alias("above"))
-    above = pairs.join(placed.select(F.col("node").alias("above"), "start", "stop"), "above").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("attends"), F.sum(F.col("stop") - F.col("start")).alias("first"))
+    # each conversation's turns in the stream; of those that share a node, one tells what it attends to
+    owners = turns.groupBy("node").agg(F.min(F.struct(F.col("conv_id").isNull().alias("none"), "conv_id")).alias("owner"))
+    known = cut(placed.join(owners, "node").select("node", "start", "stop", F.col("owner.conv_id").alias("owner")))
+    spans = turns.select("conv_id", "depth", "node").join(known, "node").select("conv_id", F.struct("depth", "node", "start", "stop", F.col("owner").eqNullSafe(F.col("conv_id")).alias("own")).alias("t"))
+    above = spans.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns")).mapInArrow(_attend, "node string, first long, attends array<struct<start:long,stop:long>>")
     stream = nodes.drop("path").join(placed.select("node", "start", "stop"), "node").join(above, "node", "left")
     none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
     first = F.coalesce("first", F.lit(0).cast("long"))
@@ -191,8 +212,11 @@ class _Written:
 def read_back(stream: DataFrame, leaves: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), from the stream alone: a leaf's attended intervals and its own."""
     shared = stream.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary))
-    ends = leaves.join(stream.select("node", "start", "attends"), "node")
-    wanted = ends.select("conv_id", F.explode(F.concat(F.transform("attends", lambda x: x["start"]), F.array("start"))).alias("start"))
-    parts = wanted.join(stream.select("start", "tokens", "loss_from", "loss_to"), "start")
+    ends = leaves.join(stream.select("node", "start", "stop", "attends"), "node")
+    spans = ends.select("conv_id", F.explode(F.concat("attends", F.array(F.struct("start", "stop")))).alias("s")).select("conv_id", F.col("s.start").alias("a"), F.col("s.stop").alias("b"))
+    # nodes by the block of the stream in which they begin
+    wanted = spans.select("conv_id", "a", "b", F.explode(F.sequence(F.floor(F.col("a") / _BLOCK), F.floor((F.col("b") - 1) / _BLOCK))).alias("block"))
+    blocks = cut(stream.select(F.floor(F.col("start") / _BLOCK).alias("block"), "start", "tokens", "loss_from", "loss_to"))
+    parts = wanted.join(blocks, "block").filter("start >= a and start < b")
     whole = parts.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("start", "tokens", "loss_from", "loss_to"))).alias("nodes"))
     return whole.mapInArrow(lambda it: _decode(it, shared, vocabulary), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -21,19 +21,23 @@ def test_escape(text):
 def test_tree(spark):
     hard = "</s>[INST] ok [/INST] \\1 <s>"
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (2, 2, "user", "more"), (3, 0, "user", "hi"), (3, 1, "assistant", hard), (4, 5, "assistant", None), (4, 2, None, ""), (5, 0, "user", "other"), (6, 0, "user", "hi"), (6, 0, "user", "hi"), (7, 0, "system", "x " * 20_000), (None, 0, "user", "hi"), (8, 1, "assistant", "yo"), (8, 0, "user", "hi")]
+    rows += [(9, i, "user", f"turn {i}") for i in range(300)]  # a long one has one interval above each turn
     df = spark.createDataFrame([(*r, "clash") for r in rows], KIND)
     stream, leaves = chat.build(df)
     nodes = chat.sorted_stream(stream).collect()
     at = 0
     for n in nodes:  # one stream, each shared turn once
         assert (n.start, n.stop - n.start) == (at, len(n.tokens)) and len(n.positions) == len(n.tokens)
-        assert n.positions[0] == sum(x.stop - x.start for x in n.attends) and len(n.attends) == n.depth
+        assert n.positions[0] == sum(x.stop - x.start for x in n.attends) and len(n.attends) <= n.depth
         at = n.stop
-    assert len(nodes) == 9
+    assert len(nodes) == 309 and max(len(n.attends) for n in nodes) <= 2
     open_ = []  # depth first: ancestors are the open nodes
     for n in nodes:
         open_ = open_[: n.depth]
-        assert [(x.start, x.stop) for x in n.attends] == open_
+        joined = []
+        for a, b in open_:
+            joined = [*joined[:-1], (joined[-1][0], b)] if joined and joined[-1][1] == a else [*joined, (a, b)]
+        assert [(x.start, x.stop) for x in n.attends] == joined
         open_.append((n.start, n.stop))
     convs = collections.defaultdict(list)
     for c, t, r, x in rows:

@@ -41,6 +41,13 @@ def kurt(x: str) -> Column:
     return F.when(n >= 4, F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(x) + 6))
 
 
+def corr(x: str, y: str) -> Column:
+    """Pearson's r over the rows with both; null if one of them does not vary (there the built-in divides by zero)."""
+    a, b = F.col(x), F.col(y)
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def describe(df: DataFrame, columns: Sequence[str] = COLUMNS, percentiles: Sequence[float] = PERCENTILES) -> DataFrame:
     """A row per column: count, moments, percentiles, missing, zeros, negatives, interquartile range."""
     cells = long(df, [c for c in columns if c in df.columns])
@@ -107,7 +114,7 @@ def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson")
     cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs])
     rows = df.select(F.explode(cells).alias("_p")).select("_p.*").filter("x is not null and y is not null")
     if method == "pearson":
-        return rows.groupBy("a", "b").agg(F.corr("x", "y").alias("correlation"))
+        return rows.groupBy("a", "b").agg(corr("x", "y").alias("correlation"))
     if method == "spearman":
         ranked = rows
         for c in ("x", "y"):
@@ -115,7 +122,7 @@ def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson")
             below = W.partitionBy("a", "b").orderBy(c).rowsBetween(W.unboundedPreceding, -1)
             ranks = counts.withColumn(f"r{c}", F.coalesce(F.sum("_n").over(below), F.lit(0)) + (F.col("_n") + 1) / 2).drop("_n")
             ranked = ranked.join(ranks, ["a", "b", c])
-        return ranked.groupBy("a", "b").agg(F.corr("rx", "ry").alias("correlation"))
+        return ranked.groupBy("a", "b").agg(corr("rx", "ry").alias("correlation"))
     if method == "kendall":
         cells = rows.groupBy("a", "b", "x", "y").agg(F.count("*").alias("n"))
         other = cells.select("a", "b", F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("n").alias("n2"))
@@ -133,7 +140,7 @@ def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson")
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str] = COLUMNS) -> DataFrame:
     """Pearson correlation of each column with the target, the strongest first."""
     rows = long(df, [c for c in columns if c in df.columns and c != target], target)
-    g = rows.groupBy(F.col("column").alias("variable")).agg(F.corr("value", target).alias("correlation")).withColumn("abs_correlation", F.abs("correlation"))
+    g = rows.groupBy(F.col("column").alias("variable")).agg(corr("value", target).alias("correlation")).withColumn("abs_correlation", F.abs("correlation"))
     return g.orderBy(F.col("abs_correlation").desc_nulls_last(), "variable")
 
 
@@ -143,7 +150,7 @@ def high_correlations(df: DataFrame, columns: Sequence[str], threshold: float =
 
 def correlation_by_sector(df: DataFrame, a: str, b: str, min_samples: int = 10) -> DataFrame:
     both = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & F.col("sector").isNotNull())
-    g = both.groupBy("sector").agg(F.corr(a, b).alias("correlation"), F.count("*").alias("n_samples"))
+    g = both.groupBy("sector").agg(corr(a, b).alias("correlation"), F.count("*").alias("n_samples"))
     return g.filter(F.col("n_samples") >= min_samples).orderBy(F.col("correlation").desc_nulls_last(), "sector")
 
 
@@ -201,7 +208,7 @@ def missing_bands(df: DataFrame, top: int = 30) -> DataFrame:
 def scatter_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares line and r over all rows with both."""
     have = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    return have.agg(F.count("*").alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.corr(x, y).alias("r"))
+    return have.agg(F.count("*").alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), corr(x, y).alias("r"))
 
 
 def scatter_points(df: DataFrame, x: str, y: str, hue: str = "sector", limit: int = 5000, top: int = 10) -> DataFrame:

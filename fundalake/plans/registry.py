@@ -387,7 +387,7 @@ _PAIR = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {a} AS x, {b} AS y F
 query("corr_pearson", "SELECT a, b, round(corr(x, y), 6) AS correlation FROM pair_rows GROUP BY 1, 2", pair_rows=_PAIR)(lambda d: rounded(stats.correlations(d.master, _CORR), 6, "correlation"))
 query("corr_spearman", "SELECT a, b, round(corr(rx, ry), 6) AS correlation FROM (SELECT a, b, rank() OVER (PARTITION BY a, b ORDER BY x) + (count(*) OVER (PARTITION BY a, b, x) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY a, b ORDER BY y) + (count(*) OVER (PARTITION BY a, b, y) - 1) / 2.0 AS ry FROM pair_rows) GROUP BY 1, 2", pair_rows=_PAIR)(lambda d: rounded(stats.correlations(d.master, _CORR, "spearman"), 6, "correlation"))
 _KPAIR = "SELECT 'roa' AS a, 'debt_ratio' AS b, roa AS x, debt_ratio AS y FROM latest WHERE roa IS NOT NULL AND debt_ratio IS NOT NULL"
-query("corr_kendall", "SELECT 'roa' AS a, 'debt_ratio' AS b, round(s / sqrt((n0 - tx) * (n0 - ty)), 6) AS correlation FROM (SELECT sum(sign(q.x - p.x) * sign(q.y - p.y)) AS s FROM kpair p JOIN kpair q ON q.x > p.x) CROSS JOIN (SELECT count(*) * (count(*) - 1) / 2 AS n0 FROM kpair) CROSS JOIN (SELECT coalesce(sum(n * (n - 1) / 2), 0) AS tx FROM (SELECT count(*) AS n FROM kpair GROUP BY x)) CROSS JOIN (SELECT coalesce(sum(n * (n - 1) / 2), 0) AS ty FROM (SELECT count(*) AS n FROM kpair GROUP BY y))", kpair=_KPAIR)(lambda d: rounded(stats.correlations(screener.at_date(d.master), ["roa", "debt_ratio"], "kendall"), 6, "correlation"))
+query("corr_kendall", "SELECT 'roa' AS a, 'debt_ratio' AS b, round(s / sqrt((n0 - tx) * (n0 - ty)), 6) AS correlation FROM (SELECT sum(sign(q.x - p.x) * sign(q.y - p.y)) AS s FROM kpair p JOIN kpair q ON q.x > p.x) CROSS JOIN (SELECT count(*) AS m, count(*) * (count(*) - 1) / 2 AS n0 FROM kpair) CROSS JOIN (SELECT coalesce(sum(n * (n - 1) / 2), 0) AS tx FROM (SELECT count(*) AS n FROM kpair GROUP BY x)) CROSS JOIN (SELECT coalesce(sum(n * (n - 1) / 2), 0) AS ty FROM (SELECT count(*) AS n FROM kpair GROUP BY y)) WHERE m > 0", kpair=_KPAIR)(lambda d: rounded(stats.correlations(screener.at_date(d.master), ["roa", "debt_ratio"], "kendall"), 6, "correlation"))
 _TARGET = ["roa", "ros", "debt_ratio", "asset_turnover", "close", "roe"]
 _TGT = " UNION ALL ".join(f"SELECT '{c}' AS variable, corr({c}, revenue_growth) AS r FROM master" for c in _TARGET)
 query("corr_target", f"SELECT variable, round(r, 6) AS correlation, round(abs(r), 6) AS abs_correlation FROM ({_TGT})")(lambda d: rounded(stats.correlation_with(d.master, "revenue_growth", _TARGET), 6, "correlation", "abs_correlation"))

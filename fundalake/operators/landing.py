@@ -9,17 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundalake.functions.parse import cik_of, date_of, link_text, local_number, period_date, period_header  # noqa: F401
 from fundalake.operators.windows import dedup_by
 from fundalake.plans import constants as K
 
+
 FACT = "struct<start:string,end:string,val:double,form:string,filed:string,fy:int,fp:string>"
 COMPANY_FACTS = f"struct<facts:map<string,map<string,struct<units:map<string,array<{FACT}>>>>>>"
 
 
-def date_of(c) -> Column:
-    return F.try_to_date(c, "yyyy-MM-dd")
-
-
 def facts_of(payloads: DataFrame) -> DataFrame:
     """(key columns, taxonomy, tag, unit, fact) from a column ``payload`` of company-facts JSON; null for what does not parse."""
     keys = [c for c in payloads.columns if c != "payload"]
@@ -125,12 +123,6 @@ def filing_dates(payloads: DataFrame) -> DataFrame:
     return out.filter("end_date is not null and filing_date is not null")
 
 
-def cik_of(c: Column) -> Column:
-    """Digits only, zeros in front up to ten; longer ones stay whole."""
-    digits = F.regexp_replace(c.cast("string"), "[^0-9]", "")
-    return F.when(F.length(digits) >= 10, digits).otherwise(F.lpad(digits, 10, "0"))
-
-
 def company_universe(companies: DataFrame) -> DataFrame:
     """``companies`` (cik, name, sic) with is_excluded: banks, insurers, funds by code or by name."""
     name = F.lower(F.coalesce("name", F.lit("")))
@@ -184,18 +176,6 @@ def merge_series(old: DataFrame, new: DataFrame) -> DataFrame:
 JSON_STAT = "struct<value:map<string,double>,dimension:struct<time:struct<category:struct<index:map<string,int>>>>>"
 
 
-def period_date(p: Column) -> Column:
-    """First day of YYYY, YYYY-MM, YYYY-Qn or YYYY-MM-DD."""
-    year = F.substring(p, 1, 4).try_cast("int")
-    quarter = F.regexp_extract(p, r"^\d{4}-?Q([1-4])$", 1)
-    return (
-        F.when(p.rlike(r"^\d{4}$"), F.make_date(year, F.lit(1), F.lit(1)))
-        .when(p.rlike(r"^\d{4}-?Q[1-4]$"), F.make_date(year, quarter.try_cast("int") * 3 - 2, F.lit(1)))
-        .when(p.rlike(r"^\d{4}-\d{2}$"), F.try_to_date(F.concat(p, F.lit("-01")), "yyyy-MM-dd"))
-        .otherwise(F.try_to_date(p, "yyyy-MM-dd"))
-    )
-
-
 def jsonstat(payloads: DataFrame) -> DataFrame:
     """(keys, date, value) from JSON-stat; periods without a value are left out."""
     keys = [c for c in payloads.columns if c != "payload"]
@@ -205,33 +185,6 @@ def jsonstat(payloads: DataFrame) -> DataFrame:
     return out.withColumn("date", period_date(F.col("_p"))).filter("date is not null and value is not null").select(*keys, "date", "value")
 
 
-def period_header(h: Column) -> Column:
-    """struct(end_date, report_type) of a report page's column head; null if it is none of the three forms."""
-    months = F.create_map(*[F.lit(x) for kv in K.MONTHS_PL.items() for x in kv])
-    month = lambda name, default: F.coalesce(F.try_element_at(months, F.lower(name)), F.lit(default))
-    end = lambda y, m: F.date_format(F.last_day(F.make_date(y.cast("int"), m, F.lit(1))), "yyyy-MM-dd")
-    quarters = r"(\d{4})/Q(\d+)\((\w{3})\s*\d{2}\)"
-    annual = r"(\d{4})\s*\((\w{3})\s*\d{2}\)"
-    older = r"(\d{4})\s*\(K(\d)\s*(\w{3})\s*\d{2}\)"
-    part = lambda p, i: F.nullif(F.regexp_extract(h, f"(?U){p}", i), F.lit(""))
-
-    def quarter(p: str) -> Column:
-        y, q, m = part(p, 1), part(p, 2), month(part(p, 3), 3)
-        return F.when(y.isNotNull() & (m % 3 == 0), F.struct(end(y, m).alias("end_date"), F.concat(F.lit("Q"), q).alias("report_type")))
-
-    y, m = part(annual, 1), month(part(annual, 2), 12)
-    day = F.when(m == 12, F.concat(y, F.lit("-12-31"))).otherwise(F.concat(y, F.lit("-"), F.lpad(m.cast("string"), 2, "0"), F.lit("-30")))
-    yearly = F.when(y.isNotNull(), F.struct(day.alias("end_date"), F.lit("Annual").alias("report_type")))
-    return F.coalesce(quarter(quarters), yearly, quarter(older))
-
-
-def local_number(text: Column) -> Column:
-    """A number with blanks between thousands and a decimal comma, in thousands; null for what is none."""
-    bare = F.regexp_replace(text, r"(?i)\s*(tys\.|mln|mld)\.?\s*(PLN|zł)?.*", "")
-    bare = F.replace(F.regexp_replace(bare, "[  ]", ""), F.lit(","), F.lit("."))
-    return F.when(text.isNull() | (text == "-") | (text == ""), None).otherwise(bare.try_cast("double") * 1000)
-
-
 def report_page_facts(pages: DataFrame, labels: dict[str, str]) -> DataFrame:
     """(ticker, concept, unit, end_date, report_type, value) from the table of report pages (ticker, html): rows by label, columns by their heads."""
     clean = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", ""), r"\s+", " "))
@@ -244,8 +197,3 @@ def report_page_facts(pages: DataFrame, labels: dict[str, str]) -> DataFrame:
     values = cells.filter("line > 0 and at > 0").withColumn("value", local_number(F.col("cell"))).filter("value is not null")
     out = values.join(rows, ["ticker", "line"]).join(heads, ["ticker", "at"])
     return out.select("ticker", "concept", F.lit("PLN").alias("unit"), F.try_to_date("h.end_date", "yyyy-MM-dd").alias("end_date"), F.col("h.report_type").alias("report_type"), "value")
-
-
-def link_text(html: Column, href: str) -> Column:
-    """Text of the first link whose address begins with ``href``; null without one."""
-    return F.nullif(F.trim(F.regexp_extract(html, f'<a[^>]*href="{href}[^"]*"[^>]*>([^<]+)', 1)), F.lit(""))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundalake.functions.moments import corr, kurt, skew
+
 COLUMNS = (
     "pe_ratio price_to_book price_to_sales price_to_earnings roe roa ros gross_margin operating_margin debt_ratio debt_to_equity current_ratio quick_ratio "
     "asset_turnover inventory_turnover ocf_ratio capex_ratio free_cash_flow revenue_growth net_income_growth dividend_yield payout_ratio close high low "
@@ -29,25 +31,6 @@ def long(df: DataFrame, columns: Sequence[str], *keys: str) -> DataFrame:
     return df.select(*keys, F.explode(cells).alias("_c")).select(*keys, "_c.*")
 
 
-def skew(x: str) -> Column:
-    """Sample skewness; null under 3 values."""
-    n = F.count(x)
-    return F.when(n >= 3, F.sqrt((n * (n - 1)).cast("double")) / (n - 2) * F.skewness(x))
-
-
-def kurt(x: str) -> Column:
-    """Sample excess kurtosis; null under 4 values."""
-    n = F.count(x).cast("double")
-    return F.when(n >= 4, F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(x) + 6))
-
-
-def corr(x: str, y: str) -> Column:
-    """Pearson's r over the rows with both; null if one of them does not vary (there the built-in divides by zero)."""
-    a, b = F.col(x), F.col(y)
-    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
-    return F.try_divide(F.covar_pop(a, b), spread)
-
-
 def describe(df: DataFrame, columns: Sequence[str] = COLUMNS, percentiles: Sequence[float] = PERCENTILES) -> DataFrame:
     """A row per column: count, moments, percentiles, missing, zeros, negatives, interquartile range."""
     cells = long(df, [c for c in columns if c in df.columns])

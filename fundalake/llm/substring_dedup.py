@@ -272,7 +272,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_
     cold = slices.filter("anchor is not null").repartition(partitions(spark), "anchor").sortWithinPartitions("anchor")
     spans = cold.mapInArrow(lambda it: _repeats(it, width), "doc_id long, _key long, `from` long, `to` long")
     hot = slices.filter("anchor is null").select("doc_id", "_key", "start", "w1", "w2")
-    again = hot.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    again = cut(hot.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n"))  # a plain side of the join, so that AQE may split the other at a hot window
     spans = spans.unionByName(hot.join(again, ["w1", "w2"]).select("doc_id", "_key", F.col("start").alias("from"), (F.col("start") + width).alias("to")))
     found = spans.groupBy("doc_id", "_key").agg(F.collect_list(F.struct("from", "to")).alias("_spans"))
 

@@ -2,10 +2,17 @@
 
 Texts become lower-case tokens (letters and digits; other ASCII characters
 separate).  A spaced seed is a hash of the tokens that a fixed mask selects
-from ``SPAN`` neighbours; the tokens between do not count, so that a
-substitution there is tolerated.  The seeds of the benchmark are looked up
-among those of the documents, and around each hit the item is laid over the
-document on that diagonal and the equal tokens are counted.
+from neighbours; the tokens between do not count, so that a substitution there
+is tolerated.  The seeds of the benchmark are looked up among those of the
+documents, and around each hit the item is laid over the document on that
+diagonal: the longest stretch of it that is similar enough counts.
+
+The masks miss nothing.  A similar stretch of 26 tokens or more has a similar
+half, so one of at most 25 is there, with a fifth of its tokens changed at most.
+It has 10 neighbours of which at most 2 are changed, or (3 changes amid 15) 5
+unchanged ones.  Cut into 3, 2, 2 and 3 tokens, two of the four parts of the 10
+are whole, which is one of ``MASKS``.  Items of 5 to 7 tokens have one change at
+most: three neighbours are whole, or all but the middle of 5.
 
 Every document position and every mask is looked at.  The benchmark's seeds
 are handled in blocks of at most ``block`` seeds, so that what a task holds
@@ -23,20 +30,22 @@ from pyspark.sql import functions as F
 
 from fundalake.llm.common import Words, chunks, mix
 
-#: 1: the token counts.  Fixed values: three masks over 12 tokens, 7 of which count.
-MASKS = ("110110110001", "101011001011", "111000110101")
-SPAN = 12
+#: 1: the token counts.
+MASKS = ("1111", "1110011", "1100111", "1110000111")
+SHORT_MASKS = ("111", "11011")
+SHORT = 8
 MIN_TOKENS = 5
-#: Part of the overlapped item tokens that must be equal, and how many tokens of the item must be overlapped.
-SIMILARITY = 0.8
+#: How many tokens of the item must be overlapped; 0.8 of them must be equal (the masks and the 1 and -4 below rest on that).
 MIN_OVERLAP = 13
 BLOCK = 1 << 20
+#: Tokens that are compared at a time.
+CELLS = 1 << 20
 _TABLE_BITS = 22
 
 _separator = np.ones(256, bool)
 _separator[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = False
 _separator[0x80:] = False
-_MULTIPLIERS = [pow(0xD1342543DE82EF95, i + 1, 1 << 64) for i in range(SPAN)]
+_MULTIPLIERS = [pow(0xD1342543DE82EF95, i + 1, 1 << 64) for i in range(max(map(len, MASKS)))]
 
 
 def _seeds(h: np.ndarray, mask: str, salt: int) -> np.ndarray:
@@ -59,8 +68,8 @@ def tokens(column: pa.Array) -> Words:
 
 
 def masks_of(n_tokens: int) -> list[str]:
-    """The masks for an item: the spaced ones, or one over all its tokens if it is shorter than they are."""
-    return list(MASKS) if n_tokens >= SPAN else ["1" * n_tokens] if n_tokens >= MIN_TOKENS else []
+    """The masks for an item of so many tokens."""
+    return list(MASKS) if n_tokens >= SHORT else list(SHORT_MASKS) if n_tokens >= MIN_TOKENS else []
 
 
 class Seeds:
@@ -68,6 +77,9 @@ class Seeds:
 
     def __init__(self, ids: list, hashes: list[np.ndarray]) -> None:
         self.ids, self.hashes = ids, hashes
+        self.length = np.array([len(h) for h in hashes], np.int64)
+        self.first = np.cumsum(self.length) - self.length
+        self.flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         self.masks = sorted({m for h in hashes for m in masks_of(len(h))})
         parts = [(_seeds(h, m, k), i) for i, h in enumerate(hashes) for k, m in enumerate(self.masks) if m in masks_of(len(h))]
         seed = np.concatenate([s for s, _ in parts]) if parts else np.zeros(0, np.uint64)
@@ -91,23 +103,44 @@ class Seeds:
             which = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
             p = np.repeat(starts[maybe], n)
             seen.append(np.stack([doc[p], self.item[which], p - self.at[which]], 1))
-        hits = np.unique(np.concatenate(seen), axis=0) if seen else np.zeros((0, 3), np.int64)
-        for d, i, start in hits.tolist():
+        hits = np.concatenate(seen) if seen else np.zeros((0, 3), np.int64)
+        for d, i, start in self._likely(w, hits).tolist():
             h, lo, hi = self.hashes[i], int(w.first[d]), int(w.first[d + 1])
             a, b = max(start, lo), min(start + len(h), hi)
-            equal = w.hashes[a:b] == h[a - start : b - start]
-            a, b, same = _best(equal, a)
-            if b - a >= min(len(h), MIN_OVERLAP) and same >= SIMILARITY * (b - a):
+            a, b, same = _longest(w.hashes[a:b] == h[a - start : b - start], a)
+            if b - a >= min(len(h), MIN_OVERLAP):
                 out.append((d, i, a - lo, b - lo, b - a, same))
         return out
 
-
-def _best(equal: np.ndarray, a: int) -> tuple[int, int, int]:
-    """The stretch that gains most if an equal token gives 1 and another costs 4: its ends are equal tokens, and its likeness is 0.8 or more."""
+    def _likely(self, w: Words, hits: np.ndarray) -> np.ndarray:
+        """The different hits whose overlap is long enough and has the equal tokens that its least stretch needs."""
+        hits = hits[np.lexsort(hits.T)]
+        hits = hits[np.append(True, (hits[1:] != hits[:-1]).any(axis=1))[: len(hits)]]
+        d, i, start = hits.T
+        a, b = np.maximum(start, w.first[d]), np.minimum(start + self.length[i], w.first[d + 1])
+        least = np.minimum(self.length[i], MIN_OVERLAP)
+        long = b - a >= least
+        hits, i, start, a, n, least = hits[long], i[long], start[long], a[long], (b - a)[long], least[long]
+        keep, total, x = np.zeros(len(hits), bool), np.cumsum(n), 0
+        while x < len(hits):
+            y = max(x + 1, int(np.searchsorted(total, total[x] - n[x] + CELLS, "right")))
+            m = n[x:y]
+            first = np.cumsum(m) - m
+            at = np.arange(int(m.sum())) + np.repeat(a[x:y] - first, m)
+            of = at + np.repeat(self.first[i[x:y]] - start[x:y], m)
+            same = np.add.reduceat((w.hashes[at] == self.flat[of]).astype(np.int64), first)
+            keep[x:y] = same * 5 >= 4 * least[x:y]
+            x = y
+        return hits[keep]
+
+
+def _longest(equal: np.ndarray, a: int) -> tuple[int, int, int]:
+    """The longest stretch of which 0.8 or more is equal: an equal token gives 1, another costs 4, and the sum is not below 0."""
     score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -4))])
-    low = np.minimum.accumulate(score)
-    j = int(np.argmax(score - low))
-    i = int(np.argmin(score[: j + 1]))
+    high = np.maximum.accumulate(score[::-1])[::-1]
+    end = np.searchsorted(-high, -score, "right") - 1
+    i = int(np.argmax(end - np.arange(len(score))))
+    j = int(end[i])
     return a + i, a + j, int(equal[i:j].sum())
 
 
@@ -139,8 +172,9 @@ def _blocks(benchmark: DataFrame, block: int) -> Iterator[tuple[list, list[np.nd
 def overlaps(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, _key, item_id, from, to, overlap, equal): the stretches of documents that repeat a benchmark item.
 
-    Items with fewer than 5 tokens are not looked for; those with fewer than 12
-    are only found whole and unchanged.  Null texts match nothing.
+    A stretch has 13 tokens, or all of a shorter item, of which 0.8 or more are
+    equal; the longest of each diagonal is given.  Items with fewer than 5
+    tokens are not looked for.  Null texts match nothing.
     """
     rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"))
     kind = "doc_id long, _key long, item_id long, `from` long, `to` long, overlap long, equal long"

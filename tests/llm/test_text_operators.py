@@ -218,6 +218,22 @@ def test_overlaps(spark, docs, odd, empty):
     assert {r.doc_id for r in decontam.clean(docs([(*r, "en", "s") for r in rows]), bench).collect()} == {12, 13, 16}
 
 
+def test_overlaps_against_all_stretches():
+    rng = random.Random(14)
+    cases = [(n, k) for n in (5, 6, 7, 8, 9, 10, 12, 13, 15, 16, 20, 25, 38) for k in range(n // 4 + 2) for _ in range(60)]
+    items = [[f"i{c}t{j}" for j in range(n)] for c, (n, k) in enumerate(cases)]
+    texts, want = [], set()
+    for c, ((n, k), item) in enumerate(zip(cases, items)):
+        gone = set(rng.sample(range(n), k))
+        texts.append(" ".join(["pad"] * rng.randrange(3) + [f"x{j}" if j in gone else t for j, t in enumerate(item)] + ["pad"] * rng.randrange(3)))
+        if any(5 * sum(x not in gone for x in range(a, b)) >= 4 * (b - a) for a in range(n) for b in range(a + min(n, 13), n + 1)):
+            want.add(c)
+    seeds = decontam.Seeds(list(range(len(items))), [decontam.tokens(pa.array([" ".join(i)])).hashes for i in items])
+    got = seeds.overlaps(decontam.tokens(pa.array(texts)))
+    assert {(d, i) for d, i, *_ in got} == {(c, c) for c in want} and 0 < len(want) < len(cases)
+    assert all(same >= 0.8 * size for *_, size, same in got)
+
+
 def test_leaks_of_the_test_tables(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     b = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")

@@ -16,13 +16,13 @@ source with a third of all rows is spread like any other.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fundalake.llm.common import count_words, cut, partitions
+from fundalake.llm.common import count_words, cut, fresh_path, partitions
 
 MAX_EPOCHS = 3
 BUCKET_HEX = 3
@@ -75,8 +75,8 @@ def targets(sizes: DataFrame, schedule: Callable[[Column], Column] = curriculum,
     return s.withColumn("target", F.least(F.col("most"), found * F.col("weight"))).select("source", "source_size", "weight", "segs", "target")
 
 
-def mix(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken, start, segs, weight), a row per row of ``docs``.
+def mix(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum, max_epochs: int = MAX_EPOCHS, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, size, source_size, target, copies, taken, start, segs, weight) and the columns ``keep``, a row per row of ``docs``.
 
     All documents are taken in each full pass of their source.  In the last,
     part pass a source takes documents in its order: the largest up to their
@@ -89,7 +89,7 @@ def mix(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum, max_
     any other, and equal rows may swap places.  Other columns are ignored.
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    sized = cut(docs.select("doc_id", "source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("sid"), count_words(F.col("text")).alias("size"), key.alias("k")).withColumn("bucket", F.substring("k", 1, BUCKET_HEX)))
+    sized = cut(docs.select("doc_id", "source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("sid"), count_words(F.col("text")).alias("size"), key.alias("k"), *keep).withColumn("bucket", F.substring("k", 1, BUCKET_HEX)))
     per = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), schedule, max_epochs)
     per = per.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     per = cut(per.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")).withColumn("sid", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).drop("source"))
@@ -123,7 +123,7 @@ def mix(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum, max_
         if i + 1 < n_cls:
             rows = cut(rows)
     rows = rows.withColumn("copies", F.col("passes") + F.col("more").cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
-    return rows.select("doc_id", "size", "source_size", "target", "copies", "taken", "start", "passes", "rest", "segs", "weight")
+    return rows.select("doc_id", "size", "source_size", "target", "copies", "taken", "start", "passes", "rest", "segs", "weight", *keep)
 
 
 def position(copy: Column) -> Column:
@@ -135,8 +135,12 @@ def position(copy: Column) -> Column:
 
 def ordered(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The training order: ``docs`` once for each copy that is taken, with copy and position, sorted by position in range partitions."""
-    plan = mix(docs, schedule, max_epochs).filter("copies > 0").select(F.col("doc_id").alias("_doc"), F.posexplode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy", "_one"), "passes", "rest", "source_size", "start", "target", "segs", "weight")
-    plan = plan.select("_doc", F.col("copy").cast("long").alias("copy"), position(F.col("copy")).alias("position")).dropDuplicates(["_doc", "copy"])
+    # an id may be null or shared, so rows are numbered, once and for all, before they are dealt
+    at = fresh_path(docs.sparkSession, "mixing")
+    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(at)
+    rows = docs.sparkSession.read.parquet(at)
+    plan = mix(rows, schedule, max_epochs, ["_row"]).filter("copies > 0").select("_row", F.posexplode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy", "_one"), "passes", "rest", "source_size", "start", "target", "segs", "weight")
+    plan = plan.select("_row", F.col("copy").cast("long").alias("copy"), position(F.col("copy")).alias("position"))
     names = [c for c in docs.columns if c not in ("copy", "position")]
-    out = docs.select(*names).join(plan, F.col("doc_id").eqNullSafe(F.col("_doc"))).select(*names, "copy", "position")
+    out = rows.select("_row", *names).join(plan, "_row").select(*names, "copy", "position")
     return out.repartitionByRange(partitions(docs.sparkSession), "position", "doc_id").sortWithinPartitions("position", "doc_id", "copy")

@@ -73,7 +73,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
     for part, raw, at in chunks(batches, "text"):
         data, cuts = raw.tobytes(), at.tolist()
         fps = np.array([fingerprint(data[a:b], shingle) for a, b in zip(cuts, cuts[1:])], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps), *part.columns[2:]], names=["doc_id", "fp", *part.schema.names[2:]])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -170,6 +170,12 @@ def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
     return dealt.mapInArrow(lambda it: _links(it, radius), "a long, b long")
 
 
+def _components(points: DataFrame, radius: int) -> DataFrame:
+    """``points`` with the fingerprint that names each one's component."""
+    groups = components(links(points.select("fp"), radius)).withColumnRenamed("node", "fp")
+    return points.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id), a row per row of ``docs``.
 
@@ -179,15 +185,26 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     columns are ignored; an empty table gives an empty result.
     """
     fps = cut(fingerprints(docs, shingle))
-    points = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    groups = components(links(points.select("fp"), radius)).withColumnRenamed("node", "fp")
-    rooted = points.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    rooted = _components(cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least"))), radius)
     named = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
     return fps.join(rooted.select("fp", "component").join(named, "component").select("fp", "component_id"), "fp")
 
 
+def _digest() -> F.Column:
+    return F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+
+
 def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: that of the least doc_id (any one of several equal rows)."""
-    keep = near_duplicates(docs, radius).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, docs.doc_id.eqNullSafe(keep["_keep"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """``docs`` with one row of each group of near-duplicates: that of the least doc_id, null after all others, and of the least digest of its text.
+
+    Rows of one text are in one group, so what has the id and the digest of a
+    group's row is that row or equal to it in both; one of these is kept.
+    """
+    rows = docs.select("doc_id", "text", _digest().alias("_digest"))
+    fps = rows.mapInArrow(lambda it: _fingerprints(it, SHINGLE), "doc_id long, fp long, _digest string")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_digest").alias("digest"))
+    rooted = _components(cut(fps.groupBy("fp").agg(F.min(first).alias("first"))), radius)
+    keep = rooted.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.id").alias("_keep"), F.col("first.digest").alias("_keep_digest"))
+    named = docs.withColumn("_digest", _digest())
+    kept = named.join(keep, named.doc_id.eqNullSafe(keep["_keep"]) & (named["_digest"] == keep["_keep_digest"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_digest"]).drop("_digest")

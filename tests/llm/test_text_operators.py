@@ -162,6 +162,16 @@ def test_near_duplicates(spark, docs, odd, empty):
     assert kept.columns == odd.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 4, 5, 6]
 
 
+def test_one_row_of_each_group_with_null_and_shared_ids(docs):
+    rng = random.Random(8)
+    texts = [prose(rng, 300) for _ in range(12)]
+    ids = [None] * 6 + [7] * 3 + [20, 21, 22]
+    rows = [(i, t, "en", "s") for i, t in zip(ids, texts)] + [(None, texts[0], "en", "s"), (30, texts[1], "en", "s"), (31, texts[9].upper(), "en", "s")]
+    want = list(zip([None, 30, *ids[2:]], texts))
+    got = [(r.doc_id, r.text) for r in simhash.deduplicated(docs(rows)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 # ---- substrings
 
 
@@ -375,6 +385,19 @@ def test_mix(spark, docs, odd, empty):
     assert mean("a") < mean("b") < mean("c")
 
 
+def test_order_with_null_and_shared_ids(docs):
+    rng = random.Random(30)
+    rows = [(rng.choice([None, 1, 2, i]), f"t{i} " + prose(rng, rng.randint(3, 30)), "en", rng.choice("abc")) for i in range(400)]
+    df = docs(rows)
+    plan, order = mixing.mix(df, keep=["text"]).collect(), mixing.ordered(df).collect()
+    copies = collections.defaultdict(list)
+    for r in order:
+        copies[r.text].append(r.copy)
+    ids = {t: (i, s) for i, t, _, s in rows}
+    assert {t: sorted(c) for t, c in copies.items()} == {r.text: list(range(r.copies)) for r in plan if r.copies}
+    assert all((r.doc_id, r.source) == ids[r.text] for r in order)
+
+
 def test_schedule(spark):
     knots = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(w).alias("w")) for t, w in ((0.0, 1.0), (0.5, 3.0), (0.5, 0.0), (1.0, 2.0))])
     segs = mixing.segments(knots)

@@ -344,7 +344,7 @@ query("select_chi2", "SELECT feature, round(sum((o - e) * (o - e) / nullif(e, 0)
 query("select_mi")(lambda d: features.top_features(features.select_mi(d.labelled, _SEL), 20))
 
 
-# ---- models (small settings: the full ones are the defaults of the builders)
+# ---- models, with the builders' full settings
 def _sides(d: Data) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides of the time split, made into training data by the training side."""
     split = d._stage("split", lambda: features.aligned_split(d.labelled))
@@ -353,19 +353,23 @@ def _sides(d: Data) -> tuple[DataFrame, DataFrame, list[str]]:
     return side("train"), side("test"), columns
 
 
-def _scored(d: Data, build: Callable[[list[str]], object]) -> DataFrame:
+def _logistic(train: DataFrame, columns: list[str]):
+    return models.logistic(columns, train.count())
+
+
+def _scored(d: Data, build: Callable[[DataFrame, list[str]], object]) -> DataFrame:
     train, test, columns = _sides(d)
-    return models.score(models.train(build(columns), train), test).select("ticker", "date", "target_bankruptcy", "score")
+    return models.score(models.train(build(train, columns), train), test).select("ticker", "date", "target_bankruptcy", "score")
 
 
-query("rf")(lambda d: _scored(d, lambda c: models.random_forest(c, 10, 5)))
-query("gbt")(lambda d: _scored(d, lambda c: models.boosted_trees(c, 3, 3)))
-query("logistic")(lambda d: _scored(d, lambda c: models.logistic(c, 1000, rounds=25)))
-query("calibrate")(lambda d: (lambda t: models.calibrate(models.random_forest(t[2], 5, 4), t[0]).select("ticker", "date", "target_bankruptcy", "score", "calibrated"))(_sides(d)))
-query("importance")(lambda d: (lambda t: models.importance(d.spark, models.train(models.random_forest(t[2], 10, 5), t[0]), t[2]))(_sides(d)))
-query("compare_models")(lambda d: (lambda t: models.compare({"rf": models.random_forest(t[2], 10, 5), "logistic": models.logistic(t[2], 1000, rounds=25)}, t[0], t[1]))(_sides(d)))
-query("cross_validate")(lambda d: (lambda t: models.cross_validate(models.random_forest(t[2], 5, 4), t[0]))(_sides(d)))
-query("threshold_search")(lambda d: models.best_threshold(_scored(d, lambda c: models.random_forest(c, 10, 5))))
+query("rf")(lambda d: _scored(d, lambda t, c: models.random_forest(c)))
+query("gbt")(lambda d: _scored(d, lambda t, c: models.boosted_trees(c)))
+query("logistic")(lambda d: _scored(d, _logistic))
+query("calibrate")(lambda d: (lambda t: models.calibrate(models.random_forest(t[2]), t[0]).select("ticker", "date", "target_bankruptcy", "score", "calibrated"))(_sides(d)))
+query("importance")(lambda d: (lambda t: models.importance(d.spark, models.train(models.random_forest(t[2]), t[0]), t[2]))(_sides(d)))
+query("compare_models")(lambda d: (lambda t: models.compare({"rf": models.random_forest(t[2]), "logistic": _logistic(t[0], t[2])}, t[0], t[1]))(_sides(d)))
+query("cross_validate")(lambda d: (lambda t: models.cross_validate(models.random_forest(t[2]), t[0]))(_sides(d)))
+query("threshold_search")(lambda d: models.best_threshold(_scored(d, lambda t, c: models.random_forest(c))))
 
 # ---- statistics
 _LONG_ALL = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM master" for c in stats.COLUMNS)

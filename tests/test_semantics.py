@@ -190,3 +190,17 @@ def test_file_scans(spark, tmp_path):
     assert sorted((r.ticker, r.country, r.sector) for r in files.sectors(spark, f"{tmp_path}/s").collect()) == [("A", "US", "Health"), ("C.PL", "PL", "Energy")]
     (tmp_path / "c.json").write_text('{"companies":[{"cik":"1","name":"X","sic":"","all_tickers":["A","B"],"exchanges":["N"]},{"cik":"2","name":"Y","sic":"3571","all_tickers":["C"],"exchanges":[]}]}')
     assert sorted((r.cik, r.ticker, r.sic, r.exchange) for r in files.company_metadata(spark, f"{tmp_path}/c.json").collect()) == [("1", "A", None, "N"), ("1", "B", None, "N"), ("2", "C", 3571, None)]
+
+
+def test_full_settings_of_the_model_queries(spark, monkeypatch):
+    from fundalake.plans import registry
+
+    rows, built = spark.range(37), []
+    monkeypatch.setattr(registry, "_sides", lambda d: (rows, rows, ["id"]))
+    monkeypatch.setattr(registry.models, "train", lambda pipeline, df: built.append(pipeline.getStages()[-1]))
+    monkeypatch.setattr(registry.models, "score", lambda model, df: df.selectExpr("id AS ticker", "id AS date", "0 AS target_bankruptcy", "0D AS score"))
+    for build in (registry._logistic, lambda t, c: registry.models.random_forest(c), lambda t, c: registry.models.boosted_trees(c)):
+        registry._scored(None, build)
+    logistic, forest, boosted = built
+    assert logistic.getRegParam() == 1 / 37 and logistic.getMaxIter() == 1000
+    assert (forest.getNumTrees(), forest.getMaxDepth(), boosted.getMaxIter(), boosted.getMaxDepth()) == (300, 10, 300, 6)

@@ -16,7 +16,7 @@ source with a third of all rows is spread like any other.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -75,21 +75,15 @@ def targets(sizes: DataFrame, schedule: Callable[[Column], Column] = curriculum,
     return s.withColumn("target", F.least(F.col("most"), found * F.col("weight"))).select("source", "source_size", "weight", "segs", "target")
 
 
-def mix(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum, max_epochs: int = MAX_EPOCHS, keep: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken, start, segs, weight) and the columns ``keep``, a row per row of ``docs``.
+def _sized(rows: DataFrame) -> DataFrame:
+    """The numbered rows (row, doc_id, source, text) with their size and place in a fixed random order."""
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    sized = rows.select("row", "doc_id", "source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("sid"), count_words(F.col("text")).alias("size"), key.alias("k"))
+    return cut(sized.withColumn("bucket", F.substring("k", 1, BUCKET_HEX)))
 
-    All documents are taken in each full pass of their source.  In the last,
-    part pass a source takes documents in its order: the largest up to their
-    share, the next up to their share of what is then missing, and so on, so
-    that the taken words come within half a small document of the target; a
-    document is never cut.
 
-    A null text has size 0; documents of size 0 come with the passes and add
-    nothing; a null source is a source, sorted last; repeated rows are rows like
-    any other, and equal rows may swap places.  Other columns are ignored.
-    """
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    sized = cut(docs.select("doc_id", "source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("sid"), count_words(F.col("text")).alias("size"), key.alias("k"), *keep).withColumn("bucket", F.substring("k", 1, BUCKET_HEX)))
+def _planned(sized: DataFrame, schedule: Callable[[Column], Column], max_epochs: int) -> DataFrame:
+    """(row, doc_id, k, size, source_size, target, passes, more, rest, start, segs, weight): how often each row is taken."""
     per = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), schedule, max_epochs)
     per = per.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     per = cut(per.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")).withColumn("sid", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).drop("source"))
@@ -98,14 +92,14 @@ def mix(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum, max_
     for i, part in reversed(list(enumerate(LARGE))):
         cls = F.when(F.col("size") * part > F.col("rest"), i).otherwise(cls)
     # dealt by bucket after the join, which AQE can then split at a hot source
-    rows = sized.join(per.drop("segs", "weight"), "sid").withColumn("cls", cls).repartition(partitions(docs.sparkSession), "sid", "bucket")
+    rows = sized.join(per.drop("segs", "weight"), "sid").withColumn("cls", cls).repartition(partitions(sized.sparkSession), "sid", "bucket")
     n_cls = len(LARGE) + 1
     part = [F.col("size"), *[F.when(F.col("cls") == i, F.col("size")).otherwise(0) for i in range(n_cls)]]
     names = ["all", *[f"c{i}" for i in range(n_cls)]]
     sums = rows.groupBy("sid", "bucket").agg(*[F.sum(p).alias(n) for p, n in zip(part, names)])
     before = W.partitionBy("sid").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.select("sid", "bucket", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in names], *[F.sum(n).over(W.partitionBy("sid")).alias(f"{n}_total") for n in names[1:]])
-    inside = W.partitionBy("sid", "bucket").orderBy("k", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("sid", "bucket").orderBy("k", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, -1)
     rows = rows.join(sums, ["sid", "bucket"])
     rows = rows.withColumns({f"{n}_start": F.col(f"{n}_before") + F.coalesce(F.sum(p).over(inside), F.lit(0)) for p, n in zip(part, names)})
     own = F.coalesce(*[F.when(F.col("cls") == i, F.col(f"c{i}_start")) for i in range(n_cls)])
@@ -122,25 +116,74 @@ def mix(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum, max_
         rows = rows.withColumn("more", F.col("more") | ((F.col("cls") == i) & (F.col("size") > 0) & (2 * F.col("own") + F.col("size") <= 2 * quota)))
         if i + 1 < n_cls:
             rows = cut(rows)
-    rows = rows.withColumn("copies", F.col("passes") + F.col("more").cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
-    return rows.select("doc_id", "size", "source_size", "target", "copies", "taken", "start", "passes", "rest", "segs", "weight", *keep)
+    return rows.select("row", "doc_id", "k", "size", "source_size", "target", "passes", "more", "rest", "start", "segs", "weight")
 
 
 def position(copy: Column) -> Column:
-    """Training position, 0 to 1, of a copy (0, 1, ...) of a row of mix()."""
-    # what the part pass takes stands within about the first ``rest`` words of the source's order
+    """Training position, 0 to 1, of a copy (0, 1, ...) of a planned row: the source's integrated schedule, inverted at the cumulative demand before the copy.
+
+    A pass asks for the source's words in its order; what the part pass takes stands within about the first ``rest`` of them.
+    """
     demand = F.least((copy * F.col("source_size") + F.col("start")).cast("double"), F.col("target"))
     return F.when(F.col("target") > 0, invert(F.col("segs"), demand / F.col("target") * F.col("weight"))).otherwise(F.lit(0.0))
 
 
+def _copies(plan: DataFrame) -> DataFrame:
+    """The planned rows once for each copy that is taken, with copy and position."""
+    copies = F.col("passes") + F.col("more").cast("long")
+    each = plan.filter(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
+    return each.withColumn("position", position(F.col("copy")))
+
+
+def _in_order(copies: DataFrame) -> DataFrame:
+    """Sorted by position.
+
+    Copies that share a position, such as all the empty texts of a source, are told apart by their random key, so that no partition gets them all.
+    """
+    keys = ("position", "k", "row", "copy")
+    return copies.repartitionByRange(partitions(copies.sparkSession), *keys).sortWithinPartitions(*keys)
+
+
+def _placed(plan: DataFrame) -> DataFrame:
+    """(row, doc_id, k, size, copy, position): the copies that are taken, in the order of training, in range partitions."""
+    return _in_order(_copies(plan).select("row", "doc_id", "k", "size", "copy", "position"))
+
+
+def mix(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """(doc_id, size, source_size, target, copies, taken, first_position, last_position), a row per row of ``docs``.
+
+    What is taken of a document is counted from the positions that its copies
+    have in the training order; both positions are null where it has none.  All
+    documents are taken in each full pass of their source.  In the last, part
+    pass a source takes documents in its order: the largest up to their share,
+    the next up to their share of what is then missing, and so on, so that the
+    taken words come within half a small document of the target; a document is
+    never cut.
+
+    A null text has size 0, like an empty one; documents of size 0 come with
+    the passes and add nothing; a very long text is one document like any
+    other; a null source is a source, sorted last; a null doc_id is a doc_id;
+    repeated rows are rows like any other, and equal rows may swap places.
+    Other columns are ignored; an empty table gives an empty result.
+    """
+    sized = _sized(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text"))
+    plan = cut(_planned(sized, schedule, max_epochs))
+    seen = cut(_placed(plan)).groupBy("row").agg(F.count("*").alias("copies"), F.sum("size").alias("taken"), F.min("position").alias("first_position"), F.max("position").alias("last_position"))
+    zero = F.lit(0).cast("long")
+    return plan.join(seen, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("copies", zero).alias("copies"), F.coalesce("taken", zero).alias("taken"), "first_position", "last_position")
+
+
 def ordered(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The training order: ``docs`` once for each copy that is taken, with copy and position, sorted by position in range partitions."""
+    """The training order: ``docs`` once for each copy that is taken, with copy and position, sorted by position in range partitions.
+
+    Cases are treated as mix() does.  Columns of ``docs`` named copy or
+    position are replaced; others come along whatever their names.
+    """
     # an id may be null or shared, so rows are numbered, once and for all, before they are dealt
     at = fresh_path(docs.sparkSession, "mixing")
-    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(at)
+    names = [c for c in docs.columns if c.lower() not in ("copy", "position")]
+    docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc")).write.parquet(at)
     rows = docs.sparkSession.read.parquet(at)
-    plan = mix(rows, schedule, max_epochs, ["_row"]).filter("copies > 0").select("_row", F.posexplode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy", "_one"), "passes", "rest", "source_size", "start", "target", "segs", "weight")
-    plan = plan.select("_row", F.col("copy").cast("long").alias("copy"), position(F.col("copy")).alias("position"))
-    names = [c for c in docs.columns if c not in ("copy", "position")]
-    out = rows.select("_row", *names).join(plan, "_row").select(*names, "copy", "position")
-    return out.repartitionByRange(partitions(docs.sparkSession), "position", "doc_id").sortWithinPartitions("position", "doc_id", "copy")
+    plan = _planned(_sized(rows.select("row", "doc.doc_id", "doc.source", "doc.text")), schedule, max_epochs)
+    out = _in_order(rows.join(_copies(plan).select("row", "k", "copy", "position"), "row"))
+    return out.select("doc.*", "copy", "position")

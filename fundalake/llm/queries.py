@@ -58,7 +58,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -161,22 +161,32 @@ p{i} AS (SELECT *, {before}(cls = {i} AND size > 0 AND 2 * own + size <= 2 * CAS
   FROM (SELECT *, CAST({got} AS BIGINT) AS got{i} FROM {f"p{i - 1}" if i else "o"}))"""
 
 
+def _at(x: str) -> str:
+    """When the schedule that runs straight from w0 to w1 has given x."""
+    return f"CASE WHEN target > 0 THEN least(2 * {x} / (w0 + sqrt(greatest(w0 * w0 + 2 * (w1 - w0) * {x}, CAST(0 AS DOUBLE)))), CAST(1 AS DOUBLE)) ELSE CAST(0 AS DOUBLE) END"
+
+
 _OP10 = f"""
 WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rn FROM d GROUP BY source),
 w AS (SELECT *, CAST((rn - 1) % 3 + 1 AS DOUBLE) AS weight, CAST(3 * source_size AS DOUBLE) AS most FROM s),
 l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(most) OVER (ORDER BY most / weight, rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
              / sum(weight) OVER (ORDER BY most / weight, rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-t AS (SELECT source, source_size, least(most, max(level) OVER () * weight) AS target FROM l),
+t AS (SELECT source, source_size, weight, least(most, max(level) OVER () * weight) AS target FROM l),
 u AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
 v AS (SELECT *, target - passes * source_size AS rest FROM u),
-c AS (SELECT d.doc_id, d.source, d.size, d.k, v.source_size, v.target, v.passes, v.rest,
+c AS (SELECT d.doc_id, d.source, d.size, d.k, v.source_size, v.target, v.passes, v.rest, v.weight,
              CASE WHEN size * 16 > rest THEN 0 WHEN size * 128 > rest THEN 1 ELSE 2 END AS cls
       FROM d JOIN v ON d.source IS NOT DISTINCT FROM v.source),
 o AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source, cls ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS own,
+             CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS start,
+             weight * (1 - (weight - 2) / 4) AS w0, weight * (1 + (weight - 2) / 4) AS w1,
              {", ".join(f"CAST(coalesce(sum(CASE WHEN cls = {i} THEN size END) OVER (PARTITION BY source), 0) AS BIGINT) AS t{i}" for i in range(3))} FROM c),
-{",".join(_take(i) for i in range(3))}
-SELECT doc_id, size, source_size, target, (passes + CAST(more2 AS BIGINT)) * size AS taken, passes + CAST(more2 AS BIGINT) AS copies FROM p2
+{",".join(_take(i) for i in range(3))},
+q AS (SELECT *, passes + CAST(more2 AS BIGINT) AS copies FROM p2),
+m AS (SELECT *, least(start, target) / target * weight AS x0, least(CAST(copies - 1 AS DOUBLE) * source_size + start, target) / target * weight AS x1 FROM q)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies,
+       CASE WHEN copies > 0 THEN {_at("x0")} END AS first_position, CASE WHEN copies > 0 THEN {_at("x1")} END AS last_position FROM m
 """
 
 SQL = {"op2_warc": _OP2, "op4_chat_format": _OP4, "op7_quality_rules": _OP7, "op9_substring_dedup": _OP9, "op10_mixing": _OP10}

@@ -389,15 +389,41 @@ def test_order_with_null_and_shared_ids(docs):
     rng = random.Random(30)
     rows = [(rng.choice([None, 1, 2, i]), f"t{i} " + prose(rng, rng.randint(3, 30)), "en", rng.choice("abc")) for i in range(400)]
     df = docs(rows)
-    plan, order = mixing.mix(df, keep=["text"]).collect(), mixing.ordered(df).collect()
+    plan, order = mixing.mix(df).collect(), mixing.ordered(df).collect()
     copies = collections.defaultdict(list)
     for r in order:
         copies[r.text].append(r.copy)
     ids = {t: (i, s) for i, t, _, s in rows}
-    assert {t: sorted(c) for t, c in copies.items()} == {r.text: list(range(r.copies)) for r in plan if r.copies}
+    assert all(sorted(c) == list(range(len(c))) for c in copies.values())
+    assert sorted((ids[t][0] or -1, len(t.split()), len(c)) for t, c in copies.items()) == sorted((r.doc_id or -1, r["size"], r.copies) for r in plan if r.copies)
     assert all((r.doc_id, r.source) == ids[r.text] for r in order)
 
 
+def test_positions(spark, docs):
+    """Positions against the demand curve added up document by document, and names that clash."""
+    rng = random.Random(31)
+    rows = [(i, prose(rng, rng.randint(0, 30)), "en", "abcd"[min(3, i % 7)]) for i in range(300)]
+    df = docs(rows).withColumns({c: F.lit(c) for c in ("row", "k", "doc", "copies", "start", "passes", "bucket", "sid", "more", "position", "copy")})
+    order = mixing.ordered(df).collect()
+    assert [r.position for r in order] == sorted(r.position for r in order) and all(r.row == "row" and r.k == "k" and r.bucket == "bucket" for r in order)
+    got = {r.doc_id: r for r in mixing.mix(df).collect()}
+    place = lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i)
+    for rank, s in enumerate("abcd"):
+        size = {i: len(t.split()) for i, t, _, x in rows if x == s}
+        total, target, weight = sum(size.values()), got[next(iter(size))].target, rank % 3 + 1
+        start = 0
+        w0, w1 = weight * (1 - (weight - 2) / 4), weight * (1 + (weight - 2) / 4)
+        asked = lambda t: (w0 * t + (w1 - w0) * t * t / 2) / weight * target  # noqa: E731, B023
+        for i in sorted(size, key=place):
+            copies = sorted((r for r in order if r.doc_id == i), key=lambda r: r.copy)
+            for c, r in enumerate(copies):
+                assert asked(r.position) == pytest.approx(min(c * total + start, target), abs=1e-6 * target)
+            if copies:
+                assert (got[i].first_position, got[i].last_position) == (copies[0].position, copies[-1].position)
+            assert got[i].copies == len(copies) and got[i].taken == len(copies) * size[i]
+            start += size[i]
+
+
 def test_schedule(spark):
     knots = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(w).alias("w")) for t, w in ((0.0, 1.0), (0.5, 3.0), (0.5, 0.0), (1.0, 2.0))])
     segs = mixing.segments(knots)

@@ -1,27 +1,32 @@
-"""SimHash near-duplicates, linked through vantage-point shells.
+"""SimHash near-duplicates, linked through vantage-point trees.
 
 A text's fingerprint is the bitwise majority of the XXH64 hashes of its word
 shingles.  Fingerprints within ``radius`` bits are linked and the connected
 groups are named by their least doc_id.
 
-Search.  64-bit fingerprints of unrelated texts lie at 32 +- 4 bits from any
-vantage point, so a tree over the full distance would send two thirds of the
-points down both branches at a radius of 4.  The outer tree therefore works in
-the Hamming distance of a *part* of the bits: cut into m bands, two
-fingerprints within r bits agree on at least m - r bands, that is, their
-distance there is 0.  For each choice of m - r bands a fingerprint's shard is
-its row of distances to a few vantage points; by the triangle bound, two
-fingerprints whose rows differ are not at distance 0 in those bands, and the
-boundary strip has no width, so that no fingerprint has to be sent to a second
-shard of the same choice.  Inside a shard the points are sorted by the full
-distance from a vantage point, and each shell is compared with the shells that
-its ball of ``radius`` overlaps, no others.
-
-Size.  Equal fingerprints are one point.  m grows with the number of points so
-that a shard of unrelated points stays near ``shard_rows``; points that share a
-band because they are near copies are at most the few tens of thousands of
-distinct values of one Hamming ball.  A shard gives a spanning forest, never
-its pairs.
+Trees.  The 64 bits are four parts of 16, and each part has a vantage-point
+tree over the Hamming distance in that part.  A node splits its points at a
+distance mu from a vantage point; by the triangle bound, a partner within r of
+a point at distance d lies between d - r and d + r, so a point goes to the far
+side of mu only, unless it is in the boundary strip mu < d <= mu + r: then it
+goes to both sides, and the pair meets on the near one.  Leaves are the shards;
+in a leaf, pairs are compared in the full distance, shell by shell from a
+vantage point, and a shell only with those that its ball overlaps.
+
+Why parts.  Fingerprints of unrelated texts lie at 32 +- 4 bits from any
+vantage point, so in a tree over all 64 bits a strip of 4 holds over a third of
+the points at every split; the README has measured sizes of such trees.  Two
+fingerprints within 4 bits differ in at most 1 bit in one part at least, and a
+strip of 1 in 16 bits holds less than a fifth.  Beyond ``WIDE`` points a shard
+is a pair of leaves of two parts: at least two parts differ in at most 1 bit.
+All cases are exact.
+
+A tree is made from the counts of the 65,536 values of its part over all
+points; it is a list of leaves for each value, which is sent to the tasks.
+
+Size.  Equal fingerprints are one point.  A leaf that stays large holds near
+copies or the values of a single part, and gives a spanning forest, never its
+pairs.
 """
 
 from __future__ import annotations
@@ -35,14 +40,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundalake.llm.common import chunks, components, cut, partitions
+from fundalake.llm.common import chunks, components, cut, fresh_path, partitions
 
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
-SHARD_ROWS = 4096
-#: Vantage points of the outer shards; used only in the bits of the chosen bands.
-N_VANTAGE = 10
+#: Bits of a part; the points that a leaf should hold; beyond WIDE points, shards are pairs of leaves.
+PART_BITS = 16
+LEAF_ROWS = 8192
+WIDE = 1 << 27
+#: Vantage points that are tried at a node.
+TRIES = 6
 _PAIRS_AT_ONCE = 1 << 22
 
 
@@ -81,30 +89,99 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(lambda it: _fingerprints(it, shingle), "doc_id long, fp long")
 
 
-def bands_for(points: int, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> int:
-    """Least number of bands whose choices keep shards of unrelated points near ``shard_rows``."""
-    m = radius + 1
-    while points > shard_rows * 2 ** ((64 // m) * (m - radius)) and m < 16:
-        m += 1
-    return m
-
-
-def _masks(m: int, radius: int) -> list[int]:
-    cuts = [64 * i // m for i in range(m + 1)]
-    bands = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:])]
-    return [sum(c) for c in combinations(bands, m - radius)]
+class Tree:
+    """A vantage-point tree over the Hamming distance of numbers of PART_BITS bits.
 
+    leaves[first[v]:first[v + 1]] are the leaves that hold the value v.  Values
+    within ``radius`` of each other have a leaf in common.
+    """
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
+    def __init__(self, weights: np.ndarray, radius: int, leaf_rows: float) -> None:
+        self.radius, self.weights = radius, weights
+        rng = np.random.default_rng(SEED)
+        found, stack = [], [np.flatnonzero(weights)]
+        while stack:
+            cells = stack.pop()
+            halves = self._split(cells, rng) if weights[cells].sum() > leaf_rows else None
+            if halves is None:
+                found.append(cells)
+            else:
+                stack += halves
+        cell = np.concatenate(found) if found else np.zeros(0, np.int64)
+        leaf = np.repeat(np.arange(len(found)), [len(c) for c in found])
+        self.first = np.searchsorted(np.sort(cell), np.arange(len(weights) + 1)).astype(np.int32)
+        self.leaves = leaf[np.argsort(cell, kind="stable")].astype(np.int32)
+
+    def _split(self, cells: np.ndarray, rng: np.random.Generator) -> list[np.ndarray] | None:
+        """The near and the far side of the best of some vantage points; None if no split makes the larger side smaller by a 20th."""
+        w = self.weights[cells]
+        best, most = None, 0.95 * w.sum()
+        for v in cells[rng.integers(0, len(cells), TRIES)]:
+            d = np.bitwise_count(cells ^ v).astype(np.int64)
+            run = np.cumsum(np.bincount(d, w, PART_BITS + self.radius + 1))
+            larger = np.maximum(run[self.radius : PART_BITS + self.radius], run[-1] - run[:PART_BITS])  # near with its strip, far; by mu
+            mu = int(np.argmin(larger))
+            if larger[mu] < most:
+                best, most = (d, mu), larger[mu]
+        if best is None:
+            return None
+        d, mu = best
+        return [cells[d <= mu + self.radius], cells[d > mu]]
+
+
+def _part(x, i: int):
+    return (x >> (PART_BITS * i)) & ((1 << PART_BITS) - 1)
+
+
+def trees(points: DataFrame, radius: int, n_points: int, leaf_rows: int = LEAF_ROWS, wide: int = WIDE) -> tuple[list[Tree], int]:
+    """A tree for each part, and how many parts a shard combines.
+
+    The counts that come to the driver are at most 65,536 for each of the four parts.
+    """
+    n = 64 // PART_BITS
+    combined = 1 if n_points <= wide else 2
+    values = F.array(*[F.shiftrightunsigned("fp", PART_BITS * i).bitwiseAND((1 << PART_BITS) - 1) for i in range(n)])
+    counts = points.select(F.posexplode(values).alias("part", "value")).groupBy("part", "value").agg(F.count("*").alias("n")).toArrow()
+    part, value, count = (counts[c].to_numpy() for c in ("part", "value", "n"))
+    # of the parts' differences at most ``radius`` in all, the ``combined`` least are no more than this
+    each = radius // (n - combined + 1)
+    rows = leaf_rows if combined == 1 else (leaf_rows * n_points) ** 0.5
+    out = []
+    for i in range(n):
+        weights = np.zeros(1 << PART_BITS)
+        weights[value[part == i]] = count[part == i]
+        out.append(Tree(weights, each, rows))
+    return out, combined
+
+
+def route(fps: np.ndarray, forest_: list[Tree], combined: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shard, which): each point, by its index, once for each shard that it is in."""
+    shards, rows = [], []
+    for k, chosen in enumerate(combinations(range(len(forest_)), combined)):
+        shard, row = np.full(len(fps), k, np.int64), np.arange(len(fps))
+        for i in chosen:
+            t, v = forest_[i], _part(fps[row], i).astype(np.int64)
+            n = t.first[v + 1] - t.first[v]
+            at = np.repeat(t.first[v] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            shard, row = (np.repeat(shard, n) << 26) | t.leaves[at], np.repeat(row, n)
+        shards.append(shard)
+        rows.append(row)
+    return np.concatenate(shards), np.concatenate(rows)
+
+
+def _route(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    forest_, combined = shared.value
+    for batch in batches:
+        fps = batch.column(0).to_numpy().view(np.uint64)
+        shard, row = route(fps, forest_, combined)
+        for i in range(0, len(row), 1 << 17):
+            yield pa.RecordBatch.from_arrays([pa.array(shard[i : i + (1 << 17)]), pa.array(fps[row[i : i + (1 << 17)]].view(np.int64))], names=["shard", "fp"])
 
 
-def shards(points: DataFrame, radius: int, m: int) -> DataFrame:
-    """(shard, fp): each point once for each choice of bands; the shard is the row of distances to the vantage points."""
-    vantage = [xxhash.xxh64_intdigest(str(i).encode(), SEED) for i in range(N_VANTAGE)]
-    fp = F.col("fp")
-    keys = [F.xxhash64(F.lit(i), *[F.bit_count(fp.bitwiseXOR(F.lit(_signed(v))).bitwiseAND(F.lit(_signed(mask)))) for v in vantage]) for i, mask in enumerate(_masks(m, radius))]
-    return points.select("fp", F.explode(F.array(*keys)).alias("shard"))
+def shards(points: DataFrame, radius: int, n_points: int, leaf_rows: int = LEAF_ROWS, wide: int = WIDE) -> DataFrame:
+    """(shard, fp): each point once for each leaf that it is in."""
+    shared = points.sparkSession.sparkContext.broadcast(trees(points, radius, n_points, leaf_rows, wide))
+    return points.select("fp").mapInArrow(lambda it: _route(it, shared), "shard long, fp long")
 
 
 def forest(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,10 +240,9 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out]).view(np.int64)) for k in (0, 1)], names=["a", "b"])
 
 
-def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(points: DataFrame, radius: int = RADIUS, leaf_rows: int = LEAF_ROWS, wide: int = WIDE) -> DataFrame:
     """(a, b): a spanning set of the links between different fingerprints."""
-    m = bands_for(points.count(), radius)
-    dealt = shards(points, radius, m).repartition(partitions(points.sparkSession), "shard").sortWithinPartitions("shard")
+    dealt = shards(points, radius, points.count(), leaf_rows, wide).repartition(partitions(points.sparkSession), "shard").sortWithinPartitions("shard")
     return dealt.mapInArrow(lambda it: _links(it, radius), "a long, b long")
 
 
@@ -179,8 +255,8 @@ def _components(points: DataFrame, radius: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id), a row per row of ``docs``.
 
-    Null and empty texts have fingerprint 0 and are linked like any other;
-    repeated rows are kept; a null doc_id gets the component of its text and
+    Null and empty texts have fingerprint 0 and are linked like any other; a
+    very long text is read whole; repeated rows are kept; a null doc_id gets the component of its text and
     names none (its component is null if it has only such rows).  Other
     columns are ignored; an empty table gives an empty result.
     """
@@ -195,16 +271,25 @@ def _digest() -> F.Column:
 
 
 def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: that of the least doc_id, null after all others, and of the least digest of its text.
+    """``docs`` with one row of each group of near-duplicates: that of the least doc_id, null after all others, of the least digest of its text, and of equal ones any.
 
-    Rows of one text are in one group, so what has the id and the digest of a
-    group's row is that row or equal to it in both; one of these is kept.
+    Null and empty texts are near-duplicates of each other; very long texts
+    count whole; rows that share a doc_id but not a text are told apart;
+    columns come along whatever their names; an empty table gives an empty
+    result.  Rows are numbered as they are written; texts are shuffled once, in
+    the join with the numbers that stay.
     """
-    rows = docs.select("doc_id", "text", _digest().alias("_digest"))
-    fps = rows.mapInArrow(lambda it: _fingerprints(it, SHINGLE), "doc_id long, fp long, _digest string")
-    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_digest").alias("digest"))
+    rows = _numbered(docs)
+    keyed = rows.select("doc.doc_id", "doc.text", "row").withColumn("digest", _digest())
+    fps = keyed.mapInArrow(lambda it: _fingerprints(it, SHINGLE), "doc_id long, fp long, row long, digest string")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "digest", "row")
     rooted = _components(cut(fps.groupBy("fp").agg(F.min(first).alias("first"))), radius)
-    keep = rooted.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.id").alias("_keep"), F.col("first.digest").alias("_keep_digest"))
-    named = docs.withColumn("_digest", _digest())
-    kept = named.join(keep, named.doc_id.eqNullSafe(keep["_keep"]) & (named["_digest"] == keep["_keep_digest"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    keep = cut(rooted.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row")))
+    return rows.join(keep, "row", "left_semi").select("doc.*")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc): the rows of ``docs``, numbered once and for all, as they are read again."""
+    at = fresh_path(docs.sparkSession, "simhash")
+    docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).write.parquet(at)
+    return docs.sparkSession.read.parquet(at)

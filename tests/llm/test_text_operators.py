@@ -116,9 +116,13 @@ def slow_components(fps, radius=4):
     return [root(i) for i in range(len(fps))]
 
 
-@pytest.mark.parametrize("shard_rows", [4096, 1e-4])
-def test_links_find_all(spark, monkeypatch, shard_rows):
-    """Chains and balls around centres; with small shards more bands are used."""
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+@pytest.mark.parametrize("leaf_rows, wide", [(8192, 1 << 27), (4, 1 << 27), (1, 0)])
+def test_links_find_all(spark, leaf_rows, wide):
+    """Chains and balls around centres; small leaves make deep trees, and beyond ``wide`` shards are pairs of leaves."""
     rng = random.Random(5)
     fps = {rng.getrandbits(64) for _ in range(60)}
     for c in list(fps)[:15]:
@@ -128,15 +132,12 @@ def test_links_find_all(spark, monkeypatch, shard_rows):
                 x ^= 1 << b
             fps.add(x)
     fps = sorted(fps)
-    if shard_rows < 1:
-        monkeypatch.setattr(simhash, "bands_for", lambda *a: 6)
-    df = spark.createDataFrame([(simhash._signed(x),) for x in fps], "fp long")
-    edges = simhash.links(df).collect()
-    assert all(((r.a ^ r.b) & (2**64 - 1)).bit_count() <= 64 for r in edges)
+    df = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
+    edges = simhash.links(df, leaf_rows=leaf_rows, wide=wide).collect()
     got = collections.defaultdict(set)
     roots = {r.node: r.component for r in common.components(spark.createDataFrame([(r.a, r.b) for r in edges], "a long, b long")).collect()}
     for x in fps:
-        s = simhash._signed(x)
+        s = signed(x)
         got[roots.get(s, s)].add(x)
     want = collections.defaultdict(set)
     for x, r in zip(fps, slow_components(fps)):
@@ -144,8 +145,18 @@ def test_links_find_all(spark, monkeypatch, shard_rows):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
-def test_bands_grow():
-    assert [simhash.bands_for(n) for n in (0, 10**6, 10**7, 10**8, 10**10)] == [5, 5, 5, 6, 7]
+@pytest.mark.parametrize("radius", [0, 1, 2])
+def test_vantage_point_tree(radius):
+    """Values within the radius share a leaf; no leaf is larger than the whole, and leaves are many."""
+    rng = np.random.default_rng(radius)
+    values = np.unique(np.concatenate([rng.integers(0, 1 << 16, 700), 777 ^ (1 << rng.integers(0, 16, 40))]))
+    weights = np.zeros(1 << 16)
+    weights[values] = rng.integers(1, 9, len(values))
+    t = simhash.Tree(weights, radius, 100)
+    at = {v: set(t.leaves[t.first[v] : t.first[v + 1]].tolist()) for v in values.tolist()}
+    assert all(at[a] & at[b] for a in at for b in at if (a ^ b).bit_count() <= radius)
+    load = collections.Counter(x for v in at for x in at[v] for _ in range(int(weights[v])))
+    assert len(load) > 5 and max(load.values()) < weights.sum() / 2
 
 
 def test_near_duplicates(spark, docs, odd, empty):

@@ -45,12 +45,17 @@ def count_words(text) -> F.Column:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session; a temporary one only where none is set (tests)."""
+    """The shared folder named by the session; a temporary one only where none is set and the master is local (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if at is None:
         jdir = sc._jsc.sc().getCheckpointDir()
-        at = jdir.get() if jdir.isDefined() else "file://" + tempfile.mkdtemp(prefix="fundalake-ckpt-")
+        if jdir.isDefined():
+            at = jdir.get()
+        elif sc.master.startswith("local"):
+            at = "file://" + tempfile.mkdtemp(prefix="fundalake-ckpt-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(at)
     return at
@@ -62,6 +67,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Most rows of a side of a join that are sent to all executors, if the side is small in bytes as well.
+SMALL_ROWS = 1 << 18
+SMALL_BYTES = 32 << 20
+
+
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df``, which is read from a written table, marked for broadcast if its rows and their bytes are counted and few; otherwise as it is, for a shuffled join."""
+    rows = SMALL_ROWS if rows is None else rows
+    sizes = [F.sum(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`"))))) if f.dataType.typeName() in ("array", "struct", "map") else F.sum(F.octet_length(F.col(f"`{f.name}`"))) if f.dataType.typeName() in ("string", "binary") else F.count("*") * 8 for f in df.schema.fields]
+    n, *found = df.agg(F.count("*"), *sizes).first()
+    return F.broadcast(df) if n <= rows and sum(x or 0 for x in found) <= SMALL_BYTES else df
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -14,9 +14,14 @@ unchanged ones.  Cut into 3, 2, 2 and 3 tokens, two of the four parts of the 10
 are whole, which is one of ``MASKS``.  Items of 5 to 7 tokens have one change at
 most: three neighbours are whole, or all but the middle of 5.
 
-Every document position and every mask is looked at.  The benchmark's seeds
-are handled in blocks of at most ``block`` seeds, so that what a task holds
-does not grow with the benchmark; a large benchmark means more passes.
+Items of fewer than 5 tokens have no seed: they overlap a text that is the item
+and nothing else.
+
+Join.  The seeds of both sides are rows, joined by seed; a document's rows are
+sent only if a filter of fixed size, made of the benchmark's seeds, does not
+rule them out.  A hit is a text, an item and the diagonal on which the two
+meet; each is verified once, on the texts that have any.  Texts are named by
+128 bits of hash, so copies of a text share their hits.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundalake.llm.common import Words, chunks, mix
+from fundalake.llm.common import Words, chunks, cut, mix, small
 
 #: 1: the token counts.
 MASKS = ("1111", "1110011", "1100111", "1110000111")
@@ -37,10 +42,10 @@ SHORT = 8
 MIN_TOKENS = 5
 #: How many tokens of the item must be overlapped; 0.8 of them must be equal (the masks and the 1 and -4 below rest on that).
 MIN_OVERLAP = 13
-BLOCK = 1 << 20
 #: Tokens that are compared at a time.
 CELLS = 1 << 20
-_TABLE_BITS = 22
+#: Each of the filter's two tables has 2 ** TABLE_BITS bits.
+TABLE_BITS = 25
 
 _separator = np.ones(256, bool)
 _separator[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = False
@@ -72,66 +77,146 @@ def masks_of(n_tokens: int) -> list[str]:
     return list(MASKS) if n_tokens >= SHORT else list(SHORT_MASKS) if n_tokens >= MIN_TOKENS else []
 
 
-class Seeds:
-    """The seeds of a block of items, sorted, with a bit table before them."""
-
-    def __init__(self, ids: list, hashes: list[np.ndarray]) -> None:
-        self.ids, self.hashes = ids, hashes
-        self.length = np.array([len(h) for h in hashes], np.int64)
-        self.first = np.cumsum(self.length) - self.length
-        self.flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        self.masks = sorted({m for h in hashes for m in masks_of(len(h))})
-        parts = [(_seeds(h, m, k), i) for i, h in enumerate(hashes) for k, m in enumerate(self.masks) if m in masks_of(len(h))]
-        seed = np.concatenate([s for s, _ in parts]) if parts else np.zeros(0, np.uint64)
-        item = np.concatenate([np.full(len(s), i) for s, i in parts]) if parts else np.zeros(0, np.int64)
-        at = np.concatenate([np.arange(len(s)) for s, _ in parts]) if parts else np.zeros(0, np.int64)
-        order = np.argsort(seed, kind="stable")
-        self.seed, self.item, self.at = seed[order], item[order], at[order]
-        self.table = np.zeros(1 << _TABLE_BITS, bool)
-        self.table[self.seed >> np.uint64(64 - _TABLE_BITS)] = True
-
-    def overlaps(self, w: Words) -> list[tuple[int, int, int, int, int, int]]:
-        """(text, item, from, to, overlapped, equal) of the overlaps that are similar enough; from and to are token positions."""
-        doc, seen, out = w.doc(), [], []
-        for k, m in enumerate(self.masks):
+_ALL_MASKS = [*MASKS, *SHORT_MASKS]
+_WHOLE = 1 << 32
+
+
+def item_seeds(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds of an item, and where in it they begin."""
+    if 0 < len(h) < MIN_TOKENS:
+        return whole_seeds(h, np.array([0, len(h)])), np.zeros(1, np.int64)
+    found = [_seeds(h, m, _ALL_MASKS.index(m)) for m in masks_of(len(h))]
+    return (np.concatenate(found), np.concatenate([np.arange(len(s)) for s in found])) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def whole_seeds(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The seed of each text h[first[i]:first[i + 1]] as a whole; the texts are shorter than MIN_TOKENS."""
+    n = np.diff(first)
+    out = n.astype(np.uint64) + np.uint64(_WHOLE)
+    for i in range(MIN_TOKENS - 1):
+        has = n > i
+        out[has] += h[first[:-1][has] + i] * np.uint64(_MULTIPLIERS[i])
+    return mix(out)
+
+
+def _flat_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The token hashes in a binary column, and each row's bounds in them."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(np.uint64) if data is not None and at[-1] > at[0] else np.zeros(0, np.uint64)
+    return flat, (at - at[0]) // 8
+
+
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, _, _ in chunks(batches, "text"):
+        w = tokens(part.column(2).cast(pa.large_string()))
+        n = np.diff(w.first)
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n), pa.array([w.hashes[a:b].tobytes() for a, b in zip(w.first, w.first[1:])], pa.binary())], names=["item", "item_id", "n", "tokens"])
+
+
+def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        flat, at = _flat_tokens(batch.column(1))
+        for item, a, b in zip(batch.column(0).to_pylist(), at, at[1:]):
+            seed, begin = item_seeds(flat[a:b])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seed), item)), pa.array(seed.view(np.int64)), pa.array(begin)], names=["item", "seed", "at"])
+
+
+class Filter:
+    """Two bit tables that hold all seeds of the benchmark."""
+
+    def __init__(self, table: np.ndarray, word: np.ndarray, bits: np.ndarray) -> None:
+        self.words = np.zeros((2, 1 << (TABLE_BITS - 6)), np.uint64)
+        self.words[table, word] = bits.view(np.uint64)
+
+    def may_have(self, seed: np.ndarray) -> np.ndarray:
+        """The indices of the seeds that may be there."""
+        at = np.arange(len(seed))
+        for table, x in enumerate((seed >> np.uint64(64 - TABLE_BITS), seed & np.uint64((1 << TABLE_BITS) - 1))):
+            x = x[at]
+            at = at[(self.words[table, (x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63))) & np.uint64(1) != 0]
+        return at
+
+
+def _filter(seeds: DataFrame) -> Filter:
+    """At most 2 ** (TABLE_BITS - 5) rows come to the driver, whatever the benchmark's size."""
+    low = (1 << TABLE_BITS) - 1
+    places = F.array(*[F.struct(F.lit(i).alias("table"), x.alias("x")) for i, x in enumerate((F.shiftrightunsigned("seed", 64 - TABLE_BITS), F.col("seed").bitwiseAND(low)))])
+    rows = seeds.select(F.explode(places).alias("p")).select("p.*").groupBy("table", F.shiftright("x", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(x & 63 as int)))").alias("bits"))
+    t = rows.toArrow()
+    return Filter(t["table"].to_numpy(), t["word"].to_numpy(), t["bits"].to_numpy())
+
+
+def _doc_seeds(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    known: Filter = shared.value
+    for part, _, _ in chunks(batches, "text"):
+        w = tokens(part.column(2).cast(pa.large_string()).fill_null(""))
+        doc, seeds, places, rows = w.doc(), [], [], []
+        for k, m in enumerate(_ALL_MASKS):
             starts = w.starts(len(m))
-            s = _seeds(w.hashes, m, k)[starts] if len(starts) else np.zeros(0, np.uint64)
-            maybe = np.flatnonzero(self.table[s >> np.uint64(64 - _TABLE_BITS)])
-            s = s[maybe]
-            lo, hi = np.searchsorted(self.seed, s), np.searchsorted(self.seed, s, "right")
-            n = hi - lo
-            which = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            p = np.repeat(starts[maybe], n)
-            seen.append(np.stack([doc[p], self.item[which], p - self.at[which]], 1))
-        hits = np.concatenate(seen) if seen else np.zeros((0, 3), np.int64)
-        for d, i, start in self._likely(w, hits).tolist():
-            h, lo, hi = self.hashes[i], int(w.first[d]), int(w.first[d + 1])
-            a, b = max(start, lo), min(start + len(h), hi)
-            a, b, same = _longest(w.hashes[a:b] == h[a - start : b - start], a)
-            if b - a >= min(len(h), MIN_OVERLAP):
-                out.append((d, i, a - lo, b - lo, b - a, same))
-        return out
-
-    def _likely(self, w: Words, hits: np.ndarray) -> np.ndarray:
-        """The different hits whose overlap is long enough and has the equal tokens that its least stretch needs."""
-        hits = hits[np.lexsort(hits.T)]
-        hits = hits[np.append(True, (hits[1:] != hits[:-1]).any(axis=1))[: len(hits)]]
-        d, i, start = hits.T
-        a, b = np.maximum(start, w.first[d]), np.minimum(start + self.length[i], w.first[d + 1])
-        least = np.minimum(self.length[i], MIN_OVERLAP)
-        long = b - a >= least
-        hits, i, start, a, n, least = hits[long], i[long], start[long], a[long], (b - a)[long], least[long]
-        keep, total, x = np.zeros(len(hits), bool), np.cumsum(n), 0
-        while x < len(hits):
-            y = max(x + 1, int(np.searchsorted(total, total[x] - n[x] + CELLS, "right")))
-            m = n[x:y]
-            first = np.cumsum(m) - m
-            at = np.arange(int(m.sum())) + np.repeat(a[x:y] - first, m)
-            of = at + np.repeat(self.first[i[x:y]] - start[x:y], m)
-            same = np.add.reduceat((w.hashes[at] == self.flat[of]).astype(np.int64), first)
-            keep[x:y] = same * 5 >= 4 * least[x:y]
-            x = y
-        return hits[keep]
+            if len(starts):
+                s = _seeds(w.hashes, m, k)[starts]
+                maybe = known.may_have(s)
+                p = starts[maybe]
+                seeds.append(s[maybe])
+                rows.append(doc[p])
+                places.append(p - w.first[doc[p]])
+        n = np.diff(w.first)
+        brief = np.flatnonzero((n > 0) & (n < MIN_TOKENS))
+        if len(brief):
+            inside = np.repeat((n > 0) & (n < MIN_TOKENS), n)
+            s = whole_seeds(w.hashes[inside], np.concatenate([[0], np.cumsum(n[brief])]))
+            maybe = known.may_have(s)
+            seeds.append(s[maybe])
+            rows.append(brief[maybe])
+            places.append(np.zeros(len(maybe), np.int64))
+        if seeds:
+            row = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(np.concatenate(seeds).view(np.int64)), pa.array(np.concatenate(places))], names=["k1", "k2", "seed", "place"])
+
+
+def likely(w: Words, d: np.ndarray, start: np.ndarray, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The hits whose overlap is long enough and has the equal tokens that its least stretch needs.
+
+    Hit i lays flat[at[i]:at[i + 1]] over text d[i] from its token start[i] on.
+    """
+    length = np.diff(at)
+    a, b = np.maximum(start, 0) + w.first[d], np.minimum(start + length, np.diff(w.first)[d]) + w.first[d]
+    least = np.minimum(length, MIN_OVERLAP)
+    hits = np.flatnonzero((b - a >= least) & ((length >= MIN_TOKENS) | ((start == 0) & (np.diff(w.first)[d] == length))))
+    n, keep, x = (b - a)[hits], np.zeros(len(hits), bool), 0
+    total = np.cumsum(n)
+    while x < len(hits):
+        y = max(x + 1, int(np.searchsorted(total, total[x] - n[x] + CELLS, "right")))
+        i, m = hits[x:y], n[x:y]
+        first = np.cumsum(m) - m
+        token = np.arange(int(m.sum())) + np.repeat(a[i] - first, m)
+        of = token + np.repeat(at[i] - start[i] - w.first[d[i]], m)
+        same = np.add.reduceat((w.hashes[token] == flat[of]).astype(np.int64), first)
+        keep[x:y] = same * 5 >= 4 * least[i]
+        x = y
+    return hits[keep]
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, _, _ in chunks(batches, "text"):
+        w = tokens(part.column(2).cast(pa.large_string()))
+        lists = part.column(3)
+        hit = lists.flatten()
+        d = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+        start = hit.field("start").to_numpy(zero_copy_only=False)
+        flat, at = _flat_tokens(hit.field("tokens"))
+        rows, found = [], []
+        for i in likely(w, d, start, flat, at).tolist():
+            lo, hi, s, n = int(w.first[d[i]]), int(w.first[d[i] + 1]), int(start[i]), int(at[i + 1] - at[i])
+            a, b = max(s, 0), min(s + n, hi - lo)
+            a, b, same = _longest(w.hashes[lo + a : lo + b] == flat[at[i] + a - s : at[i] + b - s], a)
+            if b - a >= min(n, MIN_OVERLAP):
+                rows.append(i)
+                found.append((a, b, b - a, same))
+        text = pa.array(d[rows] if rows else [], pa.int64())
+        yield pa.RecordBatch.from_arrays([part.column(0).take(text), part.column(1).take(text), hit.field("item").take(pa.array(rows, pa.int64())), *[pa.array([x[k] for x in found], pa.int64()) for k in range(4)]], names=["k1", "k2", "item", "from", "to", "overlap", "equal"])
 
 
 def _longest(equal: np.ndarray, a: int) -> tuple[int, int, int]:
@@ -144,62 +229,48 @@ def _longest(equal: np.ndarray, a: int) -> tuple[int, int, int]:
     return a + i, a + j, int(equal[i:j].sum())
 
 
-def _find(batches: Iterator[pa.RecordBatch], ids: list, hashes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    seeds = Seeds(ids, hashes)
-    for part, _, _ in chunks(batches, "text"):
-        found = seeds.overlaps(tokens(part.column(1).cast(pa.large_string()).fill_null("")))
-        rows = [part.column(0)[d].as_py() for d, *_ in found], part.column(2).take(pa.array([x[0] for x in found], pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), rows[1], pa.array([ids[x[1]] for x in found], pa.int64()), *[pa.array([x[k] for x in found], pa.int64()) for k in (2, 3, 4, 5)]], names=["doc_id", "_key", "item_id", "from", "to", "overlap", "equal"])
-
-
-def _blocks(benchmark: DataFrame, block: int) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """The items, streamed to the driver and cut into blocks of about ``block`` seeds."""
-    ids, hashes, n = [], [], 0
-    for row in benchmark.select("item_id", "text").filter("text is not null and item_id is not null").distinct().orderBy("item_id", "text").toLocalIterator():
-        h = tokens(pa.array([row["text"]], pa.large_string())).hashes
-        if not masks_of(len(h)):
-            continue
-        ids.append(row["item_id"])
-        hashes.append(h)
-        n += len(MASKS) * len(h)
-        if n >= block:
-            yield ids, hashes
-            ids, hashes, n = [], [], 0
-    if ids:
-        yield ids, hashes
-
-
-def overlaps(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, _key, item_id, from, to, overlap, equal): the stretches of documents that repeat a benchmark item.
+def _keys() -> list[F.Column]:
+    text = F.coalesce("text", F.lit(""))
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("decontam"), text).alias("k2")]
 
-    A stretch has 13 tokens, or all of a shorter item, of which 0.8 or more are
-    equal; the longest of each diagonal is given.  Items with fewer than 5
-    tokens are not looked for.  Null texts match nothing.
-    """
-    rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"))
-    kind = "doc_id long, _key long, item_id long, `from` long, `to` long, overlap long, equal long"
-    out = None
-    for ids, hashes in _blocks(benchmark, block):
-        part = rows.mapInArrow(lambda it, ids=ids, hashes=hashes: _find(it, ids, hashes), kind)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], kind)
 
+def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(k1, k2, item, item_id, from, to, overlap, equal): the stretches of different texts that repeat a benchmark item; k1 and k2 name the text.
 
-def report(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
+    A stretch has 13 tokens, or all of a shorter item, of which 0.8 or more are
+    equal; the longest of each diagonal is given.  An item of fewer than 5
+    tokens is found only in a text that has no other tokens.  Null and empty
+    texts, and those without a letter or digit, match nothing; very long texts
+    are read whole; equal items under one item_id are one, and a null item_id
+    is an id like any other.
+    """
+    named = benchmark.select("item_id", "text").filter("text is not null").distinct()
+    items = cut(named.select(F.xxhash64("item_id", "text").alias("item"), "item_id", "text").mapInArrow(_items, "item long, item_id long, n long, tokens binary").filter("n > 0"))
+    seeds = cut(items.select("item", "tokens").mapInArrow(_item_seeds, "item long, seed long, at long"))
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(seeds))
+    texts = docs.select(*_keys(), "text")
+    sent = texts.mapInArrow(lambda it: _doc_seeds(it, shared), "k1 long, k2 long, seed long, place long").distinct()
+    hits = sent.join(small(seeds), "seed").select("k1", "k2", "item", (F.col("place") - F.col("at")).alias("start")).distinct()
+    per_text = cut(hits.join(small(items.select("item", "tokens")), "item").groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "start", "tokens")).alias("hits")))
+    found = texts.join(small(per_text), ["k1", "k2"]).select("k1", "k2", "text", "hits").mapInArrow(_verify, "k1 long, k2 long, item long, `from` long, `to` long, overlap long, equal long")
+    return cut(found.distinct().join(small(items.select("item", "item_id")), "item"))
+
+
+def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, n_overlaps, n_items, longest, item_ids, contaminated) for each row of ``docs``.
 
     Repeated rows are reported alike; a null doc_id is one like any other; an
-    empty benchmark leaves all documents clean.
+    empty benchmark leaves all documents clean, and an empty table gives an
+    empty result; other columns are ignored.  Texts are treated as overlaps() says.
     """
-    found = overlaps(docs, benchmark, block).distinct().groupBy("doc_id", "_key").agg(F.count("*").alias("n"), F.countDistinct("item_id").alias("items"), F.max("overlap").alias("longest"), F.sort_array(F.collect_set("item_id")).alias("item_ids"))
-    left = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key")).alias("d")
-    joined = left.join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d._key") == F.col("f._key")), "left")
+    found = overlaps(docs, benchmark).groupBy("k1", "k2").agg(F.count("*").alias("n"), F.countDistinct("item").alias("items"), F.max("overlap").alias("longest"), F.sort_array(F.collect_set("item_id")).alias("ids"))
+    joined = docs.select("doc_id", *_keys()).join(found, ["k1", "k2"], "left")
     zero = F.lit(0).cast("long")
-    return joined.select("d.doc_id", F.coalesce("f.n", zero).alias("n_overlaps"), F.coalesce("f.items", zero).alias("n_items"), F.coalesce("f.longest", zero).alias("longest"), F.coalesce("f.item_ids", F.array().cast("array<bigint>")).alias("item_ids"), F.col("f.n").isNotNull().alias("contaminated"))
+    return joined.select("doc_id", F.coalesce("n", zero).alias("n_overlaps"), F.coalesce("items", zero).alias("n_items"), F.coalesce("longest", zero).alias("longest"), F.coalesce("ids", F.array().cast("array<bigint>")).alias("item_ids"), F.col("n").isNotNull().alias("contaminated"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The rows of ``docs`` that repeat no benchmark item."""
-    found = overlaps(docs, benchmark, block).select(F.col("doc_id").alias("_doc"), F.col("_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key"))
-    return docs.join(found, same, "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that repeat no benchmark item; as overlaps() treats texts, and with columns of any name."""
+    found = small(cut(overlaps(docs, benchmark).select("k1", "k2").distinct()))
+    rows = docs.select(*_keys(), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    return rows.join(found, ["k1", "k2"], "left_anti").select("doc.*")

@@ -220,26 +220,28 @@ def test_repeats_odd(spark, odd, empty):
 # ---- decontamination
 
 
-def test_overlaps(spark, docs, odd, empty):
+@pytest.mark.parametrize("small_rows", [1 << 18, -1])
+def test_overlaps(spark, docs, odd, empty, monkeypatch, small_rows):
+    monkeypatch.setattr(common, "SMALL_ROWS", small_rows)
     rng = random.Random(13)
     item, short = prose(rng, 40), prose(rng, 7)
     bench = spark.createDataFrame([(1, item), (2, short), (3, None), (4, "a b"), (1, item)], "item_id long, text string")
     words = item.split()
     for i in range(5, 40, 8):
         words[i] = "changed"
-    rows = [(10, prose(rng, 50) + " " + item.upper() + " " + prose(rng, 50)), (11, prose(rng, 30) + " " + ", ".join(words)), (12, prose(rng, 300)), (13, "a b c"), (14, prose(rng, 9) + " " + short), (15, " ".join(item.split()[:20])), (16, " ".join(item.split()[:10]))]
+    rows = [(10, prose(rng, 50) + " " + item.upper() + " " + prose(rng, 50)), (11, prose(rng, 30) + " " + ", ".join(words)), (12, prose(rng, 300)), (13, "a b c"), (14, prose(rng, 9) + " " + short), (15, " ".join(item.split()[:20])), (16, " ".join(item.split()[:10])), (17, "A, b!"), (17, "A, b!"), (None, item)]
     got = {r.doc_id: r for r in decontam.report(docs([(*r, "en", "s") for r in rows]), bench).collect()}
-    assert {d for d, r in got.items() if r.contaminated} == {10, 11, 14, 15}
-    assert got[10].item_ids == [1] and got[10].longest == 40 and got[14].item_ids == [2]
-    blocks = decontam.report(docs([(*r, "en", "s") for r in rows]), bench, block=1)
-    assert {r.doc_id for r in blocks.filter("contaminated").collect()} == {10, 11, 14, 15}
+    assert {d for d, r in got.items() if r.contaminated} == {10, 11, 14, 15, 17, None}
+    assert got[10].item_ids == [1] and got[10].longest == 40 and got[14].item_ids == [2] and got[17].item_ids == [4]
     assert decontam.report(odd, bench).filter("contaminated").count() == 0 and decontam.report(odd, bench).count() == 8
     assert decontam.report(empty, bench).count() == 0
-    assert decontam.clean(odd, bench.limit(0)).count() == 8
-    assert {r.doc_id for r in decontam.clean(docs([(*r, "en", "s") for r in rows]), bench).collect()} == {12, 13, 16}
+    df = docs([(*r, "en", "s") for r in rows]).withColumns({c: F.lit(c) for c in ("k1", "k2", "doc", "hits", "item", "seed")})
+    assert decontam.clean(df, bench.limit(0)).count() == 10
+    kept = decontam.clean(df, bench).collect()
+    assert {r.doc_id for r in kept} == {12, 13, 16} and all(r.k1 == "k1" and r.doc == "doc" for r in kept)
 
 
-def test_overlaps_against_all_stretches():
+def test_overlaps_against_all_stretches(spark, docs):
     rng = random.Random(14)
     cases = [(n, k) for n in (5, 6, 7, 8, 9, 10, 12, 13, 15, 16, 20, 25, 38) for k in range(n // 4 + 2) for _ in range(60)]
     items = [[f"i{c}t{j}" for j in range(n)] for c, (n, k) in enumerate(cases)]
@@ -249,10 +251,11 @@ def test_overlaps_against_all_stretches():
         texts.append(" ".join(["pad"] * rng.randrange(3) + [f"x{j}" if j in gone else t for j, t in enumerate(item)] + ["pad"] * rng.randrange(3)))
         if any(5 * sum(x not in gone for x in range(a, b)) >= 4 * (b - a) for a in range(n) for b in range(a + min(n, 13), n + 1)):
             want.add(c)
-    seeds = decontam.Seeds(list(range(len(items))), [decontam.tokens(pa.array([" ".join(i)])).hashes for i in items])
-    got = seeds.overlaps(decontam.tokens(pa.array(texts)))
-    assert {(d, i) for d, i, *_ in got} == {(c, c) for c in want} and 0 < len(want) < len(cases)
-    assert all(same >= 0.8 * size for *_, size, same in got)
+    bench = spark.createDataFrame([(c, " ".join(i)) for c, i in enumerate(items)], "item_id long, text string")
+    df = docs([(c, t, "en", "s") for c, t in enumerate(texts)])
+    got = {(r.doc_id, i) for r in decontam.report(df, bench).collect() for i in r.item_ids}
+    assert got == {(c, c) for c in want} and 0 < len(want) < len(cases)
+    assert all(r.equal >= 0.8 * r.overlap for r in decontam.overlaps(df, bench).collect())
 
 
 def test_leaks_of_the_test_tables(spark):

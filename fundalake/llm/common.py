@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 SPACES = b" \t\n\x0b\x0c\r"
 SPLIT = r"[\x20\x09-\x0D]+"
 #: Bytes of text that are turned into arrays at a time.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ROLL = 0xD6E8FEB86659FD93

@@ -21,9 +21,13 @@ The repeated anchors go to the tasks as an array if there are at most
 ``set_rows`` of them, and otherwise in a join that brings each text its own;
 so do the texts that are there more than once.
 
-Size.  A group with more than ``group_rows`` slices is split further: its
-prefixes are lengthened to the whole window, and such groups need no tree but a
-count, with partial sums.  Nothing is capped or left out.
+Size.  A group with more than ``group_rows`` slices is split further by longer
+prefixes, up to the whole window.  Such a prefix is itself the path to a node of
+depth ``width``, which is a repeat if two suffixes pass it; so the subtrees of
+these groups are their prefixes and counts, added up with partial sums.  The
+repeated ones go to the tasks that hold the slices, or, beyond ``set_rows``, to
+a salted join, so that a passage that a third of all texts share is dealt out
+like any other.  Nothing is capped or left out.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from fundalake.llm.common import Words, chunks, cut, mix, partitions, windows
 from fundalake.llm.simhash import sorted_groups
@@ -43,6 +48,8 @@ ANCHOR = 8
 GROUP_ROWS = 4096
 #: Most anchors, or repeated texts, that are sent to the tasks (8 and 16 bytes each).
 SET_ROWS = 1 << 22
+#: Parts of a hot window in the join.
+SALTS = 16
 _LEVEL = 5
 
 
@@ -208,11 +215,33 @@ def _flat(column: pa.ChunkedArray) -> pa.Array:
     return out.chunk(0) if isinstance(out, pa.ChunkedArray) else out
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch], names: list[str], width: int) -> Iterator[pa.RecordBatch]:
+def _hot_spans(batches: Iterator[pa.RecordBatch], width: int, again) -> Iterator[pa.RecordBatch]:
+    """Spans of the neighbouring windows that are among ``again``: two arrays, sorted by both."""
+    one, two = again.value
+    for batch in batches:
+        w1, w2 = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("w1", "w2"))
+        lo, hi = np.searchsorted(one, w1), np.searchsorted(one, w1, "right")
+        hit = np.zeros(len(w1), bool)
+        for i in range(int((hi - lo).max(initial=0))):  # more than one only where half of the hash collides
+            some = np.flatnonzero(lo + i < hi)
+            hit[some] |= two[lo[some] + i] == w2[some]
+        key, start = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("_key", "start"))
+        doc = batch.column(0).fill_null(_NO_DOC).to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(hit)
+        if not len(at):
+            continue
+        k, d, s = key[at], doc[at], start[at]
+        new = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1]) | (s[1:] != s[:-1] + 1)]))
+        last = np.append(new[1:], len(s)) - 1
+        row = pa.array(at[new])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(row), pa.array(k[new]), pa.array(s[new]), pa.array(s[last] + width)], names=["doc_id", "_key", "from", "to"])
+
+
+def _cut_out(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for part, raw, cuts in chunks(batches, "text"):
         data, at = raw.tobytes(), cuts.tolist()
-        whole = part.column(part.schema.get_field_index("_whole")).to_pylist()
-        spans = part.column(part.schema.get_field_index("_spans"))
+        whole = part.column(2).to_pylist()
+        spans = part.column(3)
         flat, lengths = spans.flatten(), spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         a, b = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("from", "to"))
         ends = np.cumsum(lengths)
@@ -233,8 +262,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch], names: list[str], width: int) ->
             texts.append(b" ".join(kept))
             n_words.append(n)
             n_removed.append(n - len(kept))
-        columns = [part.column(part.schema.get_field_index(c)) for c in names]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], names=[*names, "kept_text", "n_words", "n_removed"])
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], names=["doc", "text", "kept_text", "n_words", "n_removed"])
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_ROWS, set_rows: int = SET_ROWS) -> DataFrame:
@@ -272,8 +300,15 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_
     cold = slices.filter("anchor is not null").repartition(partitions(spark), "anchor").sortWithinPartitions("anchor")
     spans = cold.mapInArrow(lambda it: _repeats(it, width), "doc_id long, _key long, `from` long, `to` long")
     hot = slices.filter("anchor is null").select("doc_id", "_key", "start", "w1", "w2")
-    again = cut(hot.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n"))  # a plain side of the join, so that AQE may split the other at a hot window
-    spans = spans.unionByName(hot.join(again, ["w1", "w2"]).select("doc_id", "_key", F.col("start").alias("from"), (F.col("start") + width).alias("to")))
+    again = cut(hot.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
+    if again.count() <= set_rows:
+        t = again.orderBy("w1", "w2").toArrow()
+        sent = spark.sparkContext.broadcast((t["w1"].to_numpy(), t["w2"].to_numpy()))
+        more = hot.mapInArrow(lambda it: _hot_spans(it, width, sent), "doc_id long, _key long, `from` long, `to` long")
+    else:
+        salted = again.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        more = hot.withColumn("salt", F.pmod(F.xxhash64("_key", "start"), F.lit(SALTS)).cast("int")).join(salted, ["w1", "w2", "salt"]).select("doc_id", "_key", F.col("start").alias("from"), (F.col("start") + width).alias("to"))
+    spans = spans.unionByName(more)
     found = spans.groupBy("doc_id", "_key").agg(F.collect_list(F.struct("from", "to")).alias("_spans"))
 
     copied_keys = many.select("_key", F.lit(True).alias("_whole")).distinct()
@@ -283,29 +318,44 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_
     return whole.select("doc_id", "_key", "_whole", none.alias("_spans")).unionByName(single.select("doc_id", "_key", F.lit(False).alias("_whole"), "_spans"))
 
 
+def _judged(docs: DataFrame, width: int, group_rows: int, set_rows: int) -> DataFrame:
+    """(doc, text, kept_text, n_words, n_removed): a row per row of ``docs``; doc holds its other columns."""
+    spans = repeated_spans(docs, width, group_rows, set_rows)
+    key = F.xxhash64(F.lit(1), F.coalesce("text", F.lit("")))
+    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc"), "text", key.alias("_key")).alias("d")
+    joined = left.join(spans.alias("s"), F.col("d.doc.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d._key") == F.col("s._key")), "left")
+    joined = joined.select("d.doc", "d.text", F.coalesce("s._whole", F.lit(False)).alias("_whole"), F.col("s._spans").alias("_spans"))
+    kind = StructType([joined.schema["doc"], joined.schema["text"], StructField("kept_text", StringType()), StructField("n_words", LongType()), StructField("n_removed", LongType())])
+    return joined.mapInArrow(lambda it: _cut_out(it, width), kind)
+
+
+def _column(name: str) -> F.Column:
+    return F.col("text") if name == "text" else F.col(f"doc.`{name}`")
+
+
 def without_repeats(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_ROWS, set_rows: int = SET_ROWS) -> DataFrame:
     """``docs`` with kept_text (the kept words, one space between), n_words and n_removed.
 
-    Null and empty texts have no word.  Repeated rows are copies of each other,
-    also under one doc_id; a null doc_id is a doc_id like any other.  Extra
-    columns come along (three names are taken: kept_text, n_words, n_removed
-    are replaced); an empty table gives an empty result.
+    Null and empty texts have no word.  A very long text is read whole.
+    Repeated rows are copies of each other, also under one doc_id; a null
+    doc_id is a doc_id like any other.  Extra columns come along (those named
+    kept_text, n_words or n_removed are replaced); an empty table gives an
+    empty result.
     """
-    names = [c for c in docs.columns if c not in ("kept_text", "n_words", "n_removed", "_key", "_whole", "_spans")]
-    spans = repeated_spans(docs, width, group_rows, set_rows)
-    key = F.xxhash64(F.lit(1), F.coalesce("text", F.lit("")))
-    left = docs.select(*names).withColumn("_key", key).alias("d")
-    joined = left.join(spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d._key") == F.col("s._key")), "left")
-    joined = joined.select(*[f"d.`{c}`" for c in names], F.coalesce("s._whole", F.lit(False)).alias("_whole"), F.col("s._spans").alias("_spans"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    return joined.mapInArrow(lambda it: _cut_out(it, names, width), f"{types}, kept_text string, n_words long, n_removed long")
+    out = _judged(docs, width, group_rows, set_rows)
+    return out.select(*[_column(c).alias(c) for c in docs.columns if c not in ("kept_text", "n_words", "n_removed")], "kept_text", "n_words", "n_removed")
 
 
 def applied(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``docs`` with the repeats cut out of their texts; texts without any stay as they are, and documents of which nothing is left go."""
-    out = without_repeats(docs, width)
+    """``docs`` with the repeats cut out of their texts; texts without any stay as they are, and documents of which nothing is left go.
+
+    Null and empty texts stay; repeated rows with ``width`` words or more go,
+    all of them; n_chars, if there is such a column, follows the text; other
+    columns come along whatever their names.
+    """
     touched = F.col("n_removed") > 0
-    kept = out.filter(~touched | (F.col("n_removed") < F.col("n_words")))
-    text = F.when(touched, F.col("kept_text")).otherwise(F.col("text"))
-    columns = {"text": text} | ({"n_chars": F.when(touched, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
-    return kept.withColumns(columns).select(*docs.columns)
+    kept = _judged(docs, width, GROUP_ROWS, SET_ROWS).filter(~touched | (F.col("n_removed") < F.col("n_words")))
+    new = {"text": F.when(touched, F.col("kept_text")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(touched, F.length("kept_text")).otherwise(F.col("doc.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return kept.select(*[new.get(c, _column(c)).alias(c) for c in docs.columns])

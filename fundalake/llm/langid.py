@@ -6,6 +6,12 @@ with every dictionary, and the language whose pieces are smallest in sum wins.
 Pieces keep a long text from becoming its own dictionary, which would drown the
 difference; all pieces of the whole text count.
 
+A text is rejected if its margins are narrow: the runner-up needs hardly more
+than the best, or the best dictionary saves hardly anything against none (a
+language that was not learned, or noise).  What is narrow is set by the learned
+rows themselves: ``NARROW`` of the median margin of their language, from a
+mergeable quantile sketch over all of them.
+
 The dictionaries are the only thing that is fitted: ``dict_bytes`` of snippets
 for each language at most, taken from training rows by a hash of their doc_id
 (the documented bound of the sample; the number of training rows itself is
@@ -20,14 +26,18 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+from fundalake.llm.common import stored
 
 DICT_BYTES = 1 << 18
 SNIPPET = 256
 PIECE = 768
 LEVEL = 5
-#: A text is rejected if the runner-up needs no more than this much more than the best.
-MARGIN = 0.001
+#: The share of a language's median margins below which a text is rejected.
+NARROW = 0.05
 UNKNOWN = "und"
 MAX_LANGUAGES = 512
 
@@ -38,33 +48,41 @@ def held_out(doc_id) -> F.Column:
 
 
 def train(labelled: DataFrame, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
-    """{language: dictionary} from rows (doc_id, text, lang); null languages and texts without a letter are left out."""
-    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    """{language: dictionary} from rows (doc_id, text, lang); null languages and texts without a letter are left out.
+
+    Two scans, whatever the number of languages: one counts the rows of each,
+    one takes the snippets of all.  More than MAX_LANGUAGES raise an error.
+    """
+    rows = labelled.filter(F.col("lang").isNotNull())
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not sizes:
+        return {}
     want = 2 * dict_bytes // SNIPPET
     order = F.xxhash64(F.lit("langid"), F.col("doc_id"))
-    dictionaries = {}
-    for lang in sorted(sizes):
-        # about 3 * want rows pass the hash; of these the first ``want`` snippets are kept, so little is sorted
-        share = min(1.0, 3 * want / sizes[lang])
-        some = rows.filter(F.col("lang") == lang).filter(F.pmod(order, F.lit(1 << 20)) <= int(share * (1 << 20)))
-        at = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - SNIPPET, F.lit(1))).cast("int") + 1
-        snippets = some.select(F.lower(F.substring("text", at, F.lit(SNIPPET))).alias("s"), order.alias("o")).filter(F.col("s").rlike(r"\p{L}")).groupBy("s").agg(F.min("o").alias("o")).orderBy("o", "s").limit(want).collect()
-        dictionaries[lang] = "\n".join(r["s"] for r in snippets).encode()[-dict_bytes:]  # copies of a text count once
-    return {k: v for k, v in dictionaries.items() if v}
+    # about 3 * want rows of a language pass the hash; of these the first ``want`` snippets are kept, so little is sorted
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, 3 * want / n) * (1 << 20)))])
+    some = rows.filter(F.pmod(order, F.lit(1 << 20)) <= share[F.col("lang")]).filter(F.col("text").isNotNull())
+    at = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - SNIPPET, F.lit(1))).cast("int") + 1
+    snippets = some.select("lang", F.lower(F.substring("text", at, F.lit(SNIPPET))).alias("s"), order.alias("o")).filter(F.col("s").rlike(r"\p{L}")).groupBy("lang", "s").agg(F.min("o").alias("o"))
+    first = snippets.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("o", "s"))).filter(F.col("rank") <= want)
+    found: dict[str, list] = {}
+    for r in sorted(first.collect(), key=lambda r: (r["lang"], r["rank"])):
+        found.setdefault(r["lang"], []).append(r["s"])
+    return {lang: "\n".join(s).encode()[-dict_bytes:] for lang, s in found.items()}  # copies of a text count once
 
 
 def _coders(dictionaries: dict[str, bytes]) -> tuple[list[str], list[zstandard.ZstdCompressor]]:
+    """The languages and their coders; at the end, one without a dictionary."""
     langs = sorted(dictionaries)
     made = []
+    params = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0)
     for lang in langs:
         d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(level=LEVEL)
-        params = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0)
         made.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params))
-    return langs, made
+    return langs, [*made, zstandard.ZstdCompressor(compression_params=params)]
 
 
 def sizes(text: bytes, coders: list[zstandard.ZstdCompressor]) -> list[int]:
@@ -72,16 +90,17 @@ def sizes(text: bytes, coders: list[zstandard.ZstdCompressor]) -> list[int]:
     return [sum(len(c.compress(p)) for p in pieces) for c in coders]
 
 
-def decide(langs: list[str], size: list[int]) -> tuple[str, float, bool]:
-    """Language, score and whether the margin is too narrow.
+def decide(langs: list[str], size: list[int], plain: int) -> tuple[str, float, float, float]:
+    """Language, score, how much more of its size the runner-up needs, and the share that the best saves of the size without a dictionary.
 
     The score is a probability for the best: each byte that another needs more
-    halves its weight.  Ties go to the first language by name.
+    halves its weight.  Ties go to the first language by name.  A language
+    without a rival has a gap of 1.
     """
     best = min(range(len(langs)), key=lambda i: (size[i], i))
     score = 1 / math.fsum(2.0 ** -min(60, s - size[best]) for s in size)
     gap = min((s - size[best] for i, s in enumerate(size) if i != best), default=size[best])
-    return langs[best], score, gap <= MARGIN * size[best]
+    return langs[best], score, gap / size[best], 1 - size[best] / plain
 
 
 def _predict(batches: Iterator[pa.RecordBatch], dictionaries: dict[str, bytes]) -> Iterator[pa.RecordBatch]:
@@ -90,31 +109,48 @@ def _predict(batches: Iterator[pa.RecordBatch], dictionaries: dict[str, bytes])
         out = []
         for text, has in zip(batch.column(1), batch.column(2)):
             if not has.as_py() or not langs:
-                out.append((UNKNOWN, 0.0, True))
+                out.append((UNKNOWN, 0.0, None, None))
             else:
-                out.append(decide(langs, sizes(text.as_py().lower().encode(), coders)))
-        kinds = (pa.string(), pa.float64(), pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], *batch.columns[3:]], names=["doc_id", "lang_pred", "score", "rejected", *batch.schema.names[3:]])
+                *size, plain = sizes(text.as_py().lower().encode(), coders)
+                out.append(decide(langs, size, plain))
+        kinds = (pa.string(), pa.float64(), pa.float64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], *batch.columns[3:]], names=["doc_id", "lang_pred", "score", "gap", "gain", *batch.schema.names[3:]])
 
 
-def predict(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str] | None = None) -> DataFrame:
-    """(doc_id, lang_pred, score, rejected) and the columns ``keep``, a row per row of ``docs``.
+def predict(docs: DataFrame, dictionaries: dict[str, bytes], whole: bool = False) -> DataFrame:
+    """(doc_id, lang_pred, score, gap, gain), and with ``whole`` the row itself as doc, a row per row of ``docs``.
 
-    A null text, one without a letter, or any text if nothing could be learned:
-    ``und`` with score 0, rejected.  Only the text is looked at; repeated rows
-    get equal results; an empty table gives an empty result.
+    A null or empty text, one without a letter, or any text if nothing could be
+    learned: ``und`` with score 0 and null margins.  Only the text is looked at,
+    all of it however long; a null doc_id is carried along; repeated rows get
+    equal results; an empty table gives an empty result.
     """
-    keep = keep or []
     has = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select("doc_id", "text", has.alias("_has"), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(keep)])
-    types = "".join(f", _c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = rows.mapInArrow(lambda it: _predict(it, dictionaries), f"doc_id long, lang_pred string, score double, rejected boolean{types}")
-    return out.withColumnsRenamed({f"_c{i}": c for i, c in enumerate(keep)})
+    doc = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if whole else []
+    rows = docs.select("doc_id", "text", has.alias("has"), *doc)
+    kind = StructType([rows.schema["doc_id"], StructField("lang_pred", StringType()), *[StructField(c, DoubleType()) for c in ("score", "gap", "gain")], *([rows.schema["doc"]] if whole else [])])
+    return rows.mapInArrow(lambda it: _predict(it, dictionaries), kind)
+
+
+def judged(found: DataFrame, learned: F.Column, narrow: float = NARROW) -> DataFrame:
+    """``found``, a written result of predict(), with rejected: ``und``, or a margin below ``narrow`` of the median of the rows that are ``learned`` and of its language.
+
+    There are at most MAX_LANGUAGES medians.  In a language of which no learned
+    row is predicted, only texts without a gap or a gain are rejected.
+    """
+    median = found.filter(learned & (F.col("lang_pred") != UNKNOWN)).groupBy(F.col("lang_pred").alias("_lang")).agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"_{c}") for c in ("gap", "gain")])
+    out = found.join(F.broadcast(median), found.lang_pred == F.col("_lang"), "left")
+    zero = F.lit(0.0)
+    wide = (F.col("gap") > narrow * F.coalesce("_gap", zero)) & (F.col("gain") > narrow * F.greatest(F.coalesce("_gain", zero), zero))
+    return out.withColumn("rejected", ~F.coalesce(wide, F.lit(False))).drop("_lang", "_gap", "_gain")
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised, by dictionaries learned from those rows that have one."""
-    dictionaries = train(docs.filter(~held_out(F.col("doc_id"))))
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    held = docs.withColumn("_text", F.col("text"))
-    return predict(held, dictionaries, [*rest, "_text"]).filter(~F.col("rejected")).withColumnRenamed("_text", "text").select(*docs.columns)
+    """The rows of ``docs`` whose language is recognised, by dictionaries learned from those rows that have one.
+
+    Null and empty texts and those without a letter go, as do texts whose
+    margins are narrow; other rows stay as they are, repeated ones too, with
+    columns of any name; an empty table gives an empty result.
+    """
+    found = stored(predict(docs, train(docs.filter(~held_out(F.col("doc_id")))), whole=True), "langid")
+    return judged(found, ~held_out(F.col("doc_id"))).filter(~F.col("rejected")).select("doc.*")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fundalake.llm.common import count_words, cut, fresh_path, partitions
+from fundalake.llm.common import count_words, cut, partitions, stored
 
 MAX_EPOCHS = 3
 BUCKET_HEX = 3
@@ -180,10 +180,8 @@ def ordered(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum,
     position are replaced; others come along whatever their names.
     """
     # an id may be null or shared, so rows are numbered, once and for all, before they are dealt
-    at = fresh_path(docs.sparkSession, "mixing")
     names = [c for c in docs.columns if c.lower() not in ("copy", "position")]
-    docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc")).write.parquet(at)
-    rows = docs.sparkSession.read.parquet(at)
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc")), "mixing")
     plan = _planned(_sized(rows.select("row", "doc.doc_id", "doc.source", "doc.text")), schedule, max_epochs)
     out = _in_order(rows.join(_copies(plan).select("row", "k", "copy", "position"), "row"))
     return out.select("doc.*", "copy", "position")

@@ -6,7 +6,9 @@ quantile), and merging sketches is adding counts: Spark's partial aggregation
 does it for each (language, source), and sums of those are the sketches of the
 language and of everything, which stand in for groups of fewer than
 ``min_group`` documents.  The cutoffs are fences around the quartiles, joined
-back to the documents.
+back to the documents.  A fence is never nearer than a few single events
+(one symbol, one repeated line) in a short document of the group, whose length
+is read from a sketch as well; no cutoff of a measure is fixed.
 """
 
 from __future__ import annotations
@@ -28,9 +30,9 @@ REPEAT_WIDTH = 5
 SYMBOLS = b"#*$%&|<>"
 MIN_GROUP = 100
 FENCE = 3
-#: What a document may always have, whatever its group: symbols, and repeated lines, for each 1000 words.
-FREE = {"symbols": 100, "dup_lines": 20}
 MEASURES = ("symbols", "dup_lines", "word_len")
+#: Measures that count events for each 1000 words.
+RATES = ("symbols", "dup_lines")
 
 _symbol = np.zeros(256, bool)
 _symbol[list(SYMBOLS)] = True
@@ -92,17 +94,21 @@ def quartiles(sketch: DataFrame, *keys: str) -> DataFrame:
 
 
 def _wide(q: DataFrame, *keys: str) -> DataFrame:
-    """The fences of the measures side by side; null where the group has fewer than ``min_group`` rows."""
-    spread = F.greatest(F.col("q3") - F.col("q1"), F.expr("q3 div 8") + 1)
-    q = q.withColumn("low", F.col("q1") - FENCE * spread).withColumn("high", F.col("q3") + FENCE * spread)
+    """The fences of the measures side by side: FENCE spreads beyond the quartiles; for a rate, a spread is one event in a document of the first quartile's length at least."""
     pick = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c)))
-    return q.groupBy(*keys).agg(F.max("total").alias("total"), *[pick(m, c).alias(f"{m}_{c}") for m in MEASURES for c in ("low", "high")])
+    q = q.groupBy(*keys).agg(F.max("total").alias("total"), *[pick(m, c).alias(f"{m}_{c}") for m in (*MEASURES, "length") for c in ("q1", "q3")])
+    for m in MEASURES:
+        q1, q3 = F.col(f"{m}_q1"), F.col(f"{m}_q3")
+        spread = F.greatest(q3 - q1, F.expr(f"{m}_q3 div 8") + 1, F.expr("1000 div length_q1") if m in RATES else F.lit(0).cast("long"))
+        q = q.withColumn(f"{m}_low", q1 - FENCE * spread).withColumn(f"{m}_high", q3 + FENCE * spread)
+    return q.select(*keys, "total", *[f"{m}_{c}" for m in MEASURES for c in ("low", "high")])
 
 
 def verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """The measures, base_failed and kept of each row of ``docs``.
 
-    Null and empty texts have no words and fail.  Null languages and sources
+    Null and empty texts have no words and fail; very long texts are measured
+    whole.  Null languages and sources
     are groups of their own.  Repeated rows count as often as they are there;
     other columns are ignored; an empty table gives an empty result.
     """
@@ -110,7 +116,7 @@ def verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     n = F.col("n_words")
     of = {"symbols": F.expr("1000 * n_symbols div n_words"), "dup_lines": F.expr("1000 * n_dup_lines div n_words"), "word_len": F.expr("100 * word_chars div n_words")}
     good = base.filter(~F.col("base_failed") & (n > 0))
-    long = good.select("lang", "source", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), of[m].alias("_x")) for m in MEASURES])).alias("m")).select("lang", "source", "m.*")
+    long = good.select("lang", "source", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), x.alias("_x")) for m, x in (of | {"length": n}).items()])).alias("m")).select("lang", "source", "m.*")
     fine = cut(sketches(long))
     levels = [("own", ["lang", "source"]), ("tongue", ["lang"]), ("all", [])]
     out = base
@@ -122,6 +128,6 @@ def verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
         on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{name}_{k}")) for k in keys], F.lit(True))
         out = out.join(fences, on, "left") if keys else out.join(F.broadcast(fences), on, "left")  # one row
     fence = lambda m, c: F.coalesce(*[F.col(f"{name}_{m}_{c}") for name, _ in levels])
-    ok = (of["symbols"] <= F.greatest(fence("symbols", "high"), F.lit(FREE["symbols"]))) & (of["dup_lines"] <= F.greatest(fence("dup_lines", "high"), F.lit(FREE["dup_lines"]))) & of["word_len"].between(fence("word_len", "low"), fence("word_len", "high"))
+    ok = (of["symbols"] <= fence("symbols", "high")) & (of["dup_lines"] <= fence("dup_lines", "high")) & of["word_len"].between(fence("word_len", "low"), fence("word_len", "high"))
     kept = F.when(F.col("base_failed"), False).otherwise(F.coalesce(ok, F.lit(False)))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))

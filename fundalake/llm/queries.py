@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundalake.llm import chat, decontam, html_extract, kn_model, langid, mixing, quality_rules, simhash, substring_dedup, warc
+from fundalake.llm.common import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +26,8 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held = langid.held_out(F.col("doc_id"))
-    out = langid.predict(docs, langid.train(docs.filter(~held)))
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+    found = stored(langid.predict(docs, langid.train(docs.filter(~held))), "langid")
+    return langid.judged(found, ~held).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,14 +100,15 @@ _FLOOR = "CASE WHEN b < 64 THEN b ELSE (b - ((b - 32) // 32) * 32) << CAST((b -
 
 def _fences(keys: str) -> str:
     by = f"{keys}, " if keys else ""
+    names = (*quality_rules.MEASURES, "length")
+    spread = {m: f"greatest({m}_q3 - {m}_q1, {m}_q3 // 8 + 1, {'1000 // length_q1' if m in quality_rules.RATES else '0'})" for m in quality_rules.MEASURES}
     return f"""
-  SELECT {by}max(total) AS total,
-         {", ".join(f"max(CASE WHEN m = '{m}' THEN q1 - 3 * spread END) AS {m}_low, max(CASE WHEN m = '{m}' THEN q3 + 3 * spread END) AS {m}_high" for m in quality_rules.MEASURES)}
-  FROM (SELECT *, greatest(q3 - q1, q3 // 8 + 1) AS spread FROM (
-    SELECT {by}m, max(total) AS total, min(CASE WHEN run * 4 >= total THEN v END) AS q1, min(CASE WHEN run * 4 >= total * 3 THEN v END) AS q3
-    FROM (SELECT {by}m, {_FLOOR} AS v, sum(n) OVER (PARTITION BY {by}m ORDER BY b) AS run, sum(n) OVER (PARTITION BY {by}m) AS total
-          FROM (SELECT {by}m, b, sum(n) AS n FROM sketch GROUP BY {by}m, b))
-    GROUP BY {by}m)) {f"GROUP BY {keys}" if keys else ""}"""
+  SELECT {by}total, {", ".join(f"{m}_q1 - 3 * {x} AS {m}_low, {m}_q3 + 3 * {x} AS {m}_high" for m, x in spread.items())}
+  FROM (SELECT {by}max(total) AS total, {", ".join(f"max(CASE WHEN m = '{m}' THEN {c} END) AS {m}_{c}" for m in names for c in ("q1", "q3"))}
+    FROM (SELECT {by}m, max(total) AS total, min(CASE WHEN run * 4 >= total THEN v END) AS q1, min(CASE WHEN run * 4 >= total * 3 THEN v END) AS q3
+      FROM (SELECT {by}m, {_FLOOR} AS v, sum(n) OVER (PARTITION BY {by}m ORDER BY b) AS run, sum(n) OVER (PARTITION BY {by}m) AS total
+            FROM (SELECT {by}m, b, sum(n) AS n FROM sketch GROUP BY {by}m, b))
+      GROUP BY {by}m) {f"GROUP BY {keys}" if keys else ""})"""
 
 
 _OP7 = rf"""
@@ -124,14 +126,15 @@ judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base
                   1000 * n_dup_lines // nullif(n_words, 0) AS dup_lines, 100 * word_chars // nullif(n_words, 0) AS word_len FROM base),
 long AS (SELECT lang, source, 'symbols' AS m, symbols AS x FROM judged WHERE NOT base_failed UNION ALL
          SELECT lang, source, 'dup_lines', dup_lines FROM judged WHERE NOT base_failed UNION ALL
-         SELECT lang, source, 'word_len', word_len FROM judged WHERE NOT base_failed),
+         SELECT lang, source, 'word_len', word_len FROM judged WHERE NOT base_failed UNION ALL
+         SELECT lang, source, 'length', n_words FROM judged WHERE NOT base_failed),
 sketch AS (SELECT lang, source, m, b, count(*) AS n FROM (
   SELECT lang, source, m, shift * 32 + (x >> shift) AS b FROM (SELECT *, CAST(greatest(length(bin(x)) - 6, 0) AS INT) AS shift FROM long)) GROUP BY ALL),
 own AS ({_fences("lang, source")}), tongue AS ({_fences("lang")}), everything AS ({_fences("")})
 SELECT j.doc_id, j.n_words, j.word_chars, j.n_symbols, j.n_dup_lines, j.n_repeat_words, j.base_failed,
        CASE WHEN j.base_failed THEN false ELSE
-         j.symbols <= greatest(coalesce(o.symbols_high, t.symbols_high, e.symbols_high), 100)
-         AND j.dup_lines <= greatest(coalesce(o.dup_lines_high, t.dup_lines_high, e.dup_lines_high), 20)
+         j.symbols <= coalesce(o.symbols_high, t.symbols_high, e.symbols_high)
+         AND j.dup_lines <= coalesce(o.dup_lines_high, t.dup_lines_high, e.dup_lines_high)
          AND j.word_len BETWEEN coalesce(o.word_len_low, t.word_len_low, e.word_len_low) AND coalesce(o.word_len_high, t.word_len_high, e.word_len_high) END AS kept
 FROM judged j
 LEFT JOIN own o ON j.lang IS NOT DISTINCT FROM o.lang AND j.source IS NOT DISTINCT FROM o.source AND o.total >= 100

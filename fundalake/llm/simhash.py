@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundalake.llm.common import chunks, components, cut, fresh_path, partitions
+from fundalake.llm.common import chunks, components, cut, partitions, stored
 
 SHINGLE = 4
 RADIUS = 4
@@ -290,6 +290,4 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def _numbered(docs: DataFrame) -> DataFrame:
     """(row, doc): the rows of ``docs``, numbered once and for all, as they are read again."""
-    at = fresh_path(docs.sparkSession, "simhash")
-    docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).write.parquet(at)
-    return docs.sparkSession.read.parquet(at)
+    return stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "simhash")

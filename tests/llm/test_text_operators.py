@@ -63,21 +63,24 @@ def test_language(spark, docs, odd, empty):
     rows = [(i, prose(rng, 40, sets[lang]), lang, "s") for i, lang in enumerate(["aa", "bb"] * 60)]
     df = docs(rows)
     model = langid.train(df.filter(~langid.held_out(F.col("doc_id"))))
-    got = langid.predict(df, model, ["lang"]).collect()
-    assert all(r.lang == r.lang_pred and 0.5 < r.score <= 1 and not r.rejected for r in got)
-    rest = {r.doc_id: r for r in langid.predict(odd, model).collect()}
+    got = langid.judged(langid.predict(df, model, whole=True), F.lit(True)).collect()
+    assert all(r.doc.lang == r.lang_pred and 0.5 < r.score <= 1 and not r.rejected for r in got)
+    rest = {r.doc_id: r for r in langid.judged(langid.predict(odd, model), F.lit(True)).collect()}
     assert [(rest[i].lang_pred, rest[i].score, rest[i].rejected) for i in (1, 2, 3, 6)] == [("und", 0.0, True)] * 4
     assert langid.predict(odd, model).count() == odd.count()
-    assert langid.train(empty) == {} and langid.predict(empty, {}).count() == 0
+    assert langid.train(empty) == {} and langid.predict(empty, {}).count() == 0 and langid.accepted(empty).count() == 0
     assert {r.lang_pred for r in langid.predict(df, {}).collect()} == {"und"}
-    assert langid.decide(["a", "b"], [1000, 1001])[2] and not langid.decide(["a", "b"], [1000, 1010])[2]
-    assert langid.accepted(df.unionByName(docs([(900, None, "aa", "s")]))).count() == 120
+    assert langid.decide(["a", "b"], [1000, 1010], 2000) == ("a", pytest.approx(1, abs=0.001), 0.01, 0.5)
+    more = [(900, None, "aa", "s"), (901, "".join(rng.choice("абвгдежзиклмнопр  ") for _ in range(400)), None, "s"), (902, " ".join(t for p in zip(rows[0][1].split(), rows[1][1].split()) for t in p), None, "s")]
+    clash = df.unionByName(docs(more)).withColumns({c: F.lit(c) for c in ("has", "doc", "lang_pred", "gap", "_lang", "rejected", "_text")})
+    kept = langid.accepted(clash).collect()
+    assert {r.doc_id for r in kept} - {902} == set(range(120)) and all(r.doc == "doc" and r.rejected == "rejected" for r in kept)
 
 
 def test_held_out_accuracy(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = langid.held_out(F.col("doc_id"))
-    got = langid.predict(d, langid.train(d.filter(~held)), ["lang"]).filter(held)
+    got = langid.predict(d, langid.train(d.filter(~held)), whole=True).filter(held).select("lang_pred", "doc.lang")
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0] > 0.95
 
 
@@ -272,10 +275,10 @@ def test_leaks_of_the_test_tables(spark):
 def test_rules(spark, docs, odd, empty):
     rng = random.Random(17)
     rows = [(i, prose(rng, 80), "en", "s") for i in range(150)]
-    bad = [(200, prose(rng, 5), "en", "s"), (201, "a b c d e " * 10, "en", "s"), (202, " ".join(w + "###$$$" for w in prose(rng, 80).split()), "en", "s"), (203, "\n".join(["l m"] * 3 + [prose(rng, 5) for _ in range(12)]), "en", "s")]
+    bad = [(200, prose(rng, 5), "en", "s"), (201, "a b c d e " * 10, "en", "s"), (202, " ".join(w + "###$$$" for w in prose(rng, 80).split()), "en", "s"), (203, "\n".join(["l m"] * 5 + [prose(rng, 5) for _ in range(12)]), "en", "s")]
     got = {r.doc_id: r for r in quality_rules.verdicts(docs(rows + bad)).collect()}
     assert all(got[i].kept for i in range(150)) and not any(got[i].kept for i in (200, 201, 202, 203))
-    assert got[200].base_failed and got[201].base_failed and not got[202].base_failed and got[203].n_dup_lines == 2
+    assert got[200].base_failed and got[201].base_failed and not got[202].base_failed and got[203].n_dup_lines == 4
     assert (got[201].n_repeat_words, got[202].n_symbols) == (50, 480)
     rest = quality_rules.verdicts(odd).collect()
     assert len(rest) == 8 and {r.n_words for r in rest if r.doc_id in (1, 2, 3)} == {0} and all(r.base_failed for r in rest if r.doc_id != 5)

@@ -296,7 +296,7 @@ def test_buckets(spark):
 # ---- language model
 
 
-def slow_model(texts, test, n_max=5):
+def slow_model(texts, test, n_max=kn_model.ORDER):
     low = lambda t: bytes(c + 32 if 65 <= c <= 90 else c for c in t.encode())
     pad = lambda t: [0] * (n_max - 1) + list(low(t)) + [0]
     c = {n_max: collections.Counter(tuple(x[i - n_max + 1 : i + 1]) for x in map(pad, texts) for i in range(n_max - 1, len(x)))}
@@ -324,26 +324,33 @@ def slow_model(texts, test, n_max=5):
     return [sum(math.log(p(tuple(x[i - n_max + 1 : i + 1]))) for i in range(n_max - 1, len(x))) for x in map(pad, test)]
 
 
-@pytest.mark.parametrize("shard", [1 << 20, 500])
-def test_kneser_ney(spark, docs, shard):
+def folds_of(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", kn_model._fold().alias("f")).collect()
+    return [f for _, f in sorted((r.i, r.f) for r in rows)]
+
+
+@pytest.mark.parametrize(("shard", "chunk"), [(1 << 20, 1 << 20), (300, 500)])
+def test_kneser_ney(spark, docs, shard, chunk):
+    """Each text by the model of the other fold, in one chunk and one shard for each partition or in many; copies and shared or null ids keep their own scores."""
     rng = random.Random(19)
     texts = [prose(rng, 30) + " Éa" for _ in range(20)]
-    test = [texts[0], "zebra! " + prose(rng, 5), "", "ÀÉ\n", None]
+    test = [(0, texts[0]), (1, texts[1]), (2, "zebra! " + prose(rng, 5)), (3, ""), (4, "ÀÉ\n"), (5, None), (0, texts[0]), (None, "qqqq zzzz"), (None, "w1 w2 w3 "), (0, prose(rng, 700))]
     model = kn_model.train(docs([(i, t, "en", "s") for i, t in enumerate(texts)]))
-    df = docs([(i, t, "en", "s") for i, t in enumerate(test)] + [(0, test[0], "en", "s")])
-    rows = kn_model.scores(df, model, shard).collect()
-    got = {r.doc_id: r.log_p for r in rows}
-    assert len(rows) == 6
-    assert [got[i] for i in range(5)] == pytest.approx(slow_model(texts, [t or "" for t in test]), rel=1e-5)
+    rows = kn_model.scores(docs([(i, t, "en", "s") for i, t in test]), model, chunk, shard).collect()
+    of, mine = folds_of(spark, texts), folds_of(spark, [t or "" for _, t in test])
+    assert len(set(of)) == len(set(mine)) == 2
+    want = sorted((i or -1, len((t or "").encode()), round(slow_model([x for x, f in zip(texts, of) if f != own], [t or ""])[0], 2)) for (i, t), own in zip(test, mine))
+    assert sorted((r.doc_id or -1, r.n_bytes, round(r.log_p, 2)) for r in rows) == [(i, n, pytest.approx(p, rel=1e-4, abs=0.02)) for i, n, p in want]
 
 
 def test_probabilities_sum_to_one(spark, docs):
-    model = kn_model.train(docs([(1, "abracadabra abc", "en", "s"), (2, "cab", "en", "s")]))
-    t = model.toArrow()
-    shard = kn_model.Shard(t["kind"].to_numpy(), t["k"].to_numpy().view(np.uint64), t["v"].to_numpy(), None)
-    for context in (0x61627261, 0x7A7A7A7A, 0):
-        k = (np.uint64(context) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-        assert np.exp(shard.log_p(k)).sum() == pytest.approx(1, rel=1e-4)
+    texts = [f"abracadabra abc {i} cab" for i in range(6)]
+    t = kn_model.train(docs([(i, x, "en", "s") for i, x in enumerate(texts)])).toArrow()
+    shard = kn_model.Shard(t["fold"].to_numpy(), t["kind"].to_numpy(), t["k"].to_numpy().view(np.uint64), t["v"].to_numpy())
+    for fold in set(folds_of(spark, texts)):
+        for context in (0x6162726163, 0x7A7A7A7A7A, 0):
+            k = (np.uint64(context) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
+            assert np.exp(kn_model.log_p(fold, k, shard, shard)).sum() == pytest.approx(1, rel=1e-4)
 
 
 def test_classify(spark, docs, odd, empty):

@@ -18,13 +18,15 @@ task holds is one shard of the model, or one chunk with its answers; what goes
 to all tasks is the part for contexts of a byte or none, 66,050 entries a fold
 at most.
 
-Perplexities are held against a quantile of the trusted texts of the same
-language.
+Perplexities are held against a low and a high quantile of the trusted texts of
+the same language and length (to a power of 2): a short text's varies more, and
+text that repeats itself can be too easy to predict as well as too hard.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +38,13 @@ from fundalake.llm.common import chunks, cut, fresh_path, partitions
 
 ORDER = 6
 FOLDS = 2
-QUANTILE = 0.99
+#: Shares of the trusted texts that are below the low, and below the high threshold.
+QUANTILES = (0.0025, 0.9925)
 #: Bytes of text that a chunk has at most, if it has more than one text.
 CHUNK = 8 << 20
 #: Entries of a model shard; there are as many shards as partitions at least.
 SHARD_ENTRIES = 1 << 20
-#: A language with fewer trusted texts is held against those of all languages.
+#: A length of a language with fewer trusted texts is held against all lengths, and a language with fewer against all languages.
 MIN_TRUSTED = 50
 #: Most ids of trusted texts that are sent to the tasks (8 bytes each); beyond it the texts are joined with them.
 TRUSTED_ROWS = 1 << 22
@@ -317,26 +320,31 @@ def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(good, docs.doc_id == good["_good"], "left_semi")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """(doc_id, lang, n_bytes, log_p, perplexity, threshold, kept) for each row of ``docs``.
+def classify(docs: DataFrame, labels: DataFrame, quantiles: tuple[float, float] = QUANTILES) -> DataFrame:
+    """(doc_id, lang, n_bytes, log_p, perplexity, low, high, kept) for each row of ``docs``.
 
-    kept: the perplexity is no more than the quantile of the trusted texts of
-    its language.  A null text counts as empty; a very long text is a chunk of
-    its own; null languages are a group of their own; a null doc_id is never
-    trusted; repeated rows are scored alike; other columns are ignored; an
-    empty table gives an empty result.  Without any trusted text each byte has
-    probability 1/256, there is no threshold, and everything is kept.
+    kept: the perplexity is between the quantiles of the trusted texts of its
+    language and length.  A null text counts as empty; a very long text is a
+    chunk of its own; null languages are a group of their own; a null doc_id is
+    never trusted; repeated rows are scored alike; other columns are ignored;
+    an empty table gives an empty result.  Without any trusted text each byte
+    has probability 1/256, there are no thresholds, and everything is kept.
     """
     good = cut(labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_good")).distinct())
     if good.count() <= TRUSTED_ROWS:
         model = train(docs.select("doc_id", "text"), docs.sparkSession.sparkContext.broadcast(np.sort(good.toArrow()["_good"].to_numpy())))
     else:
         model = train(trusted_rows(docs.select("doc_id", "text"), labels))
-    scored = scores(docs.select("doc_id", "text", "lang"), model)
-    trusted = scored.join(good, scored.doc_id == good["_good"], "left_semi")
-    at = lambda: F.percentile_approx("perplexity", quantile, 10000)
-    by_lang = trusted.groupBy("lang").agg(F.count("*").alias("n"), at().alias("limit")).filter(F.col("n") >= MIN_TRUSTED).select(F.col("lang").alias("_lang"), "limit")
-    overall = trusted.agg(at().alias("limit_all"))
-    out = scored.join(by_lang, scored.lang.eqNullSafe(by_lang["_lang"]), "left").join(F.broadcast(overall), F.lit(True), "left")  # one row
-    threshold = F.coalesce("limit", "limit_all")
-    return out.select("doc_id", "lang", "n_bytes", "log_p", "perplexity", threshold.alias("threshold"), F.coalesce(F.col("perplexity") <= threshold, F.lit(True)).alias("kept"))
+    octave = F.floor(F.log2(F.col("n_bytes") + 1)).cast("int")
+    out = scores(docs.select("doc_id", "text", "lang"), model).withColumn("octave", octave)
+    trusted = out.join(good, out.doc_id == good["_good"], "left_semi")
+    for level, keys in enumerate((["lang", "octave"], ["lang"], [])):
+        limits = trusted.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("perplexity", list(quantiles), 10000).alias(f"limits{level}"))
+        if keys:  # a row for each language and power of 2
+            limits = limits.filter(F.col("n") >= MIN_TRUSTED).select(*[F.col(k).alias(f"{k}{level}") for k in keys], f"limits{level}")
+            out = out.join(limits, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{k}{level}")) for k in keys]), "left")
+        else:
+            out = out.join(F.broadcast(limits.select(f"limits{level}")), F.lit(True), "left")  # one row
+    limits = F.coalesce("limits0", "limits1", "limits2")
+    low, high = limits[0], limits[1]
+    return out.select("doc_id", "lang", "n_bytes", "log_p", "perplexity", low.alias("low"), high.alias("high"), F.coalesce(F.col("perplexity").between(low, high), F.lit(True)).alias("kept"))

@@ -357,11 +357,19 @@ def test_classify(spark, docs, odd, empty):
     rng = random.Random(23)
     labels = spark.createDataFrame([(i, 1, 0) for i in range(100)] + [(3, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     rows = [(i, prose(rng, 60), "en", "s") for i in range(120)] + [(500, "".join(chr(rng.randint(200, 600)) for _ in range(300)), "en", "s"), (501, prose(rng, 60), None, "s")]
-    got = {r.doc_id: r.kept for r in kn_model.classify(docs(rows), labels).collect()}
-    assert not got[500] and got[501] and sum(got[i] for i in range(100, 120)) >= 18
+    scored = kn_model.classify(docs(rows), labels).collect()
+    got = {r.doc_id: r.kept for r in scored}
+    assert not got[500] and sum(got[i] for i in range(120)) >= 110
+    # thresholds and verdicts against sorted lists: by length where 50 trusted texts have it, else by language, else by all
+    octave = lambda r: (r.n_bytes + 1).bit_length() - 1
+    for r in scored:
+        sets = [[x.perplexity for x in scored if x.doc_id in range(100) and (level > 1 or x.lang == r.lang) and (level > 0 or octave(x) == octave(r))] for level in range(3)]
+        group = sorted(next(g for i, g in enumerate(sets) if i == 2 or len(g) >= kn_model.MIN_TRUSTED))
+        low, high = (group[max(0, math.ceil(q * len(group)) - 1)] for q in kn_model.QUANTILES)
+        assert (r.low, r.high, r.kept) == (low, high, low <= r.perplexity <= high)
     assert kn_model.classify(odd, labels).count() == 8
     none = kn_model.classify(odd, labels.limit(0)).collect()
-    assert all(r.kept and r.threshold is None for r in none) and none[0].perplexity == pytest.approx(256)
+    assert all(r.kept and r.high is None for r in none) and none[0].perplexity == pytest.approx(256)
     assert kn_model.classify(empty, labels).count() == 0
 
 

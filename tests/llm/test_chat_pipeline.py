@@ -52,6 +52,24 @@ def test_tree(spark):
         assert (got[c].loss_chars, got[c].loss_sha256) == (len(said), sha(said))
 
 
+def test_long_conversation(spark):
+    """10,000 turns, a second conversation that leaves the first half-way, and rows without a conversation."""
+    n = 10_000
+    rows = [(1, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(n)] + [(2, i, "user" if i % 2 else "assistant", f"t{i}" if i < n // 2 else f"u{i}") for i in range(n // 2 + 3)]
+    rows += [(None, 0, "user", "alone"), (None, 1, "user", "too"), (None, 1, "user", "too"), (3, 0, "assistant", "long " * 200_000)]
+    stream, leaves = chat.build(spark.createDataFrame([(*r, "clash") for r in rows], KIND).withColumns({"conv": F.lit(1), "depth": F.lit("x"), "run": F.lit("y")}))
+    stream = stream.persist()
+    nodes = stream.select("depth", "start", "stop", F.size("attends").alias("n"), F.col("positions")[0].alias("first")).orderBy("start").collect()
+    assert len(nodes) == n + 3 + 2 + 1 and [x.start for x in nodes] == [0, *[x.stop for x in nodes][:-1]]
+    assert max(x.n for x in nodes) <= 3 and max(x.depth for x in nodes) == n - 1
+    got = collections.defaultdict(list)
+    for r in chat.read_back(stream, leaves).collect():
+        got[r.conv_id].append((r.n_turns, r.turns_sha256))
+    sha = lambda c: hashlib.sha256("".join(f"{r}\n{x}\n" for i, _, r, x in rows if i == c).encode()).hexdigest()
+    assert [got[c] for c in (1, 2, 3)] == [[(n, sha(1))], [(n // 2 + 3, sha(2))], [(1, sha(3))]]
+    assert sorted(x for x, _ in got[None]) == [1, 1, 1]
+
+
 def test_no_conversations(spark):
     assert chat.read_back(*chat.build(spark.createDataFrame([], KIND))).count() == 0
 
@@ -87,7 +105,7 @@ def test_pipeline(spark, stages):
     items = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
     assert set(cut.doc_id) - set(clean.doc_id) == {d for d, t in zip(cut.doc_id, cut.text) if any(i in t for i in items)}
     assert {"copy", "position"} <= set(mixed.columns) and set(mixed.doc_id) <= set(clean.doc_id)
-    assert mixed.position.is_monotonic_increasing or stages[-1].rdd.getNumPartitions() > 1
+    assert mixed.position.is_monotonic_increasing
 
 
 def test_stages_with_odd_rows(spark, odd, empty):

@@ -7,13 +7,18 @@ same content count once, so that an article that a site shows under many
 addresses is not taken for a template.  Inside <article> or <main> plain
 paragraphs and headings are never deleted for recurring.
 
-On hosts with few pages, and for what changes from page to page (rotating
-adverts, menus), the element's own name, role or class tells: nav, aside,
-form, class="ad" and so on.
+Counting cannot tell hosts with few pages, nor what changes from page to page
+(rotating adverts, menus with links to other pages).  There the element tells:
+navigation, asides, forms and the like by their tags, and others by words in
+class, id and role.  Outside an article any word of a name counts; inside one
+only a whole name such as class="ad", and paragraphs, headings and list items
+go by the few names of adverts alone.  On a page with an <article> or <main>
+that is not itself in such an element, the text outside it is not the main text.
 
 A host's templates are few: a subtree must be on ``MIN_SHARE`` of its pages, so
-there are at most (subtrees per page) / MIN_SHARE.  They reach the pages in a
-left join on the host, whose hot keys AQE splits.
+there are at most (subtrees per page) / MIN_SHARE.  They go to all tasks if
+they are counted and few, and otherwise meet the pages in a join on host and
+salt, so that the pages of a hot host are dealt out like others.
 """
 
 from __future__ import annotations
@@ -27,10 +32,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundalake.llm.common import cut
+from fundalake.llm.common import cut, small
 
 MIN_PAGES = 4
 MIN_SHARE = 0.05
+#: Parts of a host's pages in the join.
+SALTS = 16
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
@@ -39,10 +46,13 @@ _WORDS = re.compile(r"[a-z]+")
 #: Names of elements, and words in class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
-SKIP = RAW | frozenset("head nav aside footer form button select svg canvas object audio video dialog menu math".split())
+SKIP = RAW | frozenset("head nav aside footer form button select svg canvas object audio video dialog menu".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt td th figcaption".split())
 BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header login masthead menu menus modal nav navbar navigation newsletter notice notices pagination pager popup popups promo promoted promotion related replies share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription toolbar widget widgets complementary contentinfo search".split())
+#: Of these, the whole names that tell inside an article, and those that tell on paragraphs and the like.
+INSIDE = BOILERPLATE - frozenset("header login search notices masthead complementary contentinfo replies".split())
+ADVERT = frozenset("ad ads advert adverts advertisement advertising sponsored".split())
 #: Which open elements a start tag ends.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _LIMITS = frozenset("ul ol dl table div section article main body html td th".split())
@@ -59,7 +69,8 @@ class Page:
         self._parse(html)
 
     def _parse(self, html: str) -> None:
-        stack, at, n = [0], 0, len(html)
+        stack, at, n, last = [0], 0, len(html), html.rfind(">")
+        self.open: dict[str, int] = {}  # how many elements of each name are open
         while at < n:
             lt = html.find("<", at)
             if lt < 0:
@@ -75,7 +86,7 @@ class Page:
                 end = html.find(">", lt)
                 at = n if end < 0 else end + 1
                 continue
-            m = _TAG.match(html, lt)
+            m = _TAG.match(html, lt) if lt < last else None
             if not m:
                 self._text(stack[-1], "<")
                 at = lt + 1
@@ -100,6 +111,7 @@ class Page:
                 at = end.end() if end else n
             elif not (rest.rstrip().endswith("/") and name in ("svg", "path")):
                 stack.append(node)
+                self.open[name] = self.open.get(name, 0) + 1
         while len(stack) > 1:
             self._end(stack.pop())
         self.items.append(None)
@@ -127,6 +139,7 @@ class Page:
         return len(self.tag) - 1
 
     def _end(self, node: int) -> None:
+        self.open[self.tag[node]] -= 1
         if parts := self.parts[node]:
             self.hash[node] = h = xxhash.xxh64_intdigest(f"{self.tag[node]}{self.names[node]}>{'|'.join(parts)}") or 1
             self.parts[self.parent[node]].append(f"{h:x}")
@@ -135,8 +148,9 @@ class Page:
             self.items.append(None)
 
     def _close(self, stack: list[int], name: str) -> None:
-        if name in ("br", "p") and not any(self.tag[i] == name for i in stack):
-            self.items.append(None)
+        if not self.open.get(name):
+            if name in ("br", "p"):
+                self.items.append(None)
             return
         for depth in range(len(stack) - 1, 0, -1):
             if self.tag[stack[depth]] == name:
@@ -148,30 +162,38 @@ class Page:
 
     def _imply(self, stack: list[int], name: str) -> None:
         """A block ends an open paragraph; a list item ends the one before it; and so on."""
-        wanted = {"p"} | CLOSES.get(name, set())
+        wanted = CLOSES.get(name, set()) if name in ("option", "optgroup") else {"p"} | CLOSES.get(name, set())
+        if not any(self.open.get(x) for x in wanted):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             tag = self.tag[stack[depth]]
             if tag in wanted:
                 while len(stack) > depth:
                     self._end(stack.pop())
                 return
-            if tag in _LIMITS:
+            if tag in _LIMITS or tag in SKIP:
                 return
 
     def _marks(self) -> tuple[list[bool], list[bool]]:
         """Which elements are in an article, and which contain one."""
         n = len(self.tag)
-        inside, holds = [False] * n, [False] * n
+        inside, holds, out = [False] * n, [False] * n, [False] * n
         for i in range(1, n):
             p = self.parent[i]
-            inside[i] = inside[p] or ((self.tag[i] in ("article", "main") or " main" in self.names[i]) and not self._by_name(i))
+            out[i] = out[p] or (not inside[p] and (self.tag[i] in SKIP or self.hidden[i] or self._by_name(i)))
+            inside[i] = inside[p] or (not out[i] and (self.tag[i] in ("article", "main") or "main" in self.names[i].split()))
         for i in range(n - 1, 0, -1):
             if holds[i] or (inside[i] and not inside[self.parent[i]]):
                 holds[self.parent[i]] = True
         return inside, holds
 
-    def _by_name(self, i: int) -> bool:
-        return bool(self.names[i]) and not BOILERPLATE.isdisjoint(_WORDS.findall(self.names[i]))
+    def _by_name(self, i: int, inside: bool = False) -> bool:
+        """Whether the element's names tell that it is no main text."""
+        if not self.names[i] or self.tag[i] in ("html", "body"):
+            return False
+        if self.tag[i] in PLAIN:
+            return not ADVERT.isdisjoint(self.names[i].split())
+        return not (INSIDE.isdisjoint(self.names[i].split()) if inside else BOILERPLATE.isdisjoint(_WORDS.findall(self.names[i])))
 
     def blocks(self, templates: frozenset[int] | set[int] = frozenset()) -> list[str]:
         """The texts that stay, without the subtrees whose hash is among ``templates``."""
@@ -179,10 +201,10 @@ class Page:
         scoped = any(inside)
         gone = [False] * len(self.tag)
         for i in range(1, len(self.tag)):
-            tag = self.tag[i]
+            tag, within = self.tag[i], inside[self.parent[i]]
             drop = gone[self.parent[i]] or tag in SKIP or self.hidden[i]
             if not drop and not holds[i]:
-                drop = (self._by_name(i) and tag not in ("html", "body")) or (tag == "header" and not inside[i])
+                drop = self._by_name(i, within) or (tag == "header" and not within)
                 if not drop and self.hash[i] in templates and self.deletable(i, inside, holds):
                     drop = True
             gone[i] = drop
@@ -253,11 +275,17 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(page_id, url, text, n_chars), a row per row of ``pages``.
 
-    A null or empty html gives an empty text; pages without an address share
-    the empty host; repeated rows give repeated rows; broken markup is read as
-    far as it goes (unclosed elements end with their parent); other columns are
-    ignored; an empty table gives an empty result.
+    A null or empty html gives an empty text; a very long one is read whole, in
+    time in proportion; pages without an address share the empty host; repeated
+    rows give repeated rows; broken markup is read as far as it goes (unclosed
+    elements end with their parent); other columns are ignored; an empty table
+    gives an empty result.
     """
-    known = cut(templates(pages, min_pages, min_share))  # a plain side of the join, so that AQE may split the other at a hot host
-    rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host")).join(known, "host", "left").select("page_id", "url", "html", "host", "hashes")
+    known = cut(templates(pages, min_pages, min_share))
+    rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
+    sent = small(known)
+    if sent is known:
+        sent = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int"))
+    rows = rows.join(sent, [c for c in sent.columns if c != "hashes"], "left").select("page_id", "url", "html", "host", "hashes")
     return rows.mapInArrow(_texts, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

@@ -1,11 +1,15 @@
+import collections
 import gzip
 import hashlib
 import io
 import random
+import re
+import time
+from html import unescape
 
 import pytest
 
-from fundalake.llm import html_extract, warc
+from fundalake.llm import common, html_extract, warc
 from fundalake.llm.html_extract import Page
 
 PAGES = "page_id long, url string, html string"
@@ -25,6 +29,11 @@ def text(html):
         ("plain &eacute;&#233;&nbsp; text", "plain éé text"),
         ("<p title='a>b'>x</p><p hidden>y</p><p>a < b", "x\na < b"),
         ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"),
+        ("<article><div class='entry-header'><h1>Title</h1></div><p>x</p></article>", "Title\nx"),
+        ("<article><p class='related-work'>a</p><p id=search>b</p><section class=notices>c</section><div class=ad>no</div><p class=advert>no</p></article>", "a\nb\nc"),
+        ("<p>q <select><option>o</select> r", "q\nr"),
+        ("<aside><article>teaser</article></aside><p>main text</p>", "main text"),
+        ("<p>a <math><mi>x</mi></math> b</p>", "a x b"),
         ("", ""),
     ],
 )
@@ -38,6 +47,41 @@ def test_broken_markup_ends():
         text("".join(rng.choice(["<p", ">", "</p>", "<div class=\"", "\"", "'", "<", "<!--", "-->", "<li>", "</ul>", "a ", "&amp", "<script>", "</article>", "<article>"]) for _ in range(40)))
 
 
+def test_long_broken_markup_takes_time_in_proportion():
+    began = time.time()
+    for html in ("<a \"" * 50_000, "<b>" * 50_000 + "</i>" * 50_000, "<p><b>" * 50_000 + "<h1>" * 50_000, "<" * 100_000):
+        Page(html).blocks()
+    assert time.time() - began < 30
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_the_test_pages_against_plain_substitution(spark, sf):
+    """Their main text is what stands in the article, which regular expressions can take apart on these well-formed pages."""
+    pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
+    got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+    for r in pages.collect():
+        article = re.search(r"<article[^>]*>(.*?)</article>", r.html or "", re.S)
+        body = re.sub(r"<br\s*/?>", " ", article[1]) if article else ""
+        body = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1)\b[^>]*>", "\n", body))
+        assert got[r.page_id] == "\n".join(x for x in (" ".join(unescape(line).split()) for line in body.split("\n")) if x)
+
+
+@pytest.mark.parametrize("small_rows", [1 << 18, -1])
+def test_templates_against_a_plain_count(spark, monkeypatch, small_rows):
+    """Hosts of random boxes: what is on 4 pages of a host, and on 5 % of them, goes; both plans of the join."""
+    monkeypatch.setattr(common, "SMALL_ROWS", small_rows)
+    rng = random.Random(4)
+    rows, boxes = [], {}
+    for i in range(240):
+        host = rng.choice(["hot.example"] * 4 + ["b.example", "c.example"])
+        boxes[i] = host, rng.sample([f"box {k}" for k in range(40)], rng.randint(0, 3)) + [f"own {i}"]
+        rows.append((i, f"http://{host}/{i}", "<body>" + "".join(f"<div>{b}</div>" for b in boxes[i][1]) + "</body>"))
+    n = collections.Counter(h for h, _ in boxes.values())
+    on = collections.Counter((h, b) for h, bs in boxes.values() for b in bs)
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: "\n".join(b for b in bs if on[h, b] < max(4, 0.05 * n[h])) for i, (h, bs) in boxes.items()} and max(on.values()) >= 8
+
+
 def test_templates_go_and_copied_articles_stay(spark):
     page = lambda i, body: (i, f"http://h.example/{i}", f"<body><div><span>Menu of the site</span></div><div><p>{body}</p></div></body>")
     rows = [page(i, f"text number {i}") for i in range(20)] + [page(100 + i, "the same article") for i in range(20)] + [(200, "http://other.example/", "<body><div><span>Menu of the site</span></div><p>alone</p></body>")]

@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 
 from fundalake.llm.common import chunks, cut, fresh_path, partitions
 
-ORDER = 6
+ORDER = 5
 FOLDS = 2
 #: Shares of the trusted texts that are below the low, and below the high threshold.
 QUANTILES = (0.0025, 0.9925)
 #: Bytes of text that a chunk has at most, if it has more than one text.
-CHUNK = 8 << 20
+CHUNK = 16 << 20
 #: Entries of a model shard; there are as many shards as partitions at least.
 SHARD_ENTRIES = 1 << 20
 #: A length of a language with fewer trusted texts is held against all lengths, and a language with fewer against all languages.
@@ -103,11 +103,11 @@ def _count(batches: Iterator[pa.RecordBatch], ids) -> Iterator[pa.RecordBatch]:
     for part, raw, at in chunks(_only(batches, ids), "text", _COUNT_BYTES):
         fold = part.column(part.schema.get_field_index("fold")).to_numpy()
         padded, bounds = _padded(raw, at)
-        of = np.repeat(fold, np.diff(at) + ORDER)
-        for a, k, inside in _grams(padded, bounds):
-            for f in range(FOLDS):
-                key, n = np.unique(k[inside & (of[a : a + len(k)] == f)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), f, np.int32)), pa.array(key.view(np.int64)), pa.array(n)], names=["fold", "k", "c"])
+        of = np.repeat(fold.astype(np.int8), np.diff(at) + ORDER)
+        pieces = [(k[inside], of[a : a + len(k)][inside]) for a, k, inside in _grams(padded, bounds)]
+        for f in range(FOLDS):
+            key, n = np.unique(np.concatenate([k[o == f] for k, o in pieces]) if pieces else np.zeros(0, np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), f, np.int32)), pa.array(key.view(np.int64)), pa.array(n)], names=["fold", "k", "c"])
 
 
 def _mask(n: int) -> int:
@@ -280,11 +280,11 @@ def _score(batches: Iterator[pa.RecordBatch], n_shards: int) -> Iterator[pa.Reco
             first = np.searchsorted(where[order], np.arange(n_shards + 1))
             for x in answers.as_py():
                 p[order[first[x["shard"]] : first[x["shard"] + 1]]] = np.frombuffer(x["answers"], np.float32)
-            run = np.zeros(len(padded) - ORDER + 2)
+            total = np.zeros(len(ids))
             for a, gram, inside in _grams(padded, bounds):
-                run[a + 1 : a + 1 + len(gram)][inside] = p[np.searchsorted(k, gram[inside])]
-            run = np.cumsum(run)
-            yield pa.RecordBatch.from_arrays([ids.values, langs.values, lengths.values, pa.array(run[bounds[1]] - run[bounds[0]])], names=["doc_id", "lang", "n_bytes", "log_p"])
+                of = np.searchsorted(bounds[0], np.arange(a, a + len(gram))[inside], "right") - 1
+                total += np.bincount(of, p[np.searchsorted(k, gram[inside])], len(ids))
+            yield pa.RecordBatch.from_arrays([ids.values, langs.values, lengths.values, pa.array(total)], names=["doc_id", "lang", "n_bytes", "log_p"])
 
 
 def scores(docs: DataFrame, model: DataFrame, chunk: int = CHUNK, shard_entries: int = SHARD_ENTRIES) -> DataFrame:

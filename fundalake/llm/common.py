@@ -84,11 +84,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared checkpoint folder and read from there; smaller than a checkpoint where rows hold texts."""
-    at = fresh_path(df.sparkSession, name)
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+def row_key(df: DataFrame, columns: list[str] | None = None) -> F.Column:
+    """128 bits of hash over the columns of a row, as a string; rows with one key are equal in them."""
+    names = df.columns if columns is None else columns
+    values = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in df.schema[c].dataType.simpleString() else F.col(f"`{c}`") for c in names]
+    parts = [x for v in values for x in (v.isNull(), v)]
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(i), *parts)), 16, "0") for i in (1, 2)])
 
 
 def partitions(spark: SparkSession) -> int:

@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from fundalake.llm.common import stored
+from fundalake.llm.common import cut
 
 DICT_BYTES = 1 << 18
 SNIPPET = 256
@@ -132,13 +132,17 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], whole: bool = False
     return rows.mapInArrow(lambda it: _predict(it, dictionaries), kind)
 
 
-def judged(found: DataFrame, learned: F.Column, narrow: float = NARROW) -> DataFrame:
-    """``found``, a written result of predict(), with rejected: ``und``, or a margin below ``narrow`` of the median of the rows that are ``learned`` and of its language.
+def medians(found: DataFrame, learned: F.Column) -> DataFrame:
+    """(_lang, _gap, _gain): the median margins of the rows of a written result of predict() that are ``learned``; a row per language, at most MAX_LANGUAGES."""
+    return cut(found.filter(learned & (F.col("lang_pred") != UNKNOWN)).groupBy(F.col("lang_pred").alias("_lang")).agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"_{c}") for c in ("gap", "gain")]))
 
-    There are at most MAX_LANGUAGES medians.  In a language of which no learned
-    row is predicted, only texts without a gap or a gain are rejected.
+
+def judged(found: DataFrame, median: DataFrame, narrow: float = NARROW) -> DataFrame:
+    """``found``, a result of predict(), with rejected: ``und``, or a margin below ``narrow`` of the median of its language.
+
+    In a language of which no learned row is predicted, only texts without a
+    gap or a gain are rejected.
     """
-    median = found.filter(learned & (F.col("lang_pred") != UNKNOWN)).groupBy(F.col("lang_pred").alias("_lang")).agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"_{c}") for c in ("gap", "gain")])
     out = found.join(F.broadcast(median), found.lang_pred == F.col("_lang"), "left")
     zero = F.lit(0.0)
     wide = (F.col("gap") > narrow * F.coalesce("_gap", zero)) & (F.col("gain") > narrow * F.greatest(F.coalesce("_gain", zero), zero))
@@ -150,7 +154,10 @@ def accepted(docs: DataFrame) -> DataFrame:
 
     Null and empty texts and those without a letter go, as do texts whose
     margins are narrow; other rows stay as they are, repeated ones too, with
-    columns of any name; an empty table gives an empty result.
+    columns of any name; an empty table gives an empty result.  Texts are
+    encoded twice, for the medians and for the verdict, and never stored.
     """
-    found = stored(predict(docs, train(docs.filter(~held_out(F.col("doc_id")))), whole=True), "langid")
-    return judged(found, ~held_out(F.col("doc_id"))).filter(~F.col("rejected")).select("doc.*")
+    learned = ~held_out(F.col("doc_id"))
+    dictionaries = train(docs.filter(learned))
+    median = medians(cut(predict(docs, dictionaries)), learned)
+    return judged(predict(docs, dictionaries, whole=True), median).filter(~F.col("rejected")).select("doc.*")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fundalake.llm.common import count_words, cut, partitions, stored
+from fundalake.llm.common import count_words, cut, partitions, row_key
 
 MAX_EPOCHS = 3
 BUCKET_HEX = 3
@@ -179,9 +179,10 @@ def ordered(docs: DataFrame, schedule: Callable[[Column], Column] = curriculum,
     Cases are treated as mix() does.  Columns of ``docs`` named copy or
     position are replaced; others come along whatever their names.
     """
-    # an id may be null or shared, so rows are numbered, once and for all, before they are dealt
     names = [c for c in docs.columns if c.lower() not in ("copy", "position")]
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc")), "mixing")
-    plan = _planned(_sized(rows.select("row", "doc.doc_id", "doc.source", "doc.text")), schedule, max_epochs)
-    out = _in_order(rows.join(_copies(plan).select("row", "k", "copy", "position"), "row"))
+    # an id may be null or shared, so rows are named by all that they hold; equal rows are one text and as many plans
+    key = row_key(docs, names)
+    plan = _planned(_sized(docs.select(key.alias("row"), "doc_id", "source", "text")), schedule, max_epochs)
+    each = docs.select(key.alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc")).groupBy("row").agg(F.first("doc").alias("doc"))
+    out = _in_order(each.join(_copies(plan).select("row", "k", "copy", "position"), "row"))
     return out.select("doc.*", "copy", "position")

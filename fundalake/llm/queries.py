@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundalake.llm import chat, decontam, html_extract, kn_model, langid, mixing, quality_rules, simhash, substring_dedup, warc
-from fundalake.llm.common import stored
+from fundalake.llm.common import cut
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +26,8 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held = langid.held_out(F.col("doc_id"))
-    found = stored(langid.predict(docs, langid.train(docs.filter(~held))), "langid")
-    return langid.judged(found, ~held).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+    found = cut(langid.predict(docs, langid.train(docs.filter(~held))))
+    return langid.judged(found, langid.medians(found, ~held)).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundalake.llm.common import chunks, components, cut, partitions, stored
+from fundalake.llm.common import chunks, components, cut, partitions, row_key
 
 SHINGLE = 4
 RADIUS = 4
@@ -266,28 +266,19 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     return fps.join(rooted.select("fp", "component").join(named, "component").select("fp", "component_id"), "fp")
 
 
-def _digest() -> F.Column:
-    return F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-
-
 def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: that of the least doc_id, null after all others, of the least digest of its text, and of equal ones any.
+    """``docs`` with one row of each group of near-duplicates: that of the least doc_id, null after all others, of the least hash of its text, and of those equal in both any.
 
     Null and empty texts are near-duplicates of each other; very long texts
     count whole; rows that share a doc_id but not a text are told apart;
     columns come along whatever their names; an empty table gives an empty
-    result.  Rows are numbered as they are written; texts are shuffled once, in
-    the join with the numbers that stay.
+    result.  Texts are shuffled once: rows of one doc_id and text become one on
+    the way, and the keys that stay meet them where they are.
     """
-    rows = _numbered(docs)
-    keyed = rows.select("doc.doc_id", "doc.text", "row").withColumn("digest", _digest())
-    fps = keyed.mapInArrow(lambda it: _fingerprints(it, SHINGLE), "doc_id long, fp long, row long, digest string")
-    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "digest", "row")
+    rows = docs.select("doc_id", "text", row_key(docs, ["doc_id", "text"]).alias("key"))
+    fps = rows.mapInArrow(lambda it: _fingerprints(it, SHINGLE), "doc_id long, fp long, key string")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "key")
     rooted = _components(cut(fps.groupBy("fp").agg(F.min(first).alias("first"))), radius)
-    keep = cut(rooted.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row")))
-    return rows.join(keep, "row", "left_semi").select("doc.*")
-
-
-def _numbered(docs: DataFrame) -> DataFrame:
-    """(row, doc): the rows of ``docs``, numbered once and for all, as they are read again."""
-    return stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "simhash")
+    keep = rooted.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.key").alias("key"))
+    each = docs.select(row_key(docs, ["doc_id", "text"]).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).groupBy("key").agg(F.first("doc").alias("doc"))
+    return each.join(cut(keep), "key", "left_semi").select("doc.*")

@@ -63,9 +63,10 @@ def test_language(spark, docs, odd, empty):
     rows = [(i, prose(rng, 40, sets[lang]), lang, "s") for i, lang in enumerate(["aa", "bb"] * 60)]
     df = docs(rows)
     model = langid.train(df.filter(~langid.held_out(F.col("doc_id"))))
-    got = langid.judged(langid.predict(df, model, whole=True), F.lit(True)).collect()
+    median = langid.medians(langid.predict(df, model), F.lit(True))
+    got = langid.judged(langid.predict(df, model, whole=True), median).collect()
     assert all(r.doc.lang == r.lang_pred and 0.5 < r.score <= 1 and not r.rejected for r in got)
-    rest = {r.doc_id: r for r in langid.judged(langid.predict(odd, model), F.lit(True)).collect()}
+    rest = {r.doc_id: r for r in langid.judged(langid.predict(odd, model), median).collect()}
     assert [(rest[i].lang_pred, rest[i].score, rest[i].rejected) for i in (1, 2, 3, 6)] == [("und", 0.0, True)] * 4
     assert langid.predict(odd, model).count() == odd.count()
     assert langid.train(empty) == {} and langid.predict(empty, {}).count() == 0 and langid.accepted(empty).count() == 0
@@ -431,6 +432,13 @@ def test_order_with_null_and_shared_ids(docs):
     assert all((r.doc_id, r.source) == ids[r.text] for r in order)
 
 
+def test_equal_rows_are_all_taken(spark, docs):
+    rows = [(1, "a b c", "en", "s")] * 5 + [(1, "a b c", "de", "s"), (None, None, None, "s"), (1, "c", "en", "t")]
+    plan = sorted((r["size"], r.copies) for r in mixing.mix(docs(rows)).collect())
+    order = collections.Counter((r.doc_id, r.text, r.lang) for r in mixing.ordered(docs(rows)).collect())
+    assert sum(order.values()) == sum(c for _, c in plan) and order[1, "a b c", "en"] >= 5 * order[1, "a b c", "de"] - 5
+
+
 def test_positions(spark, docs):
     """Positions against the demand curve added up document by document, and names that clash."""
     rng = random.Random(31)

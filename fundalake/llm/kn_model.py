@@ -41,14 +41,14 @@ FOLDS = 2
 #: Shares of the trusted texts that are below the low, and below the high threshold.
 QUANTILES = (0.0025, 0.9925)
 #: Bytes of text that a chunk has at most, if it has more than one text.
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 #: Entries of a model shard; there are as many shards as partitions at least.
 SHARD_ENTRIES = 1 << 20
 #: A length of a language with fewer trusted texts is held against all lengths, and a language with fewer against all languages.
 MIN_TRUSTED = 50
 #: Most ids of trusted texts that are sent to the tasks (8 bytes each); beyond it the texts are joined with them.
 TRUSTED_ROWS = 1 << 22
-_COUNT_BYTES = 8 << 20
+_COUNT_BYTES = 4 << 20
 _PIECE = 1 << 20
 
 
@@ -60,8 +60,9 @@ def _padded(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(at) - 1
     size = np.diff(at)
     out = np.zeros(len(raw) + n * ORDER, np.uint8)  # ORDER - 1 zeros before and one after
-    out[np.arange(len(raw)) + np.repeat(np.arange(n) * ORDER + ORDER - 1, size)] = lower
     begin = at[:-1] + np.arange(n) * ORDER
+    for a, b, to in zip(at.tolist(), at[1:].tolist(), (begin + ORDER - 1).tolist()):  # an index of all places would take 24 bytes a byte
+        out[to : to + b - a] = lower[a:b]
     return out, np.stack([begin, begin + size + 1])
 
 

@@ -108,9 +108,9 @@ def _count_anchors(batches: Iterator[pa.RecordBatch], width: int, copied) -> Ite
         d, g = d[order], g[order]
         new = np.concatenate([[True], (d[1:] != d[:-1]) | (g[1:] != g[:-1])]) if len(g) else np.zeros(0, bool)
         lead = np.flatnonzero(new)
-        many = np.diff(np.append(lead, len(g))) > 1
+        runs = np.diff(np.append(lead, len(g)))
         row = pa.array(d[lead])
-        yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(g[lead].view(np.int64)), pa.array(many)], names=["doc_id", "_key", "anchor", "many"])
+        yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(g[lead].view(np.int64)), pa.array(runs)], names=["doc_id", "_key", "anchor", "runs"])
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -281,9 +281,9 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, group_rows: int = GROUP_
         t = many.select("_key", F.coalesce("doc_id", F.lit(_NO_DOC)).alias("doc_id")).orderBy("_key").toArrow()
         copied = spark.sparkContext.broadcast((t["_key"].to_numpy(), t["doc_id"].to_numpy()))
 
-    anchors = base.mapInArrow(lambda it: _count_anchors(it, width, copied), "doc_id long, _key long, anchor long, many boolean")
-    counted = anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.min("_key").alias("lo"), F.max("_key").alias("hi"), F.max("many").alias("many"))
-    twice = cut(counted.filter("many or lo <> hi").select("anchor", (F.col("n") > group_rows).alias("hot")))
+    anchors = base.mapInArrow(lambda it: _count_anchors(it, width, copied), "doc_id long, _key long, anchor long, runs long")
+    counted = anchors.groupBy("anchor").agg(F.sum("runs").alias("n"), F.min("_key").alias("lo"), F.max("_key").alias("hi"), F.max("runs").alias("runs"))
+    twice = cut(counted.filter("runs > 1 or lo <> hi").select("anchor", (F.col("n") > group_rows).alias("hot")))
     if twice.count() <= set_rows:
         t = twice.toArrow()
         anchor, is_hot = t["anchor"].to_numpy().view(np.uint64), t["hot"].to_numpy().astype(bool)

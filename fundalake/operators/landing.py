@@ -19,10 +19,10 @@ COMPANY_FACTS = f"struct<facts:map<string,map<string,struct<units:map<string,arr
 
 
 def facts_of(payloads: DataFrame) -> DataFrame:
-    """(key columns, taxonomy, tag, unit, fact) from a column ``payload`` of company-facts JSON; null for what does not parse."""
+    """(key columns, taxonomy, tag, unit, pos, fact), pos being the fact's place in its list, from a column ``payload`` of company-facts JSON; null for what does not parse."""
     keys = [c for c in payloads.columns if c != "payload"]
     tags = payloads.select(*keys, F.explode(F.from_json("payload", COMPANY_FACTS)["facts"]).alias("taxonomy", "_tags")).select(*keys, "taxonomy", F.explode("_tags").alias("tag", "_t"))
-    return tags.select(*keys, "taxonomy", "tag", F.explode("_t.units").alias("unit", "_facts")).select(*keys, "taxonomy", "tag", "unit", F.explode("_facts").alias("fact"))
+    return tags.select(*keys, "taxonomy", "tag", F.explode("_t.units").alias("unit", "_facts")).select(*keys, "taxonomy", "tag", "unit", F.posexplode("_facts").alias("pos", "fact"))
 
 
 def companyfacts_flatten(payloads: DataFrame) -> DataFrame:
@@ -55,19 +55,30 @@ def share_history(payloads: DataFrame) -> DataFrame:
 
 
 def calculated_shares(payloads: DataFrame) -> DataFrame:
-    """|net income / diluted earnings per share| of the same end, year and period; the first tag that a company has on each side, the last entry of each key for the latter."""
-    rows = facts_of(payloads).filter("taxonomy = 'us-gaap'").select("ticker", "tag", "fact.end", "fact.filed", "fact.fy", "fact.fp", "fact.val")
+    """|net income / earnings per share| of the same end, year and period, in US dollars.
 
-    def side(tags: Sequence[str]) -> DataFrame:
+    On each side the first tag that a company has, in whatever unit, is the one
+    that counts.  Of several earnings of a period the last in the list does; if
+    that is zero or missing, the period has no share count.
+    """
+    rows = facts_of(payloads).filter("taxonomy = 'us-gaap'").select("ticker", "tag", "unit", "pos", "fact.end", "fact.filed", "fact.fy", "fact.fp", "fact.val")
+
+    def side(tags: Sequence[str], unit: str) -> DataFrame:
         prio = F.create_map(*[F.lit(x) for i, t in enumerate(tags) for x in (t, i)])
-        known = rows.withColumn("_p", F.try_element_at(prio, F.col("tag"))).filter("_p is not null and val is not null")
-        return known.withColumn("_r", F.rank().over(W.partitionBy("ticker").orderBy("_p"))).filter("_r = 1").drop("_r", "_p", "tag")
+        known = rows.withColumn("_p", F.try_element_at(prio, F.col("tag"))).filter("_p is not null")
+        return known.withColumn("_r", F.rank().over(W.partitionBy("ticker").orderBy("_p"))).filter((F.col("_r") == 1) & (F.col("unit") == unit)).drop("_r", "_p", "tag", "unit")
 
-    eps = dedup_by(side(K.EPS_TAGS).filter("val <> 0"), ["ticker", "end", "fy", "fp"], [F.col("filed").desc_nulls_last(), F.col("val").desc()])
-    eps = eps.select(F.col("ticker").alias("t2"), F.col("end").alias("e2"), F.col("fy").alias("y2"), F.col("fp").alias("p2"), F.col("val").alias("eps"))
-    both = side(K.INCOME_TAGS).join(eps, F.expr("ticker = t2 and end <=> e2 and fy <=> y2 and fp <=> p2"))
+    eps = dedup_by(side(K.EPS_TAGS, K.SHARE_PRICE_UNIT), ["ticker", "end", "fy", "fp"], [F.col("pos").desc()])
+    eps = eps.select(F.col("ticker").alias("t2"), F.col("end").alias("e2"), F.col("fy").alias("y2"), F.col("fp").alias("p2"), F.col("val").alias("eps")).filter("eps <> 0")
+    both = side(K.INCOME_TAGS, K.MONEY_UNIT).filter("val is not null").join(eps, F.expr("ticker = t2 and end <=> e2 and fy <=> y2 and fp <=> p2"))
     shares = F.abs(F.try_divide("val", "eps")).cast("long")
-    return both.select("ticker", date_of("end").alias("end_date"), date_of("filed").alias("filing_date"), F.col("fy").alias("fiscal_year"), F.col("fp").alias("fiscal_period"), shares.alias("shares"), F.lit("CALCULATED").alias("source_type"))
+    return both.select("ticker", date_of("end").alias("end_date"), date_of("filed").alias("filing_date"), F.col("fy").alias("fiscal_year"), F.col("fp").alias("fiscal_period"), shares.alias("shares"), F.lit("Calculated").alias("source_type"))
+
+
+def share_counts(payloads: DataFrame) -> DataFrame:
+    """The whole chain: the reported share counts of each company, or, where it reports none, the calculated ones."""
+    reported = share_history(payloads)
+    return reported.unionByName(calculated_shares(payloads).join(reported.select("ticker").distinct(), "ticker", "left_anti"))
 
 
 def merge_new(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -84,21 +95,34 @@ def _grown(filings: DataFrame) -> DataFrame:
     return filings.groupBy("cik").agg(F.sort_array(F.collect_list(row)).alias("_f"))
 
 
-def submissions(filings: DataFrame) -> DataFrame:
-    """(cik, payload) JSON with parallel arrays, as a filings service sends it; dates are text, missing ones empty."""
+def _listed(filings: DataFrame, key: str) -> DataFrame:
+    """(cik, key): parallel arrays as a filings service sends them; dates are text, missing ones empty."""
     text = lambda c: F.transform("_f", lambda r: F.coalesce(r[c].cast("string"), F.lit("")))
-    recent = F.struct(text("form").alias("form"), text("filing_date").alias("filingDate"), text("report_date").alias("reportDate"))
-    return _grown(filings).select("cik", F.to_json(F.struct(F.struct(recent.alias("recent")).alias("filings"))).alias("payload"))
+    number = F.transform("_f", lambda r: F.concat(F.lit("A"), F.col("cik").cast("string"), F.lit("-"), r["pos"].cast("string")))
+    return _grown(filings).select("cik", F.struct(text("form").alias("form"), text("filing_date").alias("filingDate"), text("report_date").alias("reportDate"), number.alias("accessionNumber")).alias(key))
+
 
+def submissions(filings: DataFrame) -> DataFrame:
+    """(cik, payload) JSON of each company's recent filings."""
+    return _listed(filings, "recent").select("cik", F.to_json(F.struct(F.struct("recent").alias("filings"))).alias("payload"))
+
+
+def older_files(filings: DataFrame) -> DataFrame:
+    """(cik, payload) JSON of the files with older filings: the arrays themselves."""
+    return _listed(filings, "older").select("cik", F.to_json("older").alias("payload"))
 
-SUBMISSIONS = "struct<filings:struct<recent:struct<form:array<string>,filingDate:array<string>,reportDate:array<string>>>>"
 
+LISTED = "struct<form:array<string>,filingDate:array<string>,reportDate:array<string>,accessionNumber:array<string>>"
+SUBMISSIONS = f"struct<filings:struct<recent:{LISTED}>>"
 
-def filings_of(payloads: DataFrame) -> DataFrame:
-    """(cik, pos, form, filingDate, reportDate) from JSON with parallel arrays."""
-    recent = F.from_json("payload", SUBMISSIONS)["filings"]["recent"]
-    zipped = F.arrays_zip(recent["form"].alias("form"), recent["filingDate"].alias("filingDate"), recent["reportDate"].alias("reportDate"))
-    return payloads.select("cik", F.posexplode(zipped).alias("pos", "_z")).select("cik", "pos", "_z.*")
+
+def filings_of(payloads: DataFrame, older: bool = False) -> DataFrame:
+    """(cik, pos, form, filingDate, reportDate, accessionNumber) from JSON with parallel arrays; ``older``: the JSON is that of an older file."""
+    lists = F.from_json("payload", LISTED) if older else F.from_json("payload", SUBMISSIONS)["filings"]["recent"]
+    names = ("form", "filingDate", "reportDate", "accessionNumber")
+    # an absent array is no reason to lose the others
+    zipped = F.arrays_zip(*[F.coalesce(lists[n], F.array().cast("array<string>")).alias(n) for n in names])
+    return payloads.select("cik", F.posexplode(zipped).alias("pos", "_z")).select("cik", "pos", "_z.*").filter("form is not null")
 
 
 def filing_status(payloads: DataFrame, as_of: datetime.date) -> DataFrame:
@@ -116,10 +140,13 @@ def filing_status(payloads: DataFrame, as_of: datetime.date) -> DataFrame:
     return out.select("cik", status.alias("status"), date_of(which["d"]).alias("delisting_date"), which["f"].alias("delisting_form"), date_of("last_filing_date").alias("last_filing_date"), date_of("last_financial_report_date").alias("last_financial_report_date"))
 
 
-def filing_dates(payloads: DataFrame) -> DataFrame:
-    """(cik, form_type, end_date, filing_date) of financial reports with both dates."""
-    rows = filings_of(payloads).filter(F.col("form").isin(*K.FINANCIAL_FORMS))
-    out = rows.select("cik", F.col("form").alias("form_type"), date_of(F.nullif("reportDate", F.lit(""))).alias("end_date"), date_of(F.nullif("filingDate", F.lit(""))).alias("filing_date"))
+def filing_dates(payloads: DataFrame, older: DataFrame | None = None) -> DataFrame:
+    """(cik, form_type, end_date, filing_date, accession_number) of financial reports with both dates, from the recent filings and, if given, from the files with older ones."""
+    rows = filings_of(payloads)
+    if older is not None:
+        rows = rows.unionByName(filings_of(older, older=True))
+    rows = rows.filter(F.col("form").isin(*K.FINANCIAL_FORMS))
+    out = rows.select("cik", F.col("form").alias("form_type"), date_of(F.nullif("reportDate", F.lit(""))).alias("end_date"), date_of(F.nullif("filingDate", F.lit(""))).alias("filing_date"), F.nullif("accessionNumber", F.lit("")).alias("accession_number"))
     return out.filter("end_date is not null and filing_date is not null")
 
 

@@ -39,6 +39,7 @@ MONEY_UNIT = "USD"
 SHARE_TAGS_DEI = ("EntityCommonStockSharesOutstanding", "CommonStockSharesOutstanding")
 SHARE_TAGS_GAAP = ("WeightedAverageNumberOfSharesOutstandingBasic", "WeightedAverageNumberOfDilutedSharesOutstanding", "WeightedAverageNumberOfSharesOutstandingDiluted")
 INCOME_TAGS = ("NetIncomeLoss", "ProfitLoss")
+SHARE_PRICE_UNIT = "USD/shares"
 EPS_TAGS = ("EarningsPerShareDiluted", "EarningsPerShareBasic")
 
 DELISTING_FORMS = ("25", "25-NSE")

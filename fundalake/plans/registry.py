@@ -174,15 +174,21 @@ query("share_history", f"SELECT ticker, make_date(fiscal_year, 12, 31) AS end_da
 
 
 def income_payloads(d: Data) -> DataFrame:
-    """Net income and earnings per share (income over a round number of shares) of the same periods."""
+    """Net income and earnings per share (income over a round number of shares) of the same periods, in two currencies; some earnings are zero, some are followed by a zero."""
     f = d.unique.filter("concept = 'NetIncomeLoss'")
     part = lambda v: F.struct(F.col("end_date").cast("string").alias("end"), v.alias("val"), F.col("filing_date").cast("string").alias("filed"), F.year("end_date").alias("fy"), F.concat(F.lit("Q"), F.quarter("end_date")).alias("fp"))
-    g = f.groupBy("ticker").agg(F.collect_list(part(F.col("value"))).alias("a"), F.collect_list(part(F.when(F.col("fact_id") % 7 == 0, 0.0).otherwise(F.lit(2.0)))).alias("b"))
-    unit = lambda u, c: F.struct(F.create_map(F.lit(u), F.col(c)).alias("units"))
-    return g.select("ticker", F.to_json(F.struct(F.create_map(F.lit("us-gaap"), F.create_map(F.lit("ProfitLoss"), unit("USD", "a"), F.lit("EarningsPerShareBasic"), unit("USD/shares", "b"))).alias("facts"))).alias("payload"))
+    eps, zero = part(F.when(F.col("fact_id") % 7 == 0, 0.0).otherwise(F.lit(2.0))), part(F.lit(0.0))
+    g = f.groupBy("ticker").agg(F.collect_list(part(F.col("value"))).alias("a"), F.flatten(F.collect_list(F.when(F.col("fact_id") % 11 == 0, F.array(eps, zero)).otherwise(F.array(eps)))).alias("b"), F.collect_list(part(F.col("value") * 3)).alias("c"))
+    units = lambda u, x, v, y: F.struct(F.create_map(F.lit(u), F.col(x), F.lit(v), F.col(y)).alias("units"))
+    tags = F.create_map(F.lit("ProfitLoss"), units("EUR", "c", "USD", "a"), F.lit("EarningsPerShareBasic"), units("USD/shares", "b", "EUR/shares", "c"))
+    return g.select("ticker", F.to_json(F.struct(F.create_map(F.lit("us-gaap"), tags).alias("facts"))).alias("payload"))
 
 
-query("calculated_shares", "SELECT ticker, end_date, filing_date, CAST(year(end_date) AS INT) AS fiscal_year, 'Q' || CAST(quarter(end_date) AS VARCHAR) AS fiscal_period, CAST(trunc(abs(value / 2)) AS BIGINT) AS shares, 'CALCULATED' AS source_type FROM facts_unique WHERE concept = 'NetIncomeLoss' AND fact_id % 7 <> 0")(lambda d: landing.calculated_shares(income_payloads(d)))
+_CALCULATED = "SELECT ticker, end_date, filing_date, CAST(year(end_date) AS INT) AS fiscal_year, 'Q' || CAST(quarter(end_date) AS VARCHAR) AS fiscal_period, CAST(trunc(abs(value / 2)) AS BIGINT) AS shares, 'Calculated' AS source_type FROM facts_unique WHERE concept = 'NetIncomeLoss' AND fact_id % 7 <> 0 AND fact_id % 11 <> 0"
+query("calculated_shares", _CALCULATED)(lambda d: landing.calculated_shares(income_payloads(d)))
+query("share_counts", f"SELECT ticker, make_date(fiscal_year, 12, 31) AS end_date, filing_date, fiscal_year, fiscal_period, shares, 'SEC_DEI' AS source_type FROM px_shares WHERE {_NUM} % 4 < 2 UNION ALL {_CALCULATED} AND ticker NOT IN (SELECT ticker FROM px_shares WHERE {_NUM} % 4 < 2)")(
+    lambda d: landing.share_counts(share_payloads(d).filter(F.regexp_extract("ticker", r"(\d+)", 1).cast("int") % 4 < 2).unionByName(income_payloads(d)))
+)
 query("merge_shares", "SELECT ticker, filing_date, country, shares, fiscal_year, fiscal_period FROM px_shares")(lambda d: (lambda s: landing.merge_new(s.filter("fiscal_year < 1998"), s.filter("fiscal_year > 1995"), ["ticker", "filing_date", "country", "shares", "fiscal_year", "fiscal_period"]))(d.px("shares").select("ticker", "filing_date", "country", "shares", "fiscal_year", "fiscal_period")))
 query("merge_dividends", "SELECT * FROM px_dividends")(lambda d: (lambda s: landing.merge_new(s.filter("dividend_amount < 0.06"), s.filter("dividend_amount > 0.03"), ["ticker", "dividend_date", "country", "dividend_amount"]))(d.px("dividends")))
 
@@ -195,7 +201,9 @@ FROM (SELECT cik, {", ".join(f"arg_min(filing_date, pos) FILTER (form IN ({_FORM
 query("filing_status", f"SELECT cik, status, delisting_date, delisting_form FROM ({_STATUS})")(lambda d: landing.filing_status(landing.submissions(d.px("filings")), FILINGS_DAY).select("cik", "status", "delisting_date", "delisting_form"))
 query("status_table", _STATUS)(lambda d: landing.filing_status(landing.submissions(d.px("filings")), FILINGS_DAY))
 query("status_counts", f"SELECT status, count(*) AS n FROM ({_STATUS}) GROUP BY status")(lambda d: landing.filing_status(landing.submissions(d.px("filings")), FILINGS_DAY).groupBy("status").agg(F.count("*").alias("n")))
-query("filing_dates", f"SELECT cik, form AS form_type, report_date AS end_date, filing_date FROM px_filings WHERE form IN ({_FORMS['own']}) AND report_date IS NOT NULL AND filing_date IS NOT NULL")(lambda d: landing.filing_dates(landing.submissions(d.px("filings"))))
+query("filing_dates", f"SELECT cik, form AS form_type, report_date AS end_date, filing_date, 'A' || cik || '-' || pos AS accession_number FROM px_filings WHERE form IN ({_FORMS['own']}) AND report_date IS NOT NULL AND filing_date IS NOT NULL")(
+    lambda d: landing.filing_dates(landing.submissions(d.px("filings").filter("pos < 20")), landing.older_files(d.px("filings").filter("pos >= 20")))
+)
 query("cik_normalize", "SELECT o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik FROM orders")(lambda d: d.table("orders").select("o_orderkey", landing.cik_of(F.concat(F.lit(" CIK-"), F.col("o_custkey").cast("string"), F.lit(" "))).alias("cik")))
 
 

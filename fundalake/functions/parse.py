@@ -31,30 +31,26 @@ def period_date(p: Column) -> Column:
 
 
 def period_header(h: Column) -> Column:
-    """struct(end_date, report_type) of a report page's column head; null if it is none of the three forms."""
-    months = F.create_map(*[F.lit(x) for kv in K.MONTHS_PL.items() for x in kv])
-    month = lambda name, default: F.coalesce(F.try_element_at(months, F.lower(name)), F.lit(default))
-    end = lambda y, m: F.date_format(F.last_day(F.make_date(y.cast("int"), m, F.lit(1))), "yyyy-MM-dd")
-    quarters = r"(\d{4})/Q(\d+)\((\w{3})\s*\d{2}\)"
-    annual = r"(\d{4})\s*\((\w{3})\s*\d{2}\)"
-    older = r"(\d{4})\s*\(K(\d)\s*(\w{3})\s*\d{2}\)"
-    part = lambda p, i: F.nullif(F.regexp_extract(h, f"(?U){p}", i), F.lit(""))
-
-    def quarter(p: str) -> Column:
-        y, q, m = part(p, 1), part(p, 2), month(part(p, 3), 3)
-        return F.when(y.isNotNull() & (m % 3 == 0), F.struct(end(y, m).alias("end_date"), F.concat(F.lit("Q"), q).alias("report_type")))
-
-    y, m = part(annual, 1), month(part(annual, 2), 12)
-    day = F.when(m == 12, F.concat(y, F.lit("-12-31"))).otherwise(F.concat(y, F.lit("-"), F.lpad(m.cast("string"), 2, "0"), F.lit("-30")))
-    yearly = F.when(y.isNotNull(), F.struct(day.alias("end_date"), F.lit("Annual").alias("report_type")))
-    return F.coalesce(quarter(quarters), yearly, quarter(older))
+    """struct(end_date, report_type) of a report page's column head; null if it is none.
+
+    A head is a year, perhaps with a quarter (/Q3), and in brackets a month's
+    short name and the year's last digits, perhaps after the quarter (K3).
+    """
+    head = r"(?<year>\d{4})(?<q>/Q\d+)? *\((?<k>K\d)? *(?<month>\p{L}{3}) *\d\d\)"
+    year, number, name = F.regexp_extract(h, head, 1), F.regexp_replace(F.concat(F.regexp_extract(h, head, 2), F.regexp_extract(h, head, 3)), r"\D", ""), F.lower(F.regexp_extract(h, head, 4))
+    quarterly = number != ""
+    month = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in K.MONTHS_PL.items() for x in kv]), name), F.when(quarterly, 3).otherwise(12))
+    last = F.last_day(F.make_date(year.try_cast("int"), month, F.lit(1)))
+    # yearly figures of companies whose year ends in another month are dated to its 30th
+    day = F.when(quarterly | (month == 12), last).otherwise(F.make_date(year.try_cast("int"), month, F.least(F.lit(30), F.dayofmonth(last))))
+    known = (year != "") & (~quarterly | (month % 3 == 0))
+    return F.when(known, F.struct(F.date_format(day, "yyyy-MM-dd").alias("end_date"), F.when(quarterly, F.concat(F.lit("Q"), number)).otherwise("Annual").alias("report_type")))
 
 
 def local_number(text: Column) -> Column:
-    """A number with blanks between thousands and a decimal comma, in thousands; null for what is none."""
-    bare = F.regexp_replace(text, r"(?i)\s*(tys\.|mln|mld)\.?\s*(PLN|zł)?.*", "")
-    bare = F.replace(F.regexp_replace(bare, "[  ]", ""), F.lit(","), F.lit("."))
-    return F.when(text.isNull() | (text == "-") | (text == ""), None).otherwise(bare.try_cast("double") * 1000)
+    """A number with blanks between thousands and a decimal comma, perhaps with a scale and a currency after it, in thousands; null for what is none."""
+    digits = F.regexp_extract(text, r"(?i)^([-+]?[\d\h]*\d(?:[,.]\d+)?)\h*(?:tys|mln|mld)?\.?\h*(?:PLN|zł)?\h*$", 1)
+    return F.translate(F.regexp_replace(digits, r"\h", ""), ",", ".").try_cast("double") * 1000
 
 
 def link_text(html: Column, href: str) -> Column:

@@ -61,7 +61,7 @@ def folds(df: DataFrame, k: int) -> DataFrame:
 
 
 def calibrate(pipeline: Pipeline, df: DataFrame, method: str = "sigmoid", k: int = 3) -> DataFrame:
-    """``df`` with its out-of-fold score and calibrated: the mean over folds of the calibrators fitted on the others' scores."""
+    """``df`` with its out-of-fold score and calibrated: the mean of the calibrators of all folds, each fitted on the out-of-fold scores of its own fold."""
     dealt = folds(df, k)
     parts = [score(train(pipeline, dealt.filter(F.col("fold") != i)), dealt.filter(F.col("fold") == i)) for i in range(k)]
     scored = reduce(DataFrame.unionByName, parts).persist()

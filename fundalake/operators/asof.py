@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from fundalake.operators.windows import dedup_by
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str, direction: str = "backward", tie: Sequence[Column] = (), plan: str = "interval", match: str = "_match") -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str, direction: str = "backward", tie: Sequence[Column] = (), plan: str = "interval", match: str = "_match", spread: tuple[str, int] | None = None) -> DataFrame:
     """``left`` with a struct column ``match`` of the right row's other columns (null without a match).
 
     Ties on the right date go to the first row by ``tie``.  Right rows with a
     null key or date never match.  The match is the nearest row even if some of
-    its values are null.
+    its values are null.  ``spread`` (column, n), for the interval plan with few
+    keys and a small right side: each right row is copied ``n`` times and the left
+    rows of a key are dealt over the copies by a hash of the column.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(direction)
@@ -38,6 +40,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
             on += [F.col(left_on) >= F.col("_at"), F.col("_next").isNull() | (F.col(left_on) < F.col("_next"))]
         else:
             on += [F.col(left_on) <= F.col("_at"), F.col("_next").isNull() | (F.col(left_on) > F.col("_next"))]
+        if spread:
+            column, n = spread
+            spans = spans.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+            on.append(F.pmod(F.hash(column), F.lit(n)) == F.col("_copy"))
         return left.join(spans, on, "left").select(*left.columns, match)
     if plan != "window":
         raise ValueError(plan)

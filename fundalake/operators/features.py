@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+
+from fundalake.operators.ranks import long, quantiles
 from pyspark.sql import types as T
 
 KEY_FEATURES = (
@@ -87,18 +89,19 @@ class Prepared:
 
 
 def prepare(df: DataFrame, strategy: str = "median", max_missing: float = 0.9) -> Prepared:
-    """Columns with less than ``max_missing`` blanks and some variance; one pass for rates and medians, one for variances.
+    """Columns with less than ``max_missing`` blanks and some variance; a pass for rates, one for medians, one for variances.
 
     Strategies: median, zero, carry (see carried).
     """
     rows = df.filter("target_bankruptcy is not null")
     names = numeric(rows)
     clean = rows.select(*[_finite(c).alias(c) for c in names])
-    got = clean.agg(F.count("*").alias("n"), *[F.count(c).alias(f"{c}__n") for c in names], *[F.median(c).alias(f"{c}__m") for c in names]).first()
+    got = clean.agg(F.count("*").alias("n"), *[F.count(c).alias(f"{c}__n") for c in names]).first()
     if not got["n"]:
         return Prepared([], {})
     stay = [c for c in names if 1 - got[f"{c}__n"] / got["n"] < max_missing]
-    fill = {c: float(got[f"{c}__m"]) if strategy == "median" and got[f"{c}__m"] is not None else 0.0 for c in stay}
+    middle = {r.column: r._p[0] for r in quantiles(long(clean, stay), ["column"], "value", [0.5]).collect()} if strategy == "median" and stay else {}  # a row per column
+    fill = {c: middle.get(c, 0.0) for c in stay}
     spread = clean.agg(*[F.variance(F.coalesce(c, F.lit(fill[c]))).alias(c) for c in stay]).first() if stay else {}
     kept = [c for c in stay if spread[c]]
     return Prepared(kept, {c: fill[c] for c in kept})
@@ -139,8 +142,8 @@ def aligned_split(df: DataFrame, test: float = 0.2, strategy: str = "median", le
 def select_f(df: DataFrame, columns: list[str], target: str = "target_bankruptcy") -> DataFrame:
     """(feature, score): the ANOVA F of each column between the classes; rows with any null are left out.  One aggregation."""
     full = df.na.drop(subset=[*columns, target])
-    long = full.select(F.col(target).alias("y"), F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns])).alias("f")).select("y", "f.*")
-    by_class = long.groupBy("feature", "y").agg(F.count("*").alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v"))
+    cells = long(full, columns, F.col(target).alias("y")).withColumnsRenamed({"column": "feature", "value": "x"})
+    by_class = cells.groupBy("feature", "y").agg(F.count("*").alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v"))
     w = W.partitionBy("feature")
     total = by_class.withColumn("grand", F.sum(F.col("n") * F.col("m")).over(w) / F.sum("n").over(w))
     g = total.groupBy("feature").agg(F.sum(F.col("n") * (F.col("m") - F.col("grand")) ** 2).alias("between"), F.sum(F.col("n") * F.col("v")).alias("within"), F.count("*").alias("k"), F.sum("n").alias("n"))
@@ -150,8 +153,8 @@ def select_f(df: DataFrame, columns: list[str], target: str = "target_bankruptcy
 def select_chi2(df: DataFrame, columns: list[str], target: str = "target_bankruptcy") -> DataFrame:
     """(feature, score): chi-squared of the class sums of each column, shifted to begin at 0."""
     full = df.na.drop(subset=[*columns, target])
-    long = full.select(F.col(target).alias("y"), F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns])).alias("f")).select("y", "f.*")
-    by_class = long.groupBy("feature", "y").agg(F.count("*").alias("n"), F.sum("x").alias("s"), F.min("x").alias("lo"))
+    cells = long(full, columns, F.col(target).alias("y")).withColumnsRenamed({"column": "feature", "value": "x"})
+    by_class = cells.groupBy("feature", "y").agg(F.count("*").alias("n"), F.sum("x").alias("s"), F.min("x").alias("lo"))
     w = W.partitionBy("feature")
     seen = by_class.withColumn("low", F.min("lo").over(w)).withColumn("observed", F.col("s") - F.col("n") * F.col("low"))
     want = seen.withColumn("expected", F.sum("observed").over(w) * F.col("n") / F.sum("n").over(w))
@@ -161,13 +164,12 @@ def select_chi2(df: DataFrame, columns: list[str], target: str = "target_bankrup
 def select_mi(df: DataFrame, columns: list[str], target: str = "target_bankruptcy", bins: int = 10) -> DataFrame:
     """(feature, score): mutual information in nats of each column, cut at its deciles, with the class (binned, not nearest-neighbour)."""
     full = df.na.drop(subset=[*columns, target])
-    cuts = full.agg(*[F.percentile(F.col(c), F.array(*[F.lit(i / bins) for i in range(1, bins)])).alias(c) for c in columns])
-    cuts = cuts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("cuts")) for c in columns])).alias("f")).select("f.*")
-    long = full.select(F.col(target).alias("y"), F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns])).alias("f")).select("y", "f.*")
-    binned = long.join(F.broadcast(cuts), "feature").withColumn("b", F.size(F.filter("cuts", lambda q: q < F.col("x"))))  # a row per feature
-    cells = binned.groupBy("feature", "y", "b").agg(F.count("*").alias("n"))
+    cells = long(full, columns, F.col(target).alias("y")).withColumnsRenamed({"column": "feature", "value": "x"})
+    cuts = quantiles(cells, ["feature"], "x", [i / bins for i in range(1, bins)], "cuts")
+    binned = cells.join(F.broadcast(cuts), "feature").withColumn("b", F.size(F.filter("cuts", lambda q: q < F.col("x"))))  # a row per feature
+    shared = binned.groupBy("feature", "y", "b").agg(F.count("*").alias("n"))
     over = lambda *k: F.sum("n").over(W.partitionBy("feature", *k))
-    p = cells.select("feature", (F.col("n") / over()).alias("p"), F.log(F.col("n") * over() / (over("y") * over("b"))).alias("l"))
+    p = shared.select("feature", (F.col("n") / over()).alias("p"), F.log(F.col("n") * over() / (over("y") * over("b"))).alias("l"))
     return p.groupBy("feature").agg(F.sum(F.col("p") * F.col("l")).alias("score"))
 
 

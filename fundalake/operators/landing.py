@@ -163,6 +163,22 @@ def ticker_list(companies: DataFrame) -> DataFrame:
     return rows.filter("ticker <> ''").distinct().orderBy("ticker")
 
 
+def _listed_tickers(companies: DataFrame) -> DataFrame:
+    """(cik, at, ticker) of the companies that are not excluded, in upper case, by place in their list."""
+    rows = company_universe(companies).filter("not is_excluded").select("cik", F.posexplode("tickers").alias("at", "ticker"))
+    return rows.withColumn("ticker", F.upper(F.trim("ticker"))).filter("ticker <> ''")
+
+
+def ticker_ciks(companies: DataFrame) -> DataFrame:
+    """(ticker, cik): one company for each ticker; of several the one with the greatest number."""
+    return _listed_tickers(companies).groupBy("ticker").agg(F.max("cik").alias("cik"))
+
+
+def primary_tickers(companies: DataFrame) -> DataFrame:
+    """(cik, ticker): the first ticker in each company's list."""
+    return _listed_tickers(companies).groupBy("cik").agg(F.min_by("ticker", "at").alias("ticker"))
+
+
 def ohlcv_long(grid: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(date, ticker, field columns) from a row per date with columns ``<ticker>|<field>``; ``.WA`` tickers become ``.PL`` with country PL."""
     cells = grid.unpivot("date", [F.col(f"`{c}`") for c in grid.columns if c != "date"], "cell", "value")

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundalake.operators.ranks import running
+
 LABEL = "target_bankruptcy"
 SEED = 42
 
@@ -60,24 +63,38 @@ def folds(df: DataFrame, k: int) -> DataFrame:
     return df.withColumn("fold", F.pmod(F.xxhash64("ticker", "date"), F.lit(k)))
 
 
-def calibrate(pipeline: Pipeline, df: DataFrame, method: str = "sigmoid", k: int = 3) -> DataFrame:
-    """``df`` with its out-of-fold score and calibrated: the mean of the calibrators of all folds, each fitted on the out-of-fold scores of its own fold."""
-    dealt = folds(df, k)
-    parts = [score(train(pipeline, dealt.filter(F.col("fold") != i)), dealt.filter(F.col("fold") == i)) for i in range(k)]
-    scored = reduce(DataFrame.unionByName, parts).persist()
-    rows = VectorAssembler(inputCols=["score"], outputCol="score_vector").transform(scored)
-    fitted = []
+class Calibrated:
+    """Pairs of a model and the calibrator that was fitted on its scores of rows it had not seen."""
+
+    def __init__(self, pairs: list[tuple[PipelineModel, Transformer]]) -> None:
+        self.pairs = pairs
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """``df``, of the training rows or of new ones, with score, the mean of the models, and calibrated, the mean of the pairs."""
+        out, k = df, len(self.pairs)
+        for i, (model, calibrator) in enumerate(self.pairs):
+            out = score(model, out).withColumnRenamed("score", f"_s{i}")
+            out = calibrator.transform(VectorAssembler(inputCols=[f"_s{i}"], outputCol="_v").transform(out)).drop("_v", "_raw", "_said")
+            at = F.col("_p") if isinstance(calibrator, IsotonicRegressionModel) else F.coalesce(F.get(vector_to_array("_p"), F.lit(1)), F.lit(0.0))
+            out = out.withColumn(f"_c{i}", at).drop("_p")
+        mean = lambda name: sum((F.col(f"{name}{i}") for i in range(k)), F.lit(0.0)) / k
+        return out.select(*df.columns, mean("_s").alias("score"), mean("_c").alias("calibrated"))
+
+
+def calibrate(pipeline: Pipeline, df: DataFrame, method: str = "sigmoid", k: int = 3) -> Calibrated:
+    """For each of ``k`` folds a model trained on the others and a calibrator fitted on its scores of the fold."""
+    if method == "sigmoid":
+        fit = LogisticRegression(featuresCol="_v", labelCol="_label", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_said")
+    elif method == "isotonic":
+        fit = IsotonicRegression(featuresCol="_v", labelCol="_label", predictionCol="_p")
+    else:
+        raise ValueError(method)
+    dealt, pairs = folds(df, k), []
     for i in range(k):
-        side = rows.filter(F.col("fold") == i)
-        if method == "sigmoid":
-            fitted.append(LogisticRegression(featuresCol="score_vector", labelCol=LABEL, probabilityCol=f"_p{i}", rawPredictionCol=f"_r{i}", predictionCol=f"_y{i}").fit(side))
-        elif method == "isotonic":
-            fitted.append(IsotonicRegression(featuresCol="score", labelCol=LABEL, predictionCol=f"_p{i}").fit(side.withColumn(LABEL, F.col(LABEL).cast("double"))))
-        else:
-            raise ValueError(method)
-    out = reduce(lambda d, m: m.transform(d), fitted, rows)
-    each = [F.coalesce(F.get(vector_to_array(f"_p{i}"), F.lit(1)), F.lit(0.0)) if method == "sigmoid" else F.col(f"_p{i}") for i in range(k)]
-    return out.withColumn("calibrated", sum(each, F.lit(0.0)) / k).select(*scored.columns, "calibrated")
+        model = train(pipeline, dealt.filter(F.col("fold") != i))
+        seen = score(model, dealt.filter(F.col("fold") == i)).select("score", F.col(LABEL).cast("double").alias("_label"))
+        pairs.append((model, fit.fit(VectorAssembler(inputCols=["score"], outputCol="_v").transform(seen))))
+    return Calibrated(pairs)
 
 
 def importance(spark, model: PipelineModel, columns: list[str], n: int = 20) -> DataFrame:
@@ -106,8 +123,7 @@ def best_threshold(scored: DataFrame) -> DataFrame:
 def metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """(roc_auc, n, positives, accuracy, precision, recall, f1); the area by average ranks of the scores."""
     by_score = scored.groupBy("score").agg(F.count("*").alias("n"), F.sum(F.col(LABEL).cast("long")).alias("pos"), F.sum((F.col("score") >= threshold).cast("long") * F.col(LABEL)).alias("tp"), F.sum((F.col("score") >= threshold).cast("long")).alias("said"))
-    below = W.orderBy("score").rowsBetween(W.unboundedPreceding, -1)
-    ranked = by_score.withColumn("rank", F.coalesce(F.sum("n").over(below), F.lit(0)) + (F.col("n") + 1) / 2)
+    ranked = running(by_score, [], "score").withColumn("rank", F.col("_below") + (F.col("n") + 1) / 2)
     g = ranked.agg(F.sum("n").alias("n"), F.sum("pos").alias("positives"), F.sum(F.col("pos") * F.col("rank")).alias("r"), F.sum("tp").alias("tp"), F.sum("said").alias("said"))
     neg = F.col("n") - F.col("positives")
     auc = F.try_divide(F.col("r") - F.col("positives") * (F.col("positives") + 1) / 2, F.col("positives") * neg)
@@ -126,3 +142,29 @@ def compare(pipelines: dict[str, Pipeline], train_side: DataFrame, test_side: Da
     """Metrics of each model on the test side, the best area first."""
     rows = [metrics(score(train(p, train_side), test_side)).withColumn("model", F.lit(name)) for name, p in pipelines.items()]
     return reduce(DataFrame.unionByName, rows).orderBy(F.col("roc_auc").desc_nulls_last(), "model")
+
+
+def report(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """(label, precision, recall, f1, support) for each class at a threshold."""
+    said, label = (F.col("score") >= threshold).cast("int"), F.col(LABEL).cast("int")
+    sides = F.array(*[F.struct(F.lit(c).alias("label"), (label == c).alias("is"), (said == c).alias("said")) for c in (0, 1)])
+    g = scored.select(F.explode(sides).alias("s")).groupBy("s.label").agg(F.count_if("s.is").alias("support"), F.count_if("s.said").alias("_said"), F.count_if(F.col("s.is") & F.col("s.said")).alias("_right"))
+    precision, recall = F.try_divide("_right", "_said"), F.try_divide("_right", "support")
+    return g.select("label", precision.alias("precision"), recall.alias("recall"), F.try_divide(2 * precision * recall, precision + recall).alias("f1"), "support")
+
+
+@dataclass(frozen=True)
+class Result:
+    """A trained model with its scores of the test side, their metrics, the report by class and the best threshold."""
+
+    model: PipelineModel
+    scored: DataFrame
+    metrics: DataFrame
+    report: DataFrame
+    threshold: DataFrame
+
+
+def evaluate(pipeline: Pipeline, train_side: DataFrame, test_side: DataFrame, threshold: float = 0.5) -> Result:
+    model = train(pipeline, train_side)
+    scored = score(model, test_side)
+    return Result(model, scored, metrics(scored, threshold), report(scored, threshold), best_threshold(scored))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundalake.operators.ranks import beside, quantiles
+
 
 @dataclass(frozen=True)
 class Condition:
@@ -102,7 +104,7 @@ def scan_indicator(df: DataFrame, indicator: str, min_value: float | None = None
     if max_value is not None:
         filters.append(Condition(indicator, "<=", max_value))
     if percentiles:
-        low, high = df.agg(F.percentile(indicator, F.array(*[F.lit(p / 100) for p in percentiles]))).first()[0] or (None, None)
+        low, high = quantiles(df, [], indicator, [p / 100 for p in percentiles]).first()[0]
         filters.append(Condition(indicator, "between", low, high))
     return scan(df, filters, sort_by=indicator, ascending=not top, limit=top or bottom or 50, date=date)
 
@@ -113,8 +115,11 @@ def compare(df: DataFrame, tickers: Sequence[str], indicators: Sequence[str], da
 
 def sector_ranking(df: DataFrame, indicator: str, how: str = "mean", min_companies: int = 5, date: str | None = "latest") -> DataFrame:
     """Sectors by the mean, median, max or min of a column."""
-    agg = {"mean": F.avg, "median": F.median, "max": F.max, "min": F.min}[how]
-    g = at_date(df, date).filter("sector is not null").groupBy("sector").agg(F.round(agg(indicator), 4).alias("value"), F.count(indicator).alias("observations"), F.round(F.stddev_samp(indicator), 4).alias("std"), F.countDistinct("ticker").alias("n_companies"))
+    rows = at_date(df, date).filter("sector is not null")
+    if how == "median":
+        rows = beside(rows, quantiles(rows, ["sector"], indicator, [0.5], "_median"), ["sector"])
+    value = F.first("_median")[0] if how == "median" else {"mean": F.avg, "max": F.max, "min": F.min}[how](indicator)
+    g = rows.groupBy("sector").agg(F.round(value, 4).alias("value"), F.count(indicator).alias("observations"), F.round(F.stddev_samp(indicator), 4).alias("std"), F.countDistinct("ticker").alias("n_companies"))
     return g.filter(F.col("n_companies") >= min_companies).orderBy(F.col("value").desc_nulls_last(), "sector")
 
 

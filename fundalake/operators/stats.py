@@ -10,12 +10,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fundalake.functions.moments import corr, kurt, skew
+from fundalake.operators.ranks import beside, long, quantiles, running
 
+#: The columns that are described unless others are named.
 COLUMNS = (
     "pe_ratio price_to_book price_to_sales price_to_earnings roe roa ros gross_margin operating_margin debt_ratio debt_to_equity current_ratio quick_ratio "
     "asset_turnover inventory_turnover ocf_ratio capex_ratio free_cash_flow revenue_growth net_income_growth dividend_yield payout_ratio close high low "
     "gdp_yoy cpi_yoy unemp_level rate_level"
 ).split()
+#: The groups of indicators.
 GROUPS = {
     "valuation": ["pe_ratio", "price_to_book", "price_to_sales", "price_to_earnings"], "profitability": ["roe", "roa", "ros", "gross_margin", "operating_margin"],
     "leverage": ["debt_ratio", "debt_to_equity"], "liquidity": ["current_ratio", "quick_ratio"], "efficiency": ["asset_turnover", "inventory_turnover"],
@@ -23,30 +26,26 @@ GROUPS = {
     "macro": ["gdp_yoy", "cpi_yoy", "unemp_level", "rate_level"],
 }
 PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
-
-
-def long(df: DataFrame, columns: Sequence[str], *keys: str) -> DataFrame:
-    """(keys, column, value)."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    return df.select(*keys, F.explode(cells).alias("_c")).select(*keys, "_c.*")
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def describe(df: DataFrame, columns: Sequence[str] = COLUMNS, percentiles: Sequence[float] = PERCENTILES) -> DataFrame:
     """A row per column: count, moments, percentiles, missing, zeros, negatives, interquartile range."""
     cells = long(df, [c for c in columns if c in df.columns])
     g = cells.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.percentile("value", F.array(*map(F.lit, percentiles))).alias("_p"), F.max("value").alias("max"),
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
         F.count_if(F.col("value").isNull()).alias("missing"), (100 * F.count_if(F.col("value").isNull()) / F.count("*")).alias("missing_pct"), F.count_if(F.col("value") == 0).alias("zeros"), F.count_if(F.col("value") < 0).alias("negatives"),
-        skew("value").alias("skewness"), kurt("value").alias("kurtosis"), F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).alias("_q"),
+        skew("value").alias("skewness"), kurt("value").alias("kurtosis"),
     )
-    out = g.withColumns({f"p{round(100 * p)}": F.col("_p")[i] for i, p in enumerate(percentiles)}).withColumn("iqr", F.col("_q")[1] - F.col("_q")[0])
-    return out.drop("_p", "_q")
+    out = beside(g, quantiles(cells, ["column"], "value", [*percentiles, 0.25, 0.75]), ["column"])
+    k = len(percentiles)
+    return out.withColumns({f"p{round(100 * p)}": F.col("_p")[i] for i, p in enumerate(percentiles)} | {"iqr": F.col("_p")[k + 1] - F.col("_p")[k]}).drop("_p")
 
 
 def describe_by_group(df: DataFrame, group: str, column: str) -> DataFrame:
     """Statistics of a column per group, the null group included, the largest group first."""
-    q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    g = df.groupBy(group).agg(F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("min"), q.alias("_q"), F.max(column).alias("max"), skew(column).alias("skewness"))
+    g = df.groupBy(group).agg(F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("min"), F.max(column).alias("max"), skew(column).alias("skewness"))
+    g = beside(g, quantiles(df, [group], column, QUARTILES, "_q"), [group])
     out = g.select(group, "count", *[F.round(x, 4).alias(n) for n, x in (("mean", F.col("mean")), ("std", F.col("std")), ("min", F.col("min")), ("q25", F.col("_q")[0]), ("median", F.col("_q")[1]), ("q75", F.col("_q")[2]), ("max", F.col("max")), ("skewness", F.col("skewness")))])
     return out.orderBy(F.col("count").desc(), F.col(group).asc_nulls_last())
 
@@ -69,8 +68,7 @@ def outliers(df: DataFrame, columns: Sequence[str] = COLUMNS, method: str = "iqr
     """Values outside the fences, or more than ``threshold`` population standard deviations from the mean; a row per column with values."""
     cells = long(df, [c for c in columns if c in df.columns]).filter("value is not null")
     if method == "iqr":
-        q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.75)))
-        span = cells.groupBy("column").agg(q.alias("q")).select("column", (F.col("q")[0] - threshold * (F.col("q")[1] - F.col("q")[0])).alias("low"), (F.col("q")[1] + threshold * (F.col("q")[1] - F.col("q")[0])).alias("high"))
+        span = quantiles(cells, ["column"], "value", (0.25, 0.75), "q").select("column", (F.col("q")[0] - threshold * (F.col("q")[1] - F.col("q")[0])).alias("low"), (F.col("q")[1] + threshold * (F.col("q")[1] - F.col("q")[0])).alias("high"))
         out = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
         bounds = [F.round(F.first("low"), digits).alias("lower_bound"), F.round(F.first("high"), digits).alias("upper_bound")]
     elif method == "zscore":
@@ -83,6 +81,30 @@ def outliers(df: DataFrame, columns: Sequence[str] = COLUMNS, method: str = "iqr
     return g.withColumn("outliers_pct", F.round(100 * F.col("outliers_count") / F.col("total_values"), 2))
 
 
+def _concordance(cells: DataFrame) -> DataFrame:
+    """(a, b, s) from (a, b, x, y, n): concordant less discordant pairs.
+
+    x and y become their ranks among the different values, written in 16-digits.
+    Two rows part at one digit of x and at one of y, the highest that differ, so
+    each pair is counted in one block of (digit's place, digits above) of x and
+    of y.  A block is at most 16 rows of 16 counts; a row makes as many entries
+    as the digits of x times those of y, which are aggregated before the shuffle.
+    """
+    for c in ("x", "y"):
+        ranks = running(cells.select("a", "b", c).distinct().withColumn("one", F.lit(1)), ["a", "b"], c, "one")
+        places = F.expr("sequence(0, length(hex(_total - 1)) - 1)")
+        cells = cells.join(ranks.select("a", "b", c, F.col("_below").alias(f"r{c}"), places.alias(f"p{c}")), ["a", "b", c])
+    dealt = cells.select("a", "b", "n", "rx", "ry", "py", F.explode("px").alias("px")).select("a", "b", "n", "rx", "ry", "px", F.explode("py").alias("py"))
+    block = ["a", "b", "px", "hx", "py", "hy"]
+    for c in ("x", "y"):
+        dealt = dealt.withColumn(f"h{c}", F.expr(f"shiftright(r{c}, 4 * (p{c} + 1))")).withColumn(f"d{c}", F.expr(f"shiftright(r{c}, 4 * p{c}) & 15"))
+    rows = dealt.groupBy(*block, "dx").agg(*[F.sum(F.when(F.col("dy") == j, F.col("n")).otherwise(0)).cast("double").alias(f"c{j}") for j in range(16)])
+    before = W.partitionBy(*block).orderBy("dx").rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.select("a", "b", *[f"c{j}" for j in range(16)], *[F.coalesce(F.sum(f"c{j}").over(before), F.lit(0.0)).alias(f"q{j}") for j in range(16)])
+    signed = [F.col(f"c{j}") * (sum((F.col(f"q{i}") for i in range(j)), F.lit(0.0)) - sum((F.col(f"q{i}") for i in range(j + 1, 16)), F.lit(0.0))) for j in range(16)]
+    return rows.groupBy("a", "b").agg(F.sum(sum(signed, F.lit(0.0))).alias("s"))
+
+
 def _pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
     return list(combinations(columns, 2))
 
@@ -90,8 +112,7 @@ def _pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
 def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """(a, b, correlation) of each pair of columns over the rows that have both.
 
-    Kendall's tau-b is taken over the different (x, y) values and their counts:
-    exact, with work that grows with the square of their number.
+    Kendall's tau-b is exact and forms no pairs of rows, see ``_concordance``.
     """
     pairs = _pairs(columns)
     cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs])
@@ -101,20 +122,14 @@ def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson")
     if method == "spearman":
         ranked = rows
         for c in ("x", "y"):
-            counts = rows.groupBy("a", "b", c).agg(F.count("*").alias("_n"))
-            below = W.partitionBy("a", "b").orderBy(c).rowsBetween(W.unboundedPreceding, -1)
-            ranks = counts.withColumn(f"r{c}", F.coalesce(F.sum("_n").over(below), F.lit(0)) + (F.col("_n") + 1) / 2).drop("_n")
-            ranked = ranked.join(ranks, ["a", "b", c])
+            ranks = running(rows.groupBy("a", "b", c).agg(F.count("*").alias("n")), ["a", "b"], c)
+            ranked = ranked.join(ranks.select("a", "b", c, (F.col("_below") + (F.col("n") + 1) / 2).alias(f"r{c}")), ["a", "b", c])
         return ranked.groupBy("a", "b").agg(corr("rx", "ry").alias("correlation"))
     if method == "kendall":
         cells = rows.groupBy("a", "b", "x", "y").agg(F.count("*").alias("n"))
-        other = cells.select("a", "b", F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("n").alias("n2"))
-        weight = F.col("n") * F.col("n2")
-        sign = F.signum(F.col("x2") - F.col("x")) * F.signum(F.col("y2") - F.col("y"))
-        s = cells.join(other, ["a", "b"]).filter("x2 > x").groupBy("a", "b").agg(F.sum(sign * weight).alias("s"))
         pairs_of = lambda n: n * (n - 1) / 2
         ties = lambda c: cells.groupBy("a", "b", c).agg(F.sum("n").alias("n")).groupBy("a", "b").agg(F.sum(pairs_of(F.col("n"))).alias(f"t{c}"), F.sum("n").alias(f"n{c}"))
-        g = ties("x").join(ties("y"), ["a", "b"]).join(s, ["a", "b"], "left")
+        g = ties("x").join(ties("y"), ["a", "b"]).join(_concordance(cells), ["a", "b"], "left")
         total = pairs_of(F.col("nx"))
         return g.select("a", "b", F.try_divide(F.coalesce("s", F.lit(0.0)), F.sqrt((total - F.col("tx")) * (total - F.col("ty")))).alias("correlation"))
     raise ValueError(method)
@@ -143,7 +158,7 @@ def correlation_by_sector(df: DataFrame, a: str, b: str, min_samples: int = 10)
 def clipped(df: DataFrame, column: str, low: float = 1, high: float = 99, *keys: str) -> DataFrame:
     """Non-null values between two percentiles, with the keys."""
     have = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("value"))
-    band = have.agg(F.percentile("value", F.array(F.lit(low / 100), F.lit(high / 100))).alias("_p"))
+    band = quantiles(have, [], "value", (low / 100, high / 100))
     return have.join(F.broadcast(band)).filter((F.col("value") >= F.col("_p")[0]) & (F.col("value") <= F.col("_p")[1])).drop("_p")  # one row
 
 
@@ -158,9 +173,9 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 def box(df: DataFrame, column: str, *keys: str) -> DataFrame:
     """Quartiles, mean, and the ends of the whiskers."""
     rows = clipped(df, column, 1, 99, *keys)
-    q = rows.groupBy(*keys).agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.avg("value").alias("mean"), F.count("*").alias("n"))
+    q = beside(rows.groupBy(*keys).agg(F.avg("value").alias("mean"), F.count("*").alias("n")), quantiles(rows, keys, "value", QUARTILES, "q"), keys)
     fence = lambda s: F.col("q")[1 + s] + s * 1.5 * (F.col("q")[2] - F.col("q")[0])
-    both = rows.join(F.broadcast(q), list(keys)) if keys else rows.join(F.broadcast(q))
+    both = rows.join(q, list(keys)) if keys else rows.join(F.broadcast(q))  # one row
     inside = F.when(F.col("value").between(fence(-1), fence(1)), F.col("value"))
     return both.groupBy(*keys).agg(F.first("n").alias("n"), F.first("mean").alias("mean"), *[F.first(F.col("q")[i]).alias(c) for i, c in enumerate(("q25", "median", "q75"))], F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"))
 
@@ -171,6 +186,52 @@ def box_by_sector(df: DataFrame, column: str, top: int = 10) -> DataFrame:
     return box(df.join(F.broadcast(largest), "sector"), column, "sector").orderBy(F.col("median").desc(), "sector")
 
 
+def clipped_long(df: DataFrame, columns: Sequence[str], low: float = 1, high: float = 99) -> DataFrame:
+    """(column, value): non-null values between two percentiles of their column."""
+    cells = long(df, [c for c in columns if c in df.columns]).filter("value is not null")
+    band = quantiles(cells, ["column"], "value", (low / 100, high / 100))
+    return cells.join(band, "column").filter((F.col("value") >= F.col("_p")[0]) & (F.col("value") <= F.col("_p")[1])).drop("_p")
+
+
+def histogram_grid(df: DataFrame, columns: Sequence[str] = COLUMNS, bins: int = 50, most: int = 12) -> DataFrame:
+    """(column, bin, n): the histograms of the first ``most`` of the columns that are there."""
+    rows = clipped_long(df, [c for c in columns if c in df.columns][:most])
+    both = rows.join(rows.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi")), "column")
+    at = F.least(F.floor(F.try_divide((F.col("value") - F.col("lo")) * bins, F.col("hi") - F.col("lo"))), F.lit(bins - 1))
+    return both.groupBy("column", F.coalesce(at, F.lit(0)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+
+
+def violin(df: DataFrame, columns: Sequence[str] = ("roe", "roa", "ros", "gross_margin", "operating_margin")) -> DataFrame:
+    """(column, n, mean, std, q25, median, q75) of the clipped values: the lines inside violins, and the text beside histograms."""
+    rows = clipped_long(df, columns)
+    g = rows.groupBy("column").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+    out = beside(g, quantiles(rows, ["column"], "value", QUARTILES, "q"), ["column"])
+    return out.select("column", "n", "mean", "std", *[F.col("q")[i].alias(c) for i, c in enumerate(("q25", "median", "q75"))])
+
+
+def price_history(df: DataFrame, tickers: Sequence[str]) -> DataFrame:
+    """(ticker, date, close) of some tickers, in the order of drawing."""
+    return df.filter(F.col("ticker").isin(*tickers)).select("ticker", "date", "close").orderBy("ticker", "date")
+
+
+def group_columns(df: DataFrame, group: str = "all") -> list[str]:
+    """The columns of a group of indicators, or of all groups, that ``df`` has."""
+    if group != "all" and group not in GROUPS:
+        raise ValueError(f"no group {group}")
+    names = GROUPS[group] if group != "all" else dict.fromkeys(c for g in GROUPS.values() for c in g)
+    return [c for c in names if c in df.columns]
+
+
+def heatmap(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
+    """(a, b, correlation, masked): the square matrix in long form; masked above the diagonal."""
+    half = correlations(df, columns, method)
+    ones = df.agg(*[F.when(F.stddev_pop(c) > 0, 1.0).alias(c) for c in columns])
+    same = long(ones, columns).select(F.col("column").alias("a"), F.col("column").alias("b"), F.col("value").alias("correlation"), F.lit(False).alias("masked"))
+    above = half.select("a", "b", "correlation", F.lit(True).alias("masked"))
+    below = half.select(F.col("b").alias("a"), F.col("a").alias("b"), "correlation", F.lit(False).alias("masked"))
+    return same.unionByName(above).unionByName(below)
+
+
 def scaled_series(df: DataFrame, tickers: Sequence[str], column: str, scale: bool = True) -> DataFrame:
     """(ticker, date, value), brought to 0..1 per ticker."""
     w = W.partitionBy("ticker")
@@ -197,5 +258,5 @@ def scatter_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 def scatter_points(df: DataFrame, x: str, y: str, hue: str = "sector", limit: int = 5000, top: int = 10) -> DataFrame:
     """A fixed sample of the points for drawing, the smaller groups named Other."""
     largest = df.filter(F.col(hue).isNotNull()).groupBy(hue).agg(F.count("*").alias("_n")).orderBy(F.col("_n").desc(), hue).limit(top).select(F.col(hue).alias("_top"))
-    pts = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).orderBy(F.xxhash64("ticker", "date"), "ticker", "date").limit(limit)
+    pts = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).orderBy(F.md5(F.concat_ws("|", "ticker", "date")), "ticker", "date").limit(limit)
     return pts.join(F.broadcast(largest), F.col(hue) == F.col("_top"), "left").select("ticker", "date", x, y, F.when(F.col("_top").isNotNull(), F.col(hue)).otherwise("Other").alias("hue"))

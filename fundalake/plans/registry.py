@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -13,6 +14,8 @@ from fundalake.operators import asof, cleaning, features, labels, landing, maste
 from fundalake.plans import constants as K
 from fundalake.plans.oracle import FILINGS_AS_OF, MASTER_COLUMNS, RATIOS, TTM, statement
 from fundalake.sources import files, proxies, staging, store
+from fundalake.sources.schemas import conform
+from fundalake.streaming.ingest import ingest
 
 AS_OF = datetime.date(2001, 12, 31)
 FILINGS_DAY = datetime.date(2024, 2, 1)
@@ -131,6 +134,118 @@ query("filtered_prices", "SELECT * FROM prices_clean WHERE country = 'US' AND da
 query("scan_where_limit", "SELECT ticker, date, close FROM prices_clean WHERE close > 20000 ORDER BY ticker, date LIMIT 100")(lambda d: store.load(d.prices.orderBy("ticker", "date"), ["ticker", "date", "close"], "close > 20000", 100))
 query("adhoc_sql", "SELECT country, count(*) AS n FROM prices_clean WHERE close > 1000 GROUP BY country")(lambda d: d.spark.sql("SELECT country, count(*) AS n FROM {p} WHERE close > :low GROUP BY country", args={"low": 1000}, p=d.prices))
 
+# ---- scans of landed files, sinks and the store
+def _landed(d: Data, name: str, rows: DataFrame, file, form: str) -> str:
+    return staging.landed(d.spark, d.sf_dir, name, rows, file, form)
+
+
+def _price_files(d: Data) -> str:
+    """The newest file of each country, and an older one of the US that is not to be read."""
+    p = d.px("prices").select(F.col("ticker").alias("Ticker"), F.col("date").alias("Date"), F.col("open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"), F.col("close").alias("Close"), F.col("volume").alias("Volume"))
+    both = p.withColumn("_f", F.when(F.col("Ticker").endswith(".PL"), "prices_pl_2.csv").otherwise("prices_2.csv")).unionByName(p.withColumn("Close", F.col("Close") + 1).withColumn("_f", F.lit("prices_1.csv")))
+    return _landed(d, "prices", both.withColumn("_file", F.col("_f")).drop("_f"), F.col("_file"), "csv")
+
+
+def _per_ticker(d: Data, name: str, field: str, rows: DataFrame, suffix: str = ".json") -> str:
+    """JSON files, one for each ticker, with the list of its records."""
+    items = rows.groupBy("ticker").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "ticker"])).alias(field))
+    return _landed(d, name, items, F.concat("ticker", F.lit(suffix)), "json")
+
+
+def _fact_files(d: Data) -> str:
+    f = d.px("financials").select("ticker", "concept", "unit", F.col("start_date").alias("start"), F.col("end_date").alias("end"), "value", "form", "filing_date")
+    return _per_ticker(d, "financials", "financials", f, "_financials.json")
+
+
+def _dividend_files(d: Data) -> str:
+    return _per_ticker(d, "dividends", "dividends", d.px("dividends").select("ticker", F.col("dividend_date").alias("date"), F.col("dividend_amount").alias("dividend")))
+
+
+def _share_files(d: Data) -> str:
+    rows = d.px("shares").select("ticker", F.col("end_date").alias("end"), F.col("filing_date").alias("filed"), F.col("fiscal_year").cast("string").alias("fy"), F.col("fiscal_period").alias("fp"), F.col("shares").alias("value"), "source_type")
+    return _per_ticker(d, "shares", "shares_history", rows)
+
+
+def _sector_files(d: Data) -> str:
+    """Three files; the last one renames the industries of a third of the tickers."""
+    n = F.regexp_extract("Ticker", r"\d+", 0).cast("int") % 3
+    s = d.px("sectors").select(F.col("ticker").alias("Ticker"), F.col("sector").alias("Sector"), F.col("industry").alias("Industry"))
+    return _landed(d, "sectors", s.withColumn("_n", n).unionByName(s.filter(n == 0).withColumn("Industry", F.concat(F.lit("new "), F.col("Industry"))).withColumn("_n", F.lit(9))).withColumn("_file", F.format_string("sectors_%d.csv", F.col("_n").cast("int"))).drop("_n"), F.col("_file"), "csv")
+
+
+def _status_files(d: Data) -> str:
+    rows = d.px("status").select("ticker", F.regexp_extract("ticker", r"\d+", 0).alias("cik"), "status", "delisting_date", F.lit(None).cast("string").alias("delisting_form"), F.col("delisting_date").alias("last_filing_date"), F.lit("no date").alias("last_financial_report_date"))
+    return _landed(d, "status", rows, F.lit("company_status.csv"), "csv")
+
+
+def _macro_files(d: Data) -> str:
+    rows = d.px("macro").unpivot("date", _SERIES, "series", "value").filter("value is not null")
+    return _landed(d, "macro", rows.select("date", "value", F.concat("series", F.lit(".csv")).alias("_file")), F.col("_file"), "csv")
+
+
+def _company_files(d: Data) -> str:
+    """A file of companies for each region, of the customers: a company has one ticker or two."""
+    c = d.table("customer").join(d.table("nation").withColumnsRenamed({"n_nationkey": "c_nationkey"}), "c_nationkey")
+    tick = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
+    row = F.struct(F.col("c_custkey").cast("string").alias("cik"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_nationkey").cast("string")).alias("sic"), F.col("c_mktsegment").alias("sic_description"), F.when(F.col("c_custkey") % 2 == 0, F.array(F.lit("N"), F.lit("Q"))).otherwise(F.array().cast("array<string>")).alias("exchanges"), F.when(F.col("c_custkey") % 4 == 0, F.array(tick, F.concat(tick, F.lit("B")))).otherwise(F.array(tick)).alias("all_tickers"))
+    return _landed(d, "companies", c.groupBy("n_regionkey").agg(F.collect_list(row).alias("companies")).withColumn("_file", F.format_string("companies_%d.json", F.col("n_regionkey").cast("int"))).drop("n_regionkey"), F.col("_file"), "json")
+
+
+def _store(d: Data) -> store.Store:
+    return store.Store(d.spark, f"{staging.shared_dir(d.spark)}/store-{uuid.uuid4().hex}")
+
+
+def _csv_sink(d: Data) -> DataFrame:
+    path = f"{staging.shared_dir(d.spark)}/csv-{uuid.uuid4().hex}"
+    store.write_csv(d.prices.select("ticker", "date", "close"), path)
+    return d.spark.read.schema("ticker string, date date, close double").option("header", True).csv(path)
+
+
+def _refresh(d: Data) -> DataFrame:
+    s = _store(d)
+    s.write("prices", d.px("prices"))
+    s.refresh("prices", "prices_cleaned", cleaning.clean_prices, ["ticker", "date"])
+    return s.read("prices_cleaned")
+
+
+def _catalog(d: Data) -> DataFrame:
+    s = _store(d)
+    s.write("prices", d.px("prices"))
+    s.write("sectors", d.px("sectors"))
+    return s.canned("row_counts")
+
+
+def _store_sql(d: Data) -> DataFrame:
+    s = _store(d)
+    s.write("prices", d.px("prices"))
+    return s.sql("SELECT country, count(*) AS n, max(close) AS top FROM prices WHERE close > :low GROUP BY country", {"low": 1000})
+
+
+def _ingest(d: Data) -> DataFrame:
+    """The price table first, then a stream of files with later closes of some months."""
+    s, path = _store(d), f"{staging.shared_dir(d.spark)}/new-{uuid.uuid4().hex}"
+    p = conform(d.px("prices"), "prices")
+    s.upsert("prices", p)
+    p.filter("date >= '1998-01-01'").withColumn("close", F.col("close") + 1).write.parquet(path)
+    ingest(d.spark, s, "prices", path, f"{path}-state", [F.col("close").desc_nulls_last()])
+    return s.read("prices")
+
+
+_PRICES = "ticker, date, country, open, high, low, close, volume"
+query("scan_prices", f"SELECT {_PRICES} FROM px_prices")(lambda d: files.prices(d.spark, _price_files(d)))
+query("scan_financials", "SELECT ticker, concept, country, unit, start_date, end_date, value, form, filing_date, value_source FROM (SELECT *, row_number() OVER (PARTITION BY ticker, concept, end_date ORDER BY CAST(value_source = 'cumulative' AS INT), filing_date DESC NULLS LAST, value DESC NULLS LAST, fact_id) AS rn FROM facts_classified) WHERE rn = 1")(lambda d: files.financials(d.spark, _fact_files(d)))
+query("scan_macro", f"SELECT date, {', '.join(_SERIES)} FROM px_macro WHERE coalesce({', '.join(_SERIES)}) IS NOT NULL")(lambda d: files.macro(d.spark, _macro_files(d), {f"{c}.csv": c for c in _SERIES}))
+query("scan_dividends", "SELECT ticker, dividend_date, country, dividend_amount FROM px_dividends")(lambda d: files.dividends(d.spark, _dividend_files(d), json=True))
+query("scan_shares", "SELECT ticker, filing_date, country, shares, end_date, fiscal_year, fiscal_period, source_type FROM px_shares")(lambda d: files.shares(d.spark, _share_files(d)))
+query("scan_status", "SELECT ticker, country, regexp_extract(ticker, '[0-9]+') AS cik, status, delisting_date, CAST(NULL AS VARCHAR) AS delisting_form, delisting_date AS last_filing_date, CAST(NULL AS DATE) AS last_financial_report_date FROM (SELECT *, CASE WHEN suffix(ticker, '.PL') THEN 'PL' ELSE 'US' END AS country FROM px_status)")(lambda d: files.company_status(d.spark, _status_files(d)))
+query("scan_metadata", "SELECT CAST(c_custkey AS VARCHAR) AS cik, unnest(CASE WHEN c_custkey % 4 = 0 THEN ['C' || c_custkey, 'C' || c_custkey || 'B'] ELSE ['C' || c_custkey] END) AS ticker, 'US' AS country, c_name AS company_name, CAST(CASE WHEN c_custkey % 3 <> 0 THEN c_nationkey END AS INT) AS sic, c_mktsegment AS sic_description, CASE WHEN c_custkey % 2 = 0 THEN 'N' END AS exchange, false AS is_excluded FROM customer")(lambda d: files.company_metadata(d.spark, _company_files(d)))
+query("scan_sectors", "SELECT ticker, country, sector, CASE WHEN CAST(regexp_extract(ticker, '[0-9]+') AS INT) % 3 = 0 THEN 'new ' || industry ELSE industry END AS industry, CAST(NULL AS TIMESTAMP) AS last_updated FROM px_sectors")(lambda d: files.sectors(d.spark, _sector_files(d)))
+query("csv_sink", "SELECT ticker, date, close FROM prices_clean")(_csv_sink)
+query("catalog", "SELECT 'prices' AS table_name, count(*) AS n_rows FROM px_prices UNION ALL SELECT 'sectors', count(*) FROM px_sectors")(_catalog)
+query("store_sql", "SELECT country, count(*) AS n, max(close) AS top FROM px_prices WHERE close > 1000 GROUP BY country")(_store_sql)
+query("table_refresh", "SELECT * FROM prices_clean")(_refresh)
+query("stream_ingest", f"SELECT {_PRICES.replace(' close,', '')}, CASE WHEN date >= DATE '1998-01-01' THEN close + 1 ELSE close END AS close FROM px_prices")(_ingest)
+
 # ---- landing
 _TAGS = {"Revenues": "SalesRevenueNet", "OperatingCashFlow": "NetCashProvidedByUsedInOperatingActivities", "RetainedEarnings": "RetainedEarningsAccumulatedDeficit", "CapitalExpenditures": "PaymentsToAcquireProductiveAssets"}
 
@@ -216,6 +331,9 @@ def _companies(d: Data) -> DataFrame:
 _EXCLUDED = "(s_suppkey % 7 IN (0, 1) OR s_suppkey % 11 = 0)"
 query("company_universe", f"SELECT s_suppkey AS cik, {_EXCLUDED} AS is_excluded FROM supplier")(lambda d: landing.company_universe(_companies(d)).select("cik", "is_excluded"))
 query("ticker_list", f"SELECT DISTINCT unnest(['T' || CAST(s_suppkey % 40 AS VARCHAR), 'S' || CAST(s_suppkey AS VARCHAR)]) AS ticker FROM supplier WHERE NOT {_EXCLUDED}")(lambda d: landing.ticker_list(_companies(d)))
+_TICKERS = f"SELECT s_suppkey AS cik, unnest(['T' || CAST(s_suppkey % 40 AS VARCHAR), 'S' || CAST(s_suppkey AS VARCHAR)]) AS ticker FROM supplier WHERE NOT {_EXCLUDED}"
+query("ticker_ciks", f"SELECT ticker, max(cik) AS cik FROM ({_TICKERS}) GROUP BY 1")(lambda d: landing.ticker_ciks(_companies(d)))
+query("primary_tickers", f"SELECT s_suppkey AS cik, 'T' || CAST(s_suppkey % 40 AS VARCHAR) AS ticker FROM supplier WHERE NOT {_EXCLUDED}")(lambda d: landing.primary_tickers(_companies(d)))
 
 
 def _grid(d: Data) -> DataFrame:
@@ -349,7 +467,8 @@ _FULL = f"SELECT target_bankruptcy AS y, {', '.join(_SEL)} FROM labelled WHERE {
 _LONG = " UNION ALL ".join(f"SELECT y, '{c}' AS feature, {c} AS x FROM sel" for c in _SEL)
 query("select_f", "SELECT feature, round((b / (k - 1)) / (w / (n - k)), 4) AS score FROM (SELECT feature, sum(n * (m - g) * (m - g)) AS b, sum(n * v) AS w, count(*) AS k, sum(n) AS n FROM (SELECT *, sum(n * m) OVER (PARTITION BY feature) / sum(n) OVER (PARTITION BY feature) AS g FROM (SELECT feature, y, count(*) AS n, avg(x) AS m, var_pop(x) AS v FROM sel_long GROUP BY 1, 2)) GROUP BY feature)", sel=_FULL, sel_long=_LONG)(lambda d: rounded(features.select_f(d.labelled, _SEL), 4, "score"))
 query("select_chi2", "SELECT feature, round(sum((o - e) * (o - e) / nullif(e, 0)), 4) AS score FROM (SELECT *, sum(o) OVER (PARTITION BY feature) * n / sum(n) OVER (PARTITION BY feature) AS e FROM (SELECT *, s - n * min(lo) OVER (PARTITION BY feature) AS o FROM (SELECT feature, y, count(*) AS n, sum(x) AS s, min(x) AS lo FROM sel_long GROUP BY 1, 2))) GROUP BY feature", sel=_FULL, sel_long=_LONG)(lambda d: rounded(features.select_chi2(d.labelled, _SEL), 4, "score"))
-query("select_mi")(lambda d: features.top_features(features.select_mi(d.labelled, _SEL), 20))
+_DECILES = ", ".join(str(i / 10) for i in range(1, 10))
+query("select_mi", f"SELECT feature, round(sum(n / total * ln(n * total / (ny * nb))), 6) AS score FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY feature) AS DOUBLE) AS total, sum(n) OVER (PARTITION BY feature, y) AS ny, sum(n) OVER (PARTITION BY feature, b) AS nb FROM (SELECT l.feature, y, len(list_filter(cuts, lambda q: q < x)) AS b, count(*) AS n FROM sel_long l JOIN (SELECT feature, quantile_cont(x, [{_DECILES}]) AS cuts FROM sel_long GROUP BY 1) c ON l.feature = c.feature GROUP BY 1, 2, 3)) GROUP BY feature", sel=_FULL, sel_long=_LONG)(lambda d: rounded(features.top_features(features.select_mi(d.labelled, _SEL), 20), 6, "score"))
 
 
 # ---- models, with the builders' full settings
@@ -373,7 +492,7 @@ def _scored(d: Data, build: Callable[[DataFrame, list[str]], object]) -> DataFra
 query("rf")(lambda d: _scored(d, lambda t, c: models.random_forest(c)))
 query("gbt")(lambda d: _scored(d, lambda t, c: models.boosted_trees(c)))
 query("logistic")(lambda d: _scored(d, _logistic))
-query("calibrate")(lambda d: (lambda t: models.calibrate(models.random_forest(t[2]), t[0]).select("ticker", "date", "target_bankruptcy", "score", "calibrated"))(_sides(d)))
+query("calibrate")(lambda d: (lambda t: models.calibrate(models.random_forest(t[2]), t[0]).score(t[1]).select("ticker", "date", "target_bankruptcy", "score", "calibrated"))(_sides(d)))
 query("importance")(lambda d: (lambda t: models.importance(d.spark, models.train(models.random_forest(t[2]), t[0]), t[2]))(_sides(d)))
 query("compare_models")(lambda d: (lambda t: models.compare({"rf": models.random_forest(t[2]), "logistic": _logistic(t[0], t[2])}, t[0], t[1]))(_sides(d)))
 query("cross_validate")(lambda d: (lambda t: models.cross_validate(models.random_forest(t[2]), t[0]))(_sides(d)))
@@ -398,8 +517,8 @@ _CORR = ["roa", "ros", "debt_ratio", "asset_turnover", "close"]
 _PAIR = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {a} AS x, {b} AS y FROM master WHERE {a} IS NOT NULL AND {b} IS NOT NULL" for i, a in enumerate(_CORR) for b in _CORR[i + 1 :])
 query("corr_pearson", "SELECT a, b, round(corr(x, y), 6) AS correlation FROM pair_rows GROUP BY 1, 2", pair_rows=_PAIR)(lambda d: rounded(stats.correlations(d.master, _CORR), 6, "correlation"))
 query("corr_spearman", "SELECT a, b, round(corr(rx, ry), 6) AS correlation FROM (SELECT a, b, rank() OVER (PARTITION BY a, b ORDER BY x) + (count(*) OVER (PARTITION BY a, b, x) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY a, b ORDER BY y) + (count(*) OVER (PARTITION BY a, b, y) - 1) / 2.0 AS ry FROM pair_rows) GROUP BY 1, 2", pair_rows=_PAIR)(lambda d: rounded(stats.correlations(d.master, _CORR, "spearman"), 6, "correlation"))
-_KPAIR = "SELECT 'roa' AS a, 'debt_ratio' AS b, roa AS x, debt_ratio AS y FROM latest WHERE roa IS NOT NULL AND debt_ratio IS NOT NULL"
-query("corr_kendall", "SELECT 'roa' AS a, 'debt_ratio' AS b, round(s / sqrt((n0 - tx) * (n0 - ty)), 6) AS correlation FROM (SELECT sum(sign(q.x - p.x) * sign(q.y - p.y)) AS s FROM kpair p JOIN kpair q ON q.x > p.x) CROSS JOIN (SELECT count(*) AS m, count(*) * (count(*) - 1) / 2 AS n0 FROM kpair) CROSS JOIN (SELECT coalesce(sum(n * (n - 1) / 2), 0) AS tx FROM (SELECT count(*) AS n FROM kpair GROUP BY x)) CROSS JOIN (SELECT coalesce(sum(n * (n - 1) / 2), 0) AS ty FROM (SELECT count(*) AS n FROM kpair GROUP BY y)) WHERE m > 0", kpair=_KPAIR)(lambda d: rounded(stats.correlations(screener.at_date(d.master), ["roa", "debt_ratio"], "kendall"), 6, "correlation"))
+_TIES = lambda c: f"SELECT a, b, sum(n * (n - 1) / 2) AS t, sum(n) AS m FROM (SELECT a, b, count(*) AS n FROM pair_rows GROUP BY a, b, {c}) GROUP BY a, b"
+query("corr_kendall", f"SELECT x.a, x.b, round(coalesce(s, 0) / nullif(sqrt((x.m * (x.m - 1) / 2 - x.t) * (x.m * (x.m - 1) / 2 - y.t)), 0), 6) AS correlation FROM ({_TIES('x')}) x JOIN ({_TIES('y')}) y ON x.a = y.a AND x.b = y.b LEFT JOIN (SELECT p.a, p.b, sum(sign(q.x - p.x) * sign(q.y - p.y)) AS s FROM pair_rows p JOIN pair_rows q ON p.a = q.a AND p.b = q.b AND q.x > p.x GROUP BY 1, 2) s ON x.a = s.a AND x.b = s.b", pair_rows=_PAIR)(lambda d: rounded(stats.correlations(d.master, _CORR, "kendall"), 6, "correlation"))
 _TARGET = ["roa", "ros", "debt_ratio", "asset_turnover", "close", "roe"]
 _TGT = " UNION ALL ".join(f"SELECT '{c}' AS variable, corr({c}, revenue_growth) AS r FROM master" for c in _TARGET)
 query("corr_target", f"SELECT variable, round(r, 6) AS correlation, round(abs(r), 6) AS abs_correlation FROM ({_TGT})")(lambda d: rounded(stats.correlation_with(d.master, "revenue_growth", _TARGET), 6, "correlation", "abs_correlation"))
@@ -410,11 +529,21 @@ query("histogram", "SELECT CAST(least(floor((value - lo) * 20 / (hi - lo)), 19)
 _TOP = "SELECT sector FROM master WHERE sector IS NOT NULL GROUP BY sector ORDER BY count(*) DESC, sector LIMIT 3"
 _CLIP3 = "SELECT sector, close AS value FROM master WHERE sector IN (SELECT sector FROM top3) AND close IS NOT NULL AND close >= (SELECT quantile_cont(close, 0.01) FROM master WHERE sector IN (SELECT sector FROM top3)) AND close <= (SELECT quantile_cont(close, 0.99) FROM master WHERE sector IN (SELECT sector FROM top3))"
 query("box_by_sector", "SELECT c.sector, any_value(n) AS n, round(any_value(mean), 4) AS mean, round(any_value(q25), 4) AS q25, round(any_value(med), 4) AS median, round(any_value(q75), 4) AS q75, min(value) FILTER (value >= q25 - 1.5 * (q75 - q25) AND value <= q75 + 1.5 * (q75 - q25)) AS whisker_low, max(value) FILTER (value >= q25 - 1.5 * (q75 - q25) AND value <= q75 + 1.5 * (q75 - q25)) AS whisker_high FROM clip c JOIN (SELECT sector, count(*) AS n, avg(value) AS mean, quantile_cont(value, 0.25) AS q25, median(value) AS med, quantile_cont(value, 0.75) AS q75 FROM clip GROUP BY 1) q ON c.sector = q.sector GROUP BY 1", top3=_TOP, clip=_CLIP3)(lambda d: rounded(stats.box_by_sector(d.master, "close", 3), 4, "mean", "q25", "median", "q75"))
+_GRID = stats.COLUMNS[:12]
+_GRID_LONG = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM master WHERE {c} IS NOT NULL" for c in _GRID)
+_GRID_CLIP = 'SELECT g."column", value FROM grid g JOIN (SELECT "column", quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.99) AS hi FROM grid GROUP BY 1) b ON g."column" = b."column" WHERE value >= lo AND value <= hi'
+query("histogram_grid", 'SELECT g."column", CAST(coalesce(least(floor((value - lo) * 20 / nullif(hi - lo, 0)), 19), 0) AS BIGINT) AS bin, count(*) AS n FROM grid_clip g JOIN (SELECT "column", min(value) AS lo, max(value) AS hi FROM grid_clip GROUP BY 1) b ON g."column" = b."column" GROUP BY 1, 2', grid=_GRID_LONG, grid_clip=_GRID_CLIP)(lambda d: stats.histogram_grid(d.master, bins=20))
+query("violin", f'SELECT "column", count(*) AS n, {", ".join(f"round({x}, 4) AS {n}" for n, x in (("mean", "avg(value)"), ("std", "stddev_samp(value)"), ("q25", "quantile_cont(value, 0.25)"), ("median", "median(value)"), ("q75", "quantile_cont(value, 0.75)")))} FROM grid_clip GROUP BY 1', grid=_GRID_LONG, grid_clip=_GRID_CLIP)(lambda d: rounded(stats.violin(d.master, _GRID), 4, "mean", "std", "q25", "median", "q75"))
+query("price_history", "SELECT ticker, date, close FROM master WHERE ticker IN ('T1', 'T2', 'T5.PL')")(lambda d: stats.price_history(d.master, ["T1", "T2", "T5.PL"]))
+_GROUP = ["roe", "roa", "ros", "gross_margin", "operating_margin"]
+_HEAT = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, " + (f"CASE WHEN stddev_pop({a}) > 0 THEN 1.0 END" if a == b else f"round(corr({a}, {b}), 6)") + f" AS correlation, {str(j > i).lower()} AS masked FROM master" for i, a in enumerate(_GROUP) for j, b in enumerate(_GROUP))
+query("heatmap_group", f"SELECT a, b, CAST(correlation AS DOUBLE) AS correlation, masked FROM ({_HEAT})")(lambda d: rounded(stats.heatmap(d.master, stats.group_columns(d.master, "profitability")), 6, "correlation"))
 query("scaled_series", "SELECT ticker, date, (close - min(close) OVER w) / nullif(max(close) OVER w - min(close) OVER w, 0) AS value FROM master WHERE ticker IN ('T1', 'T2', 'T3') AND close IS NOT NULL WINDOW w AS (PARTITION BY ticker)")(lambda d: stats.scaled_series(d.master, ["T1", "T2", "T3"], "close"))
 query("sector_composition", "SELECT sector, count(DISTINCT ticker) AS n_tickers FROM master WHERE sector IS NOT NULL GROUP BY sector ORDER BY n_tickers DESC, sector LIMIT 15")(lambda d: stats.sector_composition(d.master))
 query("missing_bands", f"SELECT \"column\", missing_pct, CASE WHEN missing_pct > 50 THEN 'high' WHEN missing_pct > 20 THEN 'medium' ELSE 'low' END AS band FROM ({_MISSING}) ORDER BY missing_pct DESC, \"column\" LIMIT 30")(lambda d: stats.missing_bands(d.master))
 query("scatter_fit", "SELECT count(*) AS n, round(regr_slope(roa, debt_ratio), 6) AS slope, round(regr_intercept(roa, debt_ratio), 6) AS intercept, round(corr(debt_ratio, roa), 6) AS r FROM master WHERE roa IS NOT NULL AND debt_ratio IS NOT NULL")(lambda d: rounded(stats.scatter_fit(d.master, "debt_ratio", "roa"), 6, "slope", "intercept", "r"))
-query("scatter_points")(lambda d: stats.scatter_points(d.master, "debt_ratio", "roa"))
+_HUES = "SELECT sector FROM master WHERE sector IS NOT NULL GROUP BY sector ORDER BY count(*) DESC, sector LIMIT 10"
+query("scatter_points", f"SELECT ticker, date, debt_ratio, roa, CASE WHEN sector IN ({_HUES}) THEN sector ELSE 'Other' END AS hue FROM (SELECT * FROM master WHERE debt_ratio IS NOT NULL AND roa IS NOT NULL ORDER BY md5(ticker || '|' || CAST(date AS VARCHAR)), ticker, date LIMIT 5000)")(lambda d: stats.scatter_points(d.master, "debt_ratio", "roa"))
 
 # ---- screener
 _OPS = {"<": "close < 20000", "<=": "close <= 20000", ">": "close > 20000", ">=": "close >= 20000", "==": "close = 20000", "!=": "close IS DISTINCT FROM 20000", "between": "close BETWEEN 10000 AND 30000", "in": "sector IN ('ASIA', 'AFRICA')", "not_in": "coalesce(sector NOT IN ('ASIA', 'AFRICA'), true)", "is_null": "close IS NULL", "not_null": "close IS NOT NULL"}

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 _staged: dict[tuple[str, str, str], str] = {}
 _own: dict[str, str] = {}
@@ -30,3 +30,22 @@ def staged(spark: SparkSession, source: str, name: str, make: Callable[[], DataF
         make().write.parquet(path)
         _staged[key] = path
     return spark.read.parquet(_staged[key])
+
+
+def landed(spark: SparkSession, source: str, name: str, rows: DataFrame, file: Column, form: str) -> str:
+    """A folder with one CSV or JSON file of ``rows`` for each value of ``file``, its name; landed at first use in an application."""
+    key = (spark.sparkContext.applicationId, source, f"landed/{name}")
+    if key not in _staged:
+        path = f"{shared_dir(spark)}/landed-{name}-{uuid.uuid4().hex}"
+        named = rows.withColumn("_file", file).repartition("_file")
+        getattr(named.write.partitionBy("_file").option("header", True), form)(f"{path}-parts")
+        jvm = spark._jvm
+        at, to = jvm.org.apache.hadoop.fs.Path(f"{path}-parts"), jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(to)
+        for folder in fs.globStatus(jvm.org.apache.hadoop.fs.Path(at, "_file=*")):
+            (part,) = [f for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+            fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(to, folder.getPath().getName()[len("_file=") :]))
+        fs.delete(at, True)
+        _staged[key] = path
+    return _staged[key]

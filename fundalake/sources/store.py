@@ -80,11 +80,33 @@ class Store:
             out = out.unionByName(part)
         return out
 
+    def size(self) -> DataFrame:
+        """(table_name, n_bytes) of the current versions."""
+        rows = []
+        for t in self.tables():
+            fs, p = self._fs(f"{self.root}/{t}/versions/{self._version(t)}")
+            rows.append((t, fs.getContentSummary(p).getLength()))
+        return self.spark.createDataFrame(rows, "table_name string, n_bytes long")
+
+    def canned(self, name: str) -> DataFrame:
+        """One of the fixed catalog queries: tables, row_counts (largest first), schemas (columns and types), size."""
+        if name == "tables":
+            return self.spark.createDataFrame([(t,) for t in self.tables()], "table_name string")
+        if name == "row_counts":
+            return self.catalog().orderBy(F.col("n_rows").desc(), "table_name")
+        if name == "schemas":
+            return self.spark.createDataFrame([(t, f.name, f.dataType.simpleString()) for t in self.tables() for f in self.read(t).schema], "table_name string, column_name string, type string")
+        if name == "size":
+            return self.size().agg(F.sum("n_bytes").alias("n_bytes"))
+        raise ValueError(name)
+
     def sql(self, query: str, args=None) -> DataFrame:
-        """Ad-hoc SQL over the tables as views, with parameters."""
+        """Ad-hoc SQL over the tables as views, with parameters; the views are those of a session of their own."""
+        own = self.spark.newSession()
         for t in self.tables():
-            self.read(t).createOrReplaceTempView(t)
-        return self.spark.sql(query, args=args)
+            Store(own, self.root).read(t).createOrReplaceTempView(t)
+        return own.sql(query, args=args)
+
 
 
 def table_range(df: DataFrame, date: str, country: str | None = None) -> DataFrame:

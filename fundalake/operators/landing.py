@@ -188,8 +188,9 @@ def ohlcv_long(grid: DataFrame, fields: Sequence[str]) -> DataFrame:
     return out.filter(F.coalesce(*[F.col(f) for f in fields]).isNotNull()).withColumn("country", F.when(F.col("ticker").endswith(".PL"), "PL").otherwise("US"))
 
 
-def high_water_marks(universe: DataFrame, rows: DataFrame, date: str, overlap_days: int, default: datetime.date) -> DataFrame:
-    """(ticker, start_date): the day to fetch from, for all tickers in one job."""
+def high_water_marks(universe: DataFrame, rows: DataFrame, date: str, overlap_days: int, default: datetime.date, country: str | None = None) -> DataFrame:
+    """(ticker, start_date): the day to fetch from, for all tickers in one job; by the rows of one country, if given."""
+    rows = rows.filter(F.col("country") == country) if country else rows
     last = rows.groupBy("ticker").agg(F.max(date).alias("_last"))
     return universe.select("ticker").distinct().join(last, "ticker", "left").select("ticker", F.coalesce(F.date_sub("_last", overlap_days), F.lit(default)).alias("start_date"))
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-_staged: dict[tuple[str, str, str], str] = {}
+_staged: dict[tuple[str, str, str, tuple], str] = {}
 _own: dict[str, str] = {}
 
 
@@ -22,9 +22,20 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def _state(spark: SparkSession, source: str) -> tuple:
+    """Names, sizes and times of what lies in the folder ``source`` (of a table in a folder, its files'); other data gives another state."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(source)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for s in fs.listStatus(p):
+        files = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+        found.append((s.getPath().getName(), len(files), sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)))
+    return tuple(sorted(found))
+
+
 def staged(spark: SparkSession, source: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """The table ``name`` made from the data in ``source``; made at first use in an application."""
-    key = (spark.sparkContext.applicationId, source, name)
+    """The table ``name`` made from the data in the folder ``source``; made at first use in an application, and again when those data change."""
+    key = (spark.sparkContext.applicationId, source, name, _state(spark, source))
     if key not in _staged:
         path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         make().write.parquet(path)
@@ -33,8 +44,8 @@ def staged(spark: SparkSession, source: str, name: str, make: Callable[[], DataF
 
 
 def landed(spark: SparkSession, source: str, name: str, rows: DataFrame, file: Column, form: str) -> str:
-    """A folder with one CSV or JSON file of ``rows`` for each value of ``file``, its name; landed at first use in an application."""
-    key = (spark.sparkContext.applicationId, source, f"landed/{name}")
+    """A folder with one CSV or JSON file of ``rows`` for each value of ``file``, its name; landed at first use in an application, and again when the data in the folder ``source`` change."""
+    key = (spark.sparkContext.applicationId, source, f"landed/{name}", _state(spark, source))
     if key not in _staged:
         path = f"{shared_dir(spark)}/landed-{name}-{uuid.uuid4().hex}"
         named = rows.withColumn("_file", file).repartition("_file")

@@ -1,12 +1,14 @@
-"""The table store: Parquet folders that are replaced as a whole, keyed upserts, statistics and reads."""
+"""The table store: versions of Parquet folders, keyed upserts by years, statistics and reads."""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructType
 
 from fundalake.operators.windows import dedup_by
 from fundalake.sources.schemas import KEYS, conform
@@ -21,7 +23,15 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequen
 
 
 class Store:
-    """Tables under a root folder.  Each write makes a new version; a pointer file names the current one, so readers never see half a table."""
+    """Tables under a root folder.
+
+    ``versions`` has a manifest for each version of a table: the schema and the
+    data folders, one a line.  Spark marks a complete manifest with _SUCCESS, so
+    readers never see half a table.  A keyed table whose key has a date lies in
+    a folder for each year of the (last) date; an upsert reads and writes only
+    the years that the new rows are in, and the next manifest names the other
+    years' folders as they are.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -31,39 +41,96 @@ class Store:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _version(self, table: str) -> str | None:
+    def _versions(self, table: str) -> list[str]:
         fs, p = self._fs(f"{self.root}/{table}/versions")
         if not fs.exists(p):
-            return None
-        done = sorted(s.getPath().getName() for s in fs.listStatus(p) if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-        return done[-1] if done else None
+            return []
+        return sorted(s.getPath().getName() for s in fs.listStatus(p) if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
+
+    def _manifest(self, table: str, version: str) -> tuple[StructType, list[str]]:
+        """The schema and the folders, a line for each year of the table, of a version."""
+        lines = [r.value for r in self.spark.read.text(f"{self.root}/{table}/versions/{version}").collect()]
+        (schema,) = [x for x in lines if x.startswith("{")]
+        return StructType.fromJson(json.loads(schema)), sorted(x for x in lines if not x.startswith("{"))
 
     def exists(self, table: str) -> bool:
-        return self._version(table) is not None
+        return bool(self._versions(table))
 
-    def read(self, table: str) -> DataFrame:
-        version = self._version(table)
-        if version is None:
+    def folders(self, table: str) -> list[str]:
+        """The data folders of the current version, below the table's own."""
+        done = self._versions(table)
+        if not done:
             raise FileNotFoundError(table)
-        return self.spark.read.parquet(f"{self.root}/{table}/versions/{version}")
-
-    def write(self, table: str, df: DataFrame, sort: Sequence[str] = (), keep: int = 2) -> None:
-        """Replace a table (Spark marks a complete version with _SUCCESS); older versions but the last ``keep`` go."""
-        now = self._version(table)
-        number = int(now.split("-")[0]) + 1 if now else 0
-        out = df.sortWithinPartitions(*sort) if sort else df
-        out.write.parquet(f"{self.root}/{table}/versions/{number:010d}-{uuid.uuid4().hex[:8]}")
-        fs, p = self._fs(f"{self.root}/{table}/versions")
-        for status in sorted(fs.listStatus(p), key=lambda s: s.getPath().getName())[:-keep]:
-            fs.delete(status.getPath(), True)
+        return self._manifest(table, done[-1])[1]
 
-    def upsert(self, table: str, new: DataFrame, keys: Sequence[str] | None = None, order_by: Sequence[Column] | None = None) -> None:
-        keys = keys or KEYS[table]
+    def read(self, table: str) -> DataFrame:
+        done = self._versions(table)
+        if not done:
+            raise FileNotFoundError(table)
+        return self._scan(table, *self._manifest(table, done[-1]))
+
+    def _scan(self, table: str, schema: StructType, folders: Sequence[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{table}/{f}" for f in folders])
+
+    def _put(self, table: str, df: DataFrame, by: str | None, sort: Sequence[str]) -> list[str]:
+        """Data in a new folder, or a folder for each year of ``by``; which ones."""
+        name = f"data/{uuid.uuid4().hex}"
+        if by is None:
+            (df.sortWithinPartitions(*sort) if sort else df).write.parquet(f"{self.root}/{table}/{name}")
+            return [name]
+        year = f"year_of_{by}"
+        while year in df.columns:
+            year += "_"
+        out = df.withColumn(year, F.coalesce(F.year(by).cast("string"), F.lit("none")))
+        # AQE splits a year that is large over several tasks
+        out.hint("rebalance", year).sortWithinPartitions(year, *sort).write.partitionBy(year).parquet(f"{self.root}/{table}/{name}")
+        fs, p = self._fs(f"{self.root}/{table}/{name}")
+        return [f"{name}/{s.getPath().getName()}" for s in fs.listStatus(p) if s.isDirectory()]
+
+    def _commit(self, table: str, schema: StructType, folders: Sequence[str], keep: int) -> None:
+        """The next version; older ones but the last ``keep`` go, with the folders that no other names."""
+        done = self._versions(table)
+        number = int(done[-1].split("-")[0]) + 1 if done else 0
+        lines = self.spark.createDataFrame([(x,) for x in (schema.json(), *folders)], "value string")
+        lines.coalesce(1).write.text(f"{self.root}/{table}/versions/{number:010d}-{uuid.uuid4().hex[:8]}")
+        done = self._versions(table)
+        stay = {f for v in done[-keep:] for f in self._manifest(table, v)[1]}
+        for v in done[:-keep]:
+            for f in (*[x for x in self._manifest(table, v)[1] if x not in stay], f"versions/{v}"):
+                fs, p = self._fs(f"{self.root}/{table}/{f}")
+                fs.delete(p, True)
+
+    def write(self, table: str, df: DataFrame, sort: Sequence[str] = (), keep: int = 2, by: str | None = None) -> None:
+        """Replace a table; ``by``: the date by whose years it is dealt over folders."""
+        self._commit(table, df.schema, self._put(table, df, by, sort), keep)
+
+    def upsert(self, table: str, new: DataFrame, keys: Sequence[str] | None = None, order_by: Sequence[Column] | None = None, keep: int = 2) -> None:
+        """The rows of ``new`` in place of those with their keys.
+
+        The new rows are written first, so that they are computed once and show
+        which years they touch.  Folders of other years are left alone.
+        """
+        keys = list(keys or KEYS[table])
         new = conform(new, table) if table in KEYS else new
-        if not self.exists(table):
-            self.write(table, dedup_by(new, list(keys), order_by) if order_by else new, keys)
-        else:
-            self.write(table, upsert(self.read(table), new, keys, order_by), keys)
+        if order_by:
+            new = dedup_by(new, keys, order_by)
+        by = next((k for k in reversed(keys) if isinstance(new.schema[k].dataType, DateType)), None)
+        done = self._versions(table)
+        if not done:
+            return self.write(table, new, keys, keep, by)
+        schema, folders = self._manifest(table, done[-1])
+        arrived = self._put(table, new, by, ())
+        years = {f.rsplit("/", 1)[1] for f in arrived}
+        # a folder of a table that was not dealt by these years may hold any key
+        dealt = {f for f in folders if by is not None and f.rsplit("/", 1)[1].startswith(f"year_of_{by}")}
+        touched = [f for f in folders if f not in dealt or f.rsplit("/", 1)[1] in years]
+        merged = upsert(self._scan(table, schema, touched), self._scan(table, new.schema, arrived), keys)
+        self._commit(table, merged.schema, [*[f for f in folders if f not in touched], *self._put(table, merged, by, keys)], keep)
+        for f in arrived:
+            fs, p = self._fs(f"{self.root}/{table}/{f}")
+            fs.delete(p, True)
 
     def refresh(self, source: str, target: str, change: Callable[[DataFrame], DataFrame] = lambda d: d, sort: Sequence[str] = ()) -> None:
         self.write(target, change(self.read(source)), sort)
@@ -84,8 +151,8 @@ class Store:
         """(table_name, n_bytes) of the current versions."""
         rows = []
         for t in self.tables():
-            fs, p = self._fs(f"{self.root}/{t}/versions/{self._version(t)}")
-            rows.append((t, fs.getContentSummary(p).getLength()))
+            fs, _ = self._fs(self.root)
+            rows.append((t, sum(fs.getContentSummary(self._fs(f"{self.root}/{t}/{f}")[1]).getLength() for f in self.folders(t))))
         return self.spark.createDataFrame(rows, "table_name string, n_bytes long")
 
     def canned(self, name: str) -> DataFrame:

@@ -167,6 +167,59 @@ def test_store_and_stream(spark, tmp_path):
     assert store.sql("SELECT count(*) AS n FROM prices WHERE close > ?", [2.0]).first().n == 1
 
 
+def test_upsert_touches_only_its_years(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    frame = lambda rows: spark.createDataFrame(rows, "k string, d date, year_of_d string, v int")
+    put = lambda rows, **more: store.upsert("t", frame(rows), ["k", "d"], **more)
+    got = lambda: sorted((r.k, str(r.d), r.v) for r in store.read("t").collect())
+    years = lambda: {f.rsplit("=", 1)[1]: f for f in store.folders("t")}
+    put([])
+    assert got() == [] and store.read("t").columns == ["k", "d", "year_of_d", "v"]
+    put([("a", D(2020, 1, 1), "x", 1), ("b", D(2021, 5, 1), "x", 2), ("c", None, "x", 3), (None, D(2021, 5, 1), "x", 4)])
+    before = years()
+    assert set(before) == {"2020", "2021", "none"}
+    put([("b", D(2021, 5, 1), "y", 5), ("b", D(2021, 6, 1), "y", 6), (None, D(2021, 5, 1), "y", 7)])
+    now = years()
+    assert now["2020"] == before["2020"] and now["none"] == before["none"] and now["2021"] != before["2021"]
+    want = [("None", "2021-05-01", 7), ("a", "2020-01-01", 1), ("b", "2021-05-01", 5), ("b", "2021-06-01", 6), ("c", "None", 3)]
+    assert sorted((str(k), d, v) for k, d, v in ((r.k, str(r.d), r.v) for r in store.read("t").collect())) == want
+    put([("c", None, "z", 8), ("e", D(2022, 1, 1), "z", 9), ("e", D(2022, 1, 1), "z", 1)], order_by=[F.col("v").desc()])
+    put([])
+    assert sorted((r.v for r in store.read("t").collect())) == [1, 5, 6, 7, 8, 9]
+    # two versions stay, and no folder that neither of them names
+    folders = [f for f in (tmp_path / "store/t/data").glob("*/*") if f.is_dir()]
+    assert len(list((tmp_path / "store/t/versions").iterdir())) == 2 and len(folders) == 4
+    assert store.size().first().n_bytes > 0
+    # a table written as a whole is dealt by years at its first upsert
+    store.write("w", store.read("t").select("k", "d", "v"))
+    store.upsert("w", spark.createDataFrame([("a", D(2020, 1, 1), 10)], "k string, d date, v int"), ["k", "d"])
+    assert sorted(r.v for r in store.read("w").collect()) == [5, 6, 7, 8, 9, 10] and len(store.folders("w")) == 4
+
+
+def test_staged_again_when_the_source_changes(spark, tmp_path):
+    from fundalake.sources.staging import staged
+
+    source, made = f"file://{tmp_path}/in", []
+
+    def make():
+        made.append(1)
+        return spark.range(len(made))
+
+    spark.range(1).write.parquet(f"{source}/t.parquet")
+    assert [staged(spark, source, "x", make).count() for _ in range(2)] == [1, 1]
+    spark.range(2).write.mode("append").parquet(f"{source}/t.parquet")
+    assert [staged(spark, source, "x", make).count() for _ in range(2)] == [2, 2]
+
+
+def test_high_water_marks_by_country(spark):
+    from fundalake.operators.landing import high_water_marks
+
+    rows = spark.createDataFrame([("A", D(2020, 1, 10), "US"), ("A", D(2020, 3, 10), "PL")], "ticker string, date date, country string")
+    universe = spark.createDataFrame([("A",), ("B",)], "ticker string")
+    mark = lambda c: {r.ticker: r.start_date for r in high_water_marks(universe, rows, "date", 1, D(1990, 1, 1), c).collect()}
+    assert mark(None) == {"A": D(2020, 3, 9), "B": D(1990, 1, 1)} and mark("US")["A"] == D(2020, 1, 9)
+
+
 def test_file_scans(spark, tmp_path):
     from fundalake.sources import files
 

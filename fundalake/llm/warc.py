@@ -183,7 +183,9 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
 def round_trip(pages: DataFrame) -> DataFrame:
     """``pages`` written to archives in the shared folder and read back, a record for each row.
 
-    A null html is an empty payload.  Payloads under ``MIN_REVISIT`` bytes are
+    A null html is an empty payload; a very long one is a record like any other.
+    Repeated rows are records of their own, and an empty table gives an empty
+    result.  Payloads under ``MIN_REVISIT`` bytes are
     always stored.  Rows that share the largest page_id of their group are all
     stored; null page_ids are stored too if the whole group has none, and
     otherwise revisit.  Other columns are ignored.

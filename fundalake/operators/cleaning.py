@@ -69,6 +69,7 @@ def quarterly(facts: DataFrame, strict: bool = False) -> DataFrame:
     The difference is to the row before in the year of the start date, whatever
     its source; ``strict`` looks at cumulative rows only.
     """
+    facts = facts.repartition("ticker", "concept")  # one shuffle for the windows by year of start and by year of end
     by_year = W.partitionBy("ticker", "concept", F.year("start_date"))
     ordered = by_year.orderBy("end_date")
     if strict:
@@ -123,12 +124,20 @@ def snapshot_to_flow(clean: DataFrame, max_days: int = 365) -> DataFrame:
     return out.filter(F.datediff("flow_date", "snapshot_date") <= max_days)
 
 
-def redate(clean: DataFrame) -> DataFrame:
-    """Flows at their date, snapshots at the flow date they belong to, all with that date's quarter; other snapshots go."""
-    to = snapshot_to_flow(clean).select("ticker", "country", F.col("snapshot_date").alias("end_date"), "flow_date", F.lit("SNAPSHOT").alias("period_type"))
-    moved = clean.drop("fiscal_quarter").join(to, ["ticker", "country", "end_date", "period_type"], "left")
-    moved = moved.withColumn("end_date", F.coalesce("flow_date", "end_date")).drop("flow_date")
-    return moved.join(flow_quarter(clean), ["ticker", "country", "end_date"])
+def redate(clean: DataFrame, max_days: int = 365) -> DataFrame:
+    """Flows at their date, snapshots at the flow date they belong to, all with that date's quarter; other snapshots go.
+
+    The next flow date comes from a row per date, so ``clean`` is read twice and
+    its facts meet the dates in one join.
+    """
+    flow = F.col("period_type") == "FLOW"
+    dates = clean.groupBy("ticker", "country", "end_date").agg(F.max(flow).alias("_has"), F.min(F.when(flow, F.col("fiscal_quarter"))).alias("_quarter"))
+    ahead = W.partitionBy("ticker", "country").orderBy("end_date").rowsBetween(0, W.unboundedFollowing)
+    following = F.first(F.when(F.col("_has"), F.struct(F.col("end_date").alias("date"), F.col("_quarter").alias("quarter"))), ignorenulls=True).over(ahead)
+    to = dates.select("ticker", "country", "end_date", following.alias("_to"))
+    near = F.datediff("_to.date", "end_date") <= max_days  # 0 for flows
+    moved = clean.drop("fiscal_quarter").join(to, ["ticker", "country", "end_date"]).filter(near)
+    return moved.withColumns({"end_date": F.col("_to.date"), "fiscal_quarter": F.col("_to.quarter")}).drop("_to")
 
 
 def wide(redated: DataFrame) -> DataFrame:

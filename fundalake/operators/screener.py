@@ -123,6 +123,26 @@ def sector_ranking(df: DataFrame, indicator: str, how: str = "mean", min_compani
     return g.filter(F.col("n_companies") >= min_companies).orderBy(F.col("value").desc_nulls_last(), "sector")
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.withColumn("_r", F.row_number().over(W.partitionBy("ticker").orderBy(F.col("date").desc())))
+
+
+def _last_values(column: str, periods: int) -> Column:
+    """The non-null values among the last rows of a group that _numbered() has numbered, the latest first; at most ``periods``."""
+    rows = F.sort_array(F.collect_list(F.when((F.col("_r") <= periods) & F.col(column).isNotNull(), F.struct("_r", F.col(column).cast("double").alias("x")))))
+    return F.transform(rows, lambda r: r["x"])
+
+
+def _direction(values: Column) -> Column:
+    """rising, falling or stable, of values that begin with the latest."""
+    n = F.size(values)
+    half = F.floor(n / 2).cast("int")
+    mean = lambda side: F.try_divide(F.aggregate(side, F.lit(0.0), lambda a, x: a + x), half.cast("double"))
+    early, late = mean(F.slice(values, n - half + 1, half)), mean(F.slice(values, 1, half))
+    change = F.when(early == 0, 0.0).otherwise((late - early) / F.abs(early))
+    return F.when(n >= 2, F.when(change > 0.05, "rising").when(change < -0.05, "falling").otherwise("stable"))
+
+
 def trend(df: DataFrame, column: str, periods: int = 12) -> DataFrame:
     """(ticker, <column>_trend) over each ticker's last rows.
 
@@ -130,25 +150,16 @@ def trend(df: DataFrame, column: str, periods: int = 12) -> DataFrame:
     middle of an odd number is in neither): over 5 % up is rising, down is
     falling, else stable; a first mean of 0 is stable; under two values: null.
     """
-    last = W.partitionBy("ticker").orderBy(F.col("date").desc())
-    recent = df.select("ticker", "date", F.col(column).alias("x")).withColumn("_r", F.row_number().over(last)).filter(F.col("_r") <= periods)
-    w = W.partitionBy("ticker")
-    have = recent.filter("x is not null").withColumn("i", F.row_number().over(w.orderBy("date"))).withColumn("n", F.count("*").over(w))
-    half = F.floor(F.col("n") / 2)
-    g = have.groupBy("ticker").agg(F.max("n").alias("n"), F.avg(F.when(F.col("i") <= half, F.col("x"))).alias("a"), F.avg(F.when(F.col("i") > F.col("n") - half, F.col("x"))).alias("b"))
-    change = F.when(F.col("a") == 0, 0.0).otherwise((F.col("b") - F.col("a")) / F.abs("a"))
-    label = F.when(F.col("n") >= 2, F.when(change > 0.05, "rising").when(change < -0.05, "falling").otherwise("stable"))
-    return df.select("ticker").distinct().join(g.select("ticker", label.alias(f"{column}_trend")), "ticker", "left")
+    g = _numbered(df.select("ticker", "date", column)).groupBy("ticker").agg(_last_values(column, periods).alias("_v"))
+    return g.select("ticker", _direction(F.col("_v")).alias(f"{column}_trend"))
 
 
 PROFILE = {"close": 2, "pe_ratio": 2, "price_to_book": 2, "roe": 4, "roa": 4, "debt_to_equity": 2, "current_ratio": 2, "dividend_yield": 4, "revenue_growth": 4, "net_income_growth": 4}
 
 
 def profiles(df: DataFrame, periods: int = 12) -> DataFrame:
-    """A row per ticker: latest values, trends of price, earnings multiple and return on equity, and the range of the data."""
-    fields = ["sector", "industry", *PROFILE]
-    g = df.groupBy("ticker").agg(F.max_by(F.struct(*fields), "date").alias("m"), F.count("*").alias("data_points"), F.min("date").alias("first_date"), F.max("date").alias("latest_date"))
-    out = g.select("ticker", "m.sector", "m.industry", "latest_date", *[F.round(F.col(f"m.{c}"), n).alias(c) for c, n in PROFILE.items()], "data_points", "first_date")
-    for c in ("close", "pe_ratio", "roe"):
-        out = out.join(trend(df, c, periods), "ticker", "left")
-    return out
+    """A row per ticker: latest values, trends of price, earnings multiple and return on equity, and the range of the data; one shuffle."""
+    fields, trends = ["sector", "industry", *PROFILE], ("close", "pe_ratio", "roe")
+    ends = [F.max_by(F.struct(*fields), "date").alias("m"), F.count("*").alias("data_points"), F.min("date").alias("first_date"), F.max("date").alias("latest_date")]
+    g = _numbered(df.select("ticker", "date", *fields)).groupBy("ticker").agg(*ends, *[_last_values(c, periods).alias(f"_{c}") for c in trends])
+    return g.select("ticker", "m.sector", "m.industry", "latest_date", *[F.round(F.col(f"m.{c}"), n).alias(c) for c, n in PROFILE.items()], "data_points", "first_date", *[_direction(F.col(f"_{c}")).alias(f"{c}_trend") for c in trends])

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundalake.llm import chat, decontam, html_extract, kn_model, langid, mixing, quality_rules, simhash, substring_dedup, warc
-from fundalake.llm.common import cut
+from fundalake.llm import chat, decontam, html_extract, kn_model, langid, mixing, periodic, quality_rules, secret_scan, simhash, substring_dedup, warc, whitening
+from fundalake.llm.common import cut, fresh_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,9 +62,29 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.audit(_table(spark, sf_dir, "documents").select("doc_id", "text"), fresh_path(spark, "ledger"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*[r.kind for r in secret_scan.BASE]))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", *[number(r.kind) for r in secret_scan.BASE], F.sha2(secret_scan.told(base), 256).alias("base_sha256"), secret_scan.told(F.col("spans")).alias("spans"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic.collapsed(periodic.with_tails(_table(spark, sf_dir, "documents")))
+    out = out.select("doc_id", "runs", "kept_text", periodic.best(F.col("runs")).alias("best"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = [F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")]
+    exponent = F.floor(F.lit(1000).cast("decimal(10,0)") * F.col("best.length") / F.col("best.period")).cast("long")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best, exponent.alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("kept_text", 256).alias("collapsed_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_warc, op3_language_id, op4_chat_format, op5_simhash, op6_decontamination, op7_quality_rules, op8_quality_model, op9_substring_dedup, op10_mixing)
+    for f in (op1_html_extraction, op2_warc, op3_language_id, op4_chat_format, op5_simhash, op6_decontamination, op7_quality_rules, op8_quality_model, op9_substring_dedup, op10_mixing, op11_secret_scan, op12_periodic_runs, op13_whitening)
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -192,4 +212,26 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies,
        CASE WHEN copies > 0 THEN {_at("x0")} END AS first_position, CASE WHEN copies > 0 THEN {_at("x1")} END AS last_position FROM m
 """
 
-SQL = {"op2_warc": _OP2, "op4_chat_format": _OP4, "op7_quality_rules": _OP7, "op9_substring_dedup": _OP9, "op10_mixing": _OP10}
+
+def _spans(i: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """The spans of a rule in SQL: what lies between its matches says where they are."""
+    pattern = pattern.replace("'", "''")
+    return f"""
+  SELECT r, {i} AS kind_no, '{kind}' AS kind, start, start + length(m) AS stop FROM (
+    SELECT r, s[j] AS m, CAST(list_sum(list_transform(between[:j], x -> length(x))) + coalesce(list_sum(list_transform(s[:j-1], x -> length(x))), 0) AS BIGINT) AS start
+    FROM (SELECT r, s, between, unnest(range(1, len(s) + 1)) AS j
+          FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS s, string_split_regex(t, '{pattern}') AS between FROM d)))
+  WHERE length(regexp_extract(m, '{pattern}', {group})) >= {least}"""
+
+
+_OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({" UNION ALL ".join(_spans(i, *rule[:4]) for i, rule in enumerate(secret_scan.RULES))}),
+told AS (SELECT r, {", ".join(f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in secret_scan.BASE)},
+                string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, kind_no, stop) FILTER (kind_no < {len(secret_scan.BASE)}) AS base,
+                string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, kind_no, stop) AS spans FROM s GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{rule.kind}, 0) AS n_{rule.kind}" for rule in secret_scan.BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN told ON d.r = told.r
+"""
+
+SQL = {"op2_warc": _OP2, "op4_chat_format": _OP4, "op7_quality_rules": _OP7, "op9_substring_dedup": _OP9, "op10_mixing": _OP10, "op11_secret_scan": _OP11}

@@ -7,7 +7,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from fundalake.llm import chat, decontam, html_extract, kn_model, langid, mixing, quality_rules, simhash, substring_dedup, warc
+from fundalake.llm import chat, decontam, html_extract, kn_model, langid, mixing, periodic, quality_rules, secret_scan, simhash, substring_dedup, warc, whitening
+from fundalake.llm.common import fresh_path
 
 SOURCES = "\n".join(p.read_text() for p in (Path(__file__).resolve().parents[2] / "fundalake/llm").glob("*.py"))
 NAMES = sorted({n.lower() for n in re.findall(r'(?:alias|withColumn|col)\("(\w+)"', SOURCES)} | {n.lower() for group in re.findall(r'names=\[([^\]]*)\]', SOURCES) for n in re.findall(r'"(\w+)"', group)} | {n.lower() for kinds in re.findall(r'"((?:`?\w+`? \w[\w<>]*, )+`?\w+`? \w[\w<>]*)"', SOURCES) for n in re.findall(r"`?(\w+)`? \w", kinds)})
@@ -47,6 +48,8 @@ DOCUMENTS = {
     "model": (lambda d, b, l: kn_model.classify(d, l), ["doc_id", "n_bytes", "kept"]),
     "substrings": (lambda d, b, l: substring_dedup.without_repeats(d), ["doc_id", "kept_text", "n_words", "n_removed"]),
     "mixing": (lambda d, b, l: mixing.mix(d), ["doc_id", "size", "target", "taken"]),
+    "secrets": (lambda d, b, l: secret_scan.audit(d, fresh_path(d.sparkSession, "ledger")), ["doc_id", "text", "spans"]),
+    "periodic": (lambda d, b, l: periodic.collapsed(d), ["doc_id", "text", "runs", "kept_text"]),
 }
 STAGES = {
     "language": lambda d, b: langid.accepted(d),
@@ -84,6 +87,13 @@ def test_pages(spark):
         assert rows_of(run(clashing(pages)), columns) == rows_of(run(pages), columns)
 
 
+def test_vectors(spark):
+    rng = random.Random(7)
+    rows = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(30)] + [(None, None)], "vec_id long, embedding array<double>")
+    columns = ["vec_id", "component", "n", "deviation", "explained"]
+    assert rows_of(whitening.components(clashing(rows).drop("hits")), columns) == rows_of(whitening.components(rows), columns)
+
+
 def test_very_long_page(spark):
     """A payload of several megabytes that does not compress, among small ones, read back whole."""
     rng = random.Random(43)

@@ -218,7 +218,7 @@ def _spans(i: int, kind: str, pattern: str, group: int, least: int) -> str:
     pattern = pattern.replace("'", "''")
     return f"""
   SELECT r, {i} AS kind_no, '{kind}' AS kind, start, start + length(m) AS stop FROM (
-    SELECT r, s[j] AS m, CAST(list_sum(list_transform(between[:j], x -> length(x))) + coalesce(list_sum(list_transform(s[:j-1], x -> length(x))), 0) AS BIGINT) AS start
+    SELECT r, s[j] AS m, CAST(list_sum(list_transform(between[:j], lambda x: length(x))) + coalesce(list_sum(list_transform(s[:j-1], lambda x: length(x))), 0) AS BIGINT) AS start
     FROM (SELECT r, s, between, unnest(range(1, len(s) + 1)) AS j
           FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS s, string_split_regex(t, '{pattern}') AS between FROM d)))
   WHERE length(regexp_extract(m, '{pattern}', {group})) >= {least}"""

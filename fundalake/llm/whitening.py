@@ -396,6 +396,6 @@ def components(vectors: DataFrame, column: str = "embedding", most: int = COMPON
     error = identity_error(vectors, f, column)
     rows = whitened(vectors, f, column)
     explained = F.array(*[F.lit(float(v / f.total) if f.total > 0 else None).cast("double") for v in f.variances])
-    long = rows.select(*[F.col(f"`{c}`") for c in rest], F.col("deviation").try_cast("long").alias("deviation"), F.posexplode("whitened").alias("at", "value"))
-    columns = [F.col(f"`{c}`") for c in rest if c not in ("at", "value")]
+    long = rows.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col("deviation").try_cast("long").alias("deviation"), F.posexplode("whitened").alias("at", "value"))
+    columns = [F.col(f"row.`{c}`").alias(c) for c in rest]
     return long.select(*columns, (F.col("at") + 1).cast("int").alias("component"), F.lit(f.n).cast("long").alias("n"), "deviation", F.col("value").alias("whitened"), F.get(explained, F.col("at")).alias("explained"), F.lit(error).cast("double").alias("identity_error"))

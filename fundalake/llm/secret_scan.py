@@ -14,9 +14,10 @@ behind, as Spark commits the appended files together; a scan that is repeated
 finds nothing to do.  Two that run at once may record a pair twice, with the
 same spans; ``findings`` counts them once.
 
-Plan.  Texts are joined with the pending blobs by (blob, path): those are sent
-to all executors if they are counted and few, and else the texts are shuffled
-once, by a key that differs between the copies of a common text.  Spans go back
+Plan.  Texts are joined with the pending blobs by (blob, path): up to
+``FEW`` of those are sent to all executors, as after a day's changes; beyond
+that, as at first, the texts are shuffled once, by a key that differs between
+the copies of a common text.  Spans go back
 to all paths by a left join on the blob; only blobs with findings take part in it.
 
 Rules never look at a character twice without matching it, so the time is in
@@ -75,6 +76,8 @@ MORE = (
     Rule("url", r"://[^\x00-\x20/:@]+:([^\x00-\x20/:@]+)@", 1, 4, "://"),
 )
 RULES = BASE + MORE
+#: Most pending blobs that are sent to all executors.
+FEW = 1 << 14
 _SPAN = "struct<rule:long,kind:string,start:long,end:long>"
 
 
@@ -131,7 +134,7 @@ def pending(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES, pat
 
 def scan(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES, path: str = "doc_id") -> None:
     """Append what the ledger lacks for the texts of ``versions``."""
-    todo = small(cut(pending(versions, ledger, rules, path)))
+    todo = small(cut(pending(versions, ledger, rules, path)), FEW)
     texts = versions.select(blob().alias("b"), F.col(f"`{path}`").alias("p"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(todo, (F.col("b") == F.col("blob")) & F.col("p").eqNullSafe(F.col("path"))).select("blob", "text", "missing")
     rows = texts.mapInArrow(lambda it: _scan(it, rules), f"blob binary, rules array<long>, found array<{_SPAN}>")

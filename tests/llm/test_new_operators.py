@@ -94,6 +94,7 @@ def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
 
 def test_secrets_with_a_shuffled_join(spark, monkeypatch):
     monkeypatch.setattr("fundalake.llm.common.SMALL_ROWS", 0)
+    monkeypatch.setattr(secret_scan, "FEW", 0)
     got = sorted((repr(r.doc_id), [tuple(s) for s in r.spans]) for r in secret_scan.audit(versions(spark, TEXTS), fresh_path(spark, "ledger")).collect())
     assert got == sorted((repr(d), plain_spans(t or "", secret_scan.RULES)) for d, t in TEXTS)
 

@@ -14,7 +14,6 @@ from fundalake.plans.constants import CONCEPTS, MACRO
 
 STALE_DAYS = 150
 MAX_GAP_DAYS = 31
-MACRO_COPIES = 256
 KEY = ["ticker", "country"]
 
 
@@ -80,8 +79,8 @@ def with_dividends(rows: DataFrame, dividends: DataFrame) -> DataFrame:
 
 
 def with_macro(rows: DataFrame, macro: DataFrame) -> DataFrame:
-    """The latest published macro figures of the country; the macro side, a row a month, is copied so that a country's companies are dealt over tasks."""
-    out = asof_join(rows, macro.select("country", "publication_date", *MACRO), ["country"], "date", "publication_date", spread=("ticker", MACRO_COPIES))
+    """The latest published macro figures of the country; by slices of time, as a country may hold most of the rows."""
+    out = asof_join(rows, macro.select("country", "publication_date", *MACRO), ["country"], "date", "publication_date", plan="sliced")
     return out.select(*rows.columns, *[F.col(f"_match.{c}").alias(c) for c in MACRO])
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -109,16 +111,75 @@ def _pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
     return list(combinations(columns, 2))
 
 
+#: What is summed of each pair of columns, over the rows that have both: rows, sums, squares, products; then the bounds of each.
+_MOMENTS = ("n", "x", "y", "xx", "yy", "xy")
+_BOUNDS = ("x_low", "x_high", "y_low", "y_high")
+
+
+def _moments(batches: Iterator[pa.RecordBatch], shift: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each pair (i, j) of columns with the moments of a task's rows, by products of blocks of rows with their masks."""
+    k = len(shift)
+    i, j = np.triu_indices(k, 1)
+    sums = {c: np.zeros((k, k)) for c in ("n", "x", "xx", "xy")}
+    low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+    for batch in batches:
+        v = np.column_stack([np.asarray(c.fill_null(np.nan).to_numpy(zero_copy_only=False), float) for c in batch.columns]) - shift
+        have = np.isfinite(v)
+        m, x = have.astype(float), np.where(have, v, 0.0)
+        sums["n"] += m.T @ m
+        sums["x"] += x.T @ m
+        sums["xx"] += (x * x).T @ m
+        sums["xy"] += x.T @ x
+        for c in range(k):  # the bounds of every column over the rows that have column c
+            rows = have[:, c]
+            if rows.any():
+                low[:, c] = np.minimum(low[:, c], np.where(have[rows], v[rows], np.inf).min(axis=0))
+                high[:, c] = np.maximum(high[:, c], np.where(have[rows], v[rows], -np.inf).max(axis=0))
+    s = sums
+    values = [s["n"][i, j], s["x"][i, j], s["x"][j, i], s["xx"][i, j], s["xx"][j, i], s["xy"][i, j], low[i, j], high[i, j], low[j, i], high[j, i]]
+    yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(c) for c in values]], names=["i", "j", *_MOMENTS, *_BOUNDS])
+
+
+def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(a, b, n, correlation) of all pairs of columns, from one pass over the rows.
+
+    Each task adds up the moments of all pairs and gives one row a pair; these
+    are summed.  Values are taken from their column's mean first.  Non-finite
+    values count as missing.  A pair without common rows has n = 0; null where
+    a column does not vary over the common rows.
+    """
+    pairs = _pairs(columns)
+    rows = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    finite = lambda c: F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c))
+    shift = np.array([v or 0.0 for v in rows.agg(*[F.avg(finite(c)).alias(c) for c in rows.columns]).first()] if columns else [])
+    kind = "i int, j int, " + ", ".join(f"{c} double" for c in (*_MOMENTS, *_BOUNDS))
+    parts = rows.mapInArrow(lambda it: _moments(it, shift), kind)
+    g = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _MOMENTS], *[(F.min if c.endswith("low") else F.max)(c).alias(c) for c in _BOUNDS])
+    c = F.col
+    spread = (c("n") * c("xx") - c("x") * c("x")) * (c("n") * c("yy") - c("y") * c("y"))
+    varies = (c("n") > 1) & (c("x_low") < c("x_high")) & (c("y_low") < c("y_high")) & (spread > 0)
+    r = F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (c("n") * c("xy") - c("x") * c("y")) / F.sqrt(spread))))
+    named = df.sparkSession.createDataFrame([(columns.index(a), columns.index(b), a, b) for a, b in pairs], "i int, j int, a string, b string")
+    return named.join(g, ["i", "j"], "left").select("a", "b", F.coalesce(c("n"), F.lit(0.0)).cast("long").alias("n"), r.alias("correlation"))
+
+
 def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
-    """(a, b, correlation) of each pair of columns over the rows that have both.
+    """(a, b, correlation) of each pair of columns over the rows that have both; null for pairs without such rows.
 
-    Kendall's tau-b is exact and forms no pairs of rows, see ``_concordance``.
+    Pearson's is one pass, see ``pearson``; the ranks of the others differ from
+    pair to pair, so they make a row a pair of each row.  Kendall's tau-b is
+    exact and forms no pairs of rows, see ``_concordance``.
     """
+    if method == "pearson":
+        return pearson(df, list(columns)).drop("n")
     pairs = _pairs(columns)
     cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs])
     rows = df.select(F.explode(cells).alias("_p")).select("_p.*").filter("x is not null and y is not null")
-    if method == "pearson":
-        return rows.groupBy("a", "b").agg(corr("x", "y").alias("correlation"))
+    return df.sparkSession.createDataFrame(pairs, "a string, b string").join(_ranked(rows, method), ["a", "b"], "left")
+
+
+def _ranked(rows: DataFrame, method: str) -> DataFrame:
+    """Spearman's or Kendall's correlation of (a, b, x, y)."""
     if method == "spearman":
         ranked = rows
         for c in ("x", "y"):
@@ -137,12 +198,13 @@ def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson")
 
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str] = COLUMNS) -> DataFrame:
     """Pearson correlation of each column with the target, the strongest first."""
-    rows = long(df, [c for c in columns if c in df.columns and c != target], target)
-    g = rows.groupBy(F.col("column").alias("variable")).agg(corr("value", target).alias("correlation")).withColumn("abs_correlation", F.abs("correlation"))
+    names = [c for c in columns if c in df.columns and c != target]
+    g = pearson(df, [target, *names]).filter(F.col("a") == target)
+    g = g.select(F.col("b").alias("variable"), "correlation", F.abs("correlation").alias("abs_correlation"))
     return g.orderBy(F.col("abs_correlation").desc_nulls_last(), "variable")
 
 
-def high_correlations(df: DataFrame, columns: Sequence[str], threshold: float = 0.8) -> DataFrame:
+def high_correlations(df: DataFrame, columns: Sequence[str] = COLUMNS, threshold: float = 0.8) -> DataFrame:
     return correlations(df, columns).filter(F.abs("correlation") >= threshold).orderBy(F.abs("correlation").desc(), "a", "b")
 
 

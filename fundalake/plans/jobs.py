@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundalake.operators import cleaning, labels, master, stats
+from fundalake.operators import stats
+from fundalake.plans.refresh import refresh
 from fundalake.sources import files
 from fundalake.sources.schemas import KEYS
 from fundalake.sources.store import Store, write_csv
@@ -44,25 +45,10 @@ def load(spark: SparkSession, store: Store, raw: str, only_existing: bool = Fals
     return counts
 
 
-def preprocess(store: Store, as_of: datetime.date) -> None:
-    """Clean tables, the monthly table and the labelled table, each written and read again by the next step."""
-    store.write("macro_normalized", cleaning.normalize_macro(store.read("macro")), ["period_date"])
-    store.refresh("prices", "prices_cleaned", cleaning.clean_prices, ["ticker", "date"])
-    store.refresh("dividends", "dividends_cleaned", cleaning.clean_dividends, ["ticker", "dividend_date"])
-    store.refresh("sectors", "sectors_cleaned", cleaning.clean_sectors, ["ticker"])
-    store.refresh("shares_outstanding", "shares_cleaned", cleaning.clean_shares, ["ticker", "filing_date"])
-    store.refresh("financials", "financials_cleaned", lambda f: cleaning.quarterly(cleaning.fill_facts(f)), ["ticker", "concept", "end_date"])
-    store.refresh("financials_cleaned", "financials_wide", lambda f: cleaning.wide(cleaning.redate(f)), ["ticker", "end_date"])
-    read = store.read
-    store.write("master_dataset", master.build(read("financials_wide"), read("prices_cleaned"), read("sectors_cleaned"), read("shares_cleaned"), read("dividends_cleaned"), read("macro_normalized"), as_of), ["ticker", "date"])
-    status = read("company_status") if store.exists("company_status") else None
-    store.write("bankruptcy_dataset", labels.build(read("master_dataset"), status), ["ticker", "date"])
-
-
 def update(spark: SparkSession, store: Store, raw: str, as_of: datetime.date) -> dict[str, int]:
-    """The whole refresh: a first build if there are no prices yet, otherwise an update of what is there."""
+    """The whole refresh: a first build if there are no prices yet, otherwise an update of what is there, and of what follows from that."""
     counts = load(spark, store, raw, only_existing=store.exists("prices"))
-    preprocess(store, as_of)
+    refresh(store, as_of)
     return counts
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fundalake.operators import asof, cleaning, features, labels, landing, master, models, screener, stats
 from fundalake.plans import constants as K
+from fundalake.plans.refresh import refresh
 from fundalake.plans.oracle import FILINGS_AS_OF, MASTER_COLUMNS, RATIOS, TTM, statement
 from fundalake.sources import files, proxies, staging, store
 from fundalake.sources.schemas import conform
@@ -231,6 +232,34 @@ def _ingest(d: Data) -> DataFrame:
     return s.read("prices")
 
 
+def _updated(d: Data) -> store.Store:
+    """A store built from all but the later data of three companies and the last macro months; these then come as upserts, and the derived tables follow."""
+    s = _store(d)
+    late = lambda c, since: F.col("ticker").isin("T1", "T2", "T5.PL") & (F.col(c) >= since)
+    tables = {
+        "prices": (d.px("prices"), late("date", "1997-03-01")), "financials": (d.unique.drop("fact_id"), late("end_date", "1997-03-01")), "macro": (d.px("macro"), F.col("date") >= "1997-09-01"),
+        "dividends": (d.px("dividends"), late("dividend_date", "1997-03-01")), "sectors": (d.px("sectors"), F.col("ticker") == "T1"), "shares_outstanding": (d.px("shares"), late("filing_date", "1997-03-01")),
+        "company_status": (d.px("status"), F.col("ticker") == "T2"),
+    }
+    for part in (lambda c: ~c, lambda c: c):
+        for name, (rows, is_late) in tables.items():
+            s.upsert(name, rows.filter(part(F.coalesce(is_late, F.lit(False)))))
+        refresh(s, AS_OF)
+    return s
+
+
+def _schemas(d: Data) -> DataFrame:
+    s = _store(d)
+    s.write("dividends", d.px("dividends"))
+    return s.canned("schemas").join(s.canned("tables"), "table_name")
+
+
+def _store_filtered(d: Data) -> DataFrame:
+    s = _store(d)
+    s.upsert("prices", d.px("prices"))
+    return s.select("prices", "date", ["T1", "T2", "T3"], "1996-01-01", "1997-12-31", "US")
+
+
 _PRICES = "ticker, date, country, open, high, low, close, volume"
 query("scan_prices", f"SELECT {_PRICES} FROM px_prices")(lambda d: files.prices(d.spark, _price_files(d)))
 query("scan_financials", "SELECT ticker, concept, country, unit, start_date, end_date, value, form, filing_date, value_source FROM (SELECT *, row_number() OVER (PARTITION BY ticker, concept, end_date ORDER BY CAST(value_source = 'cumulative' AS INT), filing_date DESC NULLS LAST, value DESC NULLS LAST, fact_id) AS rn FROM facts_classified) WHERE rn = 1")(lambda d: files.financials(d.spark, _fact_files(d)))
@@ -246,6 +275,10 @@ query("store_sql", "SELECT country, count(*) AS n, max(close) AS top FROM px_pri
 query("table_refresh", "SELECT * FROM prices_clean")(_refresh)
 query("stream_ingest", f"SELECT {_PRICES.replace(' close,', '')}, CASE WHEN date >= DATE '1998-01-01' THEN close + 1 ELSE close END AS close FROM px_prices")(_ingest)
 
+query("incremental_refresh", "SELECT * FROM labelled")(lambda d: _updated(d).read("bankruptcy_dataset"))
+query("catalog_schemas", "SELECT 'dividends' AS table_name, unnest(['ticker', 'dividend_date', 'country', 'dividend_amount']) AS column_name, unnest(['string', 'date', 'string', 'double']) AS type")(_schemas)
+query("store_filtered", f"SELECT {_PRICES} FROM px_prices WHERE country = 'US' AND date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' AND ticker IN ('T1', 'T2', 'T3')")(_store_filtered)
+
 # ---- landing
 _TAGS = {"Revenues": "SalesRevenueNet", "OperatingCashFlow": "NetCashProvidedByUsedInOperatingActivities", "RetainedEarnings": "RetainedEarningsAccumulatedDeficit", "CapitalExpenditures": "PaymentsToAcquireProductiveAssets"}
 
@@ -515,14 +548,19 @@ query("outliers_iqr", 'SELECT f."column", count(*) AS total_values, count(*) FIL
 query("outliers_z", 'SELECT f."column", count(*) AS total_values, count(*) FILTER (abs((value - m) / nullif(s, 0)) > 3) AS outliers_count, CAST(NULL AS DOUBLE) AS lower_bound, CAST(NULL AS DOUBLE) AS upper_bound, round(100.0 * count(*) FILTER (abs((value - m) / nullif(s, 0)) > 3) / count(*), 2) AS outliers_pct FROM filled_cells f JOIN (SELECT "column", avg(value) AS m, stddev_pop(value) AS s FROM filled_cells GROUP BY 1) b ON f."column" = b."column" GROUP BY 1', cells=_LONG_ALL, filled_cells=_OUT["full"])(lambda d: stats.outliers(d.master, method="zscore", threshold=3))
 _CORR = ["roa", "ros", "debt_ratio", "asset_turnover", "close"]
 _PAIR = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {a} AS x, {b} AS y FROM master WHERE {a} IS NOT NULL AND {b} IS NOT NULL" for i, a in enumerate(_CORR) for b in _CORR[i + 1 :])
-query("corr_pearson", "SELECT a, b, round(corr(x, y), 6) AS correlation FROM pair_rows GROUP BY 1, 2", pair_rows=_PAIR)(lambda d: rounded(stats.correlations(d.master, _CORR), 6, "correlation"))
-query("corr_spearman", "SELECT a, b, round(corr(rx, ry), 6) AS correlation FROM (SELECT a, b, rank() OVER (PARTITION BY a, b ORDER BY x) + (count(*) OVER (PARTITION BY a, b, x) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY a, b ORDER BY y) + (count(*) OVER (PARTITION BY a, b, y) - 1) / 2.0 AS ry FROM pair_rows) GROUP BY 1, 2", pair_rows=_PAIR)(lambda d: rounded(stats.correlations(d.master, _CORR, "spearman"), 6, "correlation"))
+_ALL_PAIRS = [(a, b) for i, a in enumerate(stats.COLUMNS) for b in stats.COLUMNS[i + 1 :]]
+_R = lambda a, b: f"CASE WHEN NOT isnan(corr({a}, {b})) THEN round(corr({a}, {b}), 6) END"
+_ALL_R = f"SELECT unnest([{', '.join(repr(a) for a, _ in _ALL_PAIRS)}]) AS a, unnest([{', '.join(repr(b) for _, b in _ALL_PAIRS)}]) AS b, unnest([{', '.join(_R(a, b) for a, b in _ALL_PAIRS)}]) AS correlation FROM master"
+query("corr_pearson", _ALL_R)(lambda d: rounded(stats.correlations(d.master, stats.COLUMNS), 6, "correlation"))
+_FEW_PAIRS = ", ".join(f"('{a}', '{b}')" for i, a in enumerate(_CORR) for b in _CORR[i + 1 :])
+_EVERY = lambda sql: f"SELECT e.a, e.b, correlation FROM (VALUES {_FEW_PAIRS}) e(a, b) LEFT JOIN ({sql}) g ON e.a = g.a AND e.b = g.b"
+query("corr_spearman", _EVERY("SELECT a, b, round(corr(rx, ry), 6) AS correlation FROM (SELECT a, b, rank() OVER (PARTITION BY a, b ORDER BY x) + (count(*) OVER (PARTITION BY a, b, x) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY a, b ORDER BY y) + (count(*) OVER (PARTITION BY a, b, y) - 1) / 2.0 AS ry FROM pair_rows) GROUP BY 1, 2"), pair_rows=_PAIR)(lambda d: rounded(stats.correlations(d.master, _CORR, "spearman"), 6, "correlation"))
 _TIES = lambda c: f"SELECT a, b, sum(n * (n - 1) / 2) AS t, sum(n) AS m FROM (SELECT a, b, count(*) AS n FROM pair_rows GROUP BY a, b, {c}) GROUP BY a, b"
-query("corr_kendall", f"SELECT x.a, x.b, round(coalesce(s, 0) / nullif(sqrt((x.m * (x.m - 1) / 2 - x.t) * (x.m * (x.m - 1) / 2 - y.t)), 0), 6) AS correlation FROM ({_TIES('x')}) x JOIN ({_TIES('y')}) y ON x.a = y.a AND x.b = y.b LEFT JOIN (SELECT p.a, p.b, sum(sign(q.x - p.x) * sign(q.y - p.y)) AS s FROM pair_rows p JOIN pair_rows q ON p.a = q.a AND p.b = q.b AND q.x > p.x GROUP BY 1, 2) s ON x.a = s.a AND x.b = s.b", pair_rows=_PAIR)(lambda d: rounded(stats.correlations(d.master, _CORR, "kendall"), 6, "correlation"))
-_TARGET = ["roa", "ros", "debt_ratio", "asset_turnover", "close", "roe"]
-_TGT = " UNION ALL ".join(f"SELECT '{c}' AS variable, corr({c}, revenue_growth) AS r FROM master" for c in _TARGET)
-query("corr_target", f"SELECT variable, round(r, 6) AS correlation, round(abs(r), 6) AS abs_correlation FROM ({_TGT})")(lambda d: rounded(stats.correlation_with(d.master, "revenue_growth", _TARGET), 6, "correlation", "abs_correlation"))
-query("corr_high", "SELECT * FROM (SELECT a, b, round(corr(x, y), 6) AS correlation FROM pair_rows GROUP BY 1, 2) WHERE abs(correlation) >= 0.1", pair_rows=_PAIR)(lambda d: rounded(stats.high_correlations(d.master, _CORR, 0.1), 6, "correlation"))
+query("corr_kendall", _EVERY(f"SELECT x.a, x.b, round(coalesce(s, 0) / nullif(sqrt((x.m * (x.m - 1) / 2 - x.t) * (x.m * (x.m - 1) / 2 - y.t)), 0), 6) AS correlation FROM ({_TIES('x')}) x JOIN ({_TIES('y')}) y ON x.a = y.a AND x.b = y.b LEFT JOIN (SELECT p.a, p.b, sum(sign(q.x - p.x) * sign(q.y - p.y)) AS s FROM pair_rows p JOIN pair_rows q ON p.a = q.a AND p.b = q.b AND q.x > p.x GROUP BY 1, 2) s ON x.a = s.a AND x.b = s.b"), pair_rows=_PAIR)(lambda d: rounded(stats.correlations(d.master, _CORR, "kendall"), 6, "correlation"))
+_TARGET = [c for c in stats.COLUMNS if c != "revenue_growth"]
+_TGT = f"SELECT unnest([{', '.join(map(repr, _TARGET))}]) AS variable, unnest([{', '.join(_R(c, 'revenue_growth') for c in _TARGET)}]) AS r FROM master"
+query("corr_target", f"SELECT variable, round(r, 6) AS correlation, round(abs(r), 6) AS abs_correlation FROM ({_TGT})")(lambda d: rounded(stats.correlation_with(d.master, "revenue_growth"), 6, "correlation", "abs_correlation"))
+query("corr_high", f"SELECT * FROM ({_ALL_R}) WHERE abs(correlation) >= 0.8")(lambda d: rounded(stats.high_correlations(d.master), 6, "correlation"))
 query("corr_by_sector", "SELECT sector, round(corr(roa, debt_ratio), 6) AS correlation, count(*) AS n_samples FROM master WHERE roa IS NOT NULL AND debt_ratio IS NOT NULL AND sector IS NOT NULL GROUP BY sector HAVING count(*) >= 10")(lambda d: rounded(stats.correlation_by_sector(d.master, "roa", "debt_ratio"), 6, "correlation"))
 _CLIP = "SELECT sector, CAST(close AS DOUBLE) AS value FROM master WHERE close IS NOT NULL AND close >= (SELECT quantile_cont(close, 0.01) FROM master) AND close <= (SELECT quantile_cont(close, 0.99) FROM master)"
 query("histogram", "SELECT CAST(least(floor((value - lo) * 20 / (hi - lo)), 19) AS BIGINT) AS bin, count(*) AS n FROM clip, (SELECT min(value) AS lo, max(value) AS hi FROM clip) GROUP BY 1", clip=_CLIP)(lambda d: stats.histogram(d.master, "close", 20))

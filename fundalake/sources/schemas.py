@@ -34,7 +34,8 @@ KEYS: dict[str, list[str]] = {
 }
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """The declared columns in order and type; missing ones null (country: US), others left out."""
+def conform(df: DataFrame, table: str, more: bool = False) -> DataFrame:
+    """The declared columns in order and type; missing ones null (country: US).  Others are left out, or follow as they are (``more``)."""
     default = {"country": F.lit("US")}
-    return df.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in df.columns else default.get(f.name, F.lit(None)).cast(f.dataType)).alias(f.name) for f in TABLES[table]])
+    others = [F.col(f"`{c}`") for c in df.columns if more and c not in TABLES[table].names]
+    return df.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in df.columns else default.get(f.name, F.lit(None)).cast(f.dataType)).alias(f.name) for f in TABLES[table]], *others)

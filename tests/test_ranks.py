@@ -69,7 +69,7 @@ def test_calibration_serves_new_rows(spark, method):
 def test_copies_of_the_right_side_change_nothing(spark):
     left = spark.createDataFrame([(t, c, d) for t in "abcdef" for c in ("US", "PL", None) for d in range(10)], "t string, c string, d int")
     right = spark.createDataFrame([("US", 2, 1), ("US", 5, None), ("PL", 9, 3), (None, 1, 4)], "c string, at int, v int")
-    plain, copied = (sorted(map(str, asof_join(left, right, ["c"], "d", "at", spread=s).collect())) for s in (None, ("t", 7)))
+    plain, copied = (sorted(map(str, asof_join(left, right, ["c"], "d", "at", plan=p).collect())) for p in ("interval", "sliced"))
     assert plain == copied and len(plain) == 180
 
 

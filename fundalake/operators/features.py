@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-
-from fundalake.operators.ranks import long, quantiles
 from pyspark.sql import types as T
 
+from fundalake.operators.ranks import long, quantiles, running
+
 KEY_FEATURES = (
     "current_ratio quick_ratio roe roa ros operating_margin gross_margin debt_ratio debt_to_equity ocf_ratio free_cash_flow fcf_ttm asset_turnover "
     "revenue_growth net_income_growth price_to_book Assets Liabilities StockholdersEquity Revenues NetIncomeLoss OperatingCashFlow"
@@ -122,9 +122,28 @@ def time_split(df: DataFrame, test: float = 0.2) -> DataFrame:
     return df.join(F.broadcast(cut), how="left").withColumn("split", F.when(F.col("date") >= F.col("_cut"), "test").otherwise("train")).drop("_cut")
 
 
-def random_split(df: DataFrame, test: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    a, b = df.randomSplit([1 - test, test], seed)
-    return a, b
+def walk_forward(df: DataFrame, folds: int = 5, embargo_months: int = 12) -> DataFrame:
+    """(``df``, fold, side): expanding windows over the different dates.
+
+    The dates are cut into ``folds`` + 1 parts of equal number; fold i tests on
+    part i + 1 and trains on all rows of at least ``embargo_months`` before its
+    first date, the time that a label looks ahead.  A row comes once for each
+    fold that uses it.  The parts are found in a row a date.
+    """
+    dates = df.select("date").na.drop().distinct()
+    numbered = dates.select("date", (F.row_number().over(W.orderBy("date")) - 1).alias("_i"), F.count("*").over(W.partitionBy()).alias("_n"))
+    part = numbered.select("date", F.floor(F.col("_i") * (folds + 1) / F.col("_n")).alias("fold"))
+    spans = part.filter("fold > 0").groupBy("fold").agg(F.min("date").alias("_from"), F.max("date").alias("_to"))  # a row a fold
+    trains = F.col("date") <= F.add_months("_from", -embargo_months)
+    tests = F.col("date").between(F.col("_from"), F.col("_to"))
+    out = df.join(F.broadcast(spans), trains | tests)
+    return out.withColumn("side", F.when(tests, "test").otherwise("train")).drop("_from", "_to")
+
+
+def random_split(df: DataFrame, test: float = 0.2, seed: int = 42) -> DataFrame:
+    """A column split: test for that share of the rows, by a hash of their key and the seed; reruns and other partitionings agree."""
+    place = F.md5(F.concat_ws("|", F.lit(str(seed)), "ticker", F.col("date").cast("string")))
+    return df.withColumn("split", F.when(place < f"{int(test * 2**32):08x}", "test").otherwise("train"))
 
 
 def aligned_split(df: DataFrame, test: float = 0.2, strategy: str = "median", legacy: bool = False) -> DataFrame:
@@ -161,16 +180,70 @@ def select_chi2(df: DataFrame, columns: list[str], target: str = "target_bankrup
     return want.groupBy("feature").agg(F.sum(F.try_divide((F.col("observed") - F.col("expected")) ** 2, F.nullif("expected", F.lit(0.0)))).alias("score"))
 
 
-def select_mi(df: DataFrame, columns: list[str], target: str = "target_bankruptcy", bins: int = 10) -> DataFrame:
-    """(feature, score): mutual information in nats of each column, cut at its deciles, with the class (binned, not nearest-neighbour)."""
+#: Different values of a class in a slot of the neighbour search.
+SLOT_VALUES = 4096
+
+
+def _digamma(x: Column) -> Column:
+    """Of a positive number: ten steps up, then the asymptotic series."""
+    far = x + 10
+    steps = reduce(lambda a, b: a + b, [1 / (x + i) for i in range(10)])
+    inverse = 1 / (far * far)
+    series = inverse * (1 / 12 - inverse * (1 / 120 - inverse * (1 / 252 - inverse * (1 / 240 - inverse * (1 / 132)))))
+    return F.log(far) - 1 / (2 * far) - series - steps
+
+
+def _nearest(counts: DataFrame, k: int, slot: int) -> DataFrame:
+    """``counts`` (feature, y, x, n: the different values of each class) with _lo, _hi and _r: no row of the class but the k - 1 nearest lies strictly between _lo and _hi, which are _r from x.
+
+    The values of a class are ranked in two levels and dealt into slots of
+    ``slot`` ranks; each slot also gets the k values before and after it.
+    """
+    ranked = running(counts.withColumn("one", F.lit(1)), ["feature", "y"], "x", "one").drop("_total", "one")
+    places = F.array_distinct(F.array(*[F.floor((F.col("_below") + d) / slot) for d in (-k, 0, k)]))
+    dealt = ranked.withColumn("_at", F.explode(places))
+    near = W.partitionBy("feature", "y", "_at").orderBy("x").rowsBetween(-k, k)
+    rows = dealt.withColumn("_near", F.collect_list(F.struct("x", "n")).over(near)).filter(F.col("_at") == F.floor(F.col("_below") / slot))
+    distance = F.transform("_near", lambda v: F.struct(F.abs(v["x"] - F.col("x")).alias("d"), v["x"].alias("v"), (v["n"] - (v["x"] == F.col("x")).cast("int")).alias("n")))
+    rows = rows.withColumn("_sorted", F.array_sort(distance))
+    # the first distance within which there are k rows besides the row itself; _k: or as many as the class has
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("r"))
+    found = F.aggregate("_sorted", start, lambda a, v: F.struct((a["seen"] + v["n"]).alias("seen"), F.when(a["r"].isNull() & (a["seen"] + v["n"] >= F.col("_k")), v["d"]).otherwise(a["r"]).alias("r")))
+    rows = rows.withColumn("_r", found["r"])
+    # the bound on the side where that neighbour is, is the neighbour itself: a sum could miss it by a rounding
+    edge = lambda side: F.filter("_sorted", lambda v: (v["d"] == F.col("_r")) & side(v["v"], F.col("x")))
+    low = F.coalesce(F.get(edge(lambda v, x: v < x), F.lit(0))["v"], F.col("x") - F.col("_r"))
+    high = F.coalesce(F.get(edge(lambda v, x: v > x), F.lit(0))["v"], F.col("x") + F.col("_r"))
+    return rows.select("feature", "y", "x", "n", "_k", "_ny", "_r", low.alias("_lo"), high.alias("_hi"))
+
+
+def select_mi(df: DataFrame, columns: list[str], target: str = "target_bankruptcy", neighbours: int = 3, slot: int = SLOT_VALUES) -> DataFrame:
+    """(feature, score): mutual information in nats of each column with the class, estimated by nearest neighbours.
+
+    For each row: r is the distance to its k-th neighbour of the same class
+    (fewer, if the class is smaller), m the number of all rows nearer than r,
+    itself included (at distance 0, if r is 0; equal values are not moved apart by noise).
+    The score is digamma(n) + mean digamma(k) - mean digamma(class size) - mean digamma(m),
+    0 at least.  Rows with any null are left out, and so is the row of a class
+    that has no other.  Everything is done on the different values: neighbours
+    in slots of ranks, m from the running counts at both ends of the neighbourhood.
+    """
     full = df.na.drop(subset=[*columns, target])
-    cells = long(full, columns, F.col(target).alias("y")).withColumnsRenamed({"column": "feature", "value": "x"})
-    cuts = quantiles(cells, ["feature"], "x", [i / bins for i in range(1, bins)], "cuts")
-    binned = cells.join(F.broadcast(cuts), "feature").withColumn("b", F.size(F.filter("cuts", lambda q: q < F.col("x"))))  # a row per feature
-    shared = binned.groupBy("feature", "y", "b").agg(F.count("*").alias("n"))
-    over = lambda *k: F.sum("n").over(W.partitionBy("feature", *k))
-    p = shared.select("feature", (F.col("n") / over()).alias("p"), F.log(F.col("n") * over() / (over("y") * over("b"))).alias("l"))
-    return p.groupBy("feature").agg(F.sum(F.col("p") * F.col("l")).alias("score"))
+    cells = long(full, columns, F.col(target).alias("y")).withColumnsRenamed({"column": "feature", "value": "x"}).filter(~F.isnan("x"))
+    counts = cells.groupBy("feature", "y", (F.col("x") + F.lit(0.0)).alias("x")).agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("feature", "y").agg(F.sum("n").alias("_ny")).withColumn("_k", F.least(F.lit(neighbours), F.col("_ny") - 1))
+    counts = counts.join(sizes, ["feature", "y"]).filter("_ny > 1")
+    rows = _nearest(counts, neighbours, slot)
+    # counts below each value, and below each bound, which has a count of its own only where it is a value
+    values = counts.groupBy("feature", "x").agg(F.sum("n").alias("n"))
+    bounds = rows.select("feature", F.explode(F.array("_lo", "_hi")).alias("x")).withColumn("n", F.lit(0).cast("long"))
+    below = running(values.unionByName(bounds).groupBy("feature", "x").agg(F.sum("n").alias("n")), ["feature"], "x")
+    at = lambda name: below.select("feature", F.col("x").alias(name), F.col("_below").alias(f"{name}_below"), (F.col("_below") + F.col("n")).alias(f"{name}_upto"))
+    rows = rows.join(at("x"), ["feature", "x"]).join(at("_lo"), ["feature", "_lo"]).join(at("_hi"), ["feature", "_hi"])
+    m = F.when(F.col("_r") == 0, F.col("x_upto") - F.col("x_below")).otherwise(F.col("_hi_below") - F.col("_lo_upto"))
+    mean = lambda x: F.sum(F.col("n") * _digamma(x)) / F.sum("n")
+    score = _digamma(F.sum("n")) + mean(F.col("_k")) - mean(F.col("_ny")) - mean(m)
+    return rows.groupBy("feature").agg(F.greatest(score, F.lit(0.0)).alias("score"))
 
 
 def top_features(scores: DataFrame, n: int = 20) -> DataFrame:

@@ -82,10 +82,11 @@ def share_counts(payloads: DataFrame) -> DataFrame:
 
 
 def merge_new(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``old`` and those different rows of ``new`` whose key (nulls are equal) it does not have."""
+    """``old`` and those rows of ``new`` whose key (nulls are equal) it does not have; of several with one key the first by their other columns."""
     have = old.select(*[F.col(k).alias(f"_o_{k}") for k in keys]).distinct()
     on = [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys]
-    fresh = new.join(have, on, "left_anti").dropDuplicates(list(keys))
+    order = [F.col(c).asc_nulls_last() for c in new.columns if c not in keys] or [F.lit(1)]
+    fresh = dedup_by(new.join(have, on, "left_anti"), keys, order)
     return old.unionByName(fresh)
 
 

@@ -9,11 +9,12 @@ from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundalake.operators import isotonic
+from fundalake.operators.features import walk_forward
 from fundalake.operators.ranks import running
 
 LABEL = "target_bankruptcy"
@@ -66,7 +67,7 @@ def folds(df: DataFrame, k: int) -> DataFrame:
 class Calibrated:
     """Pairs of a model and the calibrator that was fitted on its scores of rows it had not seen."""
 
-    def __init__(self, pairs: list[tuple[PipelineModel, Transformer]]) -> None:
+    def __init__(self, pairs: list[tuple[PipelineModel, Transformer | isotonic.Isotonic]]) -> None:
         self.pairs = pairs
 
     def score(self, df: DataFrame) -> DataFrame:
@@ -74,34 +75,37 @@ class Calibrated:
         out, k = df, len(self.pairs)
         for i, (model, calibrator) in enumerate(self.pairs):
             out = score(model, out).withColumnRenamed("score", f"_s{i}")
-            out = calibrator.transform(VectorAssembler(inputCols=[f"_s{i}"], outputCol="_v").transform(out)).drop("_v", "_raw", "_said")
-            at = F.col("_p") if isinstance(calibrator, IsotonicRegressionModel) else F.coalesce(F.get(vector_to_array("_p"), F.lit(1)), F.lit(0.0))
-            out = out.withColumn(f"_c{i}", at).drop("_p")
+            if isinstance(calibrator, isotonic.Isotonic):
+                out = calibrator.apply(out, f"_s{i}", f"_c{i}")
+            else:
+                out = calibrator.transform(VectorAssembler(inputCols=[f"_s{i}"], outputCol="_v").transform(out)).drop("_v", "_raw", "_said")
+                out = out.withColumn(f"_c{i}", F.coalesce(F.get(vector_to_array("_p"), F.lit(1)), F.lit(0.0))).drop("_p")
         mean = lambda name: sum((F.col(f"{name}{i}") for i in range(k)), F.lit(0.0)) / k
         return out.select(*df.columns, mean("_s").alias("score"), mean("_c").alias("calibrated"))
 
 
 def calibrate(pipeline: Pipeline, df: DataFrame, method: str = "sigmoid", k: int = 3) -> Calibrated:
     """For each of ``k`` folds a model trained on the others and a calibrator fitted on its scores of the fold."""
-    if method == "sigmoid":
-        fit = LogisticRegression(featuresCol="_v", labelCol="_label", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_said")
-    elif method == "isotonic":
-        fit = IsotonicRegression(featuresCol="_v", labelCol="_label", predictionCol="_p")
-    else:
+    if method not in ("sigmoid", "isotonic"):
         raise ValueError(method)
+    fit = LogisticRegression(featuresCol="_v", labelCol="_label", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_said")
     dealt, pairs = folds(df, k), []
     for i in range(k):
         model = train(pipeline, dealt.filter(F.col("fold") != i))
         seen = score(model, dealt.filter(F.col("fold") == i)).select("score", F.col(LABEL).cast("double").alias("_label"))
-        pairs.append((model, fit.fit(VectorAssembler(inputCols=["score"], outputCol="_v").transform(seen))))
+        pairs.append((model, isotonic.fit(seen, "score", "_label") if method == "isotonic" else fit.fit(VectorAssembler(inputCols=["score"], outputCol="_v").transform(seen))))
     return Calibrated(pairs)
 
 
-def importance(spark, model: PipelineModel, columns: list[str], n: int = 20) -> DataFrame:
-    """(feature, importance): of the trees, or the size of the coefficients."""
+def _importances(model: PipelineModel) -> list[float]:
     last = model.stages[-1]
-    values = last.featureImportances.toArray() if hasattr(last, "featureImportances") else abs(last.coefficients.toArray())
-    rows = spark.createDataFrame([(c, float(v)) for c, v in zip(columns, values)], "feature string, importance double")
+    return [float(v) for v in (last.featureImportances.toArray() if hasattr(last, "featureImportances") else abs(last.coefficients.toArray()))]
+
+
+def importance(spark, model: PipelineModel | Calibrated, columns: list[str], n: int = 20) -> DataFrame:
+    """(feature, importance): of the trees, or the size of the coefficients; of a calibrated model the mean over its folds' models."""
+    each = [_importances(m) for m, _ in model.pairs] if isinstance(model, Calibrated) else [_importances(model)]
+    rows = spark.createDataFrame([(c, sum(v) / len(each)) for c, v in zip(columns, zip(*each))], "feature string, importance double")
     return rows.orderBy(F.col("importance").desc(), "feature").limit(n)
 
 
@@ -121,15 +125,21 @@ def best_threshold(scored: DataFrame) -> DataFrame:
 
 
 def metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """(roc_auc, n, positives, accuracy, precision, recall, f1); the area by average ranks of the scores."""
+    """(roc_auc, pr_auc, n, positives, accuracy, precision, recall, f1).
+
+    The ROC area by average ranks of the scores; the area under precision and
+    recall as the mean precision over the positives, at their own scores.
+    """
     by_score = scored.groupBy("score").agg(F.count("*").alias("n"), F.sum(F.col(LABEL).cast("long")).alias("pos"), F.sum((F.col("score") >= threshold).cast("long") * F.col(LABEL)).alias("tp"), F.sum((F.col("score") >= threshold).cast("long")).alias("said"))
-    ranked = running(by_score, [], "score").withColumn("rank", F.col("_below") + (F.col("n") + 1) / 2)
-    g = ranked.agg(F.sum("n").alias("n"), F.sum("pos").alias("positives"), F.sum(F.col("pos") * F.col("rank")).alias("r"), F.sum("tp").alias("tp"), F.sum("said").alias("said"))
+    ranked = running(by_score, [], "score").withColumn("rank", F.col("_below") + (F.col("n") + 1) / 2).withColumnsRenamed({"_below": "_under", "_total": "_all"})
+    ranked = running(ranked, [], "score", "pos")
+    at = (F.col("_total") - F.col("_below")) / (F.col("_all") - F.col("_under"))  # precision from this score on
+    g = ranked.agg(F.try_divide(F.sum(F.col("pos") * at), F.sum("pos")).alias("pr_auc"), F.sum("n").alias("n"), F.sum("pos").alias("positives"), F.sum(F.col("pos") * F.col("rank")).alias("r"), F.sum("tp").alias("tp"), F.sum("said").alias("said"))
     neg = F.col("n") - F.col("positives")
     auc = F.try_divide(F.col("r") - F.col("positives") * (F.col("positives") + 1) / 2, F.col("positives") * neg)
     precision, recall = F.try_divide(F.col("tp"), F.col("said")), F.try_divide(F.col("tp"), F.col("positives"))
     right = F.col("tp") + neg - (F.col("said") - F.col("tp"))
-    return g.select(auc.alias("roc_auc"), "n", "positives", (right / F.col("n")).alias("accuracy"), precision.alias("precision"), recall.alias("recall"), F.try_divide(2 * precision * recall, precision + recall).alias("f1"))
+    return g.select(auc.alias("roc_auc"), "pr_auc", "n", "positives", (right / F.col("n")).alias("accuracy"), precision.alias("precision"), recall.alias("recall"), F.try_divide(2 * precision * recall, precision + recall).alias("f1"))
 
 
 def cross_validate(pipeline: Pipeline, df: DataFrame, k: int = 3) -> DataFrame:
@@ -138,6 +148,15 @@ def cross_validate(pipeline: Pipeline, df: DataFrame, k: int = 3) -> DataFrame:
     return metrics(reduce(DataFrame.unionByName, [score(train(pipeline, dealt.filter(F.col("fold") != i)), dealt.filter(F.col("fold") == i)) for i in range(k)]))
 
 
+def validate_forward(pipeline: Pipeline, df: DataFrame, folds: int = 5, embargo_months: int = 12) -> DataFrame:
+    """Metrics of each fold of ``walk_forward``, trained on what was known before it.  Folds without rows to train on are left out."""
+    dealt = walk_forward(df, folds, embargo_months)
+    # an inner read of a row a fold: which folds have both sides
+    both = [r.fold for r in dealt.groupBy("fold").agg(F.countDistinct("side").alias("sides")).filter("sides = 2").orderBy("fold").collect()]
+    side = lambda i, x: dealt.filter((F.col("fold") == i) & (F.col("side") == x)).drop("fold", "side")
+    return reduce(DataFrame.unionByName, [metrics(score(train(pipeline, side(i, "train")), side(i, "test"))).withColumn("fold", F.lit(i)) for i in both])
+
+
 def compare(pipelines: dict[str, Pipeline], train_side: DataFrame, test_side: DataFrame) -> DataFrame:
     """Metrics of each model on the test side, the best area first."""
     rows = [metrics(score(train(p, train_side), test_side)).withColumn("model", F.lit(name)) for name, p in pipelines.items()]

@@ -52,6 +52,7 @@ class Condition:
 
 
 C = Condition
+#: The conditions of the ten presets.
 PRESETS: dict[str, list[Condition]] = {
     "value_stocks": [C("pe_ratio", "between", 0, 15), C("price_to_book", "<", 1.5), C("dividend_yield", ">", 0.02)],
     "growth_stocks": [C("revenue_growth", ">", 0.15), C("net_income_growth", ">", 0.10), C("roe", ">", 0.15)],
@@ -64,6 +65,7 @@ PRESETS: dict[str, list[Condition]] = {
     "cash_rich": [C("current_ratio", ">", 2.0), C("quick_ratio", ">", 1.5), C("ocf_ratio", ">", 0.10)],
     "turnaround": [C("net_income_growth", ">", 0.50), C("revenue_growth", ">", 0.10), C("pe_ratio", "between", 5, 20)],
 }
+#: The columns shown.
 DISPLAY = ["ticker", "date", "sector", "close", "pe_ratio", "price_to_book", "roe", "roa", "debt_to_equity", "current_ratio", "dividend_yield", "revenue_growth", "net_income_growth"]
 
 

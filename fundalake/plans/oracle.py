@@ -27,6 +27,7 @@ def _country(code: str, suffix: str, retail: str, cpi: str) -> str:
   {u} AS unemp_level, {u} - lag({u}) OVER w AS unemp_diff, {r} AS rate_level, {r} - lag({r}) OVER w AS rate_diff FROM px_macro WINDOW w AS (ORDER BY date)"""
 
 
+#: The definitions of the ratios.
 RATIOS = {
     "revenue_per_share": "CASE WHEN shares_outstanding > 0 THEN Revenues / shares_outstanding END",
     "operating_income_per_share": "CASE WHEN shares_outstanding > 0 THEN OperatingIncomeLoss / shares_outstanding END",

@@ -10,10 +10,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundalake.operators import asof, cleaning, features, labels, landing, master, models, screener, stats
+from fundalake.operators import asof, cleaning, features, isotonic, labels, landing, master, models, screener, stats
 from fundalake.plans import constants as K
-from fundalake.plans.refresh import refresh
+from fundalake.operators.ranks import long
 from fundalake.plans.oracle import FILINGS_AS_OF, MASTER_COLUMNS, RATIOS, TTM, statement
+from fundalake.plans.refresh import refresh
 from fundalake.sources import files, proxies, staging, store
 from fundalake.sources.schemas import conform
 from fundalake.streaming.ingest import ingest
@@ -265,6 +266,7 @@ query("scan_prices", f"SELECT {_PRICES} FROM px_prices")(lambda d: files.prices(
 query("scan_financials", "SELECT ticker, concept, country, unit, start_date, end_date, value, form, filing_date, value_source FROM (SELECT *, row_number() OVER (PARTITION BY ticker, concept, end_date ORDER BY CAST(value_source = 'cumulative' AS INT), filing_date DESC NULLS LAST, value DESC NULLS LAST, fact_id) AS rn FROM facts_classified) WHERE rn = 1")(lambda d: files.financials(d.spark, _fact_files(d)))
 query("scan_macro", f"SELECT date, {', '.join(_SERIES)} FROM px_macro WHERE coalesce({', '.join(_SERIES)}) IS NOT NULL")(lambda d: files.macro(d.spark, _macro_files(d), {f"{c}.csv": c for c in _SERIES}))
 query("scan_dividends", "SELECT ticker, dividend_date, country, dividend_amount FROM px_dividends")(lambda d: files.dividends(d.spark, _dividend_files(d), json=True))
+query("scan_dividends_csv", "SELECT ticker, dividend_date, country, dividend_amount FROM px_dividends")(lambda d: files.dividends(d.spark, _landed(d, "dividends_csv", d.px("dividends").select(F.col("ticker").alias("Ticker"), F.col("dividend_date").alias("Date"), F.col("dividend_amount").alias("Dividend")), F.lit("dividends_1.csv"), "csv")))
 query("scan_shares", "SELECT ticker, filing_date, country, shares, end_date, fiscal_year, fiscal_period, source_type FROM px_shares")(lambda d: files.shares(d.spark, _share_files(d)))
 query("scan_status", "SELECT ticker, country, regexp_extract(ticker, '[0-9]+') AS cik, status, delisting_date, CAST(NULL AS VARCHAR) AS delisting_form, delisting_date AS last_filing_date, CAST(NULL AS DATE) AS last_financial_report_date FROM (SELECT *, CASE WHEN suffix(ticker, '.PL') THEN 'PL' ELSE 'US' END AS country FROM px_status)")(lambda d: files.company_status(d.spark, _status_files(d)))
 query("scan_metadata", "SELECT CAST(c_custkey AS VARCHAR) AS cik, unnest(CASE WHEN c_custkey % 4 = 0 THEN ['C' || c_custkey, 'C' || c_custkey || 'B'] ELSE ['C' || c_custkey] END) AS ticker, 'US' AS country, c_name AS company_name, CAST(CASE WHEN c_custkey % 3 <> 0 THEN c_nationkey END AS INT) AS sic, c_mktsegment AS sic_description, CASE WHEN c_custkey % 2 = 0 THEN 'N' END AS exchange, false AS is_excluded FROM customer")(lambda d: files.company_metadata(d.spark, _company_files(d)))
@@ -491,17 +493,49 @@ query("distress_flags", f"SELECT ticker, date, {_FLAG_SQL}, {_SCORE_SQL} AS dist
 query("rolling_trends", f"SELECT ticker, date, {_TREND_SQL} FROM labelled WINDOW {_WINDOWS}")(lambda d: rounded(features.trends(d.labelled).select("ticker", "date", *_TREND), 4, *_TREND))
 query("feature_lags", f"SELECT ticker, date, {_LAG_SQL} FROM labelled WINDOW w AS (PARTITION BY ticker ORDER BY date)")(lambda d: features.lags(d.labelled).select("ticker", "date", *_LAGS))
 query("feature_pipeline", f"SELECT ticker, date, round(altman_z_approx, 4) AS altman_z_approx, {_SCORE_SQL} AS distress_score, round(avg(roe) OVER w3, 4) AS roe_ma3, lag(close, 1) OVER w AS close_lag1 FROM ({_ALTMAN}) WINDOW {_WINDOWS}, w AS (PARTITION BY ticker ORDER BY date)")(lambda d: rounded(features.pipeline(d.labelled).select("ticker", "date", "altman_z_approx", "distress_score", "roe_ma3", "close_lag1"), 4, "altman_z_approx", "roe_ma3"))
-query("prepare_features")(lambda d: features.prepare(d.labelled).apply(d.labelled))
+_NUMERIC = [c for c in master.columns() if c not in features.EXCLUDED]
+
+
+def _prepared_sql(rows: str, by: str) -> str:
+    """(ticker, date, column, value) of ``rows`` with the columns and medians that the rows of ``by`` give."""
+    cells = lambda t: " UNION ALL ".join(f"SELECT ticker, date, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM {t}" for c in _NUMERIC)
+    return f"""SELECT c.ticker, c.date, c."column", round(coalesce(c.value, m.middle), 6) AS value FROM ({cells(rows)}) c JOIN (SELECT f."column", any_value(middle) AS middle FROM ({cells(by)}) f JOIN (
+      SELECT "column", quantile_cont(value, 0.5) AS middle FROM ({cells(by)}) GROUP BY 1 HAVING 1 - count(value) / CAST(count(*) AS DOUBLE) < 0.9) q ON f."column" = q."column" GROUP BY 1 HAVING var_samp(coalesce(value, middle)) > 0) m ON c."column" = m."column\""""
+
+
+def _in_long(df: DataFrame, *keys: str) -> DataFrame:
+    columns = [c for c in df.columns if c not in ("ticker", "date", "target_bankruptcy", "split")]
+    return rounded(long(df, columns, "ticker", "date", *keys), 6, "value")
+
+
+query("prepare_features", _prepared_sql("labelled", "labelled"))(lambda d: _in_long(features.prepare(d.labelled).apply(d.labelled)))
 _CUT = "SELECT *, CASE WHEN date >= (SELECT date FROM (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM labelled)) WHERE i = floor(n * (1 - 0.2::DOUBLE))) THEN 'test' ELSE 'train' END AS split FROM labelled"
 query("time_split", f"SELECT ticker, date, split FROM ({_CUT})")(lambda d: features.time_split(d.labelled).select("ticker", "date", "split"))
-query("aligned_split")(lambda d: features.aligned_split(d.labelled))
+query("aligned_split", f"SELECT g.*, split FROM ({_prepared_sql('sides', 'train_side')}) g JOIN sides USING (ticker, date)", sides=_CUT, train_side="SELECT * FROM sides WHERE split = 'train'")(lambda d: _in_long(features.aligned_split(d.labelled), "split"))
 _SEL = ["roa", "debt_ratio", "asset_turnover", "close"]
 _FULL = f"SELECT target_bankruptcy AS y, {', '.join(_SEL)} FROM labelled WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _SEL)}"
 _LONG = " UNION ALL ".join(f"SELECT y, '{c}' AS feature, {c} AS x FROM sel" for c in _SEL)
 query("select_f", "SELECT feature, round((b / (k - 1)) / (w / (n - k)), 4) AS score FROM (SELECT feature, sum(n * (m - g) * (m - g)) AS b, sum(n * v) AS w, count(*) AS k, sum(n) AS n FROM (SELECT *, sum(n * m) OVER (PARTITION BY feature) / sum(n) OVER (PARTITION BY feature) AS g FROM (SELECT feature, y, count(*) AS n, avg(x) AS m, var_pop(x) AS v FROM sel_long GROUP BY 1, 2)) GROUP BY feature)", sel=_FULL, sel_long=_LONG)(lambda d: rounded(features.select_f(d.labelled, _SEL), 4, "score"))
 query("select_chi2", "SELECT feature, round(sum((o - e) * (o - e) / nullif(e, 0)), 4) AS score FROM (SELECT *, sum(o) OVER (PARTITION BY feature) * n / sum(n) OVER (PARTITION BY feature) AS e FROM (SELECT *, s - n * min(lo) OVER (PARTITION BY feature) AS o FROM (SELECT feature, y, count(*) AS n, sum(x) AS s, min(x) AS lo FROM sel_long GROUP BY 1, 2))) GROUP BY feature", sel=_FULL, sel_long=_LONG)(lambda d: rounded(features.select_chi2(d.labelled, _SEL), 4, "score"))
-_DECILES = ", ".join(str(i / 10) for i in range(1, 10))
-query("select_mi", f"SELECT feature, round(sum(n / total * ln(n * total / (ny * nb))), 6) AS score FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY feature) AS DOUBLE) AS total, sum(n) OVER (PARTITION BY feature, y) AS ny, sum(n) OVER (PARTITION BY feature, b) AS nb FROM (SELECT l.feature, y, len(list_filter(cuts, lambda q: q < x)) AS b, count(*) AS n FROM sel_long l JOIN (SELECT feature, quantile_cont(x, [{_DECILES}]) AS cuts FROM sel_long GROUP BY 1) c ON l.feature = c.feature GROUP BY 1, 2, 3)) GROUP BY feature", sel=_FULL, sel_long=_LONG)(lambda d: rounded(features.top_features(features.select_mi(d.labelled, _SEL), 20), 6, "score"))
+_PSI = lambda x: f"(ln({x} + 10) - 1 / (2 * ({x} + 10.0::DOUBLE)) - 1 / (12 * ({x} + 10.0::DOUBLE) ^ 2) + 1 / (120 * ({x} + 10.0::DOUBLE) ^ 4) - 1 / (252 * ({x} + 10.0::DOUBLE) ^ 6) - {' - '.join(f'1 / ({x} + {i}.0::DOUBLE)' for i in range(10))})"
+_NEAR = {
+    "points": "SELECT row_number() OVER () AS i, feature, y, x FROM sel_long", "classes": "SELECT feature, y, count(*) AS ny FROM points GROUP BY 1, 2 HAVING count(*) > 1",
+    "reach": "SELECT a.i, a.feature, any_value(a.x) AS x, any_value(ny) AS ny, least(3, any_value(ny) - 1) AS k, list_sort(list(abs(b.x - a.x)))[least(3, any_value(ny) - 1)] AS r FROM points a JOIN points b ON a.feature = b.feature AND a.y = b.y AND a.i <> b.i JOIN classes c ON a.feature = c.feature AND a.y = c.y GROUP BY 1, 2",
+    "nearer": "SELECT a.i, a.feature, any_value(ny) AS ny, any_value(k) AS k, count(*) FILTER (abs(b.x - a.x) < r OR b.x = a.x) AS m FROM reach a JOIN (SELECT p.* FROM points p JOIN classes c ON p.feature = c.feature AND p.y = c.y) b ON a.feature = b.feature GROUP BY 1, 2",
+}
+query("select_mi", f"SELECT feature, round(greatest({_PSI('count(*)')} + avg({_PSI('k')}) - avg({_PSI('ny')}) - avg({_PSI('m')}), 0), 6) AS score FROM nearer GROUP BY feature", sel=_FULL, sel_long=_LONG, **_NEAR)(lambda d: rounded(features.top_features(features.select_mi(d.labelled, _SEL), 20), 6, "score"))
+
+
+def _mi_prepared(d: Data) -> DataFrame:
+    """All prepared features."""
+    fitted = features.prepare(d.labelled)
+    return features.select_mi(fitted.apply(d.labelled), fitted.columns)
+
+
+query("select_mi_prepared")(_mi_prepared)
+query("random_split", "SELECT ticker, date, CASE WHEN md5('42|' || ticker || '|' || CAST(date AS VARCHAR)) < '33333333' THEN 'test' ELSE 'train' END AS split FROM labelled")(lambda d: features.random_split(d.labelled).select("ticker", "date", "split"))
+_FOLDS = "SELECT fold, min(date) AS a, max(date) AS b FROM (SELECT date, CAST(floor(i * 6 / n) AS BIGINT) AS fold FROM (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM labelled))) WHERE fold > 0 GROUP BY fold"
+query("walk_forward", "SELECT ticker, date, fold, CASE WHEN date >= a THEN 'test' ELSE 'train' END AS side FROM labelled JOIN date_folds ON date BETWEEN a AND b OR date <= CAST(a - INTERVAL 12 MONTH AS DATE)", date_folds=_FOLDS)(lambda d: features.walk_forward(d.labelled).select("ticker", "date", "fold", "side"))
 
 
 # ---- models, with the builders' full settings
@@ -529,6 +563,20 @@ query("calibrate")(lambda d: (lambda t: models.calibrate(models.random_forest(t[
 query("importance")(lambda d: (lambda t: models.importance(d.spark, models.train(models.random_forest(t[2]), t[0]), t[2]))(_sides(d)))
 query("compare_models")(lambda d: (lambda t: models.compare({"rf": models.random_forest(t[2]), "logistic": _logistic(t[0], t[2])}, t[0], t[1]))(_sides(d)))
 query("cross_validate")(lambda d: (lambda t: models.cross_validate(models.random_forest(t[2]), t[0]))(_sides(d)))
+# scores that are given: a rate of the table's own
+_GIVEN = "SELECT target_bankruptcy AS y, debt_ratio / (1 + debt_ratio) AS s FROM labelled WHERE debt_ratio >= 0"
+
+
+def _given(d: Data) -> DataFrame:
+    return d.labelled.filter("debt_ratio >= 0").withColumn("score", F.col("debt_ratio") / (1 + F.col("debt_ratio")))
+
+
+query("class_report", f"""SELECT label, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / nullif(p + r, 0), 6) AS f1, support FROM (SELECT label, 1.0 * hit / nullif(said, 0) AS p, 1.0 * hit / nullif(support, 0) AS r, support FROM (
+  SELECT label, count(*) FILTER (y = label) AS support, count(*) FILTER (said = label) AS said, count(*) FILTER (y = label AND said = label) AS hit FROM (SELECT y, CAST(s >= 0.5 AS INT) AS said FROM ({_GIVEN})) CROSS JOIN (VALUES (0), (1)) l(label) GROUP BY label))""")(lambda d: rounded(models.report(_given(d)), 6, "precision", "recall", "f1"))
+query("score_areas", f"""SELECT round(sum(CASE WHEN y = 1 THEN r END) / (p * (n - p)) - (p + 1) / (2.0 * (n - p)), 6) AS roc_auc, round(sum(CASE WHEN y = 1 THEN 1.0 * tp / above END) / p, 6) AS pr_auc, n, p AS positives
+  FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r, count(*) OVER (ORDER BY s DESC) AS above, sum(y) OVER (ORDER BY s DESC) AS tp, count(*) OVER () AS n, CAST(sum(y) OVER () AS BIGINT) AS p FROM ({_GIVEN})) GROUP BY n, p""")(lambda d: rounded(models.metrics(_given(d)), 6, "roc_auc", "pr_auc").select("roc_auc", "pr_auc", "n", "positives"))
+query("isotonic_fit")(lambda d: isotonic.fit(_given(d).withColumn("y", F.col("target_bankruptcy").cast("double")), "score", "y").apply(_given(d), "score", "calibrated").select("ticker", "date", "score", "calibrated"))
+query("validate_forward")(lambda d: (lambda t: models.validate_forward(models.random_forest(t[2], 50), t[0]))(_sides(d)))
 query("threshold_search")(lambda d: models.best_threshold(_scored(d, lambda t, c: models.random_forest(c))))
 
 # ---- statistics

@@ -13,9 +13,11 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the session names for checkpoints; a temporary one only where none is set (a single machine)."""
+    """The folder that the session names for checkpoints; a temporary one only where none is set and the master is local."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
+    if at is None and not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster") and at is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
     if at is None and app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="fundalake-")
     at = at or _own[app]

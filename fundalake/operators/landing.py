@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fundalake.functions.parse import cik_of, date_of, link_text, local_number, period_date, period_header  # noqa: F401
+from fundalake.functions.tables import grids
 from fundalake.operators.windows import dedup_by
 from fundalake.plans import constants as K
 
@@ -231,14 +232,22 @@ def jsonstat(payloads: DataFrame) -> DataFrame:
 
 
 def report_page_facts(pages: DataFrame, labels: dict[str, str]) -> DataFrame:
-    """(ticker, concept, unit, end_date, report_type, value) from the table of report pages (ticker, html): rows by label, columns by their heads."""
-    clean = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", ""), r"\s+", " "))
-    table = F.regexp_extract("html", r"(?s)<table[^>]*report-table[^>]*>(.*?)</table>", 1)
-    trs = pages.select("ticker", F.posexplode(F.regexp_extract_all(table, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))).alias("line", "tr"))
-    cells = trs.select("ticker", "line", F.posexplode(F.regexp_extract_all("tr", F.lit(r"(?s)<t[hd][^>]*>(.*?)</t[hd]>"), F.lit(1))).alias("at", "cell")).withColumn("cell", clean(F.col("cell")))
-    heads = cells.filter("line = 0 and at > 0").select("ticker", "at", period_header(F.col("cell")).alias("h")).filter("h is not null")
+    """(ticker, concept, unit, end_date, report_type, value) from the first report table of pages (ticker, html).
+
+    The table is laid out as a grid: tables inside cells are text, cells that
+    span columns or rows stand at each place, character references are decoded.
+    Rows are known by their first cell, columns by their head.  A value stands in
+    the cell's inner span, if it has one, or is the cell's text.
+    """
+    rows = pages.select(F.struct("ticker", F.xxhash64("ticker", "html").alias("page"), F.monotonically_increasing_id().alias("number")).alias("row"), "html")
+    cells = rows.mapInArrow(lambda it: grids(it, "report-table"), "row struct<ticker:string,page:long,number:long>, line long, at long, cell string, inner string")
     names = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
-    rows = cells.filter("line > 0 and at = 0").select("ticker", "line", F.try_element_at(names, F.col("cell")).alias("concept")).filter("concept is not null")
-    values = cells.filter("line > 0 and at > 0").withColumn("value", local_number(F.col("cell"))).filter("value is not null")
-    out = values.join(rows, ["ticker", "line"]).join(heads, ["ticker", "at"])
-    return out.select("ticker", "concept", F.lit("PLN").alias("unit"), F.try_to_date("h.end_date", "yyyy-MM-dd").alias("end_date"), F.col("h.report_type").alias("report_type"), "value")
+    # a page's cells come together: heads and labels are looked up within it
+    page = W.partitionBy("row")
+    head = F.collect_list(F.when((F.col("line") == 0) & (F.col("at") > 0), F.struct("at", period_header(F.col("cell")).alias("h")))).over(page)
+    label = F.first(F.when(F.col("at") == 0, F.try_element_at(names, F.col("cell"))), ignorenulls=True).over(W.partitionBy("row", "line"))
+    placed = cells.withColumns({"heads": head, "concept": label}).filter("line > 0 and at > 0 and concept is not null")
+    found = placed.withColumn("h", F.get(F.filter("heads", lambda x: x["at"] == F.col("at")), F.lit(0))["h"]).filter("h is not null")
+    value = local_number(F.coalesce(F.nullif("inner", F.lit("")), "cell"))
+    out = found.withColumn("value", value).filter("value is not null")
+    return out.select("row.ticker", "concept", F.lit("PLN").alias("unit"), F.try_to_date("h.end_date", "yyyy-MM-dd").alias("end_date"), F.col("h.report_type").alias("report_type"), "value")

@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundalake.operators import asof, cleaning, features, isotonic, labels, landing, master, models, screener, stats
+from fundalake.operators import asof, boosting, cleaning, features, isotonic, labels, landing, master, models, screener, stats
 from fundalake.plans import constants as K
 from fundalake.operators.ranks import long
 from fundalake.plans.oracle import FILINGS_AS_OF, MASTER_COLUMNS, RATIOS, TTM, statement
@@ -21,6 +21,8 @@ from fundalake.streaming.ingest import ingest
 
 AS_OF = datetime.date(2001, 12, 31)
 FILINGS_DAY = datetime.date(2024, 2, 1)
+#: Rounds of the registered second-order boosting: each level of a tree is a job, so all 300 take long on small tables.
+BOOST_ROUNDS = 20
 
 
 class Data:
@@ -558,6 +560,7 @@ def _scored(d: Data, build: Callable[[DataFrame, list[str]], object]) -> DataFra
 
 query("rf")(lambda d: _scored(d, lambda t, c: models.random_forest(c)))
 query("gbt")(lambda d: _scored(d, lambda t, c: models.boosted_trees(c)))
+query("boosted", None)(lambda d: (lambda t: boosting.fit(t[0], t[2], "target_bankruptcy", s=boosting.Settings(rounds=BOOST_ROUNDS)).score(t[1]).select("ticker", "date", "target_bankruptcy", "score"))(_sides(d)))
 query("logistic")(lambda d: _scored(d, _logistic))
 query("calibrate")(lambda d: (lambda t: models.calibrate(models.random_forest(t[2]), t[0]).score(t[1]).select("ticker", "date", "target_bankruptcy", "score", "calibrated"))(_sides(d)))
 query("importance")(lambda d: (lambda t: models.importance(d.spark, models.train(models.random_forest(t[2]), t[0]), t[2]))(_sides(d)))
@@ -576,7 +579,7 @@ query("class_report", f"""SELECT label, round(p, 6) AS precision, round(r, 6) AS
 query("score_areas", f"""SELECT round(sum(CASE WHEN y = 1 THEN r END) / (p * (n - p)) - (p + 1) / (2.0 * (n - p)), 6) AS roc_auc, round(sum(CASE WHEN y = 1 THEN 1.0 * tp / above END) / p, 6) AS pr_auc, n, p AS positives
   FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r, count(*) OVER (ORDER BY s DESC) AS above, sum(y) OVER (ORDER BY s DESC) AS tp, count(*) OVER () AS n, CAST(sum(y) OVER () AS BIGINT) AS p FROM ({_GIVEN})) GROUP BY n, p""")(lambda d: rounded(models.metrics(_given(d)), 6, "roc_auc", "pr_auc").select("roc_auc", "pr_auc", "n", "positives"))
 query("isotonic_fit")(lambda d: isotonic.fit(_given(d).withColumn("y", F.col("target_bankruptcy").cast("double")), "score", "y").apply(_given(d), "score", "calibrated").select("ticker", "date", "score", "calibrated"))
-query("validate_forward")(lambda d: (lambda t: models.validate_forward(models.random_forest(t[2], 50), t[0]))(_sides(d)))
+query("validate_forward")(lambda d: (lambda t: models.validate_forward(models.random_forest(t[2], 50), t[0], 3))(_sides(d)))
 query("threshold_search")(lambda d: models.best_threshold(_scored(d, lambda t, c: models.random_forest(c))))
 
 # ---- statistics

@@ -119,3 +119,24 @@ def test_first_of_new_rows_by_their_other_columns(spark):
     for df in (new, new.repartition(5)):
         got = landing.merge_new(frame([("a", 9, "old")]), df, ["k"]).collect()
         assert sorted(map(str, map(tuple, got))) == sorted(["('a', 9, 'old')", "('b', 2, 'y')", "(None, 1, None)"])
+
+
+PAGE = """<html><table class="other"><tr><td>no</td></tr></table><!-- <table class="report-table"> -->
+<table class="wide report-table"><thead><tr><th></th><th colspan="2">2020/Q1 (mar 20)</th><th>2020/Q2&nbsp;(cze 20)</th></tr></thead><tbody>
+<tr><td rowspan="2"><b>Przychody &amp; zyski</b></td><td><span class="value"><span class="pv"><span>1&nbsp;234</span></span></span><div>r/r +3%</div></td><td>2,5</td><td><table><tr><td>77</td></tr></table></td></tr>
+<tr><td>8<td>9<td>10
+<tr><td>Nieznane</td><td>1</td><td>1</td><td>1</td></tr></tbody></table><table class="report-table"><tr><td>later</td></tr></table></html>"""
+
+
+def test_report_tables_as_grids(spark):
+    from fundalake.functions.tables import grid
+
+    got = {(r, c): t for r, c, t, _ in grid(PAGE, "report-table")}
+    assert [got[0, c] for c in range(4)] == ["", "2020/Q1 (mar 20)", "2020/Q1 (mar 20)", "2020/Q2 (cze 20)"]
+    assert [got[1, c] for c in range(4)] == ["Przychody & zyski", "1 234r/r +3%", "2,5", "77"]
+    assert [got[2, c] for c in range(4)] == ["Przychody & zyski", "8", "9", "10"] and len(got) == 16
+    assert grid("<table class=report-table><tr><td rowspan=0>a<td>b<tr><td>c", "report-table") == [(0, 0, "a", ""), (0, 1, "b", ""), (1, 0, "a", ""), (1, 1, "c", "")]
+    pages = spark.createDataFrame([("A", PAGE), ("B", None), ("C", "<p>none"), ("A", PAGE)], "ticker string, html string")
+    rows = sorted((r.concept, str(r.end_date), r.report_type, r.value) for r in landing.report_page_facts(pages, {"Przychody & zyski": "Revenues"}).collect())
+    q1, q2 = ("Revenues", "2020-03-31", "Q1"), ("Revenues", "2020-06-30", "Q2")
+    assert rows == sorted([(*q1, 1_234_000.0), (*q1, 2500.0), (*q2, 77_000.0), (*q1, 8000.0), (*q1, 9000.0), (*q2, 10_000.0)] * 2)

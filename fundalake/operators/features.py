@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundalake.operators.ranks import long, quantiles, running
+from fundalake.sources.staging import materialized
 
 KEY_FEATURES = (
     "current_ratio quick_ratio roe roa ros operating_margin gross_margin debt_ratio debt_to_equity ocf_ratio free_cash_flow fcf_ttm asset_turnover "
@@ -204,17 +205,18 @@ def _nearest(counts: DataFrame, k: int, slot: int) -> DataFrame:
     dealt = ranked.withColumn("_at", F.explode(places))
     near = W.partitionBy("feature", "y", "_at").orderBy("x").rowsBetween(-k, k)
     rows = dealt.withColumn("_near", F.collect_list(F.struct("x", "n")).over(near)).filter(F.col("_at") == F.floor(F.col("_below") / slot))
-    distance = F.transform("_near", lambda v: F.struct(F.abs(v["x"] - F.col("x")).alias("d"), v["x"].alias("v"), (v["n"] - (v["x"] == F.col("x")).cast("int")).alias("n")))
-    rows = rows.withColumn("_sorted", F.array_sort(distance))
-    # the first distance within which there are k rows besides the row itself; _k: or as many as the class has
-    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("r"))
-    found = F.aggregate("_sorted", start, lambda a, v: F.struct((a["seen"] + v["n"]).alias("seen"), F.when(a["r"].isNull() & (a["seen"] + v["n"] >= F.col("_k")), v["d"]).otherwise(a["r"]).alias("r")))
-    rows = rows.withColumn("_r", found["r"])
+    key = ["feature", "y", "x"]
+    each = rows.select(*key, "n", "_k", "_ny", F.explode("_near").alias("v"))
+    each = each.select(*key, "n", "_k", "_ny", F.abs(F.col("v.x") - F.col("x")).alias("d"), F.col("v.x").alias("v"), (F.col("v.n") - (F.col("v.x") == F.col("x")).cast("int")).alias("m"))
+    # the first distance within which there are _k rows besides the row itself; equal distances count together
+    value = W.partitionBy(*key)
+    seen = F.sum("m").over(value.orderBy("d").rangeBetween(W.unboundedPreceding, W.currentRow))
+    each = each.withColumn("_seen", seen).withColumn("_r", F.min(F.when(F.col("_seen") >= F.col("_k"), F.col("d"))).over(value))
     # the bound on the side where that neighbour is, is the neighbour itself: a sum could miss it by a rounding
-    edge = lambda side: F.filter("_sorted", lambda v: (v["d"] == F.col("_r")) & side(v["v"], F.col("x")))
-    low = F.coalesce(F.get(edge(lambda v, x: v < x), F.lit(0))["v"], F.col("x") - F.col("_r"))
-    high = F.coalesce(F.get(edge(lambda v, x: v > x), F.lit(0))["v"], F.col("x") + F.col("_r"))
-    return rows.select("feature", "y", "x", "n", "_k", "_ny", "_r", low.alias("_lo"), high.alias("_hi"))
+    at = F.col("d") == F.col("_r")
+    ends = [F.max(F.when(at & (F.col("v") < F.col("x")), F.col("v"))).alias("_lo"), F.min(F.when(at & (F.col("v") > F.col("x")), F.col("v"))).alias("_hi")]
+    g = each.groupBy(*key).agg(*[F.first(c).alias(c) for c in ("n", "_k", "_ny", "_r")], *ends)
+    return g.withColumns({"_lo": F.coalesce("_lo", F.col("x") - F.col("_r")), "_hi": F.coalesce("_hi", F.col("x") + F.col("_r"))})
 
 
 def select_mi(df: DataFrame, columns: list[str], target: str = "target_bankruptcy", neighbours: int = 3, slot: int = SLOT_VALUES) -> DataFrame:
@@ -232,12 +234,12 @@ def select_mi(df: DataFrame, columns: list[str], target: str = "target_bankruptc
     cells = long(full, columns, F.col(target).alias("y")).withColumnsRenamed({"column": "feature", "value": "x"}).filter(~F.isnan("x"))
     counts = cells.groupBy("feature", "y", (F.col("x") + F.lit(0.0)).alias("x")).agg(F.count("*").alias("n"))
     sizes = counts.groupBy("feature", "y").agg(F.sum("n").alias("_ny")).withColumn("_k", F.least(F.lit(neighbours), F.col("_ny") - 1))
-    counts = counts.join(sizes, ["feature", "y"]).filter("_ny > 1")
-    rows = _nearest(counts, neighbours, slot)
+    counts = materialized(counts.join(sizes, ["feature", "y"]).filter("_ny > 1"), "mi-counts")
+    rows = materialized(_nearest(counts, neighbours, slot), "mi-nearest")
     # counts below each value, and below each bound, which has a count of its own only where it is a value
     values = counts.groupBy("feature", "x").agg(F.sum("n").alias("n"))
     bounds = rows.select("feature", F.explode(F.array("_lo", "_hi")).alias("x")).withColumn("n", F.lit(0).cast("long"))
-    below = running(values.unionByName(bounds).groupBy("feature", "x").agg(F.sum("n").alias("n")), ["feature"], "x")
+    below = materialized(running(values.unionByName(bounds).groupBy("feature", "x").agg(F.sum("n").alias("n")), ["feature"], "x"), "mi-below")
     at = lambda name: below.select("feature", F.col("x").alias(name), F.col("_below").alias(f"{name}_below"), (F.col("_below") + F.col("n")).alias(f"{name}_upto"))
     rows = rows.join(at("x"), ["feature", "x"]).join(at("_lo"), ["feature", "_lo"]).join(at("_hi"), ["feature", "_hi"])
     m = F.when(F.col("_r") == 0, F.col("x_upto") - F.col("x_below")).otherwise(F.col("_hi_below") - F.col("_lo_upto"))

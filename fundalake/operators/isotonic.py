@@ -10,8 +10,6 @@ fitted value, so nothing holds the scores together.
 
 from __future__ import annotations
 
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -19,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fundalake.operators.asof import asof_join
 from fundalake.operators.ranks import running
-from fundalake.sources.staging import shared_dir
+from fundalake.sources.staging import materialized
 
 FAN = 16
 #: Different scores of a slot.
@@ -62,7 +60,7 @@ def fit(df: DataFrame, score: str, label: str, weight: str | None = None, slot:
     """The rising line of least squares through the labels; rows with a null or NaN are left out."""
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     rows = df.select(F.col(score).cast("double").alias("x"), F.col(label).cast("double").alias("y"), w.alias("w")).filter("x is not null and y is not null and w > 0 and not isnan(x)")
-    sums = rows.groupBy("x").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("y")).alias("wy")).withColumn("one", F.lit(1))
+    sums = materialized(rows.groupBy("x").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("y")).alias("wy")), "isotonic-sums").withColumn("one", F.lit(1))
     ranked = running(sums, [], "x", "one")
     pools = ranked.select(F.floor(F.col("_below") / slot).alias("slot"), F.col("x").alias("lo"), F.col("x").alias("hi"), "w", "wy")
     slots = -(-(sums.count()) // slot)
@@ -79,6 +77,4 @@ def fit(df: DataFrame, score: str, label: str, weight: str | None = None, slot:
         slots = -(-slots // FAN)
     value = F.col("wy") / F.col("w")
     ends = F.array_distinct(F.array("lo", "hi"))
-    path = f"{shared_dir(df.sparkSession)}/isotonic-{uuid.uuid4().hex}"
-    pools.select(F.explode(ends).alias("x"), value.alias("value")).write.parquet(path)
-    return Isotonic(df.sparkSession.read.parquet(path))
+    return Isotonic(materialized(pools.select(F.explode(ends).alias("x"), value.alias("value")), "isotonic"))

@@ -531,7 +531,7 @@ query("select_mi", f"SELECT feature, round(greatest({_PSI('count(*)')} + avg({_P
 def _mi_prepared(d: Data) -> DataFrame:
     """All prepared features."""
     fitted = features.prepare(d.labelled)
-    return features.select_mi(fitted.apply(d.labelled), fitted.columns)
+    return features.select_mi(d._stage("prepared", lambda: fitted.apply(d.labelled)), fitted.columns)
 
 
 query("select_mi_prepared")(_mi_prepared)

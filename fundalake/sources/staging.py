@@ -45,6 +45,13 @@ def staged(spark: SparkSession, source: str, name: str, make: Callable[[], DataF
     return spark.read.parquet(_staged[key])
 
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written to the shared folder and read from there: what follows plans, and after a lost executor recomputes, from that table."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def landed(spark: SparkSession, source: str, name: str, rows: DataFrame, file: Column, form: str) -> str:
     """A folder with one CSV or JSON file of ``rows`` for each value of ``file``, its name; landed at first use in an application, and again when the data in the folder ``source`` change."""
     key = (spark.sparkContext.applicationId, source, f"landed/{name}", _state(spark, source))

@@ -102,17 +102,17 @@ FROM h LEFT JOIN g ON h.s = g.s AND h.n >= 1000
 _ESCAPED = r"replace(replace(replace(replace(replace(replace(replace({}, '\', '\\'), '<s>', '\0'), '</s>', '\1'), '[INST]', '\2'), '[/INST]', '\3'), '<role>', '\4'), '</role>', '\5')"
 _OP4 = f"""
 WITH c AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+  SELECT coalesce('id ' || conv_id, 'row ' || row_number() OVER ()) AS conv, conv_id, coalesce(turn, 0) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT 'id -7', -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT 'id -7', -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 f AS (SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS said,
              length('<s><role></role></s>') + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})
              + CASE WHEN role = 'assistant' THEN 0 ELSE length('[INST][/INST]') END AS n FROM c)
-SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+SELECT CAST(any_value(conv_id) AS BIGINT) AS conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(length(string_agg(said, '' ORDER BY turn, role, text)) AS BIGINT) AS loss_chars,
        sha256(string_agg(said, '' ORDER BY turn, role, text)) AS loss_sha256,
        CAST(sum(n) AS BIGINT) AS formatted_chars
-FROM f GROUP BY conv_id
+FROM f GROUP BY conv
 """
 
 _FLOOR = "CASE WHEN b < 64 THEN b ELSE (b - ((b - 32) // 32) * 32) << CAST((b - 32) // 32 AS INT) END"

@@ -169,7 +169,7 @@ def test_one_word_text():
     assert solved(["a", "b"] * 1500, 64) == [(0, 2, 3000)]
 
 
-def test_runs_of_documents(spark):
+def test_runs_of_documents(spark, monkeypatch):
     rng = random.Random(5)
     rows = [(1, "a " * 50), (1, "a " * 50), (2, "a " * 50), (None, "x y z " * 9 + "tail"), (None, None), (3, ""), (4, " one\ttwo "), (5, "a b " * 3), (6, " ".join("p q r s".split() * 4)), (7, "é ü " * 20)]
     rows += [(10 + i, " ".join(rng.choice("ab") for _ in range(60))) for i in range(20)]
@@ -185,6 +185,9 @@ def test_runs_of_documents(spark):
             found = [(0, 700, 40_000)] if d == 40 else plain_runs(words)
             want.append((repr(d), t or "", found, " ".join(plain_kept(words, found))))
         assert got == sorted(want)
+    monkeypatch.setattr("fundalake.llm.common.SMALL_ROWS", 0)  # the runs and the texts in a shuffled join
+    again = periodic.collapsed(docs, tile=1024)
+    assert sorted((repr(r.doc_id), r.text or "", [tuple(x) for x in r.runs], r.kept_text) for r in again.collect()) == sorted(want)
     assert periodic.collapsed(docs.filter("doc_id = 99")).collect() == []
 
 

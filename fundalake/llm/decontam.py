@@ -19,9 +19,11 @@ and nothing else.
 
 Join.  The seeds of both sides are rows, joined by seed; a document's rows are
 sent only if a filter of fixed size, made of the benchmark's seeds, does not
-rule them out.  A hit is a text, an item and the diagonal on which the two
-meet; each is verified once, on the texts that have any.  Texts are named by
-128 bits of hash, so copies of a text share their hits.
+rule them out.  A text's seed is sent once, wherever it stands, and a hit is a
+text and an item with a common seed, so that texts and items that repeat one
+phrase meet once and not on every diagonal.  The diagonals are found again in
+the task that has the text, and followed until no longer stretch can come.
+Texts are named by 128 bits of hash, so copies of a text share their hits.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ MIN_TOKENS = 5
 MIN_OVERLAP = 13
 #: Tokens that are compared at a time.
 CELLS = 1 << 20
+#: About how many items a row of a text carries; a text that meets more has several rows.
+ITEMS_PER_ROW = 1 << 12
 #: Each of the filter's two tables has 2 ** TABLE_BITS bits.
 TABLE_BITS = 25
 
@@ -119,8 +123,8 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         flat, at = _flat_tokens(batch.column(1))
         for item, a, b in zip(batch.column(0).to_pylist(), at, at[1:]):
-            seed, begin = item_seeds(flat[a:b])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seed), item)), pa.array(seed.view(np.int64)), pa.array(begin)], names=["item", "seed", "at"])
+            seed = np.unique(item_seeds(flat[a:b])[0])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seed), item)), pa.array(seed.view(np.int64))], names=["item", "seed"])
 
 
 class Filter:
@@ -152,16 +156,14 @@ def _doc_seeds(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordB
     known: Filter = shared.value
     for part, _, _ in chunks(batches, "text"):
         w = tokens(part.column(2).cast(pa.large_string()).fill_null(""))
-        doc, seeds, places, rows = w.doc(), [], [], []
+        doc, seeds, rows = w.doc(), [], []
         for k, m in enumerate(_ALL_MASKS):
             starts = w.starts(len(m))
             if len(starts):
                 s = _seeds(w.hashes, m, k)[starts]
                 maybe = known.may_have(s)
-                p = starts[maybe]
                 seeds.append(s[maybe])
-                rows.append(doc[p])
-                places.append(p - w.first[doc[p]])
+                rows.append(doc[starts[maybe]])
         n = np.diff(w.first)
         brief = np.flatnonzero((n > 0) & (n < MIN_TOKENS))
         if len(brief):
@@ -170,52 +172,92 @@ def _doc_seeds(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordB
             maybe = known.may_have(s)
             seeds.append(s[maybe])
             rows.append(brief[maybe])
-            places.append(np.zeros(len(maybe), np.int64))
         if seeds:
-            row = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(np.concatenate(seeds).view(np.int64)), pa.array(np.concatenate(places))], names=["k1", "k2", "seed", "place"])
+            seed, row = np.concatenate(seeds), np.concatenate(rows)
+            order = np.lexsort((seed, row))
+            seed, row = seed[order], row[order]
+            once = np.append(True, (seed[1:] != seed[:-1]) | (row[1:] != row[:-1]))[: len(seed)]
+            at = pa.array(row[once])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(seed[once].view(np.int64))], names=["k1", "k2", "seed"])
 
 
-def likely(w: Words, d: np.ndarray, start: np.ndarray, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The hits whose overlap is long enough and has the equal tokens that its least stretch needs.
-
-    Hit i lays flat[at[i]:at[i + 1]] over text d[i] from its token start[i] on.
-    """
-    length = np.diff(at)
-    a, b = np.maximum(start, 0) + w.first[d], np.minimum(start + length, np.diff(w.first)[d]) + w.first[d]
-    least = np.minimum(length, MIN_OVERLAP)
-    hits = np.flatnonzero((b - a >= least) & ((length >= MIN_TOKENS) | ((start == 0) & (np.diff(w.first)[d] == length))))
-    n, keep, x = (b - a)[hits], np.zeros(len(hits), bool), 0
+def text_seeds(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All seeds of a text in order, and where in it they begin."""
+    found = [_seeds(h, m, k) for k, m in enumerate(_ALL_MASKS)]
+    if 0 < len(h) < MIN_TOKENS:
+        found.append(whole_seeds(h, np.array([0, len(h)])))
+    seed, place = np.concatenate(found), np.concatenate([np.arange(len(s)) for s in found])
+    order = np.argsort(seed)
+    return seed[order], place[order]
+
+
+def diagonals(text: tuple[np.ndarray, np.ndarray], n_text: int, item: tuple[np.ndarray, np.ndarray], n_item: int) -> np.ndarray:
+    """Where in the text the item begins (before it, if negative) when a seed of both meets, each once and in order."""
+    lo, hi = (np.searchsorted(text[0], item[0], side) for side in ("left", "right"))
+    met = np.flatnonzero(hi > lo)
+    met = met[np.argsort(item[0][met], kind="stable")]
+    n, mark, x = hi[met] - lo[met], np.zeros(n_text + n_item + 1, bool), 0
     total = np.cumsum(n)
-    while x < len(hits):
+    while x < len(met):
         y = max(x + 1, int(np.searchsorted(total, total[x] - n[x] + CELLS, "right")))
-        i, m = hits[x:y], n[x:y]
-        first = np.cumsum(m) - m
-        token = np.arange(int(m.sum())) + np.repeat(a[i] - first, m)
-        of = token + np.repeat(at[i] - start[i] - w.first[d[i]], m)
-        same = np.add.reduceat((w.hashes[token] == flat[of]).astype(np.int64), first)
-        keep[x:y] = same * 5 >= 4 * least[i]
+        i, m = met[x:y], n[x:y]
+        place = text[1][np.arange(int(m.sum())) + np.repeat(lo[i] - (np.cumsum(m) - m), m)]
+        mark[place - np.repeat(item[1][i], m) + n_item] = True
         x = y
-    return hits[keep]
+    return np.flatnonzero(mark) - n_item
+
+
+def overlap(h: np.ndarray, item: np.ndarray, start: np.ndarray) -> tuple[int, int, int] | None:
+    """(from, to, equal): the longest stretch of text h that repeats the item on one of the diagonals, and of equals the first by bound and place; None if none is long enough.
+
+    A stretch has at most 5/4 of its diagonal's equal tokens.  The diagonals
+    are taken by falling bound until none can beat the longest stretch so far,
+    so that one of a repetitive text's many diagonals is enough.
+    """
+    n, m = len(h), len(item)
+    if m < MIN_TOKENS:
+        return (0, n, m) if n == m and (h == item).all() else None
+    bound, step = np.zeros(len(start), np.int64), max(1, CELLS // m)
+    for x in range(0, len(start), step):
+        at = start[x : x + step, None] + np.arange(m)
+        inside = (at >= 0) & (at < n)
+        same = ((h[np.clip(at, 0, n - 1)] == item) & inside).sum(1)
+        bound[x : x + step] = np.minimum(inside.sum(1), same * 5 // 4)
+    best, found = min(m, MIN_OVERLAP) - 1, None
+    for i in np.argsort(-bound, kind="stable").tolist():
+        if bound[i] <= best:
+            break
+        s = int(start[i])
+        a, b = max(s, 0), min(s + m, n)
+        a, b, same = _longest(h[a:b] == item[a - s : b - s], a)
+        if b - a > best:
+            best, found = b - a, (a, b, same)
+    return found
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for part, _, _ in chunks(batches, "text"):
         w = tokens(part.column(2).cast(pa.large_string()))
         lists = part.column(3)
         hit = lists.flatten()
-        d = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-        start = hit.field("start").to_numpy(zero_copy_only=False)
         flat, at = _flat_tokens(hit.field("tokens"))
-        rows, found = [], []
-        for i in likely(w, d, start, flat, at).tolist():
-            lo, hi, s, n = int(w.first[d[i]]), int(w.first[d[i] + 1]), int(start[i]), int(at[i + 1] - at[i])
-            a, b = max(s, 0), min(s + n, hi - lo)
-            a, b, same = _longest(w.hashes[lo + a : lo + b] == flat[at[i] + a - s : at[i] + b - s], a)
-            if b - a >= min(n, MIN_OVERLAP):
-                rows.append(i)
-                found.append((a, b, b - a, same))
-        text = pa.array(d[rows] if rows else [], pa.int64())
+        ids, first, rows, texts, found = hit.field("item").to_pylist(), 0, [], [], []
+        for d, count in enumerate(lists.value_lengths().to_pylist()):
+            h = w.hashes[w.first[d] : w.first[d + 1]]
+            of_text = text_seeds(h)
+            for i in range(first, first + count):
+                item = flat[at[i] : at[i + 1]]
+                if ids[i] not in known:
+                    if len(known) >= ITEMS_PER_ROW:
+                        known.clear()
+                    known[ids[i]] = item_seeds(item)
+                if x := overlap(h, item, diagonals(of_text, len(h), known[ids[i]], len(item))):
+                    rows.append(i)
+                    texts.append(d)
+                    found.append((x[0], x[1], x[1] - x[0], x[2]))
+            first += count
+        text = pa.array(texts, pa.int64())
         yield pa.RecordBatch.from_arrays([part.column(0).take(text), part.column(1).take(text), hit.field("item").take(pa.array(rows, pa.int64())), *[pa.array([x[k] for x in found], pa.int64()) for k in range(4)]], names=["k1", "k2", "item", "from", "to", "overlap", "equal"])
 
 
@@ -238,7 +280,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(k1, k2, item, item_id, from, to, overlap, equal): the stretches of different texts that repeat a benchmark item; k1 and k2 name the text.
 
     A stretch has 13 tokens, or all of a shorter item, of which 0.8 or more are
-    equal; the longest of each diagonal is given.  An item of fewer than 5
+    equal; a text and an item have one row, the longest.  An item of fewer than 5
     tokens is found only in a text that has no other tokens.  Null and empty
     texts, and those without a letter or digit, match nothing; very long texts
     are read whole; equal items under one item_id are one, and a null item_id
@@ -246,12 +288,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     named = benchmark.select("item_id", "text").filter("text is not null").distinct()
     items = cut(named.select(F.xxhash64("item_id", "text").alias("item"), "item_id", "text").mapInArrow(_items, "item long, item_id long, n long, tokens binary").filter("n > 0"))
-    seeds = cut(items.select("item", "tokens").mapInArrow(_item_seeds, "item long, seed long, at long"))
+    seeds = cut(items.select("item", "tokens").mapInArrow(_item_seeds, "item long, seed long"))
     shared = docs.sparkSession.sparkContext.broadcast(_filter(seeds))
     texts = docs.select(*_keys(), "text")
-    sent = texts.mapInArrow(lambda it: _doc_seeds(it, shared), "k1 long, k2 long, seed long, place long").distinct()
-    hits = sent.join(small(seeds), "seed").select("k1", "k2", "item", (F.col("place") - F.col("at")).alias("start")).distinct()
-    per_text = cut(hits.join(small(items.select("item", "tokens")), "item").groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "start", "tokens")).alias("hits")))
+    sent = texts.mapInArrow(lambda it: _doc_seeds(it, shared), "k1 long, k2 long, seed long").distinct()
+    met = sent.join(small(seeds), "seed").select("k1", "k2", "item").distinct()
+    parts = F.pmod(F.xxhash64("item"), F.lit(1 + items.count() // ITEMS_PER_ROW))
+    per_text = cut(met.join(small(items.select("item", "tokens")), "item").groupBy("k1", "k2", parts.alias("part")).agg(F.collect_list(F.struct("item", "tokens")).alias("hits")).drop("part"))
     found = texts.join(small(per_text), ["k1", "k2"]).select("k1", "k2", "text", "hits").mapInArrow(_verify, "k1 long, k2 long, item long, `from` long, `to` long, overlap long, equal long")
     return cut(found.distinct().join(small(items.select("item", "item_id")), "item"))
 
@@ -259,11 +302,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, n_overlaps, n_items, longest, item_ids, contaminated) for each row of ``docs``.
 
+    n_overlaps counts the benchmark's different rows that the text repeats, n_items their different ids, null included.
     Repeated rows are reported alike; a null doc_id is one like any other; an
     empty benchmark leaves all documents clean, and an empty table gives an
     empty result; other columns are ignored.  Texts are treated as overlaps() says.
     """
-    found = overlaps(docs, benchmark).groupBy("k1", "k2").agg(F.count("*").alias("n"), F.countDistinct("item").alias("items"), F.max("overlap").alias("longest"), F.sort_array(F.collect_set("item_id")).alias("ids"))
+    found = overlaps(docs, benchmark).groupBy("k1", "k2").agg(F.count("*").alias("n"), F.countDistinct(F.struct("item_id")).alias("items"), F.max("overlap").alias("longest"), F.sort_array(F.collect_set("item_id")).alias("ids"))
     joined = docs.select("doc_id", *_keys()).join(found, ["k1", "k2"], "left")
     zero = F.lit(0).cast("long")
     return joined.select("doc_id", F.coalesce("n", zero).alias("n_overlaps"), F.coalesce("items", zero).alias("n_items"), F.coalesce("longest", zero).alias("longest"), F.coalesce("ids", F.array().cast("array<bigint>")).alias("item_ids"), F.col("n").isNotNull().alias("contaminated"))

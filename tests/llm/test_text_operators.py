@@ -262,6 +262,42 @@ def test_overlaps_against_all_stretches(spark, docs):
     assert all(r.equal >= 0.8 * r.overlap for r in decontam.overlaps(df, bench).collect())
 
 
+def test_longest_overlap_against_all_stretches():
+    """Random texts over few words, so that seeds meet on many diagonals."""
+    rng = np.random.default_rng(15)
+    some = 0
+    for _ in range(400):
+        words = rng.integers(1, 1 << 63, rng.integers(1, 5)).astype(np.uint64)
+        h, item = (words[rng.integers(0, len(words), n)] for n in (rng.integers(1, 60), rng.integers(1, 30)))
+        seed, at = decontam.item_seeds(item)
+        met = decontam.diagonals(decontam.text_seeds(h), len(h), (seed, at), len(item))
+        got = decontam.overlap(h, item, met)
+        n, m, best = len(h), len(item), 0
+        for s in range(-m, n):
+            equal = [0 <= s + j < n and h[s + j] == item[j] for j in range(m)]
+            inside = [j for j in range(m) if 0 <= s + j < n]
+            for a in inside:
+                for b in range(a + 1, inside[-1] + 2):
+                    if 5 * sum(equal[a:b]) >= 4 * (b - a) and (m >= 5 or (n == m and s == 0)):
+                        best = max(best, b - a)
+        want = best if best >= min(m, 13) else 0
+        assert (got[1] - got[0] if got else 0) == want
+        some += want > 0
+        assert got is None or 5 * got[2] >= 4 * (got[1] - got[0])
+    assert 50 < some < 400
+
+
+@pytest.mark.parametrize("rows", [1 << 12, 7])
+def test_repetitive_texts_meet_repetitive_items_once(spark, docs, monkeypatch, rows):
+    """All texts and items repeat one phrase; a text's items may be dealt over several rows."""
+    monkeypatch.setattr(decontam, "ITEMS_PER_ROW", rows)
+    phrase = "one two three four five six seven"
+    bench = spark.createDataFrame([(i, f"{phrase} " * 4 + f"end{i}") for i in range(40)], "item_id long, text string")
+    df = docs([(i, f"{phrase} " * 34 + f"tail{i}", "en", "s") for i in range(300)])
+    got = decontam.report(df, bench).collect()
+    assert len(got) == 300 and all((r.n_overlaps, r.n_items, r.item_ids) == (40, 40, list(range(40))) and r.longest >= 28 for r in got)
+
+
 def test_leaks_of_the_test_tables(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     b = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")

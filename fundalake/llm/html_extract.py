@@ -10,10 +10,14 @@ paragraphs and headings are never deleted for recurring.
 Counting cannot tell hosts with few pages, nor what changes from page to page
 (rotating adverts, menus with links to other pages).  There the element tells:
 navigation, asides, forms and the like by their tags, and others by words in
-class, id and role.  Outside an article any word of a name counts; inside one
-only a whole name such as class="ad", and paragraphs, headings and list items
-go by the few names of adverts alone.  On a page with an <article> or <main>
-that is not itself in such an element, the text outside it is not the main text.
+class, id and role.  Outside an article any word of a name counts, but for the
+header of a post; inside one a whole name such as class="ad" and the first or
+last word of a compound such as "comment-list", but for those that only say
+what is beside them ("has-sidebar"); paragraphs, headings and list items go by
+the few names of adverts alone.  On a page with an <article> or <main> that is
+not itself in such an element, the text outside it is not the main text, unless
+the paragraphs there are longer than all that the articles hold: then these are
+teasers, and all stays.
 
 A host's templates are few: a subtree must be on ``MIN_SHARE`` of its pages, so
 there are at most (subtrees per page) / MIN_SHARE.  They go to all tasks if
@@ -46,16 +50,20 @@ _WORDS = re.compile(r"[a-z]+")
 #: Names of elements, and words in class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
-SKIP = RAW | frozenset("head nav aside footer form button select svg canvas object audio video dialog menu".split())
+SKIP = RAW | frozenset("head nav aside footer form button select svg canvas object audio video dialog menu label".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt td th figcaption".split())
 BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header login masthead menu menus modal nav navbar navigation newsletter notice notices pagination pager popup popups promo promoted promotion related replies share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription toolbar widget widgets complementary contentinfo search".split())
 #: Of these, the whole names that tell inside an article, and those that tell on paragraphs and the like.
-INSIDE = BOILERPLATE - frozenset("header login search notices masthead complementary contentinfo replies".split())
+INSIDE = BOILERPLATE - frozenset("header search notices masthead complementary contentinfo replies".split())
 ADVERT = frozenset("ad ads advert adverts advertisement advertising sponsored".split())
+#: Words that make a header one of the text, and words that begin names of what surrounds the text.
+OF_TEXT = frozenset("post entry article story content".split())
+BESIDE = frozenset("no has with without is before after main body content".split())
 #: Which open elements a start tag ends.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _LIMITS = frozenset("ul ol dl table div section article main body html td th".split())
+_STOPS = _LIMITS | SKIP
 
 
 class Page:
@@ -70,7 +78,8 @@ class Page:
 
     def _parse(self, html: str) -> None:
         stack, at, n, last = [0], 0, len(html), html.rfind(">")
-        self.open: dict[str, int] = {}  # how many elements of each name are open
+        self.open: dict[str, list[int]] = {}  # the depths of the open elements of each name
+        self.limits, self.stops = [0], [0]  # the depths of those in _LIMITS, and in _STOPS
         while at < n:
             lt = html.find("<", at)
             if lt < 0:
@@ -110,8 +119,11 @@ class Page:
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
                 at = end.end() if end else n
             elif not (rest.rstrip().endswith("/") and name in ("svg", "path")):
+                for kind, depths in ((_LIMITS, self.limits), (_STOPS, self.stops)):
+                    if name in kind:
+                        depths.append(len(stack))
+                self.open.setdefault(name, []).append(len(stack))
                 stack.append(node)
-                self.open[name] = self.open.get(name, 0) + 1
         while len(stack) > 1:
             self._end(stack.pop())
         self.items.append(None)
@@ -139,7 +151,10 @@ class Page:
         return len(self.tag) - 1
 
     def _end(self, node: int) -> None:
-        self.open[self.tag[node]] -= 1
+        name, depth = self.tag[node], self.open[self.tag[node]].pop()
+        for kind, depths in ((_LIMITS, self.limits), (_STOPS, self.stops)):
+            if name in kind and depths[-1] == depth:
+                depths.pop()
         if parts := self.parts[node]:
             self.hash[node] = h = xxhash.xxh64_intdigest(f"{self.tag[node]}{self.names[node]}>{'|'.join(parts)}") or 1
             self.parts[self.parent[node]].append(f"{h:x}")
@@ -152,27 +167,18 @@ class Page:
             if name in ("br", "p"):
                 self.items.append(None)
             return
-        for depth in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[depth]] == name:
-                while len(stack) > depth:
-                    self._end(stack.pop())
-                return
-            if self.tag[stack[depth]] in _LIMITS and name not in BLOCK:
-                return
+        depth = self.open[name][-1]
+        if name in BLOCK or depth >= self.limits[-1]:
+            while len(stack) > depth:
+                self._end(stack.pop())
 
     def _imply(self, stack: list[int], name: str) -> None:
         """A block ends an open paragraph; a list item ends the one before it; and so on."""
         wanted = CLOSES.get(name, set()) if name in ("option", "optgroup") else {"p"} | CLOSES.get(name, set())
-        if not any(self.open.get(x) for x in wanted):
-            return
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = self.tag[stack[depth]]
-            if tag in wanted:
-                while len(stack) > depth:
-                    self._end(stack.pop())
-                return
-            if tag in _LIMITS or tag in SKIP:
-                return
+        depth = max((self.open[x][-1] for x in wanted if self.open.get(x)), default=0)
+        if depth and depth >= self.stops[-1]:
+            while len(stack) > depth:
+                self._end(stack.pop())
 
     def _marks(self) -> tuple[list[bool], list[bool]]:
         """Which elements are in an article, and which contain one."""
@@ -193,12 +199,19 @@ class Page:
             return False
         if self.tag[i] in PLAIN:
             return not ADVERT.isdisjoint(self.names[i].split())
-        return not (INSIDE.isdisjoint(self.names[i].split()) if inside else BOILERPLATE.isdisjoint(_WORDS.findall(self.names[i])))
+        for name in self.names[i].split():
+            words = _WORDS.findall(name)
+            if name in (INSIDE if inside else BOILERPLATE):
+                return True
+            if inside and len(words) > 1 and words[0] not in BESIDE and (words[0] in INSIDE or words[-1] in INSIDE):
+                return True
+            if not inside and not BOILERPLATE.isdisjoint(words) and (OF_TEXT.isdisjoint(words) or not BOILERPLATE.isdisjoint(set(words) - {"header"})):
+                return True
+        return False
 
     def blocks(self, templates: frozenset[int] | set[int] = frozenset()) -> list[str]:
         """The texts that stay, without the subtrees whose hash is among ``templates``."""
         inside, holds = self._marks()
-        scoped = any(inside)
         gone = [False] * len(self.tag)
         for i in range(1, len(self.tag)):
             tag, within = self.tag[i], inside[self.parent[i]]
@@ -208,6 +221,7 @@ class Page:
                 if not drop and self.hash[i] in templates and self.deletable(i, inside, holds):
                     drop = True
             gone[i] = drop
+        scoped = any(inside) and not self._teasers(inside, gone)
         out, line = [], []
         for item in self.items:
             if item is None:
@@ -220,6 +234,17 @@ class Page:
                 line.append(item[1])
         return out
 
+    def _teasers(self, inside: list[bool], gone: list[bool]) -> bool:
+        """Whether the paragraphs outside the articles are longer than all texts inside."""
+        within = around = 0
+        for item in self.items:
+            if item is not None and not gone[item[0]]:
+                if inside[item[0]]:
+                    within += len(item[1])
+                elif self.tag[item[0]] in ("p", "pre", "blockquote"):
+                    around += len(item[1])
+        return around > within
+
     def deletable(self, i: int, inside: list[bool], holds: list[bool]) -> bool:
         if holds[i] or self.tag[i] in ("html", "body", "article", "main"):
             return False

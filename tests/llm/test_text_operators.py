@@ -78,6 +78,48 @@ def test_language(spark, docs, odd, empty):
     assert {r.doc_id for r in kept} - {902} == set(range(120)) and all(r.doc == "doc" and r.rejected == "rejected" for r in kept)
 
 
+def test_languages_against_a_plain_version(spark):
+    """Each piece encoded on its own and summed in plain Python: same winner, score, margins and rejection; what accepted() keeps is the rest."""
+    import math
+    import statistics
+
+    import zstandard
+
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = ~langid.held_out(F.col("doc_id"))
+    model = langid.train(d.filter(learned))
+    rows = d.select("doc_id", "text", learned.alias("learned")).collect()
+    params = zstandard.ZstdCompressionParameters.from_level(langid.LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0)
+    coders = {}
+    for k, v in model.items():
+        known = zstandard.ZstdCompressionDict(v, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known.precompute_compress(level=langid.LEVEL)
+        coders[k] = zstandard.ZstdCompressor(dict_data=known, compression_params=params)
+    coders[""] = zstandard.ZstdCompressor(compression_params=params)
+    plain = {}
+    for r in rows:
+        if not r.text or not any(c.isalpha() for c in r.text):
+            plain[r.doc_id] = ("und", 0.0, None, None)
+            continue
+        raw = r.text.lower().encode()
+        size = {k: sum(len(c.compress(raw[i : i + 768])) for i in range(0, len(raw), 768)) for k, c in coders.items()}
+        none = size.pop("")
+        order = sorted(size, key=lambda k: (size[k], k))
+        least = size[order[0]]
+        plain[r.doc_id] = (order[0], 1 / math.fsum(2.0 ** -min(60, v - least) for v in size.values()), (size[order[1]] - least) / least, 1 - least / none)
+    found = langid.predict(d, model)
+    got = {r.doc_id: (r.lang_pred, r.score, r.gap, r.gain) for r in found.collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in plain.items()}
+    assert all(got[k][1:] == (v[1:] if v[2] is None else pytest.approx(v[1:])) for k, v in plain.items())
+    middle = {}
+    for lang in model:
+        mine = [plain[r.doc_id] for r in rows if r.learned and plain[r.doc_id][0] == lang]
+        middle[lang] = [statistics.median_low([x[i] for x in mine]) for i in (2, 3)]
+    wanted = {k for k, (lang, _, gap, gain) in plain.items() if gap is not None and gap > 0.05 * middle[lang][0] and gain > 0.05 * max(middle[lang][1], 0)}
+    assert {r.doc_id for r in langid.accepted(d).collect()} == wanted and 0 < len(wanted) < len(plain)
+
+
+
 def test_held_out_accuracy(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = langid.held_out(F.col("doc_id"))

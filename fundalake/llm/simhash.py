@@ -27,6 +27,15 @@ points; it is a list of leaves for each value, which is sent to the tasks.
 Size.  Equal fingerprints are one point.  A leaf that stays large holds near
 copies or the values of a single part, and gives a spanning forest, never its
 pairs.
+
+Signatures.  One fingerprint at 4 bits finds few of the texts that share four
+fifths of their shingles, so ``deduplicated`` makes a signature of several, each
+from a remix of the hashes of the five-word shingles.  Two texts are linked if
+one of the first ``SEARCHED`` fingerprints of each differ in at most ``radius``
+bits, and all ``CHECKED`` together in at most ``bits``: the share of bits that
+differ is the angle between the shingle sets over pi, 0.15 at a likeness of
+0.8.  The trees first search the fingerprints alone, which are short; only
+signatures with a partner there go through trees again, whole, and are linked.
 """
 
 from __future__ import annotations
@@ -40,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundalake.llm.common import chunks, components, cut, partitions, row_key
+from fundalake.llm.common import Words, chunks, components, cut, mix, partitions, row_key, windows
 
 SHINGLE = 4
 RADIUS = 4
@@ -52,6 +61,12 @@ WIDE = 1 << 27
 #: Vantage points that are tried at a node.
 TRIES = 6
 _PAIRS_AT_ONCE = 1 << 22
+#: Signatures: words of a shingle, fingerprints that are searched and in all, bits that may differ in one that is searched and in all together.
+NEAR_SHINGLE = 5
+SEARCHED = 6
+CHECKED = 8
+NEAR_RADIUS = 7
+NEAR_BITS = 80
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -266,8 +281,128 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     return fps.join(rooted.select("fp", "component").join(named, "component").select("fp", "component_id"), "fp")
 
 
-def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: that of the least doc_id, null after all others, of the least hash of its text, and of those equal in both any.
+_REMIX = mix(np.arange(1, CHECKED + 1, dtype=np.uint64))
+
+
+def signature(h: np.ndarray) -> np.ndarray:
+    """CHECKED fingerprints of a text from the hashes of its shingles; zeros if it has none."""
+    if len(h) < 256:
+        ones = np.unpackbits(mix(h ^ _REMIX[:, None]).view(np.uint8).reshape(CHECKED, len(h), 8), axis=2, bitorder="little").sum(1)
+    else:
+        ones = np.zeros((CHECKED, 64), np.int64)
+        for k in range(CHECKED):
+            octets = mix(h ^ _REMIX[k]).view(np.uint8).reshape(-1, 8)
+            ones[k] = np.concatenate([np.bincount(octets[:, j], minlength=256) @ _BITS for j in range(8)])
+    return np.packbits(2 * ones > len(h), axis=1, bitorder="little").view(np.uint64)[:, 0]
+
+
+def text_signatures(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A row of CHECKED fingerprints for each text; A-Z count as a-z, and a text of fewer words than a shingle is one shingle."""
+    words = Words(np.where((raw >= 65) & (raw <= 90), raw + np.uint8(32), raw), at)
+    out = np.zeros((len(at) - 1, CHECKED), np.uint64)
+    for d, (a, b) in enumerate(zip(words.first.tolist(), words.first[1:].tolist())):
+        if b > a:
+            out[d] = signature(windows(words.hashes[a:b], min(NEAR_SHINGLE, b - a)))
+    return out
+
+
+def _as_lists(s: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(s) + 1, dtype=np.int32) * CHECKED), pa.array(s.view(np.int64).ravel()))
+
+
+def _from_lists(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, CHECKED).view(np.uint64) if isinstance(column, pa.Array) else _from_lists(column.combine_chunks())
+
+
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, raw, at in chunks(batches, "text"):
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), _as_lists(text_signatures(raw, at))], names=["doc_id", "key", "sig"])
+
+
+def with_partners(points: DataFrame, radius: int, leaf_rows: int = LEAF_ROWS, wide: int = WIDE) -> DataFrame:
+    """Those of the different signatures (sig) of ``points`` that have another one within ``radius`` in a searched fingerprint."""
+    found = None
+    for k in range(SEARCHED):
+        fps = cut(points.groupBy(F.col("sig")[k].alias("fp")).agg(F.count("*").alias("n")))
+        ends = links(fps.select("fp"), radius, leaf_rows, wide).select(F.explode(F.array("a", "b")).alias("fp"))
+        each = ends.union(fps.filter("n > 1").select("fp")).distinct().select(F.lit(k).alias("k"), "fp")
+        found = each if found is None else found.union(each)
+    each = points.select("sig", F.posexplode(F.slice("sig", 1, SEARCHED)).alias("k", "fp"))
+    return cut(each.join(cut(found), ["k", "fp"], "left_semi").select("sig").distinct())
+
+
+def _route_signatures(batches: Iterator[pa.RecordBatch], shared, k: int) -> Iterator[pa.RecordBatch]:
+    forest_, combined = shared.value
+    for batch in batches:
+        s = _from_lists(batch.column(0))
+        shard, row = route(s[:, k], forest_, combined)
+        for i in range(0, len(row), 1 << 15):
+            yield pa.RecordBatch.from_arrays([pa.array(shard[i : i + (1 << 15)]), _as_lists(s[row[i : i + (1 << 15)]])], names=["shard", "sig"])
+
+
+def signature_forest(s: np.ndarray, k: int, radius: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges, as row numbers, that connect what is connected by links through fingerprint ``k``.
+
+    Rows go by their distance from the first one; a row meets only those whose
+    distance is at most ``radius`` more.  Whole signatures are compared only for
+    pairs that are not connected yet.
+    """
+    n = len(s)
+    shell = np.bitwise_count(s[:, k] ^ s[0, k]).astype(np.int64)
+    order = np.argsort(shell, kind="stable")
+    p, shell = s[order], shell[order]
+    one = np.ascontiguousarray(p[:, k])
+    last = np.searchsorted(shell, shell + radius, "right")
+    label, i = np.arange(n), 0
+    while i < n:
+        j = min(n, i + max(1, (_PAIRS_AT_ONCE >> 2) // (n - i)))
+        a, b = np.nonzero(np.bitwise_count(one[i:j, None] ^ one[None, i : int(last[j - 1])]) <= radius)
+        a, b = a[a < b] + i, b[a < b] + i
+        for at in range(0, len(a), 1 << 16):
+            x, y = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
+            open_ = label[x] != label[y]
+            x, y = x[open_], y[open_]
+            near = np.bitwise_count(p[x] ^ p[y]).sum(1, dtype=np.int64) <= bits
+            x, y = x[near], y[near]
+            while len(x):
+                lx, ly = label[x], label[y]
+                np.minimum.at(label, np.maximum(lx, ly), np.minimum(lx, ly))
+                while (label[label] != label).any():
+                    label = label[label]
+                open_ = label[x] != label[y]
+                x, y = x[open_], y[open_]
+        i = j
+    moved = np.flatnonzero(label != np.arange(n))
+    return order[moved], order[label[moved]]
+
+
+def _signature_edges(batches: Iterator[pa.RecordBatch], k: int, radius: int, bits: int) -> Iterator[pa.RecordBatch]:
+    for table in sorted_groups(batches, "shard"):
+        s, keys = _from_lists(table["sig"]), table["shard"].to_numpy()
+        bounds = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            if b - a > 1:
+                x, y = signature_forest(s[a:b], k, radius, bits)
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([_as_lists(s[a:b][x]), _as_lists(s[a:b][y])], names=["a", "b"])
+
+
+def signature_links(points: DataFrame, radius: int = NEAR_RADIUS, bits: int = NEAR_BITS, leaf_rows: int = LEAF_ROWS, wide: int = WIDE) -> DataFrame:
+    """(a, b): a spanning set of the links between the different signatures (sig) of ``points``."""
+    spark, out = points.sparkSession, None
+    few = with_partners(points, radius, leaf_rows, wide)
+    n = few.count()
+    for k in range(SEARCHED):
+        shared = spark.sparkContext.broadcast(trees(few.select(F.col("sig")[k].alias("fp")), radius, n, leaf_rows, wide))
+        dealt = few.mapInArrow(lambda it, k=k, shared=shared: _route_signatures(it, shared, k), "shard long, sig array<long>")
+        dealt = dealt.repartition(partitions(spark), "shard").sortWithinPartitions("shard")
+        found = dealt.mapInArrow(lambda it, k=k: _signature_edges(it, k, radius, bits), "a array<long>, b array<long>")
+        out = found if out is None else out.union(found)
+    return out
+
+
+def deduplicated(docs: DataFrame, radius: int = NEAR_RADIUS, bits: int = NEAR_BITS, leaf_rows: int = LEAF_ROWS, wide: int = WIDE) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, by signatures: that of the least doc_id, null after all others, of the least hash of its text, and of those equal in both any.
 
     Null and empty texts are near-duplicates of each other; very long texts
     count whole; rows that share a doc_id but not a text are told apart;
@@ -276,9 +411,11 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     the way, and the keys that stay meet them where they are.
     """
     rows = docs.select("doc_id", "text", row_key(docs, ["doc_id", "text"]).alias("key"))
-    fps = rows.mapInArrow(lambda it: _fingerprints(it, SHINGLE), "doc_id long, fp long, key string")
+    sigs = rows.mapInArrow(_signatures, "doc_id long, key string, sig array<long>")
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "key")
-    rooted = _components(cut(fps.groupBy("fp").agg(F.min(first).alias("first"))), radius)
+    points = cut(sigs.groupBy("sig").agg(F.min(first).alias("first")))
+    groups = components(signature_links(points, radius, bits, leaf_rows, wide)).withColumnRenamed("node", "sig")
+    rooted = points.join(groups, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     keep = rooted.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.key").alias("key"))
     each = docs.select(row_key(docs, ["doc_id", "text"]).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).groupBy("key").agg(F.first("doc").alias("doc"))
     return each.join(cut(keep), "key", "left_semi").select("doc.*")

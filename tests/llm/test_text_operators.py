@@ -229,6 +229,78 @@ def test_one_row_of_each_group_with_null_and_shared_ids(docs):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aB cÉ\n", max_size=60), max_size=4), st.sampled_from([0, 1, 400]))
+def test_signatures(texts, more):
+    texts = [x + " x Y" * more for x in texts]
+    got = simhash.text_signatures(*common.text_buffers(pa.array(texts, pa.string())))
+    for text, sig in zip(texts, got):
+        h = common.Words(*common.text_buffers(pa.array([text.encode().lower().decode()]))).hashes
+        s = common.windows(h, min(5, len(h))) if len(h) else h
+        remixed = [common.mix(s ^ common.mix(np.array([k + 1], np.uint64))[0]).tolist() for k in range(8)]
+        assert sig.tolist() == [sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in r) > len(r)) for r in remixed]
+
+
+@pytest.mark.parametrize("leaf_rows, wide", [(8192, 1 << 27), (4, 1 << 27), (1, 0)])
+def test_signature_links_find_all(spark, leaf_rows, wide):
+    """Chains that leave a fingerprint's radius, that keep it but leave the bits of all, and signatures that share a whole fingerprint."""
+    rng = random.Random(11)
+    sigs = {tuple(rng.getrandbits(64) for _ in range(8)) for _ in range(40)}
+    for c in sorted(sigs)[:14]:
+        x = list(c)
+        for _ in range(10):
+            for k in range(8):
+                for b in rng.sample(range(64), rng.randint(0, 14)):
+                    x[k] ^= 1 << b
+            sigs.add(tuple(x))
+            x = x if rng.random() < 0.6 else [*x[:1], *(rng.getrandbits(64) for _ in range(7))]
+    sigs = sorted(sigs)
+    parent = list(range(len(sigs)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    n_links = 0
+    for i, x in enumerate(sigs):
+        for j, y in enumerate(sigs[:i]):
+            d = [(a ^ b).bit_count() for a, b in zip(x, y)]
+            if min(d[:6]) <= 7 and sum(d) <= 80:
+                n_links += 1
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    want = collections.defaultdict(set)
+    for i, x in enumerate(sigs):
+        want[root(i)].add(x)
+    df = spark.createDataFrame([([signed(v) for v in x],) for x in sigs], "sig array<long>")
+    edges = common.cut(simhash.signature_links(df, leaf_rows=leaf_rows, wide=wide))
+    roots = {tuple(r.node): tuple(r.component) for r in common.components(edges).collect()}
+    got = collections.defaultdict(set)
+    for x in sigs:
+        s = tuple(signed(v) for v in x)
+        got[roots.get(s, s)].add(x)
+    assert n_links > 50 and sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_near_copies_go_and_others_stay(docs):
+    """Copies of likeness 0.9 in five-word shingles go, nearly all; of 0.84 at least three quarters (signatures estimate a likeness); texts that share half of them stay."""
+    rng = random.Random(12)
+    rows, gone = [], {3: set(), 5: set()}
+    for i in range(40):
+        words = [f"v{rng.randrange(5000)}" for _ in range(300)]
+        rows.append((1000 * i, " ".join(words), "en", "s"))
+        for c, n_changed in enumerate((3, 3, 5, 5), 1):
+            copy = list(words)
+            for at in rng.sample(range(10, 290, 10), n_changed):
+                copy[at] = f"new{c}-{at}"
+            rows.append((1000 * i + c, " ".join(copy), "en", "s"))
+            gone[n_changed].add(1000 * i + c)
+        rows.append((1000 * i + 9, " ".join(words[:200] + [f"u{rng.randrange(5000)}" for _ in range(100)]), "en", "s"))
+    kept = {r.doc_id for r in simhash.deduplicated(docs(rows)).collect()}
+    assert all(1000 * i in kept and 1000 * i + 9 in kept for i in range(40))
+    assert len(kept & gone[3]) <= 2 and len(kept & gone[5]) <= 20
+
+
 # ---- substrings
 
 

@@ -1,12 +1,14 @@
 import collections
 import hashlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from fundalake.llm import chat
+from fundalake.llm import chat, common, simhash
 
 KIND = "conv_id long, turn long, role string, text string, node string"
 
@@ -91,14 +93,15 @@ def test_pipeline(spark, stages):
     for a, b in zip((raw, known, single, cut), (known, single, cut, clean)):
         assert list(b.columns) == list(raw.columns) and set(b.doc_id) <= set(a.doc_id) and b.doc_id.is_unique
     assert len(known) >= 0.97 * len(raw)
-    from test_text_operators import slow_components, slow_fingerprint, slow_repeats
-
-    fps = [slow_fingerprint(t) for t in known.text]
-    roots = slow_components(fps)
-    least = {}
-    for d, r in zip(known.doc_id, roots):
-        least[r] = min(d, least.get(r, d))
-    assert set(single.doc_id) == set(least.values())
+    from test_text_operators import slow_repeats
+
+    sigs = simhash.text_signatures(*common.text_buffers(pa.array(known.text, pa.string())))
+    root = np.arange(len(sigs))
+    for i, sig in enumerate(sigs):
+        differ = np.bitwise_count(sigs[:i] ^ sig)
+        for j in np.flatnonzero((differ[:, :6].min(1) <= 7) & (differ.sum(1) <= 80)):
+            root[root == root[i]] = root[j]
+    assert sorted(single.doc_id) == sorted(known.doc_id.groupby(root).min())
     want = {d: (n, gone, t) for d, n, gone, t in slow_repeats(list(zip(single.doc_id, single.text)))}
     was = dict(zip(single.doc_id, single.text))
     assert dict(zip(cut.doc_id, cut.text)) == {d: t if gone else was[d] for d, (n, gone, t) in want.items() if not gone or gone < n}

@@ -2,10 +2,14 @@
 
 import datetime
 import random
+import shutil
 
 from oracle_check import SF
+from pyspark.sql import functions as F
 
-from fundalake.plans.registry import Data
+from fundalake.operators import cleaning
+from fundalake.operators.windows import dedup_by
+from fundalake.plans.registry import Data, queries
 from fundalake.sources import proxies
 
 
@@ -37,3 +41,45 @@ def test_the_point_in_time_table_plans_no_scan_of_lines_or_orders(spark):
     """What it takes from them is made before, once; a scan for each branch was in its plan."""
     names = [f for leaf in Data(spark, SF).known.inputFiles() for f in ("lineitem.parquet", "orders.parquet") if f in leaf]
     assert not names
+
+
+def _calls(spark, tmp_path, monkeypatch, names):
+    """How often each base table is planned to be read for these queries together, over a folder that nothing is staged of."""
+    at = shutil.copytree(SF, tmp_path / "sf")
+    calls = {}
+
+    def counted(f, tables):
+        def call(*a):
+            for t in tables(*a):
+                calls[t] = calls.get(t, 0) + 1
+            return f(*a)
+
+        return call
+
+    monkeypatch.setattr(proxies, "view", counted(proxies.view, lambda s, d, name: [name]))
+    monkeypatch.setattr(proxies, "days", counted(proxies.days, lambda s, d: ["days"]))
+    for name in names:
+        queries()[name](spark, str(at)).count()
+    return calls
+
+
+#: Queries that share the staged tables.
+SHARING = ["distress_votes", "validate_forward"]
+
+
+def test_queries_share_one_reading(spark, tmp_path, monkeypatch):
+    """Lines are summed once for all of them, facts and months taken once; the rest is small."""
+    calls = _calls(spark, tmp_path, monkeypatch, SHARING)
+    assert {t: calls.get(t) for t in ("days", "financials", "macro")} == {"days": 1, "financials": 1, "macro": 1}
+    assert not {"prices", "dividends", "shares"} & set(calls)
+
+
+def test_one_fact_of_a_key_as_by_its_plain_order(spark):
+    rng = random.Random(3)
+    day = lambda: rng.choice([None, datetime.date(1960, 1, 1), datetime.date(1999, 3, 31), datetime.date(1999, 6, 30)])
+    rows = [(i, rng.choice(["A", "B", None]), rng.choice(["X", "Y"]), day(), day(), rng.choice([None, -1.0, 0.0, 2.0, float("nan")]), rng.choice(["cumulative", "discrete", "snapshot", None])) for i in range(3000)]
+    facts = spark.createDataFrame(rows, "fact_id long, ticker string, concept string, end_date date, filing_date date, value double, value_source string").repartition(3)
+    plain = dedup_by(facts, ["ticker", "concept", "end_date"], [(F.col("value_source") == "cumulative").asc(), F.col("filing_date").desc_nulls_last(), F.col("value").desc_nulls_last(), F.col("fact_id").asc()])
+    ours = cleaning.dedup_facts(facts)
+    assert ours.columns == facts.columns and sorted(r.fact_id for r in ours.collect()) == sorted(r.fact_id for r in plain.collect())
+    assert "_hash" in ours._jdf.queryExecution().optimizedPlan().toString()  # not sorted by the strings first

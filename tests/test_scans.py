@@ -64,7 +64,7 @@ def _calls(spark, tmp_path, monkeypatch, names):
 
 
 #: Queries that share the staged tables.
-SHARING = ["distress_votes", "validate_forward", "walk_forward"]
+SHARING = ["distress_votes", "validate_forward", "walk_forward", "boosted"]
 
 
 def test_queries_share_one_reading(spark, tmp_path, monkeypatch):

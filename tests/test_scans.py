@@ -64,7 +64,7 @@ def _calls(spark, tmp_path, monkeypatch, names):
 
 
 #: Queries that share the staged tables.
-SHARING = ["distress_votes", "validate_forward", "walk_forward", "boosted", "importance", "corr_pearson"]
+SHARING = ["distress_votes", "validate_forward", "walk_forward", "boosted", "importance", "corr_pearson", "aligned_split"]
 
 
 def test_queries_share_one_reading(spark, tmp_path, monkeypatch):

@@ -74,6 +74,33 @@ def test_queries_share_one_reading(spark, tmp_path, monkeypatch):
     assert not {"prices", "dividends", "shares"} & set(calls)
 
 
+def _odd_orders(spark, path):
+    """Orders of few keys, so that sources, filing dates and values meet: null, negative and late ones among them, hours of the day, NaN."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(-500, 6000):
+        day = datetime.datetime(1996, 1, 1) + datetime.timedelta(days=rng.randrange(500), hours=rng.choice([0, 0, 13, 23]))
+        price = rng.choice([None, float("nan"), 0.0, -0.0]) if i % 11 == 0 else float(rng.randrange(6))
+        rows.append((None if i % 101 == 0 else i, rng.choice([None, -3, 1, 41, 5, 45]), rng.choice(["F", "O", "P", None]), price, None if i % 53 == 0 else day, rng.choice(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", None])))
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").coalesce(2).write.parquet(f"{path}/orders.parquet")
+
+
+def _text(df):
+    return sorted(str(tuple(r)) for r in df.collect())
+
+
+def test_only_facts_that_may_be_kept_are_sorted(spark, tmp_path, monkeypatch):
+    """The facts that are kept are those of a sort of all facts, of which the sort gets those of their key's greatest rank."""
+    _odd_orders(spark, tmp_path)
+    plain, sizes = cleaning.dedup_facts, []
+    monkeypatch.setattr(cleaning, "dedup_facts", lambda facts: (sizes.append(facts.count()), plain(facts))[1])
+    for sf_dir in (SF, str(tmp_path)):
+        d = Data(spark, sf_dir)
+        assert _text(d.unique) == _text(plain(d.classified))
+    made = spark.read.parquet(f"{tmp_path}/orders.parquet").count()
+    assert made > 6000 and sizes[-1] < made / 4, sizes
+
+
 def test_one_fact_of_a_key_as_by_its_plain_order(spark):
     rng = random.Random(3)
     day = lambda: rng.choice([None, datetime.date(1960, 1, 1), datetime.date(1999, 3, 31), datetime.date(1999, 6, 30)])

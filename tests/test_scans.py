@@ -101,6 +101,21 @@ def test_only_facts_that_may_be_kept_are_sorted(spark, tmp_path, monkeypatch):
     assert made > 6000 and sizes[-1] < made / 4, sizes
 
 
+def test_months_are_made_from_rows_that_more_orders_do_not_add_to(spark, tmp_path, monkeypatch):
+    """A row a day, priority and status, with the same months as from all orders."""
+    once, often = str(tmp_path / "once"), str(tmp_path / "often")
+    _odd_orders(spark, once)
+    orders = spark.read.parquet(f"{once}/orders.parquet")
+    orders.crossJoin(spark.range(5).select("id")).withColumn("o_orderkey", F.col("o_orderkey") + F.col("id") * 10000).drop("id").coalesce(2).write.parquet(f"{often}/orders.parquet")
+    view, sizes = proxies.view, []
+    monkeypatch.setattr(proxies, "view", lambda s, d, name: (sizes.append(s.read.parquet(f"{d}/orders.parquet").count()), view(s, d, name))[1])
+    for sf_dir in (SF, once, often):
+        plain, ours = view(spark, sf_dir, "macro"), Data(spark, sf_dir).px("macro")
+        assert [(f.name, f.dataType) for f in plain.schema] == [(f.name, f.dataType) for f in ours.schema]
+        assert _text(plain) == _text(ours) and plain.count() > 0
+    assert sizes[1] == sizes[2] <= orders.count(), sizes
+
+
 def test_one_fact_of_a_key_as_by_its_plain_order(spark):
     rng = random.Random(3)
     day = lambda: rng.choice([None, datetime.date(1960, 1, 1), datetime.date(1999, 3, 31), datetime.date(1999, 6, 30)])

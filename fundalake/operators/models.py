@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundalake.functions.local import small
 from fundalake.operators import isotonic
 from fundalake.operators.features import walk_forward
 from fundalake.operators.ranks import running
@@ -105,7 +107,7 @@ def _importances(model: PipelineModel) -> list[float]:
 def importance(spark, model: PipelineModel | Calibrated, columns: list[str], n: int = 20) -> DataFrame:
     """(feature, importance): of the trees, or the size of the coefficients; of a calibrated model the mean over its folds' models."""
     each = [_importances(m) for m, _ in model.pairs] if isinstance(model, Calibrated) else [_importances(model)]
-    rows = spark.createDataFrame([(c, sum(v) / len(each)) for c, v in zip(columns, zip(*each))], "feature string, importance double")
+    rows = small(spark, [(c, sum(v) / len(each)) for c, v in zip(columns, zip(*each))], pa.schema({"feature": pa.string(), "importance": pa.float64()}))
     return rows.orderBy(F.col("importance").desc(), "feature").limit(n)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundalake.functions.local import small
 from fundalake.functions.moments import corr, kurt, skew
 from fundalake.operators.ranks import beside, long, quantiles, running
 
@@ -159,7 +160,7 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     spread = (c("n") * c("xx") - c("x") * c("x")) * (c("n") * c("yy") - c("y") * c("y"))
     varies = (c("n") > 1) & (c("x_low") < c("x_high")) & (c("y_low") < c("y_high")) & (spread > 0)
     r = F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (c("n") * c("xy") - c("x") * c("y")) / F.sqrt(spread))))
-    named = df.sparkSession.createDataFrame([(columns.index(a), columns.index(b), a, b) for a, b in pairs], "i int, j int, a string, b string")
+    named = small(df.sparkSession, [(columns.index(a), columns.index(b), a, b) for a, b in pairs], pa.schema({"i": pa.int32(), "j": pa.int32(), "a": pa.string(), "b": pa.string()}))
     return named.join(g, ["i", "j"], "left").select("a", "b", F.coalesce(c("n"), F.lit(0.0)).cast("long").alias("n"), r.alias("correlation"))
 
 
@@ -175,7 +176,7 @@ def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson")
     pairs = _pairs(columns)
     cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs])
     rows = df.select(F.explode(cells).alias("_p")).select("_p.*").filter("x is not null and y is not null")
-    return df.sparkSession.createDataFrame(pairs, "a string, b string").join(_ranked(rows, method), ["a", "b"], "left")
+    return small(df.sparkSession, pairs, pa.schema({"a": pa.string(), "b": pa.string()})).join(_ranked(rows, method), ["a", "b"], "left")
 
 
 def _ranked(rows: DataFrame, method: str) -> DataFrame:
